@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from datetime import UTC, datetime, timedelta
+from datetime import UTC, date, datetime, timedelta
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A trailing Z, +hh:mm, +hhmm or +hh after the time of day.
 _OFFSET = r"(?:Z|[+-]\d{2}(?::?\d{2})?)$"
@@ -20,6 +21,20 @@ def as_utc(value: datetime) -> datetime:
     return value.astimezone(UTC).replace(tzinfo=None)
 
 
+def time_literal(value: datetime | date, dtype: T.DataType) -> Column:
+    """A literal of exactly the column's type, so that comparisons with it reach the scan.
+    Naive values are UTC."""
+    if isinstance(dtype, T.DateType):
+        return F.lit(value.date() if isinstance(value, datetime) else value)
+    if not isinstance(value, datetime):
+        value = datetime(value.year, value.month, value.day)
+    value = as_utc(value)
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+    micros = (value - datetime(1970, 1, 1)) // timedelta(microseconds=1)
+    return F.timestamp_micros(F.lit(micros))
+
+
 def normalise_time(text: str | Column) -> Column:
     """Event time strings of mixed zones (naive, Z, fixed offset, region name) as UTC
     `timestamp_ntz`. Unreadable strings become null."""

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from tidemark.errors import SchemaError
 from tidemark.model import CREATED_TS, EVENT_TS, FeatureTable, output_name
 from tidemark.operators.validate import check_spine
-from tidemark.plans.bounds import within_spine
+from tidemark.plans.bounds import SpineBounds, measure_spine
 from tidemark.plans.lineage import cut_lineage
 from tidemark.plans.skew import (
     SLICE,
@@ -90,7 +90,8 @@ def multi_as_of(
 ) -> DataFrame:
     """Point-in-time join of many feature tables.
 
-    Tables with the same keys share one pass. `checkpoint_every=n` cuts lineage after
+    Two small jobs run when this is called: the spine's time bounds (`bound_by_spine`), for
+    the scans, and a sample of the key columns, for hot keys (`skew`). Tables with the same keys share one pass. `checkpoint_every=n` cuts lineage after
     every n passes, for requests over very many different keys.
     """
     _check_output_names(spine, inputs, full_feature_names)
@@ -99,10 +100,11 @@ def multi_as_of(
         check_spine(spine, spine_ts, item.table)
         groups.setdefault(tuple(sorted(item.table.keys)), []).append(item)
 
+    bounds = measure_spine(spine, spine_ts) if bound_by_spine else None
     result = spine
     for done, (keys, members) in enumerate(groups.items(), start=1):
         prepared = [
-            _prepare(m, spine, spine_ts, bound_by_spine, f"__tm_f{i}")
+            _prepare(m, spine.schema[spine_ts].dataType, bounds, f"__tm_f{i}")
             for i, m in enumerate(members)
         ]
         hot = _find_hot(spine, spine_ts, prepared, keys, skew) if skew else None
@@ -127,19 +129,18 @@ def _check_output_names(spine: DataFrame, inputs: Sequence[FeatureInput], full:
 
 
 def _prepare(
-    item: FeatureInput, spine: DataFrame, spine_ts: str, bound_by_spine: bool, slot: str
+    item: FeatureInput, ts_type: T.DataType, bounds: SpineBounds | None, slot: str
 ) -> DataFrame:
     """Feature rows as (keys, time, struct of everything that orders or is returned)."""
     table, df = item.table, item.df
-    ts_type = spine.schema[spine_ts].dataType
     if df.schema[item.event_ts].dataType != ts_type:
         df = df.withColumn(item.event_ts, F.col(item.event_ts).cast(ts_type))
     complete = F.col(item.event_ts).isNotNull()
     for key in table.keys:
         complete = complete & F.col(key).isNotNull()
     df = df.filter(complete)
-    if bound_by_spine:
-        df = within_spine(df, item.event_ts, spine, spine_ts, table.max_age)
+    if bounds:
+        df = bounds.keep_usable(df, item.event_ts, table.max_age)
     order = [F.col(item.event_ts).alias("ts")]
     if item.created_ts and item.created_ts in df.columns:
         order.append(F.col(item.created_ts).alias("created"))
@@ -170,6 +171,9 @@ def _one_pass(
 ) -> DataFrame:
     slots = [f"__tm_f{i}" for i in range(len(members))]
     slot_types = [df.schema[slot].dataType for df, slot in zip(prepared, slots)]
+    # Keys are aliased on every branch: Spark then sees that all branches of the union are
+    # partitioned alike when they are, and leaves out the shuffle.
+    inner = [f"__tm_k{i}" for i in range(len(keys))]
     rest = [c for c in spine.columns if c not in keys and c != spine_ts]
     rest_type = T.StructType([T.StructField(c, spine.schema[c].dataType) for c in rest])
 
@@ -178,7 +182,7 @@ def _one_pass(
         if own:
             empty[own] = F.col(own)
         return df.select(
-            *keys,
+            *[F.col(k).alias(i) for k, i in zip(keys, inner)],
             F.col(_TS),
             slice_no.alias(SLICE),
             F.lit(side).alias(_SIDE),
@@ -218,7 +222,7 @@ def _one_pass(
     for part in parts[1:]:
         everything = everything.unionByName(part)
     so_far = (
-        Window.partitionBy(*keys, SLICE)
+        Window.partitionBy(*inner, SLICE)
         .orderBy(F.col(_TS).asc_nulls_first(), F.col(_SIDE))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
@@ -229,7 +233,7 @@ def _one_pass(
     output = []
     for column in spine.columns:
         if column in keys:
-            output.append(F.col(column))
+            output.append(F.col(inner[keys.index(column)]).alias(column))
         elif column == spine_ts:
             output.append(F.col(_TS).alias(column))
         else:

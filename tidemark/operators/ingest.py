@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -100,7 +100,7 @@ def ingest_batch(
     rows = bounded(df if df is not None else load(spark, source), source, start, end)
     checked = checked_rows(rows, table, source, suite, need_feature=need_feature)
     keep = storable(on_invalid, table)
-    watched, observation = observe_counters(checked, f"ingest-{run_id}", F.col(VALID))
+    watched, observation = observe_counters(checked, f"ingest-{run_id}", keep)
     online.upsert(watched.filter(keep).drop(VALID, FAILED))
     if dead_letters:
         write_dead_letters(split_valid(checked)[1], dead_letters, run_id)
@@ -108,7 +108,7 @@ def ingest_batch(
     return IngestReport(
         run_id,
         seen["n_read"],
-        seen["n_read"] - seen["n_deadletter"] if on_invalid == "drop" else seen["n_stored"],
+        seen["n_stored"],
         seen["n_deadletter"],
         seen["latest_event"],
     )
@@ -123,7 +123,7 @@ def latest_rows(
 ) -> DataFrame:
     """The newest feature row per key of a source in a closed time range."""
     created = source.created_timestamp
-    mapped = select_features(df, replace(table, tie_break=table.tie_break), source)
+    mapped = select_features(df, table, source)
     newest = latest_per_key(
         mapped,
         table.keys,
@@ -154,4 +154,4 @@ def materialize(
 def push(table: FeatureTable, online: OnlineTable, df: DataFrame) -> None:
     """Rows of a frame straight to the online table, through the table's mapping."""
     source = table.source or Source()
-    online.upsert(project_input(df, table, source).select(*table.keys, EVENT_TS, *table.feature_names))
+    online.upsert(project_input(df, table, source))

@@ -5,24 +5,31 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.times import time_literal
 from tidemark.model import CREATED_TS, EVENT_TS, FeatureTable
 
 
 def time_range(
-    ts: str, start: datetime | date | None, end: datetime | date | None, closed: str = "left"
-) -> Column:
-    """`[start, end)` or, with `closed="both"`, `[start, end]`; None leaves a side open."""
+    df: DataFrame,
+    ts: str,
+    start: datetime | date | None,
+    end: datetime | date | None,
+    closed: str = "left",
+) -> DataFrame:
+    """Rows in `[start, end)` or, with `closed="both"`, `[start, end]`; None leaves a side
+    open."""
     if closed not in ("left", "both"):
         raise ValueError(f"closed is 'left' or 'both', got {closed!r}")
-    condition = F.lit(True)
+    dtype = df.schema[ts].dataType
     if start is not None:
-        condition = condition & (F.col(ts) >= F.lit(start))
+        df = df.filter(F.col(ts) >= time_literal(start, dtype))
     if end is not None:
-        condition = condition & (F.col(ts) < F.lit(end) if closed == "left" else F.col(ts) <= F.lit(end))
-    return condition
+        last = time_literal(end, dtype)
+        df = df.filter(F.col(ts) < last if closed == "left" else F.col(ts) <= last)
+    return df
 
 
 def latest_per_key(
@@ -46,8 +53,7 @@ def latest_per_key(
     order = [event_ts, *([created_ts] if created_ts else []), *tie_break]
     carried = list(dict.fromkeys([*order, *features]))
     newest = F.max(F.struct(*[F.col(c).alias(f"s{i}") for i, c in enumerate(carried)])).alias("__tm_newest")
-    rows = df.filter(time_range(event_ts, start, end, closed)) if start or end else df
-    grouped = rows.groupBy(*keys).agg(newest)
+    grouped = time_range(df, event_ts, start, end, closed).groupBy(*keys).agg(newest)
     wanted = [*features, event_ts, *([created_ts] if created_ts else [])]
     if not keys:
         grouped = grouped.filter(F.col("__tm_newest").isNotNull())
@@ -71,13 +77,13 @@ def pull_all(
 ) -> DataFrame:
     """Every row of a time range, reduced to the given columns and the event time."""
     wanted = list(dict.fromkeys([*columns, event_ts]))
-    return df.filter(time_range(event_ts, start, end, closed)).select(*wanted)
+    return time_range(df, event_ts, start, end, closed).select(*wanted)
 
 
 def compact(batch: DataFrame, table: FeatureTable) -> DataFrame:
-    """One row per entity key of a batch: the newest one."""
+    """One row per entity key of a batch: the newest one. A batch that was reduced to its
+    features before has no created time or tie-break columns; it is ordered by what it has."""
     created = CREATED_TS if CREATED_TS in batch.columns else None
-    newest = latest_per_key(
-        batch, table.keys, table.feature_names, EVENT_TS, created, tie_break=table.tie_break
-    )
+    ties = [t for t in table.tie_break if t in batch.columns]
+    newest = latest_per_key(batch, table.keys, table.feature_names, EVENT_TS, created, tie_break=ties)
     return newest.select(*table.keys, EVENT_TS, *table.feature_names)

@@ -8,24 +8,27 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tidemark.functions.times import micros_between
+from tidemark.functions.times import micros_between, time_literal
 from tidemark.model import EVENT_TS, FeatureTable
 from tidemark.operators.validate import VALID
 
 QUANTILES = (0.5, 0.95, 0.99)
 
 
-def counters(stored: Column) -> list[Column]:
+def counters(stored: Column | None = None) -> list[Column]:
+    """Rows read, stored and dead-lettered of checked rows. Invalid rows are dead letters;
+    `stored` says which rows are stored where that is not simply the valid ones."""
+    valid = F.col(VALID)
     return [
         F.count(F.lit(1)).alias("n_read"),
-        F.count_if(stored).alias("n_stored"),
-        F.count_if(~stored).alias("n_deadletter"),
+        F.count_if(valid if stored is None else stored).alias("n_stored"),
+        F.count_if(~valid).alias("n_deadletter"),
     ]
 
 
 def row_counters(checked: DataFrame, stored: Column | None = None) -> DataFrame:
     """One row: rows read, stored and dead-lettered."""
-    return checked.agg(*counters(F.col(VALID) if stored is None else stored))
+    return checked.agg(*counters(stored))
 
 
 def observe_counters(
@@ -33,7 +36,6 @@ def observe_counters(
 ) -> tuple[DataFrame, Observation]:
     """Count rows while they flow through whatever job runs next."""
     observation = Observation(name)
-    stored = F.col(VALID) if stored is None else stored
     watched = checked.observe(observation, *counters(stored), F.max(event_ts).alias("latest_event"))
     return watched, observation
 
@@ -59,7 +61,7 @@ def lag_summary(
 ) -> DataFrame:
     """Lag of event times behind `now`, in microseconds: count, min, max, mean, spread and
     approximate quantiles."""
-    now = now if isinstance(now, Column) else F.lit(now)
+    now = now if isinstance(now, Column) else time_literal(now, df.schema[event_ts].dataType)
     lag = df.select(*by, micros_between(F.col(event_ts), now).alias("lag"))
     q = F.percentile_approx("lag", list(QUANTILES)).alias("q")
     summary = lag.groupBy(*by).agg(

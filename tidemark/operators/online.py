@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from tidemark import files
 from tidemark.errors import CommitConflict, SchemaError
-from tidemark.functions.times import as_utc
+from tidemark.functions.times import time_literal
 from tidemark.model import EVENT_TS, FeatureTable, output_name
 from tidemark.operators.latest import compact
 from tidemark.operators.validate import check_fields, check_timestamp, entities_valid
@@ -276,10 +276,19 @@ class OnlineTable:
         )
         if len(state["deltas"]) == 1 and base is None:
             return recent.select(*names)
-        rows = recent.repartition(state["buckets"], *self.table.keys)
+        # Keys are aliased on both branches: Spark then sees that base and recent batches are
+        # partitioned alike and folds them without another shuffle.
+        keys = self.table.keys
+        inner = [f"__tm_k{i}" for i in range(len(keys))]
+
+        def aligned(df: DataFrame, seq: Column) -> DataFrame:
+            values = [c for c in names if c not in keys]
+            return df.select(*[F.col(k).alias(i) for k, i in zip(keys, inner)], *values, seq.alias(SEQ))
+
+        rows = aligned(recent.repartition(state["buckets"], *keys), F.col(SEQ))
         if base is not None:
-            rows = base.withColumn(SEQ, F.lit(0).cast("long")).unionByName(rows)
-        return fold_upserts(rows, self.table.keys, features).select(*names)
+            rows = aligned(base, F.lit(0).cast("long")).unionByName(rows)
+        return fold_upserts(rows, inner, features).withColumnsRenamed(dict(zip(inner, keys))).select(*names)
 
     def rows(self) -> DataFrame:
         """Current values with their expiry: keys, event time, features, expiry."""
@@ -316,7 +325,8 @@ class OnlineTable:
         if only is not None:
             rows = rows.filter(only)
         if as_of is not None:
-            alive = F.col(EXPIRY).isNull() | (F.col(EXPIRY) > F.lit(as_utc(as_of)))
+            now = time_literal(as_of, rows.schema[EXPIRY].dataType)
+            alive = F.col(EXPIRY).isNull() | (F.col(EXPIRY) > now)
             rows = rows.filter(alive)
         return rows.select(
             *self.table.keys,
@@ -334,8 +344,8 @@ class OnlineTable:
         """Current values for a caller's list of keys, in the order of the list.
 
         The list is the caller's own, so answer and driver memory have its size. Up to a
-        thousand keys are pushed into the scan as a value filter, which also prunes
-        buckets when the table has one key column.
+        thousand keys are pushed into the scan as a value filter; files are sorted by key,
+        so it skips most row groups.
         """
         features = list(features or self.table.feature_names)
         keys = self.table.keys

@@ -28,7 +28,8 @@ def project_input(
     mapping = source.field_mapping
     names = [*table.feature_names, *table.keys]
     extra = [m for m in mapping if m not in names and m not in (EVENT_TS, *keep)]
-    columns = [_mapped(mapping, n).alias(n) for n in [*names, *extra]]
+    ties = [t for t in table.tie_break if t not in [*names, *extra, EVENT_TS, *keep]]
+    columns = [_mapped(mapping, n).alias(n) for n in [*names, *extra, *ties]]
     columns.append(_mapped(mapping, source.event_timestamp).alias(EVENT_TS))
     columns += [F.col(f"`{k}`") for k in keep if k in df.columns]
     return df.select(*columns)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.functions.times import time_literal
 
 
 def spine_bounds(spine: DataFrame, ts: str) -> DataFrame:
@@ -13,22 +17,31 @@ def spine_bounds(spine: DataFrame, ts: str) -> DataFrame:
     return spine.agg(F.min(ts).alias("min_ts"), F.max(ts).alias("max_ts"))
 
 
-def within_spine(
-    features: DataFrame,
-    feature_ts: str,
-    spine: DataFrame,
-    spine_ts: str,
-    max_age: timedelta | None,
-) -> DataFrame:
-    """Keep feature rows that some spine time could use.
-
-    The bounds are scalar subqueries, so this stays one lazy query; Spark evaluates them
-    first and pushes the values into the feature scan (row groups and date partitions).
-    """
-    ts = F.col(feature_ts)
-    last = spine.select(F.max(spine_ts)).scalar()
-    kept = features.filter(ts <= last)
-    if max_age is not None:
-        first = spine.select(F.min(spine_ts) - F.lit(max_age)).scalar()
-        kept = kept.filter(ts >= first)
-    return kept
+@dataclass(frozen=True)
+class SpineBounds:
+    """First and last spine time as literals; None for a spine without times."""
+
+    first: Column | None
+    last: Column | None
+
+    def keep_usable(self, features: DataFrame, ts: str, max_age: timedelta | None) -> DataFrame:
+        """Feature rows that some spine time could use. The bounds are plain literals, so
+        they reach the feature scan: row groups and partitions outside are skipped."""
+        if self.last is None:
+            return features.filter(F.lit(False))
+        kept = features.filter(F.col(ts) <= self.last)
+        return kept if max_age is None else kept.filter(F.col(ts) >= self.first - F.lit(max_age))
+
+
+def measure_spine(spine: DataFrame, ts: str) -> SpineBounds:
+    """One small job over the spine's time column; its result serves all feature tables."""
+    if isinstance(spine.schema[ts].dataType, T.TimestampType):
+        micros = spine_bounds(spine, ts).select(*[F.unix_micros(c) for c in ("min_ts", "max_ts")])
+        first, last = micros.first()
+        as_literal = lambda n: F.timestamp_micros(F.lit(n))
+    else:
+        first, last = spine_bounds(spine, ts).first()
+        as_literal = lambda t: time_literal(t, T.TimestampNTZType())
+    if last is None:
+        return SpineBounds(None, None)
+    return SpineBounds(as_literal(first), as_literal(last))

@@ -50,7 +50,8 @@ class HotKeys:
     key_schema: T.StructType
     rows: tuple[tuple, ...]  # (key values...)
     counts: tuple[int, ...] = ()
-    bounds: tuple[tuple, ...] = ()  # ascending, may repeat a time that holds many rows
+    # Ascending; may repeat a time that holds many rows. Instants are kept as microseconds.
+    bounds: tuple[tuple, ...] = ()
     ts_type: T.DataType | None = None
 
     def __len__(self) -> int:
@@ -62,16 +63,21 @@ class HotKeys:
         for key, bounds in zip(self.rows, self.bounds):
             step = max(1, isqrt(len(bounds)))
             chunks = [list(bounds[i : i + step]) for i in range(0, len(bounds), step)]
-            data.append((*key, (chunks, [c[0] for c in chunks], step)))
-        bound_type = T.StructType(
+            data.append((*key, chunks, step))
+        held = T.LongType() if isinstance(self.ts_type, T.TimestampType) else self.ts_type
+        schema = T.StructType(
             [
-                T.StructField("chunks", T.ArrayType(T.ArrayType(self.ts_type))),
-                T.StructField("firsts", T.ArrayType(self.ts_type)),
+                *self.key_schema.fields,
+                T.StructField("chunks", T.ArrayType(T.ArrayType(held))),
                 T.StructField("step", T.IntegerType()),
             ]
         )
-        schema = T.StructType([*self.key_schema.fields, T.StructField(_BOUNDS, bound_type)])
-        return spark.createDataFrame(data, schema)
+        chunks = F.col("chunks")
+        if held != self.ts_type:
+            chunks = F.transform(chunks, lambda c: F.transform(c, F.timestamp_micros))
+        firsts = F.transform(chunks, lambda c: c[0])
+        found = F.struct(chunks.alias("chunks"), firsts.alias("firsts"), "step").alias(_BOUNDS)
+        return spark.createDataFrame(data, schema).select(*self.keys, found)
 
     def slice_grid(self, spark: SparkSession) -> DataFrame:
         """Every (key, slice) of every hot key."""
@@ -160,15 +166,18 @@ def find_hot_keys(
         .groupBy(*keys, "__tm_s")
         .agg(F.percentile_approx(ts, marks, 10_000).alias("__tm_q"))
         .select(*keys, F.sort_array(picked).alias("__tm_b"))
-        .collect()
     )
+    ts_type = rows.schema[ts].dataType
+    if isinstance(ts_type, T.TimestampType):
+        quantiles = quantiles.withColumn("__tm_b", F.transform("__tm_b", F.unix_micros))
+    quantiles = quantiles.collect()
     return HotKeys(
         tuple(keys),
         key_schema,
         tuple(tuple(r[:-1]) for r in quantiles),
         (),
         tuple(tuple(r["__tm_b"]) for r in quantiles),
-        rows.schema[ts].dataType,
+        ts_type,
     )
 
 

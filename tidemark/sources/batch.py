@@ -58,9 +58,7 @@ def bounded(
             df = df.filter(day >= F.lit(_day(start)))
         if end is not None:
             df = df.filter(day <= F.lit(_day(end)))
-    if start is None and end is None:
-        return df
-    return df.filter(time_range(source.event_timestamp, start, end))
+    return time_range(df, source.event_timestamp, start, end)
 
 
 def _day(value: datetime | date) -> date:

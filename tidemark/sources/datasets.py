@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime, timedelta
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,8 +43,8 @@ def read_logs(
     if start is not None:
         df = df.filter(F.col("log_date") >= F.lit(start.date()))
     if end is not None:
-        df = df.filter(F.col("log_date") <= F.lit((end + timedelta(0)).date()))
-    return df.filter(time_range(log_ts, start, end)).select(*dict.fromkeys([*columns, log_ts]))
+        df = df.filter(F.col("log_date") <= F.lit(end.date()))
+    return time_range(df, log_ts, start, end).select(*dict.fromkeys([*columns, log_ts]))
 
 
 def read_dead_letters(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:

@@ -85,7 +85,7 @@ def ingest_stream(
                 bad.write.mode("overwrite").parquet(f"{dead_letters}/batch_id={batch_id}")
             if metrics is not None:
                 latest = F.max(message_time) if message_time else F.lit(None)
-                row = batch.agg(*counters(F.col(VALID)), latest.alias("latest_message")).first()
+                row = batch.agg(*counters(stored), latest.alias("latest_message")).first()
                 metrics.add(batch_id, row.asDict())
         finally:
             batch.unpersist()

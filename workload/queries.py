@@ -34,7 +34,7 @@ from tidemark import (
     push,
 )
 from tidemark.functions.codecs import decode_json
-from tidemark.functions.times import event_date, normalise_time, whole_seconds_between
+from tidemark.functions.times import event_date, normalise_time, time_literal, whole_seconds_between
 from tidemark.model import EVENT_TS
 from tidemark.operators.ingest import checked_rows, latest_rows
 from tidemark.operators.layouts import column_layout, kv_layout, new_refs, wide_layout
@@ -79,21 +79,24 @@ SIX_HOURS = timedelta(hours=6)
 SUITE = Suite((expect_between("value", 0, 50), expect_in_set("event_type", ("click", "view", "purchase"))))
 
 
-def query(function: Query) -> Query:
-    QUERIES[f"q_{function.__name__}"] = function
-    return function
+def query(name: str) -> Callable[[Query], Query]:
+    def register(function: Query) -> Query:
+        QUERIES[name] = function
+        return function
+
+    return register
 
 
 # --------------------------------------------------------------------- scans, projections
 
 
-@query
+@query("q_scan_range")
 def scan_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_batch(spark, event_source(sf_dir), datetime(2024, 1, 8), datetime(2024, 1, 15))
     return rows.select("event_id", "user_id", F.col("ts").alias("event_timestamp"), "value")
 
 
-@query
+@query("q_date_partition")
 def date_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "batch-store")
     append_to_batch_store(table(spark, sf_dir, "events"), path, "ts")
@@ -102,7 +105,7 @@ def date_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy(F.col("date").alias("d")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query
+@query("q_mapping_expr")
 def mapping_expr(spark: SparkSession, sf_dir: str) -> DataFrame:
     feature_table = FeatureTable(
         "mapped",
@@ -114,14 +117,14 @@ def mapping_expr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return project_input(table(spark, sf_dir, "events"), feature_table, source)
 
 
-@query
+@query("q_nested_extract")
 def nested_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = T.StructType([T.StructField("k", T.LongType())])
     decoded = decode_json(table(spark, sf_dir, "events"), "props", schema, "features")
     return flatten(decoded, "features", keep=["event_id"])
 
 
-@query
+@query("q_float_cast")
 def float_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     feature_table = FeatureTable("parts", (Field("p_partkey", "INT64"),), (Field("p_retailprice", "FLOAT"),))
     source = Source(event_timestamp="made")
@@ -129,7 +132,7 @@ def float_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select_features(parts, feature_table, source)
 
 
-@query
+@query("q_time_normalise")
 def time_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     ts = F.col("ts")
@@ -148,7 +151,7 @@ def time_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select("event_id", normalise_time(mixed).alias("event_timestamp"))
 
 
-@query
+@query("q_csv_load")
 def csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer")
     path = scratch_path(spark, "csv")
@@ -159,7 +162,7 @@ def csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------------ latest and pulls
 
 
-@query
+@query("q_latest_per_key")
 def latest_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_per_key(
         order_rows(spark, sf_dir),
@@ -173,16 +176,13 @@ def latest_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("created_timestamp")
 
 
-QUERIES["q_latest_per_key"] = QUERIES.pop("q_latest_order")
-
-
-@query
+@query("q_global_latest")
 def global_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     return latest_per_key(events, [], ["event_id", "value"], "ts", tie_break=["event_id"])
 
 
-@query
+@query("q_pull_all")
 def pull_all_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "orders").withColumnRenamed("o_orderdate", EVENT_TS)
     return pull_all(
@@ -190,9 +190,6 @@ def pull_all_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES["q_pull_all"] = QUERIES.pop("q_pull_all_range")
-
-
 # ------------------------------------------------------------------------- point in time
 
 
@@ -200,17 +197,17 @@ def _pit(spark: SparkSession, sf_dir: str, *inputs: FeatureInput, **options) ->
     return multi_as_of(purchases(spark, sf_dir), "ts", inputs, **options)
 
 
-@query
+@query("q_pit_unlimited")
 def pit_unlimited(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pit(spark, sf_dir, views(spark, sf_dir))
 
 
-@query
+@query("q_pit_max_age")
 def pit_max_age(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pit(spark, sf_dir, views(spark, sf_dir, SIX_HOURS))
 
 
-@query
+@query("q_pit_created_ties")
 def pit_created_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     spine = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("o_custkey"),
@@ -220,7 +217,7 @@ def pit_created_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_of_join(spine, "at", item.df, item.table).drop("at")
 
 
-@query
+@query("q_pit_composite_key")
 def pit_composite_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     shipped = FeatureTable(
@@ -235,14 +232,14 @@ def pit_composite_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_of_join(spine, "at", features, shipped).drop("at")
 
 
-@query
+@query("q_pit_duplicate_spine")
 def pit_duplicate_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
     twice = purchases(spark, sf_dir).unionAll(purchases(spark, sf_dir))
     item = views(spark, sf_dir)
     return as_of_join(twice, "ts", item.df, item.table).drop("user_id")
 
 
-@query
+@query("q_pit_multi")
 def pit_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pit(
         spark,
@@ -253,7 +250,7 @@ def pit_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("orders__o_orderpriority")
 
 
-@query
+@query("q_pit_two_keys")
 def pit_two_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tables with different keys: one pass per key set."""
     lines = table(spark, sf_dir, "lineitem").select(
@@ -278,7 +275,7 @@ def pit_two_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
+@query("q_pit_hot_keys")
 def pit_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three keys hold everything: the hot-key slices do the work."""
     spine = table(spark, sf_dir, "lineitem").select(
@@ -300,7 +297,7 @@ def pit_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_of_join(spine, "l_shipdate", features, by_status, skew=skew)
 
 
-@query
+@query("q_pit_bare_names")
 def pit_bare_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Retrieval through the engine: SQL spine, references, bare names."""
     table(spark, sf_dir, "events").createOrReplaceTempView("tidemark_events")
@@ -318,7 +315,7 @@ def pit_bare_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
+@query("q_min_distance")
 def min_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     seen = typed_events(spark, sf_dir, "view").withColumn("seen", F.col(EVENT_TS))
     feature_table = FeatureTable("views", (USER,), (Field("seen", "INT64"),))
@@ -327,7 +324,7 @@ def min_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matched.select("event_id", age.alias("min_distance")).filter(F.col("min_distance").isNotNull())
 
 
-@query
+@query("q_on_demand")
 def on_demand_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     spine = table(spark, sf_dir, "events").filter("event_type = 'purchase'").drop("props")
     item = views(spark, sf_dir)
@@ -335,32 +332,23 @@ def on_demand_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return on_demand(matched, {"ratio": "value / nullif(views__value, 0)"}, ["event_id", "ratio"])
 
 
-QUERIES["q_on_demand"] = QUERIES.pop("q_on_demand_ratio")
-
-
-@query
+@query("q_training_rows")
 def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_incomplete(_pit(spark, sf_dir, views(spark, sf_dir, SIX_HOURS)), ["views__value"])
 
 
-@query
+@query("q_semi_reduce")
 def semi_reduce_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     buyers = purchases(spark, sf_dir).withColumnRenamed("user_id", "o_custkey")
     return semi_reduce(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), buyers, ["o_custkey"])
 
 
-QUERIES["q_semi_reduce"] = QUERIES.pop("q_semi_reduce_orders")
-
-
-@query
+@query("q_spine_bounds")
 def spine_time_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spine_bounds(purchases(spark, sf_dir), "ts")
 
 
-QUERIES["q_spine_bounds"] = QUERIES.pop("q_spine_time_bounds")
-
-
-@query
+@query("q_range_join_candidates")
 def range_join_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return candidate_counts(
         purchases(spark, sf_dir), "ts", typed_events(spark, sf_dir, "view"), EVENT_TS, ["user_id"], SIX_HOURS
@@ -374,7 +362,7 @@ def _online(spark: SparkSession, feature_table: FeatureTable, **options) -> Onli
     return OnlineTable(spark, scratch_path(spark, "online"), feature_table, **{"buckets": 8, **options})
 
 
-@query
+@query("q_compact_batch")
 def compact_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     feature_table, events = activity(spark, sf_dir)
     keep = FeatureTable("activity", (USER,), (Field("event_id", "INT64"), VALUE), tie_break=("event_id",))
@@ -395,7 +383,7 @@ def _two_features(spark: SparkSession, sf_dir: str) -> tuple[FeatureTable, DataF
     )
 
 
-@query
+@query("q_online_upsert")
 def online_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Second batch: newer for some users, stale for others."""
     feature_table, events = _two_features(spark, sf_dir)
@@ -403,20 +391,20 @@ def online_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fold_batches([events.filter(first), events.filter(~first)], feature_table)
 
 
-@query
+@query("q_online_compacted")
 def online_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three stored batches with a fold into the bucketed base in between."""
     feature_table, events = _two_features(spark, sf_dir)
     online = _online(spark, feature_table, compact_after=2)
     ts = F.col(EVENT_TS)
-    early, late = F.lit(datetime(2024, 1, 10)), F.lit(datetime(2024, 1, 20))
+    early, late = (time_literal(datetime(2024, 1, d), T.TimestampNTZType()) for d in (10, 20))
     for batch_id, part in enumerate([ts < early, (ts >= early) & (ts < late), ts >= late]):
         online.upsert(events.filter(part), batch_id=batch_id)
     online.upsert(events, batch_id=2)  # a retry: recognised and skipped
     return online.rows().drop("expiry_timestamp")
 
 
-@query
+@query("q_online_lookup")
 def online_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     feature_table, events = activity(spark, sf_dir)
     online = _online(spark, feature_table)
@@ -425,7 +413,7 @@ def online_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return online.lookup(spine, ["value"])
 
 
-@query
+@query("q_online_lookup_hot")
 def online_lookup_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A spine with few, very frequent keys: hot keys are salted."""
     nations = FeatureTable("nation", (Field("c_nationkey", "INT32"),), (Field("n_name", "STRING"),))
@@ -440,7 +428,7 @@ def online_lookup_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return online.lookup(spine, skew=SkewOptions(hot_rows=40, sample_fraction=1.0))
 
 
-@query
+@query("q_online_expired")
 def online_expired(spark: SparkSession, sf_dir: str) -> DataFrame:
     feature_table, events = activity(spark, sf_dir)
     online = _online(spark, feature_table)
@@ -450,7 +438,7 @@ def online_expired(spark: SparkSession, sf_dir: str) -> DataFrame:
     return online.lookup(spine, ["value"], as_of=datetime(2024, 1, 31), full_feature_names=False)
 
 
-@query
+@query("q_ttl_change")
 def ttl_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     feature_table, events = activity(spark, sf_dir)
     online = _online(spark, FeatureTable("activity", (USER,), (VALUE,), 600, tie_break=("event_id",)))
@@ -459,7 +447,7 @@ def ttl_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     return online.rows()
 
 
-@query
+@query("q_key_expiry")
 def key_expiry_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = []
     for event_type, days in (("view", 30), ("click", 60)):
@@ -468,10 +456,7 @@ def key_expiry_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     return key_expiry(parts, ["user_id"])
 
 
-QUERIES["q_key_expiry"] = QUERIES.pop("q_key_expiry_max")
-
-
-@query
+@query("q_materialize")
 def materialize(spark: SparkSession, sf_dir: str) -> DataFrame:
     item = orders(spark, sf_dir, timedelta(days=365))
     source = Source(created_timestamp="created_timestamp")
@@ -481,7 +466,7 @@ def materialize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return online.rows().drop("o_orderpriority")
 
 
-@query
+@query("q_push_online")
 def push_online(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = Source(event_timestamp="ts", field_mapping={"spend": "value * 2"})
     spend = FeatureTable("spend", (USER,), (Field("spend", "DOUBLE"),), source=source)
@@ -490,7 +475,7 @@ def push_online(spark: SparkSession, sf_dir: str) -> DataFrame:
     return online.rows().drop("expiry_timestamp")
 
 
-@query
+@query("q_embedding_pit")
 def embedding_pit(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = FeatureTable(
         "vec", (Field("vec_id", "INT64"),), (Field("embedding", "FLOAT_LIST"), Field("label", "INT32"))
@@ -510,23 +495,20 @@ def embedding_pit(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -------------------------------------------------------------------------------- layouts
 
 
-@query
+@query("q_kv_layout")
 def kv_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     feature_table, events = activity(spark, sf_dir)
     entries = kv_layout(compact(events, feature_table), feature_table, value_type="double", with_times=False)
     return entries.select("entity_key", F.col("field").alias("feature"), F.col("value").alias("feature_value"))
 
 
-QUERIES["q_kv_layout"] = QUERIES.pop("q_kv_entries")
-
-
-@query
+@query("q_kv_times")
 def kv_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The `_ts` and `_ex` entries of the key-value layout."""
     _, events = activity(spark, sf_dir)
     aged = FeatureTable("activity", (USER,), (VALUE,), timedelta(days=30), tie_break=("event_id",))
-    entries = kv_layout(compact(events, aged), aged, value_type="timestamp_ntz", with_times=True)
-    return entries.filter(F.col("field").startswith("_")).select("entity_key", "field", "value")
+    entries = kv_layout(compact(events, aged), aged).filter(F.col("field").startswith("_"))
+    return entries.select("entity_key", "field", F.col("value").cast("timestamp_ntz").alias("value"))
 
 
 def _shipped(spark: SparkSession, sf_dir: str) -> tuple[FeatureTable, DataFrame]:
@@ -541,7 +523,7 @@ def _shipped(spark: SparkSession, sf_dir: str) -> tuple[FeatureTable, DataFrame]
     return shipped, compact(lines, shipped)
 
 
-@query
+@query("q_wide_layout_key")
 def wide_layout_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     shipped, newest = _shipped(spark, sf_dir)
     wide = wide_layout(newest, shipped)
@@ -549,13 +531,13 @@ def wide_layout_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wide.select(F.col("key").alias("row_key"), "ts", quantity.alias("quantity"))
 
 
-@query
+@query("q_column_layout_rows")
 def column_layout_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     shipped, newest = _shipped(spark, sf_dir)
     return column_layout(newest, shipped).select("key", "write_time", F.col("ttl").cast("long").alias("ttl"))
 
 
-@query
+@query("q_schema_registry")
 def schema_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = table(spark, sf_dir, "events").select(F.col("event_type").alias("schema_ref"))
     return new_refs(kinds, kinds.filter(F.col("schema_ref").isin("click", "view")))
@@ -572,13 +554,13 @@ def _checked(spark: SparkSession, sf_dir: str, suite: Suite | None = None) -> Da
     return checked_rows(anonymous_events(spark, sf_dir), EVENT_CHECKS, Source(event_timestamp="ts"), suite)
 
 
-@query
+@query("q_row_validity")
 def row_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
     checked = _checked(spark, sf_dir)
     return checked.groupBy(F.col(VALID).alias("is_valid")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query
+@query("q_deadletter")
 def deadletter(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "dead-letters")
     write_dead_letters(split_valid(_checked(spark, sf_dir))[1], path, "run-1")
@@ -586,19 +568,19 @@ def deadletter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejected.select("event_id", F.explode("_failed_checks").alias("reason"))
 
 
-@query
+@query("q_expectations")
 def expectations(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").withColumnRenamed("ts", EVENT_TS)
     checked = with_validity(events, EVENT_CHECKS, SUITE)
     return checked.select("event_id", F.col(VALID).alias("is_valid"))
 
 
-@query
+@query("q_check_counts")
 def check_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check_report(table(spark, sf_dir, "events"), SUITE)
 
 
-@query
+@query("q_observed_checks")
 def observed_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     suite = Suite(
         (
@@ -612,7 +594,7 @@ def observed_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return observed_report(table(spark, sf_dir, "events"), suite)
 
 
-@query
+@query("q_suite_function")
 def suite_function(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Validity by a user's pandas function, Arrow batches."""
 
@@ -627,7 +609,7 @@ def suite_function(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------- ingestion, streams
 
 
-@query
+@query("q_ingest_online")
 def ingest_online(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Validated batch load: what reaches the online table."""
     online = _online(spark, EVENT_CHECKS)
@@ -644,7 +626,7 @@ def ingest_online(spark: SparkSession, sf_dir: str) -> DataFrame:
     return online.rows().drop("expiry_timestamp")
 
 
-@query
+@query("q_ingest_flagged")
 def ingest_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counters and dead letters when rows failing the suite are kept as well."""
     online = _online(spark, EVENT_CHECKS)
@@ -661,7 +643,8 @@ def ingest_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
         run_id="flagged",
     )
     rejected = read_dead_letters(spark, path, report.run_id)
-    return rejected.groupBy(F.explode("_failed_checks").alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+    reasons = rejected.select(F.explode("_failed_checks").alias("reason"))
+    return reasons.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -670,7 +653,7 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_files(spark, path, table(spark, sf_dir, "events").schema)
 
 
-@query
+@query("q_stream_state")
 def stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     latest = FeatureTable("latest", (USER,), (VALUE, Field("event_id", "INT64")))
     online = _online(spark, latest)
@@ -686,7 +669,7 @@ def stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return online.rows().select("user_id", EVENT_TS, "value")
 
 
-@query
+@query("q_stream_deadletter")
 def stream_deadletter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON messages, some of them no JSON at all."""
     counts = FeatureTable("counts", (USER,), (Field("k", "INT64"),), source=Source(event_timestamp="ts"))
@@ -711,25 +694,18 @@ def stream_deadletter(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ----------------------------------------------------------------- metrics, sinks, datasets
 
 
-@query
+@query("q_lag_summary")
 def lag_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    now = F.lit(datetime(2024, 2, 1)).cast("timestamp_ntz")
-    summary = lag_summary(table(spark, sf_dir, "events"), now, ["event_type"], "ts")
+    summary = lag_summary(table(spark, sf_dir, "events"), datetime(2024, 2, 1), ["event_type"], "ts")
     return summary.select("event_type", "n", "min_lag_us", "max_lag_us")
 
 
-QUERIES["q_lag_summary"] = QUERIES.pop("q_lag_by_type")
-
-
-@query
+@query("q_row_counters")
 def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row_counters(_checked(spark, sf_dir))
 
 
-QUERIES["q_row_counters"] = QUERIES.pop("q_row_counts")
-
-
-@query
+@query("q_saved_dataset")
 def saved_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "dataset")
     save_dataset(_pit(spark, sf_dir, views(spark, sf_dir), clicks(spark, sf_dir)), path)
@@ -744,7 +720,7 @@ def saved_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
+@query("q_feature_logs")
 def feature_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "logs")
     served = table(spark, sf_dir, "events").withColumnRenamed("ts", "log_timestamp")
@@ -754,14 +730,14 @@ def feature_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
+@query("q_record_file")
 def record_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "records")
     write_result(times_as_seconds(table(spark, sf_dir, "orders"), "o_orderdate"), path)
     return spark.read.parquet(path).select("o_orderkey", "o_orderdate", "o_totalprice")
 
 
-@query
+@query("q_daily_counts")
 def daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     return events.groupBy(event_date("ts").alias("d"), "event_type").agg(F.count(F.lit(1)).alias("n"))

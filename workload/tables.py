@@ -43,12 +43,12 @@ def clicks(spark: SparkSession, sf_dir: str) -> FeatureInput:
 
 
 ORDER_FEATURES = (Field("o_totalprice", "DOUBLE"), Field("o_orderpriority", "STRING"))
-# Orders have no creation time; a few days after the order date stand in for it.
-ORDER_CREATED = F.col("o_orderdate") + F.make_dt_interval(F.col("o_orderkey") % 5)
 
 
 def order_rows(spark: SparkSession, sf_dir: str, key: str = "o_custkey") -> DataFrame:
-    orders = table(spark, sf_dir, "orders").withColumn("created_timestamp", ORDER_CREATED)
+    """Orders with a creation time, which the table lacks: some days after the order date."""
+    created = F.col("o_orderdate") + F.make_dt_interval(F.col("o_orderkey") % 5)
+    orders = table(spark, sf_dir, "orders").withColumn("created_timestamp", created)
     orders = orders.withColumnRenamed("o_orderdate", "event_timestamp")
     return orders if key == "o_custkey" else orders.withColumnRenamed("o_custkey", key)
 
