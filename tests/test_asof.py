@@ -309,15 +309,11 @@ def test_one_hot_key_is_spread_over_many_groups(spark):
     plain = as_of_join(spine, "event_timestamp", feats, t, skew=None)
     assert rows_of(got) == rows_of(plain)
 
-    from tidemark.plans.skew import attach_bounds, find_hot_keys, row_hash_columns, slice_of
+    from tidemark.plans.skew import SLICE, assign_slices, find_hot_keys, row_hash_columns
 
     hot = find_hot_keys(spine.select("k", "event_timestamp"), ["k"], "event_timestamp", skew)
-    sizes = (
-        attach_bounds(spine, hot)
-        .groupBy(slice_of("event_timestamp", True, row_hash_columns(spine)).alias("s"))
-        .count()
-        .collect()
-    )
+    sliced = assign_slices(spine, hot, "event_timestamp", "spine", row_hash_columns(spine))
+    sizes = sliced.groupBy(SLICE).count().collect()
     assert len(sizes) >= 15
     assert max(r["count"] for r in sizes) <= 800
 

@@ -25,15 +25,13 @@ from tidemark.operators.validate import check_spine
 from tidemark.plans.bounds import SpineBounds, measure_spine
 from tidemark.plans.lineage import cut_lineage
 from tidemark.plans.skew import (
+    HOT,
     SLICE,
     HotKeys,
     SkewOptions,
-    attach_bounds,
-    drop_bounds,
+    assign_slices,
     find_hot_keys,
-    is_hot,
     row_hash_columns,
-    slice_of,
 )
 
 _TS = "__tm_ts"
@@ -199,11 +197,10 @@ def _one_pass(
     null_group = F.pmod(F.xxhash64(*spread), F.lit(_NULL_KEY_GROUPS).cast("long")).cast("int")
 
     spine_rows = spine.withColumn(_TS, F.col(spine_ts))
+    spine_slice = F.lit(0)
     if hot:
-        spine_rows = attach_bounds(spine_rows, hot)
-        spine_slice = slice_of(_TS, True, spread)
-    else:
-        spine_slice = F.lit(0)
+        spine_rows = assign_slices(spine_rows, hot, _TS, "spine", spread)
+        spine_slice = F.col(SLICE)
     spine_slice = F.when(key_missing | F.col(_TS).isNull(), -1 - null_group).otherwise(spine_slice)
     parts = [aligned(spine_rows, None, spine_slice, rest_col, 1)]
 
@@ -211,10 +208,9 @@ def _one_pass(
         if not hot:
             parts.append(aligned(features, slot, F.lit(0), no_rest, 0))
             continue
-        bounded = attach_bounds(features, hot)
-        sliced = bounded.withColumn(SLICE, slice_of(_TS, False, [F.col(slot)]))
+        sliced = assign_slices(features, hot, _TS, "feature", [F.col(slot)])
         parts.append(aligned(sliced, slot, F.col(SLICE), no_rest, 0))
-        carried = _carry_in(drop_bounds(sliced.filter(is_hot())), slot, hot)
+        carried = _carry_in(sliced.filter(F.col(HOT)), slot, hot)
         carried = carried.withColumn(_TS, F.lit(None).cast(spine.schema[spine_ts].dataType))
         parts.append(aligned(carried, slot, F.col(SLICE), no_rest, 0))
 

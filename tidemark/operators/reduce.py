@@ -10,12 +10,11 @@ from pyspark.sql import functions as F
 
 from tidemark.plans.bounds import spine_bounds
 from tidemark.plans.skew import (
+    HOT,
     SLICE,
     SkewOptions,
-    attach_bounds,
-    drop_bounds,
+    assign_slices,
     find_hot_keys,
-    time_slice,
 )
 
 __all__ = ["candidate_counts", "distinct_keys", "semi_reduce", "spine_bounds"]
@@ -73,10 +72,11 @@ def candidate_counts(
     steps = (
         rows.groupBy(*keys, "t", "side")
         .agg(F.sum("f").alias("f"), F.sum("w").alias("w"))
-        .withColumn(SLICE, F.lit(0))
     )
-    if hot:
-        steps = drop_bounds(attach_bounds(steps, hot).withColumn(SLICE, time_slice("t")))
+    if not hot:
+        steps = steps.withColumn(SLICE, F.lit(0))
+    else:
+        steps = assign_slices(steps, hot, "t", "time").drop(HOT)
         earlier = (
             Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
         )

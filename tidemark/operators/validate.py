@@ -202,7 +202,7 @@ class Suite:
     def from_dicts(items: Iterable[Mapping]) -> Suite:
         """From `[{"expectation_type": ..., "kwargs": {...}}, ...]`."""
         return Suite(
-            tuple(expect(i["expectation_type"], None, **i.get("kwargs", {})) for i in items)
+            tuple(expect(i["expectation_type"], **i.get("kwargs", {})) for i in items)
         )
 
     def for_table(self, table: FeatureTable) -> Suite:

@@ -4,7 +4,7 @@ A window or join puts all rows of one key into one task. `find_hot_keys` looks f
 that are too big for that on a sample of the key columns; the sample only steers where
 rows go, never which rows count. Two ways to split a hot key are offered:
 
-* time slices (`slice_of`), for operators that need a key's rows in time order, and
+* time slices (`assign_slices`), for operators that need a key's rows in time order, and
 * salts (`salted_left_join`), for joins against a side with one row per key.
 
 Everything found is returned as plain Python values, so a later re-run of a lost task
@@ -13,9 +13,10 @@ places its rows exactly as the first run did.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Sequence
 from dataclasses import dataclass
-from math import ceil, isqrt
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +31,9 @@ MAX_SLICES_PER_KEY = 4_096
 MAX_SLICES = 65_536
 
 SLICE = "__tm_slice"
+HOT = "__tm_hot"
 _BOUNDS = "__tm_bounds"
+_PLACE = "__tm_place"
 
 
 @dataclass(frozen=True)
@@ -58,25 +61,25 @@ class HotKeys:
         return len(self.rows)
 
     def with_bounds(self, spark: SparkSession) -> DataFrame:
-        """One row per hot key: keys and bounds as an array of chunks (two-level search)."""
+        """One row per hot key: its distinct bound times, and how many bounds (repeats
+        included) lie before each of them."""
         data = []
         for key, bounds in zip(self.rows, self.bounds):
-            step = max(1, isqrt(len(bounds)))
-            chunks = [list(bounds[i : i + step]) for i in range(0, len(bounds), step)]
-            data.append((*key, chunks, step))
+            times = sorted(set(bounds))
+            before = [bisect_left(bounds, t) for t in times] + [len(bounds)]
+            data.append((*key, times, before))
         held = T.LongType() if isinstance(self.ts_type, T.TimestampType) else self.ts_type
         schema = T.StructType(
             [
                 *self.key_schema.fields,
-                T.StructField("chunks", T.ArrayType(T.ArrayType(held))),
-                T.StructField("step", T.IntegerType()),
+                T.StructField("times", T.ArrayType(held)),
+                T.StructField("before", T.ArrayType(T.IntegerType())),
             ]
         )
-        chunks = F.col("chunks")
+        times = F.col("times")
         if held != self.ts_type:
-            chunks = F.transform(chunks, lambda c: F.transform(c, F.timestamp_micros))
-        firsts = F.transform(chunks, lambda c: c[0])
-        found = F.struct(chunks.alias("chunks"), firsts.alias("firsts"), "step").alias(_BOUNDS)
+            times = F.transform(times, F.timestamp_micros)
+        found = F.struct(times.alias("times"), "before").alias(_BOUNDS)
         return spark.createDataFrame(data, schema).select(*self.keys, found)
 
     def slice_grid(self, spark: SparkSession) -> DataFrame:
@@ -181,50 +184,47 @@ def find_hot_keys(
     )
 
 
-def _count_bounds(bounds: Column, at: Column, inclusive: bool) -> Column:
-    """How many bounds lie before `at`: search the chunk starts, then one chunk."""
-    before = (lambda b: b <= at) if inclusive else (lambda b: b < at)
-    chunk = F.size(F.filter(bounds["firsts"], before))
-    inside = F.size(F.filter(F.element_at(bounds["chunks"], chunk), before))
-    return F.when(chunk == 0, F.lit(0)).otherwise((chunk - 1) * bounds["step"] + inside)
-
-
-def attach_bounds(df: DataFrame, hot: HotKeys) -> DataFrame:
-    """Left join of the (bounded, a few MB) hot-key bounds; other keys get null."""
-    return df.join(F.broadcast(hot.with_bounds(df.sparkSession)), list(hot.keys), "left")
-
-
-def slice_of(ts: str, is_spine: bool, spread: Sequence[Column]) -> Column:
-    """Slice number of a row; 0 for keys that are not hot.
+def assign_slices(
+    df: DataFrame, hot: HotKeys, ts: str, role: str, spread: Sequence[Column] = ()
+) -> DataFrame:
+    """Add the slice number of each row, 0 for keys that are not hot, and the flag `HOT`.
 
     Slices follow time: a feature at or before a spine row never lands in a later slice
     than that spine row, and a feature after it never in an earlier one. Where one time
-    holds so many rows that it fills several slices, features use the lower ones and spine
-    rows the upper ones, spread by a hash of the row.
-    """
-    bounds, at = F.col(_BOUNDS), F.col(ts)
-    low = _count_bounds(bounds, at, inclusive=False)
-    high = _count_bounds(bounds, at, inclusive=True)
-    middle = low + F.floor((high - low) / 2).cast("int")
-    start, width = (middle, high - middle) if is_spine else (low, middle - low)
-    offset = F.pmod(F.xxhash64(*spread), (width + 1).cast("long")).cast("int")
-    return F.when(bounds.isNull(), F.lit(0)).otherwise(start + offset)
+    holds so many rows that it fills several slices, rows of `role` "feature" use the lower
+    ones and those of "spine" the upper ones, spread by a hash of the row. Rows of role
+    "time" stay together when their times are equal.
 
-
-def time_slice(ts: str) -> Column:
-    """Slice number by time alone: rows of one key and time stay together."""
-    bounds = F.col(_BOUNDS)
-    return F.when(bounds.isNull(), F.lit(0)).otherwise(
-        _count_bounds(bounds, F.col(ts), inclusive=False)
+    The bounds are broadcast; they are a few MB at most (see the limits above).
+    """
+    at, bounds = F.col(ts), F.col(_BOUNDS)
+    times = bounds["times"]
+    df = df.join(F.broadcast(hot.with_bounds(df.sparkSession)), list(hot.keys), "left")
+    # Binary search for the number of times before `at`. Each halving is a column of its
+    # own, so Spark compiles the search to a few comparisons per row.
+    df = df.withColumn(_PLACE, F.lit(0))
+    place = F.col(_PLACE)
+    for bit in reversed(range(max(len(b) for b in hot.bounds).bit_length())):
+        smaller = F.get(times, place + ((1 << bit) - 1)) < at
+        df = df.withColumn(_PLACE, F.when(smaller, place + (1 << bit)).otherwise(place))
+    df = df.withColumns(
+        {
+            "__tm_low": F.get(bounds["before"], place),
+            "__tm_high": F.get(
+                bounds["before"], F.when(F.get(times, place) == at, place + 1).otherwise(place)
+            ),
+        }
     )
-
-
-def drop_bounds(df: DataFrame) -> DataFrame:
-    return df.drop(_BOUNDS)
-
-
-def is_hot() -> Column:
-    return F.col(_BOUNDS).isNotNull()
+    low, high = F.col("__tm_low"), F.col("__tm_high")
+    middle = low + F.floor((high - low) / 2).cast("int")
+    if role == "time":
+        number = low
+    else:
+        start, width = (middle, high - middle) if role == "spine" else (low, middle - low)
+        number = start + F.pmod(F.xxhash64(*spread), (width + 1).cast("long")).cast("int")
+    return df.withColumns(
+        {SLICE: F.when(bounds.isNull(), F.lit(0)).otherwise(number), HOT: bounds.isNotNull()}
+    ).drop(_BOUNDS, _PLACE, "__tm_low", "__tm_high")
 
 
 def salted_left_join(

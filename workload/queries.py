@@ -293,7 +293,7 @@ def pit_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
         (Field("o_totalprice", "DOUBLE"),),
         tie_break=("o_orderkey",),
     )
-    skew = SkewOptions(hot_rows=1_000, sample_fraction=1.0)
+    skew = SkewOptions(hot_rows=2_000, sample_fraction=0.2)
     return as_of_join(spine, "l_shipdate", features, by_status, skew=skew)
 
 
