@@ -309,10 +309,10 @@ def test_one_hot_key_is_spread_over_many_groups(spark):
     plain = as_of_join(spine, "event_timestamp", feats, t, skew=None)
     assert rows_of(got) == rows_of(plain)
 
-    from tidemark.plans.skew import SLICE, assign_slices, find_hot_keys, row_hash_columns
+    from tidemark.plans.skew import SLICE, assign_slices, find_hot_keys, row_spread
 
     hot = find_hot_keys(spine.select("k", "event_timestamp"), ["k"], "event_timestamp", skew)
-    sliced = assign_slices(spine, hot, "event_timestamp", "spine", row_hash_columns(spine))
+    sliced = assign_slices(spine, hot, "event_timestamp", "spine", row_spread(spine))
     sizes = sliced.groupBy(SLICE).count().collect()
     assert len(sizes) >= 15
     assert max(r["count"] for r in sizes) <= 800
@@ -382,3 +382,16 @@ def test_bucketed_tables_join_without_a_shuffle(spark):
     )
     assert "Exchange" not in physical_plan(df)
     assert rows_of(df) == rows_of(as_of_join(spine, "ts", feats, t))
+
+
+@pytest.mark.parametrize("skew", PLANS)
+def test_semi_reduce_keeps_rows_as_they_are(spark, skew):
+    from tidemark.operators.reduce import semi_reduce
+
+    feats = features_of(
+        spark, [(1, at(1), at(1), 4), (1, at(1), at(1), 4), (2, at(1), at(1), 5), (None, at(1), at(1), 6)], ["k"], "v int"
+    )
+    spine = spine_of(spark, [(1, at(1)), (1, at(2)), (None, at(2)), (9, at(2))], ["k"])
+    got = semi_reduce(feats, spine, ["k"], skew=skew)
+    assert got.columns == feats.columns
+    assert [r.v for r in got.collect()] == [4, 4]

@@ -99,6 +99,36 @@ def test_old_base_is_not_shuffled(spark, folder):
     assert len(files) <= 4
 
 
+def test_a_large_base_is_not_rewritten_for_small_batches(spark, folder):
+    online = OnlineTable(spark, f"{folder}/t", TABLE, buckets=2, compact_after=1)
+    online.upsert(frame(spark, [(i, 1, i, "x" * (i % 97)) for i in range(60_000)]))
+    base = online._state()["base"]
+    for i in range(3):
+        online.upsert(frame(spark, [(1, 2 + i, i, "y")]))
+    state = online._state()
+    assert state["base"] == base and len(state["deltas"]) == 3
+    assert online.rows().filter("k = 1").first().a == 2
+
+
+def test_batches_are_shuffled_once_each(spark):
+    spread = [frame(spark, [(1, 1, 1, "x")]), frame(spark, [(1, 2, None, "y")])]
+    plan = fold_batches(spread, TABLE)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 2
+
+
+def test_key_only_spine_of_equal_rows_is_spread(spark, folder):
+    from tidemark.plans.skew import row_spread
+    from pyspark.sql import functions as F
+
+    spine = spark.range(0, 2_000, 1, 16).select(F.lit(1).alias("k"))
+    groups = spine.groupBy(F.pmod(F.xxhash64(*row_spread(spine)), F.lit(8)).alias("g")).count().collect()
+    assert len(groups) > 3
+    online = OnlineTable(spark, f"{folder}/t", TABLE)
+    online.upsert(frame(spark, [(1, 1, 5, "x")]))
+    got = online.lookup(spine, ["a"], skew=SkewOptions(hot_rows=100, sample_fraction=1.0))
+    assert [tuple(r) for r in got.distinct().collect()] == [(1, 5)] and got.count() == 2_000
+
+
 def test_replayed_batches_are_skipped(spark, folder):
     online = OnlineTable(spark, f"{folder}/t", TABLE)
     assert online.upsert(frame(spark, [(1, 1, 1, "x")]), batch_id=0, writer="w")

@@ -44,6 +44,12 @@ def create_text(spark: SparkSession, path: str, text: str) -> bool:
     return True
 
 
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes below a path."""
+    fs, target = _fs(spark, path)
+    return fs.getContentSummary(target).getLength()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, target = _fs(spark, path)
     fs.delete(target, True)

@@ -31,7 +31,7 @@ from tidemark.plans.skew import (
     SkewOptions,
     assign_slices,
     find_hot_keys,
-    row_hash_columns,
+    row_spread,
 )
 
 _TS = "__tm_ts"
@@ -190,7 +190,7 @@ def _one_pass(
 
     no_rest = F.lit(None).cast(rest_type) if rest else F.lit(None).cast("int")
     rest_col = F.struct(*[_c(c) for c in rest]) if rest else F.lit(None).cast("int")
-    spread = row_hash_columns(spine)
+    spread = row_spread(spine)
     key_missing = F.lit(False)
     for key in keys:
         key_missing = key_missing | F.col(key).isNull()

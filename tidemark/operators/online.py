@@ -3,8 +3,9 @@
 A write is the compacted batch (one row per key), appended as a small parquet folder. The
 current state is a fold over the batches in write order; because the stored event time is
 always the running maximum of the batch times, the fold is one window and one aggregate
-and needs no loop. Every few writes the state is folded into a base that is bucketed by
-key, so later folds and lookups shuffle only the recent batches and not the base.
+and needs no loop. When the batches have grown to a fair share of it, the state is folded
+into a base that is bucketed by key, so folds and lookups shuffle only the recent batches
+and not the base.
 
 A commit is one new numbered file that lists the folders in force. Readers that started
 on an older commit keep reading their own folders.
@@ -28,12 +29,15 @@ from tidemark.functions.times import time_literal
 from tidemark.model import EVENT_TS, FeatureTable, output_name
 from tidemark.operators.latest import compact
 from tidemark.operators.validate import check_fields, check_timestamp, entities_valid
-from tidemark.plans.skew import SkewOptions, find_hot_keys, salted_left_join
+from tidemark.plans.skew import SkewOptions, salted_join
 
 SEQ = "_seq"
 EXPIRY = "expiry_timestamp"
 # Lookups of at most this many keys filter the scan by value instead of joining.
 _FEW_KEYS = 1_000
+# The base is rewritten when recent batches reach this share of its size or this number.
+_MERGE_SHARE = 0.25
+_MANY_DELTAS = 256
 
 
 def fold_upserts(batches: DataFrame, keys: Sequence[str], features: Sequence[str]) -> DataFrame:
@@ -59,13 +63,29 @@ def fold_upserts(batches: DataFrame, keys: Sequence[str], features: Sequence[str
     )
 
 
+def _in_step(df: DataFrame, keys: Sequence[str], values: Sequence[str], seq: Column) -> DataFrame:
+    """Rows for a union with others of the same layout. The keys are aliased: Spark then
+    sees that all branches are partitioned alike when they are, and folds them without
+    another shuffle."""
+    return df.select(
+        *[F.col(k).alias(f"__tm_k{i}") for i, k in enumerate(keys)], *values, seq.alias(SEQ)
+    )
+
+
+def _fold_in_step(rows: DataFrame, keys: Sequence[str], features: Sequence[str]) -> DataFrame:
+    inner = [f"__tm_k{i}" for i in range(len(keys))]
+    return fold_upserts(rows, inner, features).withColumnsRenamed(dict(zip(inner, keys)))
+
+
 def fold_batches(batches: Sequence[DataFrame], table: FeatureTable) -> DataFrame:
-    """State after upserting the given batches one after the other, as one query."""
-    parts = [compact(b, table).withColumn(SEQ, F.lit(i)) for i, b in enumerate(batches)]
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionByName(part)
-    return fold_upserts(rows, table.keys, table.feature_names)
+    """State after upserting the given batches one after the other, as one query. Each
+    batch is shuffled once, by its own compaction."""
+    values = [EVENT_TS, *table.feature_names]
+    rows = None
+    for i, batch in enumerate(batches):
+        part = _in_step(compact(batch, table), table.keys, values, F.lit(i))
+        rows = part if rows is None else rows.unionByName(part)
+    return _fold_in_step(rows, table.keys, table.feature_names)
 
 
 def with_expiry(df: DataFrame, max_age: timedelta | None, event_ts: str = EVENT_TS) -> DataFrame:
@@ -170,10 +190,21 @@ class OnlineTable:
                 "features": features,
             }
         )
-        if len(state["deltas"]) + 1 >= self.compact_after:
+        if self._worth_compacting():
             self.compact()
         return True
 
+    def _worth_compacting(self) -> bool:
+        """Fold into the base when the recent batches have grown to a fair share of it, or
+        are very many. A base much larger than the batches is thus rewritten rarely."""
+        state = self._state()
+        if len(state["deltas"]) < self.compact_after:
+            return False
+        if state["base"] is None or len(state["deltas"]) >= _MANY_DELTAS:
+            return True
+        recent = sum(files.size_of(self.spark, f"{self.path}/{d}") for d in state["deltas"])
+        return recent >= _MERGE_SHARE * files.size_of(self.spark, f"{self.path}/{state['base']}")
+
     def compact(self) -> None:
         """Fold everything into a new bucketed base. Rows move only if they are in recent
         batches: the old base is already laid out by bucket."""
@@ -276,19 +307,13 @@ class OnlineTable:
         )
         if len(state["deltas"]) == 1 and base is None:
             return recent.select(*names)
-        # Keys are aliased on both branches: Spark then sees that base and recent batches are
-        # partitioned alike and folds them without another shuffle.
         keys = self.table.keys
-        inner = [f"__tm_k{i}" for i in range(len(keys))]
-
-        def aligned(df: DataFrame, seq: Column) -> DataFrame:
-            values = [c for c in names if c not in keys]
-            return df.select(*[F.col(k).alias(i) for k, i in zip(keys, inner)], *values, seq.alias(SEQ))
-
-        rows = aligned(recent.repartition(state["buckets"], *keys), F.col(SEQ))
+        values = [n for n in names if n not in keys]
+        rows = _in_step(recent.repartition(state["buckets"], *keys), keys, values, F.col(SEQ))
         if base is not None:
-            rows = aligned(base, F.lit(0).cast("long")).unionByName(rows)
-        return fold_upserts(rows, inner, features).withColumnsRenamed(dict(zip(inner, keys))).select(*names)
+            old = _in_step(base, keys, values, F.lit(0).cast("long"))
+            rows = old.unionByName(rows)
+        return _fold_in_step(rows, keys, features).select(*names)
 
     def rows(self) -> DataFrame:
         """Current values with their expiry: keys, event time, features, expiry."""
@@ -309,8 +334,7 @@ class OnlineTable:
         if unknown:
             raise SchemaError(f"{self.table.name}: unknown features {unknown}")
         found = self._current(features, as_of, full_feature_names)
-        hot = find_hot_keys(spine, self.table.keys, None, skew) if skew else None
-        joined = salted_left_join(spine, found, self.table.keys, hot, skew or SkewOptions())
+        joined = salted_join(spine, found, self.table.keys, "left", skew)
         names = [output_name(self.table.name, f, full_feature_names) for f in features]
         return joined.select(*[F.col(f"`{c}`") for c in [*spine.columns, *names]])
 

@@ -15,6 +15,7 @@ from tidemark.plans.skew import (
     SkewOptions,
     assign_slices,
     find_hot_keys,
+    salted_join,
 )
 
 __all__ = ["candidate_counts", "distinct_keys", "semi_reduce", "spine_bounds"]
@@ -24,13 +25,21 @@ def distinct_keys(spine: DataFrame, columns: Sequence[str]) -> DataFrame:
     return spine.select(*columns).distinct()
 
 
-def semi_reduce(features: DataFrame, spine: DataFrame, keys: Sequence[str]) -> DataFrame:
+def semi_reduce(
+    features: DataFrame,
+    spine: DataFrame,
+    keys: Sequence[str],
+    *,
+    skew: SkewOptions | None = SkewOptions(),
+) -> DataFrame:
     """Feature rows whose key occurs in the spine; never multiplies rows.
 
     The key side is made distinct first, so Spark can broadcast it when its measured size
-    is below the broadcast limit and otherwise shuffles one row per key.
+    is below the broadcast limit and otherwise shuffles one row per key. Feature rows of
+    hot keys are spread over salts.
     """
-    return features.join(distinct_keys(spine, keys), list(keys), "left_semi")
+    reduced = salted_join(features, distinct_keys(spine, keys), keys, "left_semi", skew)
+    return reduced.select(*[F.col(f"`{c}`") for c in features.columns])
 
 
 def candidate_counts(

@@ -5,10 +5,10 @@ that are too big for that on a sample of the key columns; the sample only steers
 rows go, never which rows count. Two ways to split a hot key are offered:
 
 * time slices (`assign_slices`), for operators that need a key's rows in time order, and
-* salts (`salted_left_join`), for joins against a side with one row per key.
+* salts (`salted_join`), for joins against a side with one row per key.
 
-Everything found is returned as plain Python values, so a later re-run of a lost task
-places its rows exactly as the first run did.
+What is found is kept as plain values in the plan, so a re-run of a lost task places its
+rows exactly as the first run did.
 """
 
 from __future__ import annotations
@@ -27,13 +27,15 @@ HOT_ROWS = 2_000_000
 SAMPLE_FRACTION = 0.01
 # Upper bounds of what is collected and broadcast: a few MB at most, whatever the data size.
 MAX_HOT_KEYS = 10_000
-MAX_SLICES_PER_KEY = 4_096
+MAX_SLICES_PER_KEY = 16_384
 MAX_SLICES = 65_536
 
 SLICE = "__tm_slice"
 HOT = "__tm_hot"
 _BOUNDS = "__tm_bounds"
 _PLACE = "__tm_place"
+_SALT = "__tm_salt"
+_SALTS = "__tm_salts"
 
 
 @dataclass(frozen=True)
@@ -42,7 +44,6 @@ class SkewOptions:
 
     hot_rows: int = HOT_ROWS
     sample_fraction: float = SAMPLE_FRACTION
-    max_salts: int = 256
 
 
 @dataclass(frozen=True)
@@ -91,22 +92,20 @@ class HotKeys:
             *self.keys, F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias(SLICE)
         )
 
-    def with_salts(self, spark: SparkSession, options: SkewOptions) -> DataFrame:
-        """One row per hot key: keys and its number of salts."""
-        data = [
-            (*key, min(options.max_salts, 1 + ceil(n / options.hot_rows)))
-            for key, n in zip(self.rows, self.counts)
-        ]
-        schema = T.StructType(
-            [*self.key_schema.fields, T.StructField("__tm_salts", T.IntegerType())]
-        )
+    def with_salts(self, spark: SparkSession, hot_rows: int) -> DataFrame:
+        """One row per hot key: keys and its number of salts (MAX_SLICES in total, about)."""
+        per_salt = max(hot_rows / 2, sum(self.counts) / MAX_SLICES, 1)
+        data = [(*key, max(2, ceil(n / per_salt))) for key, n in zip(self.rows, self.counts)]
+        schema = T.StructType([*self.key_schema.fields, T.StructField(_SALTS, T.IntegerType())])
         return spark.createDataFrame(data, schema)
 
 
-def row_hash_columns(df: DataFrame) -> list[Column]:
-    """Columns that can spread equal keys by a hash of their row (maps cannot be hashed)."""
+def row_spread(df: DataFrame) -> list[Column]:
+    """What to hash to spread the rows of one key: the row itself and, for rows that are
+    all alike, the input partition they come from. Both are the same when a task is run
+    again. Maps cannot be hashed and are left out."""
     usable = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
-    return [F.col(f"`{name}`") for name in usable]
+    return [*[F.col(f"`{name}`") for name in usable], F.spark_partition_id()]
 
 
 def _not_null(names: Sequence[str]) -> Column:
@@ -167,7 +166,7 @@ def find_hot_keys(
     quantiles = (
         sample.join(F.broadcast(hot), list(keys))
         .groupBy(*keys, "__tm_s")
-        .agg(F.percentile_approx(ts, marks, 10_000).alias("__tm_q"))
+        .agg(F.percentile_approx(ts, marks, max(10_000, 4 * finest)).alias("__tm_q"))
         .select(*keys, F.sort_array(picked).alias("__tm_b"))
     )
     ts_type = rows.schema[ts].dataType
@@ -227,29 +226,26 @@ def assign_slices(
     ).drop(_BOUNDS, _PLACE, "__tm_low", "__tm_high")
 
 
-def salted_left_join(
+def salted_join(
     left: DataFrame,
     right: DataFrame,
     keys: Sequence[str],
-    hot: HotKeys | None,
-    options: SkewOptions = SkewOptions(),
+    how: str,
+    skew: SkewOptions | None = SkewOptions(),
 ) -> DataFrame:
-    """`left LEFT JOIN right` where `right` has one row per key and `left` may be skewed.
+    """`left` joined (`how` is "left" or "left_semi") to a `right` with one row per key.
 
     Left rows of a hot key are spread over its salts; the one right row of that key is
-    repeated once per salt (at most MAX_HOT_KEYS * max_salts extra rows).
+    repeated once per salt, which adds MAX_SLICES rows at most, give or take a salt per key.
     """
+    hot = find_hot_keys(left, keys, None, skew) if skew else None
     if hot is None:
-        return left.join(right, list(keys), "left")
-    salts = F.broadcast(hot.with_salts(left.sparkSession, options))
-    n = F.coalesce(F.col("__tm_salts"), F.lit(1))
-    salt = F.pmod(F.xxhash64(*row_hash_columns(left)), n.cast("long"))
-    left = left.join(salts, list(keys), "left").withColumn("__tm_salt", salt.cast("int"))
+        return left.join(right, list(keys), how)
+    salts = F.broadcast(hot.with_salts(left.sparkSession, skew.hot_rows))
+    n = F.coalesce(F.col(_SALTS), F.lit(1))
+    salt = F.pmod(F.xxhash64(*row_spread(left)), n.cast("long")).cast("int")
+    left = left.join(salts, list(keys), "left").withColumn(_SALT, salt)
     right = right.join(salts, list(keys), "left").withColumn(
-        "__tm_salt", F.explode(F.sequence(F.lit(0), n - 1))
-    )
-    return (
-        left.drop("__tm_salts")
-        .join(right.drop("__tm_salts"), [*keys, "__tm_salt"], "left")
-        .drop("__tm_salt")
+        _SALT, F.explode(F.sequence(F.lit(0), n - 1))
     )
+    return left.drop(_SALTS).join(right.drop(_SALTS), [*keys, _SALT], how).drop(_SALT)
