@@ -475,3 +475,40 @@ def test_ingestion_job(spark, folder):
     assert {r.customer for r in online.rows().collect()} == {"a", "c"}
     with pytest.raises(ValueError):
         ingest_job.run(spark, {**config, "mode": "sideways"})
+
+
+def test_ingestion_job_with_a_stored_function(spark, folder):
+    from tidemark.functions.shipped import load_function, save_function
+
+    limit = 10
+
+    def small(batch):
+        return batch["feature1"] < limit
+
+    save_function(spark, small, f"{folder}/small.pickle")
+    with pytest.raises(FileExistsError):
+        save_function(spark, small, f"{folder}/small.pickle")
+    assert load_function(spark, f"{folder}/small.pickle")(pd.DataFrame({"feature1": [1, 20]})).tolist() == [True, False]
+    frame(spark, [("a", 1, 0.5, 1), ("b", 200, 0.5, 1)]).write.parquet(f"{folder}/src")
+    config = {
+        "mode": "offline",
+        "table": {
+            "name": "fs",
+            "entities": [{"name": "customer", "type": "STRING"}],
+            "features": [{"name": "feature1", "type": "INT32"}],
+            "source": {"file": {"format": "parquet", "path": f"{folder}/src", "event_timestamp_column": "at"}},
+        },
+        "online": {"path": f"{folder}/online"},
+        "validation_function": f"{folder}/small.pickle",
+    }
+    assert ingest_job.run(spark, config).n_stored == 1
+
+
+def test_on_demand_pandas(spark):
+    from tidemark.operators.sinks import on_demand_pandas
+
+    def ratio(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"ratio": rows["feature1"] / rows["feature2"], "twice": rows["feature1"] * 2})
+
+    out = on_demand_pandas(frame(spark, [("a", 1, 0.5, 1), ("b", 3, 0.5, 1)]), ratio, "ratio double, twice long")
+    assert {(r.customer, r.ratio, r.twice) for r in out.collect()} == {("a", 2.0, 2), ("b", 6.0, 6)}

@@ -243,6 +243,8 @@ def test_missing_connectors_say_so(spark, tmp_path):
     messages = spark.createDataFrame([(bytearray(b"x"),)], "value binary")
     with pytest.raises(MissingConnectorError, match="spark-avro"):
         codecs.decode_avro(messages, "value", '{"type":"record","name":"r","fields":[]}', "m")
+    with pytest.raises(MissingConnectorError, match="spark-avro"):
+        codecs.encode_avro(messages.selectExpr("struct(value) as s"), "s", "m")
     with pytest.raises(MissingConnectorError, match="spark-protobuf"):
         descriptor = tmp_path / "messages.desc"
         descriptor.write_bytes(b"")
@@ -268,3 +270,24 @@ def test_json_decode_marks_malformed(spark):
     assert got['{"a": 1, "m": {"k": 2}, "n": {"x": 0.5}}'] == (False, 1, 2, 0.5)
     assert got["invalid"][0] and got['{"a": "text"}'][0]
     assert got["{}"] == (False, None, None, None)
+
+
+def test_declared_tables_bucketed_and_plain(spark):
+    from tidemark.sources.tables import append_rows, declare_table
+
+    t = FeatureTable("t", (Field("k", "INT32"),), (Field("v", "INT64"), Field("tags", "STRING_LIST")))
+    source = Source(event_timestamp="at", created_timestamp="made")
+    rows = spark.range(100).selectExpr(
+        "int(id) as k", "id as v", "array('x') as tags", "timestamp_ntz'2020-01-01' as at", "timestamp_ntz'2020-01-02' as made"
+    )
+    for name, buckets in (("tm_plain", None), ("tm_bucketed", 4)):
+        declare_table(spark, name, t, source, buckets=buckets)
+        assert spark.table(name).columns == ["k", "v", "tags", "at", "made"]
+        for _ in range(2):
+            append_rows(rows, name, t, source)
+        assert spark.table(name).count() == 200
+    assert len(spark.table("tm_bucketed").inputFiles()) <= 9
+    plan = spark.table("tm_bucketed").groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    with pytest.raises(SchemaError):
+        append_rows(rows.drop("v"), "tm_plain", t, source)

@@ -19,16 +19,20 @@ def names_in(spark: SparkSession, folder: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(target))
 
 
-def read_text(spark: SparkSession, path: str) -> str:
+def read_bytes(spark: SparkSession, path: str) -> bytes:
     fs, target = _fs(spark, path)
     stream = fs.open(target)
     try:
-        return bytes(stream.readAllBytes()).decode("utf-8")
+        return bytes(stream.readAllBytes())
     finally:
         stream.close()
 
 
-def create_text(spark: SparkSession, path: str, text: str) -> bool:
+def read_text(spark: SparkSession, path: str) -> str:
+    return read_bytes(spark, path).decode("utf-8")
+
+
+def create_bytes(spark: SparkSession, path: str, content: bytes) -> bool:
     """Create a file with this content; False when it exists already."""
     fs, target = _fs(spark, path)
     try:
@@ -38,12 +42,16 @@ def create_text(spark: SparkSession, path: str, text: str) -> bool:
             return False
         raise
     try:
-        stream.write(bytearray(text.encode("utf-8")))
+        stream.write(bytearray(content))
     finally:
         stream.close()
     return True
 
 
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    return create_bytes(spark, path, text.encode("utf-8"))
+
+
 def size_of(spark: SparkSession, path: str) -> int:
     """Bytes below a path."""
     fs, target = _fs(spark, path)

@@ -56,6 +56,17 @@ def decode_avro(df: DataFrame, column: str, json_schema: str, into: str) -> Data
     return out.withColumn(MALFORMED, ~F.coalesce(some, F.lit(False)))
 
 
+def encode_avro(df: DataFrame, column: str, into: str, json_schema: str = "") -> DataFrame:
+    """A struct as Avro bytes (needs the spark-avro package)."""
+    from pyspark.sql.avro.functions import to_avro
+
+    return _decoded(
+        "Avro encoding",
+        "spark-avro",
+        lambda: df.withColumn(into, to_avro(F.col(column), json_schema)),
+    )
+
+
 def decode_protobuf(
     df: DataFrame, column: str, message: str, descriptor_file: str, into: str
 ) -> DataFrame:

@@ -8,7 +8,8 @@ The job:
      "stream": {"format": "kafka" | file format, "path": ..., "schema": ddl},   (online)
      "message": {"format": "json", "column": "value", "schema": ddl},           (online)
      "checkpoint": "...", "trigger_seconds": 30,                                (online)
-     "dead_letters": "...", "suite": [...], "on_invalid": "drop" | "flag"}
+     "dead_letters": "...", "suite": [...], "on_invalid": "drop" | "flag",
+     "validation_function": path of a stored function}
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.functions.shipped import load_function
 from tidemark.model import FeatureTable, Source
 from tidemark.operators.ingest import IngestReport, ingest_batch
 from tidemark.operators.online import OnlineTable
@@ -38,7 +40,11 @@ def run(spark: SparkSession, config: dict) -> IngestReport | StreamingQuery:
     table = replace(table, max_age=effective_max_age(table))
     where = config["online"]
     online = OnlineTable(spark, where["path"], table, buckets=where.get("buckets", 32))
-    suite = Suite.from_dicts(config["suite"]) if config.get("suite") else None
+    suite = None
+    if config.get("suite") or config.get("validation_function"):
+        suite = Suite.from_dicts(config.get("suite") or [])
+        if config.get("validation_function"):
+            suite = replace(suite, function=load_function(spark, config["validation_function"]))
     common = {
         "dead_letters": config.get("dead_letters"),
         "suite": suite,

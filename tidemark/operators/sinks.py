@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from datetime import datetime
 from itertools import islice
 
+import pandas as pd
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.times import event_date
 from tidemark.model import EVENT_TS
@@ -88,3 +90,20 @@ def on_demand(df: DataFrame, features: dict[str, str], columns: Sequence[str] |
     """Add features computed from a retrieval result by Spark SQL expressions."""
     out = df.withColumns({name: F.expr(text) for name, text in features.items()})
     return out if columns is None else out.select(*columns)
+
+
+def on_demand_pandas(
+    df: DataFrame, function: Callable[[pd.DataFrame], pd.DataFrame], schema: T.StructType | str
+) -> DataFrame:
+    """Add features computed by a user function over pandas batches. It gets batches of
+    result rows and returns the new columns, row for row, as `schema` names them."""
+    added = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
+    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in frames:
+            new = function(rows)
+            for name in added.names:
+                rows[name] = new[name].to_numpy()
+            yield rows
+
+    return df.mapInPandas(batches, T.StructType([*df.schema.fields, *added.fields]))
