@@ -55,49 +55,44 @@ def candidate_counts(
     """How many feature rows each key offers its spine rows within `max_age`.
 
     The number of (spine, feature) pairs with `spine - max_age <= feature <= spine`, per
-    key, without building the pairs. Rows are first counted per (key, time); every spine
-    time then adds the features up to it and takes away those before its window, which
-    makes the whole count one running sum per key. A hot key's running sum is cut into
-    time slices that start from the sum of all earlier slices.
+    key, without building the pairs: every spine time adds the features up to it and takes
+    away those before its window, so the whole count is one running sum per key. A hot
+    key's rows are first counted per time; its running sum is cut into time slices that
+    start from the sum of all earlier slices.
     """
 
-    def marks(df: DataFrame, at: Column, side: int, is_feature: int, weight: int) -> DataFrame:
-        return df.select(
-            *keys,
-            at.alias("t"),
-            F.lit(side).alias("side"),
-            F.lit(is_feature).alias("f"),
-            F.lit(weight).alias("w"),
-        )
+    def mark(at: Column, side: int, is_feature: int, weight: int) -> Column:
+        parts = {"t": at, "side": F.lit(side), "f": F.lit(is_feature), "w": F.lit(weight)}
+        return F.struct(*[c.cast("long").alias(n) if n in "fw" else c.alias(n) for n, c in parts.items()])
 
-    opens = F.col(spine_ts) - F.lit(max_age)
+    at = F.col(spine_ts)
+    window = F.array(mark(at - F.lit(max_age), 0, 0, -1), mark(at, 2, 0, 1))
     rows = (
-        marks(spine, opens, 0, 0, -1)
-        .unionByName(marks(features, F.col(feature_ts), 1, 1, 0))
-        .unionByName(marks(spine, F.col(spine_ts), 2, 0, 1))
+        spine.select(*keys, F.inline(window))
+        .unionByName(features.select(*keys, F.inline(F.array(mark(F.col(feature_ts), 1, 1, 0)))))
         .na.drop(subset=[*keys, "t"])
     )
     hot = find_hot_keys(rows, keys, "t", skew) if skew else None
-    steps = (
-        rows.groupBy(*keys, "t", "side")
-        .agg(F.sum("f").alias("f"), F.sum("w").alias("w"))
-    )
-    if not hot:
-        steps = steps.withColumn(SLICE, F.lit(0))
-    else:
-        steps = assign_slices(steps, hot, "t", "time").drop(HOT)
+    steps = rows.withColumn(SLICE, F.lit(0))
+    if hot:
+        sliced = assign_slices(rows, hot, "t", "time")
+        counted = (
+            sliced.filter(F.col(HOT))
+            .groupBy(*keys, SLICE, "t", "side")
+            .agg(F.sum("f").alias("f"), F.sum("w").alias("w"))
+        )
         earlier = (
             Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
         )
         carried = (
-            steps.groupBy(*keys, SLICE)
+            counted.groupBy(*keys, SLICE)
             .agg(F.sum("f").alias("f"))
             .withColumn("f", F.coalesce(F.sum("f").over(earlier), F.lit(0)))
-            .withColumn("t", F.lit(None).cast(steps.schema["t"].dataType))
+            .withColumn("t", F.lit(None).cast(rows.schema["t"].dataType))
             .withColumn("side", F.lit(0))
             .withColumn("w", F.lit(0).cast("long"))
         )
-        steps = steps.unionByName(carried)
+        steps = sliced.filter(~F.col(HOT)).drop(HOT).unionByName(counted).unionByName(carried)
     running = (
         Window.partitionBy(*keys, SLICE)
         .orderBy(F.col("t").asc_nulls_first(), "side")

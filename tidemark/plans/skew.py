@@ -129,8 +129,7 @@ def find_hot_keys(
     """
     spark = rows.sparkSession
     fraction = options.sample_fraction
-    wanted = [*keys, ts] if ts else list(keys)
-    sample = rows.select(*wanted).filter(_not_null(wanted))
+    sample = rows.filter(_not_null(keys))
     if fraction < 1.0:
         sample = sample.sample(withReplacement=False, fraction=fraction, seed=17)
     found = (
@@ -164,10 +163,11 @@ def find_hot_keys(
         ),
     )
     quantiles = (
-        sample.join(F.broadcast(hot), list(keys))
+        sample.select(*keys, ts)
+        .join(F.broadcast(hot), list(keys))
         .groupBy(*keys, "__tm_s")
         .agg(F.percentile_approx(ts, marks, max(10_000, 4 * finest)).alias("__tm_q"))
-        .select(*keys, F.sort_array(picked).alias("__tm_b"))
+        .select(*keys, F.sort_array(F.array_compact(picked)).alias("__tm_b"))
     )
     ts_type = rows.schema[ts].dataType
     if isinstance(ts_type, T.TimestampType):
