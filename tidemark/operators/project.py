@@ -86,7 +86,11 @@ def flatten(df: DataFrame, struct: str, *, keep: Sequence[str] = ()) -> DataFram
     return df.select(f"{struct}.*", *keep)
 
 
-def effective_max_age(table: FeatureTable, label: str = "gcThresholdSec") -> timedelta | None:
+# Fixed value: the table label that holds the clean-up threshold in seconds.
+CLEANUP_LABEL = "gcThresholdSec"
+
+
+def effective_max_age(table: FeatureTable, label: str = CLEANUP_LABEL) -> timedelta | None:
     """Max age used at ingestion: the larger of the declared one and the clean-up label."""
     try:
         threshold = timedelta(seconds=int(table.labels[label]))

@@ -41,13 +41,23 @@ def write_dead_letters(df: DataFrame, path: str, run_id: str) -> None:
 
 
 def append_to_batch_store(
-    df: DataFrame, path: str, event_ts: str = EVENT_TS, partition: str = "date"
+    df: DataFrame,
+    path: str,
+    event_ts: str = EVENT_TS,
+    partition: str = "date",
+    *,
+    rebalance: bool = True,
 ) -> None:
-    """Append feature rows to the batch store, one folder per event date. Rows are grouped
-    by date before writing, so a task writes few files; a date with very many rows is
-    split over tasks by the adaptive rebalance."""
+    """Append feature rows to the batch store, one folder per event date.
+
+    With `rebalance`, rows are grouped by date before writing, so a task writes few files;
+    a date with very many rows is split over tasks. Switch it off for rows that come
+    ordered by date anyway: it saves the shuffle.
+    """
     dated = df.withColumn(partition, event_date(event_ts))
-    dated.hint("rebalance", F.col(partition)).write.mode("append").partitionBy(partition).parquet(path)
+    if rebalance:
+        dated = dated.hint("rebalance", F.col(partition))
+    dated.write.mode("append").partitionBy(partition).parquet(path)
 
 
 def append_logs(df: DataFrame, path: str, log_ts: str = "log_timestamp") -> None:
