@@ -355,6 +355,19 @@ def test_latest_without_keys_and_with_nulls(spark):
     assert "partial_max" in plan
 
 
+def test_checkpoint_folder_without_a_setting(spark):
+    """A local session gets its own folder, once; a cluster must name a shared one."""
+    from types import SimpleNamespace
+
+    def session(master):
+        context = SimpleNamespace(master=master, applicationId="app-1")
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context)
+
+    assert shared_folder(session("local[2]")) == shared_folder(session("local[2]"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(session("yarn"))
+
+
 def test_checkpoint_folder_comes_from_the_session(spark, folder):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")

@@ -15,7 +15,6 @@ from tidemark.operators.asof import FeatureInput, multi_as_of
 from tidemark.operators.ingest import IngestReport, ingest_batch, materialize, push
 from tidemark.operators.online import OnlineTable, update_online_tables
 from tidemark.operators.project import ingestion_window, select_features
-from tidemark.operators.reduce import semi_reduce
 from tidemark.operators.sinks import on_demand, save_dataset
 from tidemark.plans.skew import SkewOptions
 from tidemark.sources.batch import infer_event_timestamp, load
@@ -65,13 +64,13 @@ class FeatureEngine:
         spine_ts: str | None = None,
         full_feature_names: bool = True,
         on_demand_features: Mapping[str, str] | None = None,
-        reduce_by_spine: bool = False,
+        reduce_by_spine: bool | None = None,
         checkpoint_every: int | None = None,
     ) -> DataFrame:
         """Features as they were at each spine row's time, as one lazy frame.
 
         `reduce_by_spine` drops feature rows of keys that the spine does not have before
-        the join; worth it when the spine covers few keys of a large table.
+        the join; by default that is done for spines measured to be small.
         """
         if isinstance(spine, Source):
             spine_ts = spine_ts or spine.event_timestamp
@@ -82,8 +81,6 @@ class FeatureEngine:
             table = self.table(name).with_features(features)
             source = table.source or Source()
             rows = select_features(self.source_rows(table), table, source)
-            if reduce_by_spine:
-                rows = semi_reduce(rows, spine, table.keys)
             created = CREATED_TS if source.created_timestamp else None
             inputs.append(FeatureInput(table, rows, EVENT_TS, created))
         result = multi_as_of(
@@ -92,6 +89,7 @@ class FeatureEngine:
             inputs,
             full_feature_names=full_feature_names,
             skew=self.skew,
+            reduce_by_spine=reduce_by_spine,
             checkpoint_every=checkpoint_every,
         )
         return on_demand(result, dict(on_demand_features)) if on_demand_features else result

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from tidemark.errors import SchemaError
 from tidemark.model import CREATED_TS, EVENT_TS, FeatureTable, output_name
+from tidemark.operators.reduce import distinct_keys, semi_reduce
 from tidemark.operators.validate import check_spine
 from tidemark.plans.bounds import SpineBounds, measure_spine
 from tidemark.plans.lineage import cut_lineage
@@ -60,6 +61,7 @@ def as_of_join(
     full_feature_names: bool = True,
     skew: SkewOptions | None = SkewOptions(),
     bound_by_spine: bool = True,
+    reduce_by_spine: bool | None = None,
 ) -> DataFrame:
     """Spine columns plus the table's features as they were at `spine_ts`.
 
@@ -73,6 +75,7 @@ def as_of_join(
         full_feature_names=full_feature_names,
         skew=skew,
         bound_by_spine=bound_by_spine,
+        reduce_by_spine=reduce_by_spine,
     )
 
 
@@ -84,12 +87,16 @@ def multi_as_of(
     full_feature_names: bool = True,
     skew: SkewOptions | None = SkewOptions(),
     bound_by_spine: bool = True,
+    reduce_by_spine: bool | None = None,
     checkpoint_every: int | None = None,
 ) -> DataFrame:
     """Point-in-time join of many feature tables.
 
-    Two small jobs run when this is called: the spine's time bounds (`bound_by_spine`), for
-    the scans, and a sample of the key columns, for hot keys (`skew`). Tables with the same keys share one pass. `checkpoint_every=n` cuts lineage after
+    Two small jobs run when this is called: the spine's time bounds and size
+    (`bound_by_spine`), for the scans, and a sample of the key columns, for hot keys
+    (`skew`). Feature rows whose key the spine does not have are dropped before the shuffle
+    if the spine was measured to be small; `reduce_by_spine=True` asks for that with any
+    spine, at the price of a semi join, and False for never. Tables with the same keys share one pass. `checkpoint_every=n` cuts lineage after
     every n passes, for requests over very many different keys.
     """
     _check_output_names(spine, inputs, full_feature_names)
@@ -102,7 +109,7 @@ def multi_as_of(
     result = spine
     for done, (keys, members) in enumerate(groups.items(), start=1):
         prepared = [
-            _prepare(m, spine.schema[spine_ts].dataType, bounds, f"__tm_f{i}")
+            _prepare(m, spine, spine_ts, bounds, reduce_by_spine, f"__tm_f{i}")
             for i, m in enumerate(members)
         ]
         hot = _find_hot(spine, spine_ts, prepared, keys, skew) if skew else None
@@ -127,10 +134,16 @@ def _check_output_names(spine: DataFrame, inputs: Sequence[FeatureInput], full:
 
 
 def _prepare(
-    item: FeatureInput, ts_type: T.DataType, bounds: SpineBounds | None, slot: str
+    item: FeatureInput,
+    spine: DataFrame,
+    spine_ts: str,
+    bounds: SpineBounds | None,
+    reduce_by_spine: bool | None,
+    slot: str,
 ) -> DataFrame:
     """Feature rows as (keys, time, struct of everything that orders or is returned)."""
     table, df = item.table, item.df
+    ts_type = spine.schema[spine_ts].dataType
     if df.schema[item.event_ts].dataType != ts_type:
         df = df.withColumn(item.event_ts, F.col(item.event_ts).cast(ts_type))
     complete = F.col(item.event_ts).isNotNull()
@@ -139,6 +152,11 @@ def _prepare(
     df = df.filter(complete)
     if bounds:
         df = bounds.keep_usable(df, item.event_ts, table.max_age)
+    if bounds and bounds.is_small and reduce_by_spine is not False:
+        # At most SMALL_SPINE_ROWS keys, as just measured.
+        df = df.join(F.broadcast(distinct_keys(spine, table.keys)), table.keys, "left_semi")
+    elif reduce_by_spine:
+        df = semi_reduce(df, spine, table.keys)
     order = [F.col(item.event_ts).alias("ts")]
     if item.created_ts and item.created_ts in df.columns:
         order.append(F.col(item.created_ts).alias("created"))

@@ -1,4 +1,4 @@
-"""Time bounds taken from the spine and pushed into feature scans."""
+"""What is measured on the spine before a join: its time bounds and its size."""
 
 from __future__ import annotations
 
@@ -17,12 +17,22 @@ def spine_bounds(spine: DataFrame, ts: str) -> DataFrame:
     return spine.agg(F.min(ts).alias("min_ts"), F.max(ts).alias("max_ts"))
 
 
+# Keys of a spine of at most this many rows are broadcast to reduce the features.
+SMALL_SPINE_ROWS = 200_000
+
+
 @dataclass(frozen=True)
 class SpineBounds:
-    """First and last spine time as literals; None for a spine without times."""
+    """First and last spine time as literals (None for a spine without times), and the
+    number of spine rows."""
 
     first: Column | None
     last: Column | None
+    rows: int
+
+    @property
+    def is_small(self) -> bool:
+        return self.rows <= SMALL_SPINE_ROWS
 
     def keep_usable(self, features: DataFrame, ts: str, max_age: timedelta | None) -> DataFrame:
         """Feature rows that some spine time could use. The bounds are plain literals, so
@@ -35,13 +45,17 @@ class SpineBounds:
 
 def measure_spine(spine: DataFrame, ts: str) -> SpineBounds:
     """One small job over the spine's time column; its result serves all feature tables."""
-    if isinstance(spine.schema[ts].dataType, T.TimestampType):
-        micros = spine_bounds(spine, ts).select(*[F.unix_micros(c) for c in ("min_ts", "max_ts")])
-        first, last = micros.first()
-        as_literal = lambda n: F.timestamp_micros(F.lit(n))
-    else:
-        first, last = spine_bounds(spine, ts).first()
-        as_literal = lambda t: time_literal(t, T.TimestampNTZType())
+    instant = isinstance(spine.schema[ts].dataType, T.TimestampType)
+    low, high = F.min(ts), F.max(ts)
+    if instant:
+        low, high = F.unix_micros(low), F.unix_micros(high)
+    first, last, rows = spine.agg(low, high, F.count(F.lit(1))).first()
+
+    def literal(value) -> Column:
+        if instant:
+            return F.timestamp_micros(F.lit(value))
+        return time_literal(value, T.TimestampNTZType())
+
     if last is None:
-        return SpineBounds(None, None)
-    return SpineBounds(as_literal(first), as_literal(last))
+        return SpineBounds(None, None, rows)
+    return SpineBounds(literal(first), literal(last), rows)
