@@ -151,7 +151,12 @@ class FeatureEngine:
             result = rows
             for name, features in grouped.items():
                 result = self.online_table(name).lookup(
-                    result, features, as_of=as_of, full_feature_names=full_feature_names, skew=self.skew
+                    result,
+                    features,
+                    as_of=as_of,
+                    full_feature_names=full_feature_names,
+                    skew=self.skew,
+                    key_rows=rows,
                 )
             return result
         answers = [dict(r) for r in rows]

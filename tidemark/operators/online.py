@@ -327,14 +327,19 @@ class OnlineTable:
         as_of: datetime | None = None,
         full_feature_names: bool = True,
         skew: SkewOptions | None = SkewOptions(),
+        key_rows: DataFrame | None = None,
     ) -> DataFrame:
-        """The spine with current feature values; unknown or expired keys get nulls."""
+        """The spine with current feature values; unknown or expired keys get nulls.
+
+        When the spine is itself the result of joins, `key_rows` can name the frame it was
+        made from: hot keys are then sampled there and the joins are not run for it.
+        """
         features = list(features or self.table.feature_names)
         unknown = [f for f in features if f not in self.table.feature_names]
         if unknown:
             raise SchemaError(f"{self.table.name}: unknown features {unknown}")
         found = self._current(features, as_of, full_feature_names)
-        joined = salted_join(spine, found, self.table.keys, "left", skew)
+        joined = salted_join(spine, found, self.table.keys, "left", skew, key_rows=key_rows)
         names = [output_name(self.table.name, f, full_feature_names) for f in features]
         return joined.select(*[F.col(f"`{c}`") for c in [*spine.columns, *names]])
 

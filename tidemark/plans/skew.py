@@ -232,13 +232,16 @@ def salted_join(
     keys: Sequence[str],
     how: str,
     skew: SkewOptions | None = SkewOptions(),
+    *,
+    key_rows: DataFrame | None = None,
 ) -> DataFrame:
     """`left` joined (`how` is "left" or "left_semi") to a `right` with one row per key.
 
     Left rows of a hot key are spread over its salts; the one right row of that key is
     repeated once per salt, which adds MAX_SLICES rows at most, give or take a salt per key.
+    `key_rows` is a cheaper frame with the same keys as `left`, for the sample.
     """
-    hot = find_hot_keys(left, keys, None, skew) if skew else None
+    hot = find_hot_keys(left if key_rows is None else key_rows, keys, None, skew) if skew else None
     if hot is None:
         return left.join(right, list(keys), how)
     salts = F.broadcast(hot.with_salts(left.sparkSession, skew.hot_rows))
