@@ -9,12 +9,19 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm import language
 from tidemark.llm.line_runs import drop_common_lines
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.shared import written
 from tidemark.llm.simhash import near_duplicates
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose text is in a language that the labelled rows teach."""
+    models = language.fit(docs, docs["lang"].isNotNull())
+    return language.without_rejected(docs, models)
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines found in ten documents or more."""
     return drop_common_lines(docs).select(*docs.columns)
@@ -32,7 +39,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("line_dedup", line_dedup), ("simhash_dedup", simhash_dedup), ("packing", packing)]
+STAGES = [("language_id", language_id), ("line_dedup", line_dedup), ("simhash_dedup", simhash_dedup), ("packing", packing)]
 
 # The fingerprints' XXH64, the trained language models and the tokenizer are not in SQL.
 ORACLE_SQL = None

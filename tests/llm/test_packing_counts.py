@@ -7,8 +7,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm.packing import assemble, cut, encode, pack, pack_documents, shortest_pack_first
+from tidemark.llm.packing import assemble, cut, pack, pack_documents, shortest_pack_first
 from tidemark.llm.token_counts import count, token_counts
+from tidemark.llm.word_bpe import word_bpe
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -22,7 +23,7 @@ texts = st.text(st.sampled_from("ab .,'sÉ é▁\n\t  日0ΣİA"), max_size=4
 @settings(max_examples=300, deadline=None)
 @given(texts)
 def test_ids_are_those_of_the_tokenizer(text):
-    assert np.frombuffer(encode(text, WORDS), "<u4").tolist() == _whole(text)
+    assert word_bpe(WORDS).encode_batch([text])[0].tolist() == _whole(text)
 
 
 _TOKENIZER = Tokenizer.from_file(WORDS)
@@ -33,8 +34,15 @@ def _whole(text):
 
 
 def test_ids_of_odd_texts():
-    for text in ODD:
-        assert np.frombuffer(encode(text, WORDS), "<u4").tolist() == _whole(text), text[:50]
+    more = ["don't I'LL we're you've 'm 'search !'s ''s s'' 12'3 x'", "½ ²a ªº × ÷ß ÿĀſ ŉ ǅ", "naïve Öl-Färbung, 10%"]
+    for text, ids in zip(ODD + more, word_bpe(WORDS).encode_batch(ODD + more)):
+        assert ids.tolist() == _whole(text), text[:50]
+
+
+def test_ids_of_the_documents(spark):
+    texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    for text, ids in zip(texts, word_bpe(WORDS).encode_batch(texts)):
+        assert ids.tolist() == _whole(text)
 
 
 @settings(max_examples=300, deadline=None)

@@ -15,8 +15,6 @@ the input are not read, whatever their names.
 from __future__ import annotations
 
 import heapq
-import os
-from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -24,7 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import WordCache, by_batch, keyed_text, with_fields, written
+from tidemark.llm.shared import by_batch, keyed_text, with_fields, written
+from tidemark.llm.word_bpe import word_bpe
 
 CAPACITY = 2048
 END_ID = 1
@@ -34,30 +33,6 @@ BUCKET_ROWS = 1_000_000
 LEAST_BUCKETS = 64
 
 
-@cache
-def _words(path: str) -> WordCache:
-    """Little-endian ids of words. White space separates words in this vocabulary's rules, so a
-    text's ids are those of its words, one after the other."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-
-    def fill(words: list[str]) -> list[bytes]:
-        return [
-            np.array(e.ids, dtype="<u4").tobytes()
-            for e in tokenizer.encode_batch(words, add_special_tokens=False)
-        ]
-
-    return WordCache(fill)
-
-
-def encode(text: str | None, path: str) -> bytes:
-    """Ids of one text as little-endian unsigned 32-bit integers, without the end id."""
-    words = (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-    return b"".join(_words(path).values_of(words))
-
-
 def cut(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
     """Pieces of documents: key, start, length, doc_tokens, ids (little-endian binary)."""
     read = keyed_text(docs, key, text)
@@ -66,8 +41,8 @@ def cut(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text"
 
     def pieces(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows, starts, lengths, totals, ids = [], [], [], [], []
-        for row, value in enumerate(batch.column("text").to_pylist()):
-            buffer = encode(value, tokenizer) + end
+        for row, own in enumerate(word_bpe(tokenizer).encode_batch(batch.column("text").to_pylist())):
+            buffer = own.tobytes() + end
             for at in range(0, len(buffer), step):
                 part = buffer[at : at + step]
                 rows.append(row)

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm import language, licences, pieces, pseudo_lm
 from tidemark.llm.line_runs import drop_common_lines
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.simhash import near_duplicates
@@ -29,6 +30,13 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    found = language.predict(docs, language.fit(docs, ~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
+
+
 def op3_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(_read(spark, sf_dir, "embeddings"))
 
@@ -42,6 +50,30 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampled segmentations of all texts, and whether decoding them gives the texts back."""
+    docs, model = _read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")
+    encoded = pieces.encode(docs, model)
+    decoded = pieces.with_decoded(encoded, model)
+    ids = F.concat_ws(" ", F.col("ids").cast("array<string>"))
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_pieces"), F.crc32(ids).alias("ids_crc32"),
+        F.sha2("text", 256).alias("text_sha256"),
+    )
+
+
+def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    found = licences.scan(docs, licences.fit(docs))
+    known = F.filter("licences", lambda x: x["family"] != licences.UNKNOWN)
+    return found.select(
+        "doc_id",
+        F.concat_ws(",", F.array_sort(F.array_distinct(F.transform(known, lambda x: x["family"])))).alias("families"),
+        F.size(known).alias("n_licences"),
+        (F.size("licences") - F.size(known)).alias("n_unknown"),
+    )
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(_read(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
@@ -54,9 +86,18 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_products(rows, F.col("vec_id") % 100 == 0, id="vec_id")
 
 
+def op10_pseudo_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return pseudo_lm.score(docs, pseudo_lm.fit(docs))
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_packing, op3_vector_dedup, op4_line_dedup, op5_token_counts, op8_simhash, op9_topk)
-}
+    f.__name__: f
+    for f in (
+        op1_packing, op2_language, op3_vector_dedup, op4_line_dedup, op5_token_counts,
+        op6_pieces, op7_licences, op8_simhash, op9_topk, op10_pseudo_lm,
+    )
+}
 
 ORACLES: dict[str, str] = {
     "op3_vector_dedup": """
