@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from tidemark import FeatureInput, FeatureTable, Field, SchemaError, SkewOptions, as_of_join, multi_as_of
 from tidemark.operators.reduce import candidate_counts
 
-DAY = timedelta(days=1)
 EVERYTHING_HOT = SkewOptions(hot_rows=2, sample_fraction=1.0)
 PLANS = [None, SkewOptions(), EVERYTHING_HOT]
 
@@ -44,93 +43,68 @@ def features_of(spark, rows, keys, values):
 
 
 @pytest.mark.parametrize("skew", PLANS)
-def test_max_age_is_inclusive(spark, skew):
-    spine = spine_of(spark, [(1001, at(1)), (1001, at(3)), (2001, at(2))], ["customer"])
-    feats = features_of(
-        spark, [(1001, at(1), at(1), 100.0), (2001, at(1), at(1), 200.0)], ["customer"], "daily float"
-    )
-    daily = table("tx", ["customer"], {"daily": "FLOAT"}, 86400)
-    got = as_of_join(spine, "event_timestamp", feats, daily, skew=skew)
-    assert got.columns == ["customer", "event_timestamp", "tx__daily"]
-    assert rows_of(got) == Counter([(1001, at(1), 100.0), (1001, at(3), None), (2001, at(2), 200.0)])
+def test_a_reading_serves_until_its_age_is_exactly_the_limit(spark, skew):
+    """One water gauge, read once; asked every quarter of an hour around the limit."""
+    read = at(14, hour=6)
+    limit = timedelta(minutes=45)
+    asked = [read + timedelta(minutes=15) * i for i in range(-1, 5)] + [read + limit + timedelta(microseconds=1)]
+    gauge = table("gauge", ["station"], {"level": "DOUBLE"}, limit)
+    feats = features_of(spark, [(4, read, read, 2.75)], ["station"], "level double")
+    got = as_of_join(spine_of(spark, [(4, t) for t in asked], ["station"]), "event_timestamp", feats, gauge, skew=skew)
+    assert got.columns == ["station", "event_timestamp", "gauge__level"]
+    for row in got.collect():
+        age = row.event_timestamp - read
+        assert row.gauge__level == (2.75 if timedelta(0) <= age <= limit else None), row
 
 
 @pytest.mark.parametrize("skew", PLANS)
-def test_composite_key(spark, skew):
-    keys = ["customer", "driver"]
-    spine = spine_of(
-        spark,
-        [(1001, 8001, at(1)), (1001, 8002, at(3)), (1001, 8003, at(1)), (2001, 8001, at(2))],
-        keys,
-    )
-    feats = features_of(
-        spark,
-        [
-            (1001, 8001, at(1), at(1), 3.0, 5.0),
-            (1001, 8002, at(1), at(1), 4.0, 3.0),
-            (2001, 8001, at(1), at(1), 4.0, 4.5),
-        ],
-        keys,
-        "c float, d float",
-    )
-    ratings = table("ratings", keys, {"c": "FLOAT", "d": "FLOAT"}, 86400)
-    got = as_of_join(spine, "event_timestamp", feats, ratings, skew=skew)
-    assert rows_of(got) == Counter(
-        [
-            (1001, 8001, at(1), 3.0, 5.0),
-            (1001, 8002, at(3), None, None),
-            (1001, 8003, at(1), None, None),
-            (2001, 8001, at(2), 4.0, 4.5),
-        ]
-    )
+def test_all_parts_of_a_key_must_agree(spark, skew):
+    """Every pair of shelf and slot is asked; a third of them has stock, one part alone never does."""
+    stocked = {(shelf, slot): 10 * shelf + slot for shelf in range(3) for slot in range(3) if (shelf + slot) % 3 == 0}
+    keys = ["shelf", "slot"]
+    spine = spine_of(spark, [(shelf, slot, at(20)) for shelf in range(4) for slot in range(4)], keys)
+    feats = features_of(spark, [(*k, at(19), at(19), n) for k, n in stocked.items()], keys, "items int")
+    got = as_of_join(spine, "event_timestamp", feats, table("stock", keys, {"items": "INT32"}), skew=skew)
+    assert {(r.shelf, r.slot): r.stock__items for r in got.collect()} == {
+        (shelf, slot): stocked.get((shelf, slot)) for shelf in range(4) for slot in range(4)
+    }
 
 
-def test_table_keyed_by_part_of_the_spine_key(spark):
-    spine = spine_of(spark, [(1001, 8001, at(2)), (2001, 8002, at(2))], ["customer", "driver"])
-    feats = features_of(
-        spark, [(1001, at(1), at(2), 100.0), (2001, at(1), at(1), 400.0)], ["customer"], "daily float"
+def test_a_table_may_know_fewer_keys_than_the_spine(spark):
+    """Prices per shelf serve every slot of the shelf."""
+    prices = {shelf: 1.5 * shelf for shelf in (1, 2)}
+    spine = spine_of(spark, [(shelf, slot, at(9)) for shelf in (1, 2, 3) for slot in (1, 2)], ["shelf", "slot"])
+    feats = features_of(spark, [(s, at(8), at(8), p) for s, p in prices.items()], ["shelf"], "price double")
+    got = as_of_join(spine, "event_timestamp", feats, table("p", ["shelf"], {"price": "DOUBLE"}))
+    assert rows_of(got) == Counter(
+        (shelf, slot, at(9), prices.get(shelf)) for shelf in (1, 2, 3) for slot in (1, 2)
     )
-    got = as_of_join(spine, "event_timestamp", feats, table("tx", ["customer"], {"daily": "FLOAT"}, 86400))
-    assert rows_of(got) == Counter([(1001, 8001, at(2), 100.0), (2001, 8002, at(2), 400.0)])
 
 
 @pytest.mark.parametrize("skew", PLANS)
 @pytest.mark.parametrize("checkpoint_every", [None, 1])
-def test_two_tables_and_created_time_ties(spark, skew, checkpoint_every):
-    spine = spine_of(
-        spark, [(1001, 8001, at(2)), (1001, 8002, at(2)), (2001, 8002, at(3))], ["customer", "driver"]
-    )
-    tx = features_of(
-        spark, [(1001, at(1), at(1), 100.0), (2001, at(1), at(1), 200.0)], ["customer"], "daily float"
-    )
-    bookings = features_of(
-        spark,
-        [
-            (8001, at(31, 8), at(31, 8), 200),
-            (8001, at(1), at(1), 300),
-            (8002, at(1), at(1), 600),
-            (8002, at(1), at(2), 500),
-        ],
-        ["driver"],
-        "done int",
-    )
+def test_tables_of_different_keys_and_corrections(spark, skew, checkpoint_every):
+    """Levels per station, corrected twice for the same hour, and one forecast per region."""
+    levels = [(s, at(3, hour=h), at(3, hour=h, minute=m), 100 * s + 10 * h + m) for s in (1, 2) for h in (1, 5) for m in (7, 3, 9)]
+    forecasts = [(8, at(2), at(2), 0.25), (8, at(4), at(4), 0.75)]
+    asked = [(s, r, at(3, hour=h)) for s in (1, 2, 3) for r in (8, 9) for h in (0, 4, 6)]
     got = multi_as_of(
-        spine,
+        spine_of(spark, asked, ["station", "region"]),
         "event_timestamp",
         [
-            FeatureInput(table("tx", ["customer"], {"daily": "FLOAT"}, 86400), tx),
-            FeatureInput(table("bookings", ["driver"], {"done": "INT32"}, 7 * 86400), bookings),
+            FeatureInput(table("level", ["station"], {"cm": "INT32"}, timedelta(hours=2)), features_of(spark, levels, ["station"], "cm int")),
+            FeatureInput(table("rain", ["region"], {"p": "DOUBLE"}), features_of(spark, forecasts, ["region"], "p double")),
         ],
         skew=skew,
         checkpoint_every=checkpoint_every,
     )
-    assert rows_of(got) == Counter(
-        [
-            (1001, 8001, at(2), 100.0, 300),
-            (1001, 8002, at(2), 100.0, 500),
-            (2001, 8002, at(3), None, 500),
-        ]
-    )
+
+    def expected(station, region, t):
+        hour = 5 if t.hour == 6 else None  # at 4 o'clock the reading of 1 o'clock is too old
+        cm = 100 * station + 10 * hour + 9 if hour and station < 3 else None
+        return station, region, t, cm, 0.25 if region == 8 else None
+
+    assert rows_of(got) == Counter(expected(*row) for row in asked)
 
 
 def test_later_feature_in_the_same_second_does_not_leak(spark):
@@ -199,19 +173,19 @@ def test_spine_with_map_and_odd_column_names(spark):
     }
 
 
-def test_thousand_by_thousand(spark):
-    start = datetime(2020, 8, 31)
-    spine = spark.createDataFrame(
-        [(1000 + i, start + i * DAY) for i in range(1000)], "id int, event_timestamp timestamp_ntz"
-    )
-    feats = features_of(
-        spark,
-        [(1000 + i, start + (i - 1) * DAY, start + i * DAY, 10 * i) for i in range(1000)],
-        ["id"],
-        "total int",
+def test_many_keys_each_with_one_row_in_reach(spark):
+    """Key k has rows at minutes k, 2k, 3k ...; asked at minute 997 the last multiple answers."""
+    start = datetime(2023, 3, 1)
+    rows = spark.range(1, 400).select(
+        F.col("id").cast("int").alias("k"), F.explode(F.sequence(F.col("id"), F.lit(2000), F.col("id"))).alias("m")
     )
-    got = as_of_join(spine, "event_timestamp", feats, table("b", ["id"], {"total": "INT32"}, 86400))
-    assert {(r.id, r.b__total) for r in got.collect()} == {(1000 + i, 10 * i) for i in range(1000)}
+    minute = F.lit(start).cast("timestamp_ntz") + F.make_dt_interval(mins=F.col("m").cast("int"))
+    feats = rows.select("k", minute.alias("event_timestamp"), F.col("m").cast("int").alias("v"))
+    spine = rows.select("k").distinct().select("k", F.lit(start + timedelta(minutes=997)).cast("timestamp_ntz").alias("event_timestamp"))
+    got = as_of_join(spine, "event_timestamp", feats, table("b", ["k"], {"v": "INT32"}, timedelta(minutes=150)))
+    for row in got.collect():
+        last = 997 // row.k * row.k
+        assert row.b__v == (last if 997 - last <= 150 else None), row
 
 
 # ---------------------------------------------------------------------------- brute force

@@ -50,14 +50,14 @@ from tidemark.sources.stream import read_files
 from tidemark.streaming.ingest import json_message
 from tidemark.streaming.progress import IngestMetrics, progress_frame
 
-T0 = datetime(2020, 8, 1)
+T0 = datetime(2023, 5, 17)
 TABLE = FeatureTable(
-    "test-fs",
-    (Field("customer", "STRING"),),
-    (Field("feature1", "INT32"), Field("feature2", "FLOAT")),
+    "gauges",
+    (Field("station", "STRING"),),
+    (Field("level", "INT32"), Field("flow", "FLOAT")),
     source=Source(event_timestamp="at"),
 )
-SCHEMA = "customer string, feature1 int, feature2 float, at timestamp_ntz"
+SCHEMA = "station string, level int, flow float, at timestamp_ntz"
 
 
 def hour(n):
@@ -69,7 +69,7 @@ def frame(spark, rows):
 
 
 def stored(online):
-    return {r.customer: (r.feature1, r.feature2, r.event_timestamp) for r in online.rows().collect()}
+    return {r.station: (r.level, r.flow, r.event_timestamp) for r in online.rows().collect()}
 
 
 def test_batch_load_dead_letters_and_counters(spark, folder):
@@ -78,7 +78,7 @@ def test_batch_load_dead_letters_and_counters(spark, folder):
         [("a", 1, 0.5, 1), ("a", 2, 0.25, 5), ("b", 3, 0.5, 2), (None, 4, 0.5, 3), ("c", 5, 0.5, 100), ("d", 500, 0.5, 4)],
     )
     online = OnlineTable(spark, f"{folder}/online", TABLE)
-    suite = Suite((expect_between("feature1", 0, 100),))
+    suite = Suite((expect_between("level", 0, 100),))
     report = ingest_batch(
         spark, TABLE, online, T0, hour(50), df=df, suite=suite, dead_letters=f"{folder}/dead", run_id="r1"
     )
@@ -90,14 +90,14 @@ def test_batch_load_dead_letters_and_counters(spark, folder):
     assert stored(online) == {"a": (2, 0.25, hour(5)), "b": (3, 0.5, hour(2))}
     assert read_dead_letters(spark, f"{folder}/dead").count() == 4
     reasons = read_dead_letters(spark, f"{folder}/dead", "r1").select(F.explode("_failed_checks")).collect()
-    assert sorted(r[0] for r in reasons) == ["entity_null", "expect_column_values_to_be_between_feature1_0_100"]
+    assert sorted(r[0] for r in reasons) == ["entity_null", "expect_column_values_to_be_between_level_0_100"]
 
 
 def test_flagged_rows_are_stored_and_dead_lettered(spark, folder):
     df = frame(spark, [("a", 500, 0.5, 1), (None, 1, 0.5, 1), ("b", 1, 0.5, 1)])
     online = OnlineTable(spark, f"{folder}/online", TABLE)
     report = ingest_batch(
-        spark, TABLE, online, df=df, suite=Suite((expect_between("feature1", 0, 100),)), on_invalid="flag",
+        spark, TABLE, online, df=df, suite=Suite((expect_between("level", 0, 100),)), on_invalid="flag",
         dead_letters=f"{folder}/dead",
     )
     assert (report.n_read, report.n_stored, report.n_deadletter) == (3, 2, 2)
@@ -119,12 +119,12 @@ def test_stale_batch_is_ignored_and_nulls_do_not_erase(spark, folder):
 def test_mapping_expressions_and_type_errors(spark, folder):
     mapped = FeatureTable(
         "m", TABLE.entities, (Field("plus", "INT32"), Field("mix", "DOUBLE")),
-        source=Source(event_timestamp="at", field_mapping={"plus": "feature1 + 1", "mix": "feature1 + double(feature2) * 2"}),
+        source=Source(event_timestamp="at", field_mapping={"plus": "level + 1", "mix": "level + double(flow) * 2"}),
     )
     online = OnlineTable(spark, f"{folder}/m", mapped)
     ingest_batch(spark, mapped, online, df=frame(spark, [("a", 1, 0.5, 1)]))
     assert online.rows().select("plus", "mix").first() == (2, 2.0)
-    wrong = FeatureTable("w", TABLE.entities, (Field("feature1", "INT64"),), source=Source(event_timestamp="at"))
+    wrong = FeatureTable("w", TABLE.entities, (Field("level", "INT64"),), source=Source(event_timestamp="at"))
     with pytest.raises(SchemaError, match="declared bigint but is int"):
         ingest_batch(spark, wrong, OnlineTable(spark, f"{folder}/w", wrong), df=frame(spark, []))
 
@@ -132,11 +132,11 @@ def test_mapping_expressions_and_type_errors(spark, folder):
 def test_created_time_breaks_ties_during_ingestion(spark, folder):
     tied = FeatureTable("t", TABLE.entities, TABLE.features[:1], source=Source(event_timestamp="at", created_timestamp="made"))
     df = frame(spark, [("a", 9, 0.5, 1), ("a", 1, 0.5, 1)]).withColumn(
-        "made", F.when(F.col("feature1") == 1, F.lit("2020-08-03")).otherwise(F.lit("2020-08-02")).cast("timestamp_ntz")
+        "made", F.when(F.col("level") == 1, F.lit("2023-05-19")).otherwise(F.lit("2023-05-18")).cast("timestamp_ntz")
     )
     online = OnlineTable(spark, f"{folder}/t", tied)
     ingest_batch(spark, tied, online, df=df)
-    assert online.rows().first().feature1 == 1
+    assert online.rows().first().level == 1
 
 
 # --------------------------------------------------------------------------------- streams
@@ -148,12 +148,12 @@ def write_messages(spark, folder, name, texts):
     )
 
 
-def message(customer, value, at):
-    return json.dumps({"customer": customer, "feature1": value, "feature2": 0.5, "at": hour(at).isoformat()})
+def message(station, value, at):
+    return json.dumps({"station": station, "level": value, "flow": 0.5, "at": hour(at).isoformat()})
 
 
 STREAM_TABLE = FeatureTable(
-    "test-fs", TABLE.entities, TABLE.features, source=Source(event_timestamp="at")
+    "gauges", TABLE.entities, TABLE.features, source=Source(event_timestamp="at")
 )
 
 
@@ -215,19 +215,19 @@ def test_replayed_micro_batch_changes_nothing(spark, folder):
 def test_stream_suite_modes_and_type_error(spark, folder):
     online = OnlineTable(spark, f"{folder}/online", STREAM_TABLE)
     write_messages(spark, folder, 1, [message("a", 500, 5), message("b", 1, 5), "invalid"])
-    suite = Suite((expect_between("feature1", 0, 100), expect_in_set("customer", ("a", "b"))))
+    suite = Suite((expect_between("level", 0, 100), expect_in_set("station", ("a", "b"))))
     run_stream(spark, folder, online, suite=suite, on_invalid="flag")
     assert set(stored(online)) == {"a", "b"}
     assert spark.read.parquet(f"{folder}/dead").count() == 2
     stream = read_files(spark, f"{folder}/messages", "value string")
-    wrong = FeatureTable("w", STREAM_TABLE.entities, (Field("feature1", "STRING"),), source=Source(event_timestamp="at"))
+    wrong = FeatureTable("w", STREAM_TABLE.entities, (Field("level", "STRING"),), source=Source(event_timestamp="at"))
     with pytest.raises(SchemaError):
         ingest_stream(stream, wrong, online, message=json_message(T.StructType.fromDDL(SCHEMA)), checkpoint=f"{folder}/other")
 
 
 def test_stream_with_pandas_validation(spark, folder):
     def in_range(batch: pd.DataFrame) -> pd.Series:
-        return batch["feature1"].between(0, 10)
+        return batch["level"].between(0, 10)
 
     online = OnlineTable(spark, f"{folder}/online", STREAM_TABLE)
     write_messages(spark, folder, 1, [message(f"c{i}", i, 1) for i in range(21)])
@@ -241,7 +241,7 @@ def test_stream_with_pandas_validation(spark, folder):
 
 NOWISH = datetime(2024, 1, 1)
 PAIR = FeatureTable(
-    "ratings", (Field("driver", "STRING"), Field("customer", "STRING")), (Field("a", "INT32"), Field("b", "STRING")),
+    "moorings", (Field("vessel", "STRING"), Field("berth", "STRING")), (Field("a", "INT32"), Field("b", "STRING")),
     timedelta(seconds=600), project="p",
 )
 
@@ -249,7 +249,7 @@ PAIR = FeatureTable(
 def pair_rows(spark):
     return spark.createDataFrame(
         [("d", "c", 1, None, NOWISH), ("e", "f", 2, "x", NOWISH)],
-        "driver string, customer string, a int, b string, event_timestamp timestamp_ntz",
+        "vessel string, berth string, a int, b string, event_timestamp timestamp_ntz",
     )
 
 
@@ -259,21 +259,21 @@ def test_layouts(spark):
     assert json.loads(wide["f#e"].value) == {"a": 2, "b": "x"}
     assert len(wide["c#d"].schema_ref) == 8
     columns = column_layout(pair_rows(spark), PAIR)
-    assert columns.columns == ["key", "ratings", "ratings__schema_ref", "write_time", "ttl"]
+    assert columns.columns == ["key", "moorings", "moorings__schema_ref", "write_time", "ttl"]
     assert {(r.ttl, r.write_time) for r in columns.collect()} == {(600, 1704067200000000)}
     entries = {(r.entity_key, r.field): r.value for r in kv_layout(pair_rows(spark), PAIR).collect()}
     assert entries == {
-        ("c#d", "ratings:a"): "1",
-        ("c#d", "_ts:ratings"): "2024-01-01 00:00:00",
-        ("c#d", "_ex:ratings"): "2024-01-01 00:10:00",
-        ("f#e", "ratings:a"): "2",
-        ("f#e", "ratings:b"): "x",
-        ("f#e", "_ts:ratings"): "2024-01-01 00:00:00",
-        ("f#e", "_ex:ratings"): "2024-01-01 00:10:00",
+        ("c#d", "moorings:a"): "1",
+        ("c#d", "_ts:moorings"): "2024-01-01 00:00:00",
+        ("c#d", "_ex:moorings"): "2024-01-01 00:10:00",
+        ("f#e", "moorings:a"): "2",
+        ("f#e", "moorings:b"): "x",
+        ("f#e", "_ts:moorings"): "2024-01-01 00:00:00",
+        ("f#e", "_ex:moorings"): "2024-01-01 00:10:00",
     }
-    assert storage_name(PAIR) == "p__customer__driver"
-    single = FeatureTable("s", (Field("customer", "STRING"),), (Field("a", "INT32"),))
-    empty = spark.createDataFrame([("", 1, NOWISH), ("k", 2, NOWISH)], "customer string, a int, event_timestamp timestamp_ntz")
+    assert storage_name(PAIR) == "p__berth__vessel"
+    single = FeatureTable("s", (Field("station", "STRING"),), (Field("a", "INT32"),))
+    empty = spark.createDataFrame([("", 1, NOWISH), ("k", 2, NOWISH)], "station string, a int, event_timestamp timestamp_ntz")
     assert [r.key for r in wide_layout(empty, single).collect()] == ["k"]
 
 
@@ -340,7 +340,7 @@ def test_metrics(spark):
     counted = row_counters(with_validity(df, TABLE)).first()
     assert tuple(counted) == (2, 1, 1)
     labelled = counters_frame(df, TABLE, counted.asDict()).first()
-    assert tuple(labelled) == ("default", "test-fs", 2, 1, 1)
+    assert tuple(labelled) == ("default", "gauges", 2, 1, 1)
     lag = lag_summary(df, hour(3)).first()
     assert (lag.n, lag.min_lag_us, lag.max_lag_us) == (2, 3_600_000_000, 7_200_000_000)
     assert lag.p50_lag_us in (3_600_000_000, 7_200_000_000)
@@ -348,10 +348,10 @@ def test_metrics(spark):
 
 def test_latest_without_keys_and_with_nulls(spark):
     df = frame(spark, [("a", 1, 0.5, 1), ("b", None, 0.5, 2)]).withColumnRenamed("at", "event_timestamp")
-    assert tuple(latest_per_key(df, [], ["customer", "feature1"]).first()) == ("b", None, hour(2))
-    assert latest_per_key(df.limit(0), [], ["customer"]).count() == 0
-    assert compact(df, TABLE).columns == ["customer", "event_timestamp", "feature1", "feature2"]
-    plan = latest_per_key(df, ["customer"], ["feature1"])._jdf.queryExecution().executedPlan().toString()
+    assert tuple(latest_per_key(df, [], ["station", "level"]).first()) == ("b", None, hour(2))
+    assert latest_per_key(df.limit(0), [], ["station"]).count() == 0
+    assert compact(df, TABLE).columns == ["station", "event_timestamp", "level", "flow"]
+    plan = latest_per_key(df, ["station"], ["level"])._jdf.queryExecution().executedPlan().toString()
     assert "partial_max" in plan
 
 
@@ -381,25 +381,25 @@ def test_checkpoint_folder_comes_from_the_session(spark, folder):
 
 def engine_for(spark, folder):
     rows = frame(spark, [("a", 1, 0.5, 1), ("a", 2, 0.5, 5), ("b", 3, 0.5, 2)])
-    other = spark.createDataFrame([("a", 9, hour(0))], "customer string, score int, at timestamp_ntz")
+    other = spark.createDataFrame([("a", 9, hour(0))], "station string, score int, at timestamp_ntz")
     scores = FeatureTable("scores", TABLE.entities, (Field("score", "INT32"),), source=Source(event_timestamp="at"))
-    fs = FeatureTable("fs", TABLE.entities, TABLE.features, timedelta(hours=2), source=Source(event_timestamp="at"))
+    fs = FeatureTable("river", TABLE.entities, TABLE.features, timedelta(hours=2), source=Source(event_timestamp="at"))
     return FeatureEngine(
-        spark, [fs, scores], frames={"fs": rows, "scores": other}, online_root=f"{folder}/online", buckets=4
+        spark, [fs, scores], frames={"river": rows, "scores": other}, online_root=f"{folder}/online", buckets=4
     )
 
 
 def test_engine_history(spark, folder):
     engine = engine_for(spark, folder)
-    spine = pd.DataFrame({"customer": ["a", "b", "z"], "event_timestamp": [hour(6), hour(6), hour(6)]})
+    spine = pd.DataFrame({"station": ["a", "b", "z"], "event_timestamp": [hour(6), hour(6), hour(6)]})
     got = engine.get_historical_features(
         spine,
-        ["scores:score", "fs:feature1", "fs:feature2"],
-        on_demand_features={"total": "scores__score + fs__feature1"},
+        ["scores:score", "river:level", "river:flow"],
+        on_demand_features={"total": "scores__score + river__level"},
         reduce_by_spine=True,
     )
-    assert got.columns == ["customer", "event_timestamp", "scores__score", "fs__feature1", "fs__feature2", "total"]
-    assert {r.customer: (r.scores__score, r.fs__feature1, r.total) for r in got.collect()} == {
+    assert got.columns == ["station", "event_timestamp", "scores__score", "river__level", "river__flow", "total"]
+    assert {r.station: (r.scores__score, r.river__level, r.total) for r in got.collect()} == {
         "a": (9, 2, 11), "b": (None, None, None), "z": (None, None, None),
     }
     with pytest.raises(SchemaError):
@@ -410,23 +410,23 @@ def test_engine_history(spark, folder):
 def test_engine_online(spark, folder):
     engine = engine_for(spark, folder)
     engine.materialize(T0, hour(4))
-    keys = [{"customer": "b"}, {"customer": "z"}, {"customer": "a"}]
-    refs = ["fs:feature1", "scores:score"]
-    assert [(r["fs__feature1"], r["scores__score"]) for r in engine.get_online_features(keys, refs)] == [
+    keys = [{"station": "b"}, {"station": "z"}, {"station": "a"}]
+    refs = ["river:level", "scores:score"]
+    assert [(r["river__level"], r["scores__score"]) for r in engine.get_online_features(keys, refs)] == [
         (3, None), (None, None), (1, 9),
     ]
-    engine.push("fs", frame(spark, [("z", 7, 0.5, 9)]))
+    engine.push("river", frame(spark, [("z", 7, 0.5, 9)]))
     found = engine.get_online_features(
-        spark.createDataFrame([("z",), ("a",)], "customer string"), ["fs:feature1"], full_feature_names=False
+        spark.createDataFrame([("z",), ("a",)], "station string"), ["river:level"], full_feature_names=False
     )
     assert {tuple(r) for r in found.collect()} == {("z", 7), ("a", 1)}
-    report = engine.ingest("fs", T0, hour(50))
+    report = engine.ingest("river", T0, hour(50))
     assert report.n_stored == 3
-    assert engine.update_online(["scores"]) == ["fs"]
+    assert engine.update_online(["scores"]) == ["river"]
 
 
 def test_push_through_mapping(spark, folder):
-    spend = FeatureTable("s", TABLE.entities, (Field("x", "INT32"),), source=Source(event_timestamp="at", field_mapping={"x": "feature1 * 2"}))
+    spend = FeatureTable("s", TABLE.entities, (Field("x", "INT32"),), source=Source(event_timestamp="at", field_mapping={"x": "level * 2"}))
     online = OnlineTable(spark, f"{folder}/s", spend)
     push(spend, online, frame(spark, [("a", 4, 0.5, 1)]))
     assert online.rows().first().x == 8
@@ -436,19 +436,19 @@ def test_retrieval_job(spark, folder):
     frame(spark, [("a", 1, 0.5, 1), ("b", 2, 0.5, 1)]).write.parquet(f"{folder}/src")
     spark.createDataFrame([("a", hour(2))], "id string, event_timestamp timestamp_ntz").write.parquet(f"{folder}/spine")
     file = {"format": {"json_class": "ParquetFormat"}, "path": f"{folder}/src", "event_timestamp_column": "at"}
-    spine = {**file, "path": f"{folder}/spine", "event_timestamp_column": "event_timestamp", "field_mapping": {"customer": "id"}}
+    spine = {**file, "path": f"{folder}/spine", "event_timestamp_column": "event_timestamp", "field_mapping": {"station": "id"}}
     config = {
         "tables": [
             {
-                "name": "fs",
-                "entities": [{"name": "customer", "type": "STRING"}],
-                "features": [{"name": "feature1", "type": "INT32"}],
+                "name": "river",
+                "entities": [{"name": "station", "type": "STRING"}],
+                "features": [{"name": "level", "type": "INT32"}],
                 "max_age": 86400,
                 "source": {"file": file},
             }
         ],
         "spine": {"file": spine},
-        "features": ["fs:feature1"],
+        "features": ["river:level"],
         "output": {"format": "parquet", "path": f"{folder}/out"},
     }
     assert retrieve_job.run(spark, config) == f"{folder}/out"
@@ -460,21 +460,21 @@ def test_ingestion_job(spark, folder):
     config = {
         "mode": "offline",
         "table": {
-            "name": "fs",
-            "entities": [{"name": "customer", "type": "STRING"}],
-            "features": [{"name": "feature1", "type": "INT32"}],
+            "name": "river",
+            "entities": [{"name": "station", "type": "STRING"}],
+            "features": [{"name": "level", "type": "INT32"}],
             "max_age": 60,
             "labels": {"gcThresholdSec": "7200"},
             "source": {"file": {"format": "parquet", "path": f"{folder}/src", "event_timestamp_column": "at"}},
         },
         "online": {"path": f"{folder}/online", "buckets": 2},
-        "start": "2020-08-01T00:00:00",
-        "suite": [{"expectation_type": "expect_column_values_to_be_between", "kwargs": {"column": "feature1", "max_value": 100}}],
+        "start": "2023-05-17T00:00:00",
+        "suite": [{"expectation_type": "expect_column_values_to_be_between", "kwargs": {"column": "level", "max_value": 100}}],
     }
     report = ingest_job.run(spark, config)
     assert (report.n_read, report.n_stored) == (2, 1)
     online = OnlineTable(spark, f"{folder}/online", TABLE)
-    assert online.rows().select("customer", "expiry_timestamp").first() == ("a", hour(3))
+    assert online.rows().select("station", "expiry_timestamp").first() == ("a", hour(3))
     write_messages(spark, folder, 1, [message("c", 5, 1)])
     streaming = {
         **config,
@@ -485,7 +485,7 @@ def test_ingestion_job(spark, folder):
         "trigger_seconds": "once",
     }
     ingest_job.run(spark, streaming).awaitTermination()
-    assert {r.customer for r in online.rows().collect()} == {"a", "c"}
+    assert {r.station for r in online.rows().collect()} == {"a", "c"}
     with pytest.raises(ValueError):
         ingest_job.run(spark, {**config, "mode": "sideways"})
 
@@ -496,19 +496,19 @@ def test_ingestion_job_with_a_stored_function(spark, folder):
     limit = 10
 
     def small(batch):
-        return batch["feature1"] < limit
+        return batch["level"] < limit
 
     save_function(spark, small, f"{folder}/small.pickle")
     with pytest.raises(FileExistsError):
         save_function(spark, small, f"{folder}/small.pickle")
-    assert load_function(spark, f"{folder}/small.pickle")(pd.DataFrame({"feature1": [1, 20]})).tolist() == [True, False]
+    assert load_function(spark, f"{folder}/small.pickle")(pd.DataFrame({"level": [1, 20]})).tolist() == [True, False]
     frame(spark, [("a", 1, 0.5, 1), ("b", 200, 0.5, 1)]).write.parquet(f"{folder}/src")
     config = {
         "mode": "offline",
         "table": {
-            "name": "fs",
-            "entities": [{"name": "customer", "type": "STRING"}],
-            "features": [{"name": "feature1", "type": "INT32"}],
+            "name": "river",
+            "entities": [{"name": "station", "type": "STRING"}],
+            "features": [{"name": "level", "type": "INT32"}],
             "source": {"file": {"format": "parquet", "path": f"{folder}/src", "event_timestamp_column": "at"}},
         },
         "online": {"path": f"{folder}/online"},
@@ -521,7 +521,7 @@ def test_on_demand_pandas(spark):
     from tidemark.operators.sinks import on_demand_pandas
 
     def ratio(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"ratio": rows["feature1"] / rows["feature2"], "twice": rows["feature1"] * 2})
+        return pd.DataFrame({"ratio": rows["level"] / rows["flow"], "twice": rows["level"] * 2})
 
     out = on_demand_pandas(frame(spark, [("a", 1, 0.5, 1), ("b", 3, 0.5, 1)]), ratio, "ratio double, twice long")
-    assert {(r.customer, r.ratio, r.twice) for r in out.collect()} == {("a", 2.0, 2), ("b", 6.0, 6)}
+    assert {(r.station, r.ratio, r.twice) for r in out.collect()} == {("a", 2.0, 2), ("b", 6.0, 6)}
