@@ -24,15 +24,19 @@ def keyed_text(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(docs[key].alias("key"), docs[text].cast("string").alias("text"))
 
 
+# Rows that a batch function gets at a time.
+ROWS = 2048
+
+
 def by_batch(
     df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: T.StructType | str
 ) -> DataFrame:
-    """`function` over Arrow batches, which Spark bounds in rows and bytes."""
+    """`function` over slices of Arrow batches, which Spark bounds in bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield function(batch)
+            for at in range(0, batch.num_rows, ROWS):
+                yield function(batch.slice(at, ROWS))
 
     return df.mapInArrow(run, schema)
 
