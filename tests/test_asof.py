@@ -7,6 +7,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import FeatureInput, FeatureTable, Field, SchemaError, SkewOptions, as_of_join, multi_as_of
 from tidemark.operators.reduce import candidate_counts
@@ -376,14 +377,99 @@ def test_semi_reduce_keeps_rows_as_they_are(spark, skew):
     assert [r.v for r in got.collect()] == [4, 4]
 
 
-def test_small_spine_reduces_features_before_the_shuffle(spark, monkeypatch):
-    from tidemark.plans import bounds
-
+def test_small_spine_reduces_features_before_the_shuffle(spark):
     spine, feats = event_frames(spark)
     t = FeatureTable("e", (Field("user_id", "INT64"),), (Field("value", "DOUBLE"),))
     plan = physical_plan(as_of_join(spine, "ts", feats, t, skew=None))
     assert "BroadcastHashJoin [user_id" in plan and "LeftSemi" in plan
-    # A spine above the limit is never broadcast on request of this library.
-    monkeypatch.setattr(bounds, "SMALL_SPINE_ROWS", 10)
-    assert "LeftSemi" not in physical_plan(as_of_join(spine, "ts", feats, t, skew=None))
-    assert "LeftSemi" in physical_plan(as_of_join(spine, "ts", feats, t, skew=None, reduce_by_spine=True))
+    # A spine above Spark's own limit is never broadcast on request of this library.
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
+    try:
+        assert "LeftSemi" not in physical_plan(as_of_join(spine, "ts", feats, t, skew=None))
+        assert "LeftSemi" in physical_plan(as_of_join(spine, "ts", feats, t, skew=None, reduce_by_spine=True))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_the_sample_for_hot_keys_holds_no_join(spark, monkeypatch):
+    from tidemark.operators import asof
+
+    plans, find = [], asof.find_hot_keys
+    monkeypatch.setattr(asof, "find_hot_keys", lambda rows, *a: plans.append(physical_plan(rows)) or find(rows, *a))
+    spine, feats = event_frames(spark)
+    t = FeatureTable("e", (Field("user_id", "INT64"),), (Field("value", "DOUBLE"),))
+    assert "LeftSemi" in physical_plan(as_of_join(spine, "ts", feats, t, reduce_by_spine=True))
+    assert len(plans) == 1 and "Join" not in plans[0]
+
+
+def test_a_spine_that_changes_is_evaluated_once(spark, folder):
+    """Its table grows, and it asks for the current time: what was measured holds all the same."""
+    import time
+
+    feats = features_of(spark, [(1, at(1), at(1), 1), (1, at(9), at(9), 2)], ["k"], "v int")
+    t = table("t", ["k"], {"v": "INT32"}, timedelta(days=10_000))
+    spark.sql("drop table if exists tm_growing")
+    spine_of(spark, [(1, at(2))], ["k"]).write.option("path", f"{folder}/growing").saveAsTable("tm_growing")
+    lazy = as_of_join(spark.table("tm_growing"), "event_timestamp", feats, t)
+    spine_of(spark, [(1, at(20)), (2, at(20))], ["k"]).write.insertInto("tm_growing")
+    assert rows_of(lazy) == Counter([(1, at(2), 1)])
+    again = as_of_join(spark.table("tm_growing"), "event_timestamp", feats, t)
+    assert rows_of(again) == Counter([(1, at(2), 1), (1, at(20), 2), (2, at(20), None)])
+    spark.sql("drop table tm_growing")
+
+    now = spark.range(1).select(F.lit(1).alias("k"), F.current_timestamp().alias("event_timestamp"))
+    got = as_of_join(now, "event_timestamp", feats, t)
+    first = got.collect()
+    time.sleep(1.1)
+    second = got.collect()
+    assert first == second and first[0].t__v == 2
+
+
+@pytest.mark.parametrize("max_age, last", [(None, 20), (timedelta(days=3), 20)])
+def test_spine_times_choose_date_partitions(spark, folder, max_age, last):
+    """Only the folders that the spine's times can use are read; the result is the unbounded one."""
+    from tidemark import FeatureEngine, Source
+    from tidemark.operators.sinks import append_to_batch_store
+
+    feats = features_of(spark, [(1, at(d, hour=5), at(d), d) for d in range(1, 29)], ["k"], "v int")
+    append_to_batch_store(feats, f"{folder}/store")
+    source = Source(path=f"{folder}/store", event_timestamp="event_timestamp", date_partition="date")
+    t = FeatureTable("t", (Field("k", "INT32"),), (Field("v", "INT32"),), max_age, source=source)
+    engine = FeatureEngine(spark, [t], skew=None, online_root=f"{folder}/online")
+    spine = spine_of(spark, [(1, at(18, hour=2)), (1, at(20, hour=6))], ["k"])
+    got = engine.get_historical_features(spine, ["t:v"])
+    plan = physical_plan(got)
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "<= 2020-09-20" in filters and (max_age is None or ">= 2020-09-15" in filters)
+    assert rows_of(got) == Counter([(1, at(18, hour=2), 17), (1, at(20, hour=6), 20)])
+    engine.materialize(at(3), at(5, hour=23))
+    assert [r.t__v for r in engine.online_table("t").lookup(spine.limit(1), include_expired=True).collect()] == [5]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+@pytest.mark.parametrize("spine_type", ["timestamp", "timestamp_ntz"])
+@pytest.mark.parametrize("feature_type", ["timestamp", "timestamp_ntz"])
+def test_naive_times_are_utc_in_any_session(spark, zone, spine_type, feature_type):
+    """Around the night in which New York's clocks go back, when one local hour comes twice."""
+    from tidemark.functions.times import as_time
+
+    def typed(df, name, kind):
+        have = df.schema[name].dataType
+        return df.withColumn(name, as_time(F.col(name), have, T.DataType.fromDDL(kind)))
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        times = [datetime(2024, 11, 3, h, 30) for h in range(3, 9)]
+        feats = features_of(spark, [(1, t, t, i) for i, t in enumerate(times)], ["k"], "v int")
+        spine = spine_of(spark, [(1, t + timedelta(minutes=1)) for t in times], ["k"])
+        item = table("t", ["k"], {"v": "INT32"}, timedelta(minutes=5))
+        got = as_of_join(
+            typed(spine, "event_timestamp", spine_type), "event_timestamp", typed(feats, "event_timestamp", feature_type), item
+        )
+        assert sorted(r.t__v for r in got.collect()) == list(range(6))
+        back = typed(got, "event_timestamp", "timestamp_ntz")
+        assert sorted(r.event_timestamp for r in back.collect()) == [t + timedelta(minutes=1) for t in times]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

@@ -28,6 +28,7 @@ from tidemark.operators.latest import compact, latest_per_key
 from tidemark.operators.layouts import (
     column_layout,
     kv_layout,
+    read_wide,
     register_schemas,
     schema_registry_rows,
     storage_name,
@@ -90,7 +91,7 @@ def test_batch_load_dead_letters_and_counters(spark, folder):
     assert stored(online) == {"a": (2, 0.25, hour(5)), "b": (3, 0.5, hour(2))}
     assert read_dead_letters(spark, f"{folder}/dead").count() == 4
     reasons = read_dead_letters(spark, f"{folder}/dead", "r1").select(F.explode("_failed_checks")).collect()
-    assert sorted(r[0] for r in reasons) == ["entity_null", "expect_column_values_to_be_between_level_0_100"]
+    assert sorted(r[0] for r in reasons) == ["entity_null", "expect_column_values_to_be_between(level, max_value=100, min_value=0)"]
 
 
 def test_flagged_rows_are_stored_and_dead_lettered(spark, folder):
@@ -197,6 +198,42 @@ def test_stream_upserts_rejects_and_restarts(spark, folder):
     assert metrics.total("n_read") == 7
 
 
+def test_dead_letters_of_all_runs_stay_and_are_read_by_run(spark, folder):
+    """Two stream runs and a batch run into one folder; run ids that look like numbers stay text."""
+    write_messages(spark, folder, 1, [message("a", 1, 5), "invalid", message(None, 3, 1)])
+    for number in (1, 2):
+        online = OnlineTable(spark, f"{folder}/online{number}", STREAM_TABLE)
+        stream = read_files(spark, f"{folder}/messages", "value string")
+        ingest_stream(
+            stream, STREAM_TABLE, online, message=json_message(T.StructType.fromDDL(SCHEMA)),
+            checkpoint=f"{folder}/checkpoint{number}", dead_letters=f"{folder}/dead", trigger={"availableNow": True},
+        ).awaitTermination()
+    rows = frame(spark, [("a", 1, 0.5, 1), (None, 4, 0.5, 3)])
+    ingest_batch(spark, TABLE, OnlineTable(spark, f"{folder}/o", TABLE), df=rows, dead_letters=f"{folder}/dead", run_id="007")
+    dead = read_dead_letters(spark, f"{folder}/dead")
+    assert sorted(r["count"] for r in dead.groupBy("run_id").count().collect()) == [1, 2, 2]
+    assert read_dead_letters(spark, f"{folder}/dead", "007").count() == 1
+
+
+def test_totals_count_every_batch_once():
+    metrics = IngestMetrics(keep=10)
+    for batch in range(1500):
+        metrics.add(batch, {"n_read": 2, "latest_message": None})
+    metrics.add(1499, {"n_read": 3, "latest_message": None})  # replayed
+    metrics.add(3, {"n_read": 2, "latest_message": None})
+    assert metrics.total("n_read") == 1499 * 2 + 3
+
+
+def test_a_misspelled_check_is_reported(spark, folder):
+    online = OnlineTable(spark, f"{folder}/online", TABLE)
+    suite = Suite((expect_between("levle", 0, 1),))
+    rows = frame(spark, [("a", 1, 0.5, 1)])
+    report = ingest_batch(spark, TABLE, online, df=rows, suite=suite)
+    assert report.skipped_checks == (suite.expectations[0].name,) and report.n_stored == 1
+    with pytest.raises(SchemaError):
+        ingest_batch(spark, TABLE, online, df=rows, suite=suite, strict=True)
+
+
 def test_replayed_micro_batch_changes_nothing(spark, folder):
     """Without its commit record Spark replays the last batch with the same id."""
     online = OnlineTable(spark, f"{folder}/online", STREAM_TABLE)
@@ -256,22 +293,32 @@ def pair_rows(spark):
 def test_layouts(spark):
     wide = {r.key: r for r in wide_layout(pair_rows(spark), PAIR).collect()}
     assert set(wide) == {"c#d", "f#e"}
-    assert json.loads(wide["f#e"].value) == {"a": 2, "b": "x"}
-    assert len(wide["c#d"].schema_ref) == 8
+    assert json.loads(bytes(wide["f#e"].value)[4:]) == {"a": 2, "b": "x"}
+    assert bytes(wide["c#d"].value)[:4].hex() == wide["c#d"].schema_ref
+    schema = T.StructType.fromDDL("a int, b string")
+    back = read_wide(wide_layout(pair_rows(spark), PAIR), schema)
+    assert sorted(tuple(r) for r in back.select("key", "a").collect()) == [("c#d", 1), ("f#e", 2)]
+    with pytest.raises(Exception, match="value of schema"):
+        read_wide(wide_layout(pair_rows(spark), PAIR), T.StructType.fromDDL("a int")).collect()
     columns = column_layout(pair_rows(spark), PAIR)
     assert columns.columns == ["key", "moorings", "moorings__schema_ref", "write_time", "ttl"]
     assert {(r.ttl, r.write_time) for r in columns.collect()} == {(600, 1704067200000000)}
     entries = {(r.entity_key, r.field): r.value for r in kv_layout(pair_rows(spark), PAIR).collect()}
     assert entries == {
-        ("c#d", "moorings:a"): "1",
-        ("c#d", "_ts:moorings"): "2024-01-01 00:00:00",
-        ("c#d", "_ex:moorings"): "2024-01-01 00:10:00",
-        ("f#e", "moorings:a"): "2",
-        ("f#e", "moorings:b"): "x",
-        ("f#e", "_ts:moorings"): "2024-01-01 00:00:00",
-        ("f#e", "_ex:moorings"): "2024-01-01 00:10:00",
+        ("p#berth#vessel#c#d", "moorings:a"): "1",
+        ("p#berth#vessel#c#d", "_ts:moorings"): "2024-01-01 00:00:00",
+        ("p#berth#vessel#c#d", "_ex:moorings"): "2024-01-01 00:10:00",
+        ("p#berth#vessel#f#e", "moorings:a"): "2",
+        ("p#berth#vessel#f#e", "moorings:b"): "x",
+        ("p#berth#vessel#f#e", "_ts:moorings"): "2024-01-01 00:00:00",
+        ("p#berth#vessel#f#e", "_ex:moorings"): "2024-01-01 00:10:00",
     }
     assert storage_name(PAIR) == "p__berth__vessel"
+    alike = spark.createDataFrame(
+        [("b", "a#x", 1, None, NOWISH), ("x#b", "a", 2, None, NOWISH), ("\\#b", "a", 3, None, NOWISH)],
+        pair_rows(spark).schema,
+    )
+    assert len({r.key for r in wide_layout(alike, PAIR).collect()}) == 3
     single = FeatureTable("s", (Field("station", "STRING"),), (Field("a", "INT32"),))
     empty = spark.createDataFrame([("", 1, NOWISH), ("k", 2, NOWISH)], "station string, a int, event_timestamp timestamp_ntz")
     assert [r.key for r in wide_layout(empty, single).collect()] == ["k"]
@@ -297,9 +344,9 @@ def test_result_sinks(spark, folder):
     save_dataset(df, f"{folder}/d", single_file=True)
     assert dataset_bounds(df) == (NOWISH, NOWISH)
     got = read_saved_dataset(
-        spark, f"{folder}/d", ["x:a"], ["driver"], full_feature_names=False, start=NOWISH, end=NOWISH
+        spark, f"{folder}/d", ["x:a"], ["vessel"], full_feature_names=False, start=NOWISH, end=NOWISH
     )
-    assert got.columns == ["driver", "a", "event_timestamp"] and got.count() == 2
+    assert got.columns == ["vessel", "a", "event_timestamp"] and got.count() == 2
     with pytest.raises(Exception, match="(?i)exists"):
         save_dataset(df, f"{folder}/d")
 
@@ -412,12 +459,18 @@ def test_engine_online(spark, folder):
     engine.materialize(T0, hour(4))
     keys = [{"station": "b"}, {"station": "z"}, {"station": "a"}]
     refs = ["river:level", "scores:score"]
-    assert [(r["river__level"], r["scores__score"]) for r in engine.get_online_features(keys, refs)] == [
-        (3, None), (None, None), (1, 9),
-    ]
+
+    def answers(**options):
+        found = engine.get_online_features(keys, refs, **options)
+        return [(r["river__level"], r["scores__score"]) for r in found]
+
+    assert answers() == [(None, None), (None, None), (None, 9)]  # the river's two hours are long over
+    assert answers(as_of=hour(3)) == [(3, None), (None, None), (None, 9)]
+    assert answers(include_expired=True) == [(3, None), (None, None), (1, 9)]
     engine.push("river", frame(spark, [("z", 7, 0.5, 9)]))
     found = engine.get_online_features(
-        spark.createDataFrame([("z",), ("a",)], "station string"), ["river:level"], full_feature_names=False
+        spark.createDataFrame([("z",), ("a",)], "station string"), ["river:level"], full_feature_names=False,
+        include_expired=True,
     )
     assert {tuple(r) for r in found.collect()} == {("z", 7), ("a", 1)}
     report = engine.ingest("river", T0, hour(50))

@@ -126,20 +126,20 @@ def test_column_map_renames_and_computes(spark):
 
 
 def test_input_projection(spark):
-    df = spark.createDataFrame([(1, 10, 0.5, datetime(2020, 1, 1))], "c int, feature1 int, feature2 double, at timestamp_ntz")
+    df = spark.createDataFrame([(1, 10, 0.5, datetime(2020, 1, 1))], "c int, level int, flow double, at timestamp_ntz")
     t = FeatureTable(
-        "t", (Field("customer", "INT32"),), (Field("plus", "INT32"), Field("feature2", "DOUBLE")), tie_break=("feature1",)
+        "t", (Field("station", "INT32"),), (Field("plus", "INT32"), Field("flow", "DOUBLE")), tie_break=("level",)
     )
-    source = Source(event_timestamp="at", field_mapping={"customer": "c", "plus": "feature1 + 1"})
+    source = Source(event_timestamp="at", field_mapping={"station": "c", "plus": "level + 1"})
     out = project_input(df, t, source)
-    assert out.columns == ["plus", "feature2", "customer", "feature1", "event_timestamp"]
+    assert out.columns == ["plus", "flow", "station", "level", "event_timestamp"]
     assert out.first() == (11, 0.5, 1, 10, datetime(2020, 1, 1))
 
 
 def test_keys_with_separators_stay_different(spark):
     df = spark.createDataFrame([("a#b", "c"), ("a", "b#c")], "x string, y string")
-    plain = {r[0] for r in df.select(joined_key(["x", "y"])).collect()}
-    escaped = {r[0] for r in df.select(joined_key(["x", "y"], escape=True)).collect()}
+    plain = {r[0] for r in df.select(joined_key(["x", "y"], escape=False)).collect()}
+    escaped = {r[0] for r in df.select(joined_key(["x", "y"])).collect()}
     assert plain == {"a#b#c"}
     assert len(escaped) == 2
 

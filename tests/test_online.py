@@ -1,12 +1,23 @@
 """Online table: fold, commits, lookups, expiry."""
 
-from datetime import datetime, timedelta
+from datetime import UTC, datetime, timedelta
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-
-from tidemark import CommitConflict, FeatureTable, Field, OnlineTable, SkewOptions, fold_batches, key_expiry
+from pyspark.sql import functions as F
+
+from tidemark import (
+    CommitConflict,
+    FeatureTable,
+    Field,
+    OnlineTable,
+    SchemaError,
+    SkewOptions,
+    files,
+    fold_batches,
+    key_expiry,
+)
 from tidemark.operators.online import update_online_tables, with_expiry
 
 T0 = datetime(2024, 1, 1)
@@ -79,7 +90,7 @@ def test_stored_table_equals_a_loop_across_compactions(spark, folder):
         spark.sql(f"DROP TABLE {name}")
     again = OnlineTable(spark, f"{folder}/t", TABLE)
     assert state_of(again.rows()) == dict_fold(batches)
-    again.vacuum()
+    again.vacuum(retain=timedelta(0))
     assert state_of(again.rows()) == dict_fold(batches)
     again.drop()
     assert OnlineTable(spark, f"{folder}/t", TABLE).rows().count() == 0
@@ -137,12 +148,165 @@ def test_replayed_batches_are_skipped(spark, folder):
     assert state_of(online.rows()) == {1: (minute(2), 3, "z")}
 
 
-def test_two_writers_cannot_commit_the_same_version(spark, folder):
-    online = OnlineTable(spark, f"{folder}/t", TABLE)
-    stale = online._state()
+def _racing(monkeypatch, rival, times=1):
+    """Let `rival` commit right before the next `times` commits."""
+    real, left = files.create_text, [times]
+
+    def create(spark, path, text):
+        if left[0] > 0:
+            left[0] -= 1
+            rival()
+        return real(spark, path, text)
+
+    monkeypatch.setattr(files, "create_text", create)
+
+
+def test_a_number_is_given_once(spark, folder):
+    path = f"{folder}/t/_commits/000000000007.json"
+    assert files.create_text(spark, path, "first") and not files.create_text(spark, path, "second")
+    assert files.read_text(spark, path) == "first"
+    assert files.names_in(spark, f"{folder}/t/_commits") == ["000000000007.json"]
+
+
+def test_a_write_that_is_second_commits_again(spark, folder, monkeypatch):
+    online, rival = (OnlineTable(spark, f"{folder}/t", TABLE) for _ in range(2))
     online.upsert(frame(spark, [(1, 1, 1, "x")]))
+    _racing(monkeypatch, lambda: rival.upsert(frame(spark, [(1, 2, 2, "y"), (2, 2, 2, "y")])))
+    assert online.upsert(frame(spark, [(1, 2, 3, None)]))
+    assert state_of(online.rows()) == {1: (minute(2), 3, "y"), 2: (minute(2), 2, "y")}
+    assert [d["seq"] for d in online._state()["deltas"]] == [1, 2, 3]
+
+
+def test_a_write_that_never_wins_raises(spark, folder, monkeypatch):
+    online = OnlineTable(spark, f"{folder}/t", TABLE)
+    monkeypatch.setattr(files, "create_text", lambda *args: False)
     with pytest.raises(CommitConflict):
-        online._commit(stale)
+        online.upsert(frame(spark, [(1, 1, 1, "x")]))
+
+
+def test_a_replay_that_meets_its_own_commit_is_skipped(spark, folder, monkeypatch):
+    online, rival = (OnlineTable(spark, f"{folder}/t", TABLE) for _ in range(2))
+    rows = frame(spark, [(1, 1, 1, "x")])
+    _racing(monkeypatch, lambda: rival.upsert(rows, batch_id=0, writer="w"))
+    assert not online.upsert(rows, batch_id=0, writer="w")
+    assert len(online._state()["deltas"]) == 1
+
+
+def test_a_compaction_that_loses_is_quiet_and_later_batches_stay(spark, folder, monkeypatch):
+    online, rival = (OnlineTable(spark, f"{folder}/t", TABLE, compact_after=100) for _ in range(2))
+    online.upsert(frame(spark, [(1, 1, 1, "x")]))
+    _racing(monkeypatch, lambda: rival.upsert(frame(spark, [(1, 3, 5, None)])))
+    online.compact()
+    assert state_of(online.rows()) == {1: (minute(3), 5, "x")} and len(online._state()["deltas"]) == 1
+    base = online._state()["base"]
+    _racing(monkeypatch, rival.compact)
+    online.upsert(frame(spark, [(2, 1, 1, "x")]))
+    online.compact()
+    assert online._state()["base"] != base
+    assert state_of(online.rows()) == {1: (minute(3), 5, "x"), 2: (minute(1), 1, "x")}
+
+
+def test_an_unfinished_commit_is_skipped(spark, folder):
+    online = OnlineTable(spark, f"{folder}/t", TABLE)
+    online.upsert(frame(spark, [(1, 1, 1, "x")]))
+    for left in ("", '{"version": 2, "del'):
+        files.create_text(spark, online._commit_name(online.version + 1), left)
+        assert state_of(online.rows())[1] == (minute(1), 1, "x")
+    online.upsert(frame(spark, [(1, 2, 2, None)]))
+    assert state_of(online.rows()) == {1: (minute(2), 2, "x")}
+
+
+def test_commits_are_found_without_and_with_an_old_pointer(spark, folder):
+    online = OnlineTable(spark, f"{folder}/t", TABLE)
+    for i in range(3):
+        online.upsert(frame(spark, [(1, i, i, "x")]))
+    for pointer in ("1", "0", "99", "", "torn"):
+        files.write_text(spark, f"{folder}/t/_commits/latest", pointer)
+        assert online.version == 3
+    files.remove(spark, f"{folder}/t/_commits/latest")
+    assert online.version == 3
+
+
+def test_vacuum_spares_what_a_writer_may_still_commit(spark, folder):
+    online = OnlineTable(spark, f"{folder}/t", TABLE)
+    online.upsert(frame(spark, [(1, 1, 1, "x")]))
+    delta = online._write_delta(frame(spark, [(2, 1, 1, "y")]))
+    online.vacuum()
+    online._commit(lambda s: {**s, "deltas": [*s["deltas"], {**delta, "seq": s["next_seq"]}], "next_seq": s["next_seq"] + 1})
+    assert set(state_of(online.rows())) == {1, 2}
+    online.compact()
+    online.vacuum(retain=timedelta(0))
+    assert set(state_of(online.rows())) == {1, 2} and files.names_in(spark, f"{folder}/t/delta") == []
+
+
+def test_a_feature_keeps_its_stored_type(spark, folder):
+    OnlineTable(spark, f"{folder}/t", TABLE).upsert(frame(spark, [(1, 1, 1, "x")]))
+    changed = FeatureTable("t", TABLE.entities, (Field("a", "STRING"),))
+    rows = frame(spark, [(1, 2, 1, "x")]).withColumn("a", F.lit("text"))
+    with pytest.raises(SchemaError, match="stored as"):
+        OnlineTable(spark, f"{folder}/t", changed).upsert(rows)
+    assert state_of(OnlineTable(spark, f"{folder}/t", TABLE).rows()) == {1: (minute(1), 1, "x")}
+
+
+def test_many_small_writes_leave_the_base_alone(spark, folder):
+    online = OnlineTable(spark, f"{folder}/t", TABLE, buckets=2, compact_after=3)
+    online.upsert(frame(spark, [(i, 0, i, "x" * (i % 97)) for i in range(30_000)]))
+    online.compact()
+    base, expected = online._state()["base"], {}
+    for i in range(20):
+        k = i % 4
+        a, b = (None, f"b{i}") if i % 3 else (i, None)
+        online.upsert(frame(spark, [(k, 1 + i % 7, a, b)]))
+        expected.setdefault(k, []).append([(k, 1 + i % 7, a, b)])
+    state = online._state()
+    assert state["base"] == base
+    assert len(state["deltas"]) < 10 and max(d["level"] for d in state["deltas"]) == 2
+    first = {k: (0, k, "x" * k) for k in range(4)}
+    for k, batches in expected.items():
+        t, a, b = first[k]
+        assert state_of(online.rows().filter(f"k = {k}")) == dict_fold([[(k, t, a, b)], *batches])
+
+
+def test_a_redeclared_max_age_applies(spark, folder):
+    def declared(age, **labels):
+        return OnlineTable(spark, f"{folder}/t", FeatureTable("t", TABLE.entities, TABLE.features, age, labels=labels))
+
+    rows = frame(spark, [(1, 0, 1, "x")])
+    declared(timedelta(days=30)).upsert(rows)
+    for age, kept in ((timedelta(days=2), timedelta(days=2)), (None, None), (timedelta(days=5), timedelta(days=5))):
+        declared(age).upsert(rows)
+        assert declared(age).max_age == kept
+    declared(timedelta(days=5)).set_max_age(timedelta(days=9))
+    declared(timedelta(days=5)).upsert(rows)  # declared as before: the change stays
+    assert declared(None).max_age == timedelta(days=9)
+    declared(timedelta(days=1), gcThresholdSec=str(10 * 86_400)).upsert(rows)
+    assert declared(None).max_age == timedelta(days=10)
+
+
+def test_values_expire_by_now_unless_asked_otherwise(spark, folder):
+    aged = FeatureTable("t", TABLE.entities, TABLE.features, timedelta(days=30))
+    online = OnlineTable(spark, f"{folder}/t", aged)
+    now = datetime.now(UTC).replace(tzinfo=None)
+    rows = [(1, now - timedelta(days=31), 1, "x"), (2, now - timedelta(days=1), 2, "y")]
+    online.upsert(spark.createDataFrame(rows, SCHEMA))
+    spine = spark.createDataFrame([(1,), (2,)], "k int")
+    for options, expected in (({}, {1: None, 2: 2}), ({"include_expired": True}, {1: 1, 2: 2})):
+        assert {r.k: r.t__a for r in online.lookup(spine, ["a"], **options).collect()} == expected
+        assert {r["k"]: r["t__a"] for r in online.get([{"k": 1}, {"k": 2}], ["a"], **options)} == expected
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_instants_are_stored_as_utc_in_any_session(spark, folder, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        rows = spark.createDataFrame([(1, 1, "x")], "k int, a int, b string")
+        rows = rows.withColumn("event_timestamp", F.timestamp_micros(F.lit(1_710_054_000_000_000)))
+        online = OnlineTable(spark, f"{folder}/{zone}", TABLE)
+        online.upsert(rows)
+        assert online.rows().first().event_timestamp == datetime(2024, 3, 10, 7)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
 
 
 def test_rows_without_key_or_time_are_not_stored(spark, folder):
@@ -157,7 +321,7 @@ def test_lookup_expiry_and_order(spark, folder):
     online = OnlineTable(spark, f"{folder}/t", aged)
     online.upsert(frame(spark, [(1, 0, 1, "x"), (2, 5, 2, None)]))
     keys = [{"k": 2}, {"k": 9}, {"k": 1}, {"k": 2}]
-    assert [r["t__a"] for r in online.get(keys, ["a"])] == [2, None, 1, 2]
+    assert [r["t__a"] for r in online.get(keys, ["a"], include_expired=True)] == [2, None, 1, 2]
     late = online.get(keys, ["a"], as_of=minute(12))
     assert [r["t__a"] for r in late] == [2, None, None, 2]
     online.set_max_age(None)
@@ -195,14 +359,19 @@ def test_teardown_keeps_the_other_tables(spark, folder):
     assert OnlineTable(spark, f"{folder}/other", other).rows().count() == 1
 
 
-def test_few_keys_are_filtered_in_the_scan(spark, folder):
+def test_a_small_lookup_reads_few_buckets_and_row_groups(spark, folder, monkeypatch):
     online = OnlineTable(spark, f"{folder}/t", TABLE, buckets=8)
     online.upsert(frame(spark, [(i, 1, i, "x") for i in range(100)]))
     online.compact()
     online.upsert(frame(spark, [(3, 2, 7, "y")]))
-    from pyspark.sql import functions as F
-
-    rows = online._current(["a"], None, True, F.col("k").isin([3, 4]))
-    plan = rows._jdf.queryExecution().executedPlan().toString()
-    assert {r.k: r.t__a for r in rows.collect()} == {3: 7, 4: 4}
-    assert plan.count("PushedFilters: [In(k, [3,4])]") == 2
+    spine = spark.createDataFrame([(3,), (4,), (None,)], "k int")
+    for few in (1000, 1):  # beyond: a semi join before the fold, the same answer
+        monkeypatch.setattr("tidemark.operators.online._FEW_KEYS", few)
+        rows = online.lookup(spine, ["a"], skew=None)
+        assert {r.k: r.t__a for r in rows.collect()} == {3: 7, 4: 4, None: None}
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        if few == 1:
+            assert plan.count("LeftSemi") >= 2
+        else:
+            assert plan.count("In(k, [3,4])") + plan.count("In(k, [4,3])") >= 2
+            assert any(f"SelectedBucketsCount: {n} out of 8" in plan for n in (1, 2))

@@ -81,7 +81,7 @@ def test_reasons_and_split(spark):
     assert reasons == [
         ("entity_null",),
         ("event_timestamp_null",),
-        ("expect_column_values_to_be_between_num_0_100", "expect_column_values_to_be_in_set_set"),
+        (SUITE.expectations[0].name, SUITE.expectations[1].name),
         ("no_feature",),
     ]
     good, bad = split_valid(checked)
@@ -97,15 +97,32 @@ def test_prefixed_columns_and_unknown_columns(spark):
     checked = with_validity(df, TABLE, suite)
     assert checked.filter(VALID).count() == 1
     usable, skipped = suite.for_table(TABLE).usable_checks(df)
-    assert list(usable) == ["expect_column_values_to_be_between_num_0_10"]
-    assert skipped == ["expect_column_values_to_be_between_gone_0_1"]
+    assert list(usable) == ["expect_column_values_to_be_between(num, max_value=10, min_value=0)"]
+    assert skipped == ["expect_column_values_to_be_between(gone, max_value=1, min_value=0)"]
+    seen = []
+    with_validity(df, TABLE, suite, skipped=seen)
+    assert seen == skipped
+    with pytest.raises(SchemaError, match="gone"):
+        with_validity(df, TABLE, suite, strict=True)
+
+
+def test_checks_of_one_column_keep_apart(spark):
+    """Names hold all arguments, lists included."""
+    suite = Suite((expect_in_set("set", ("a", "b")), expect_in_set("set", ("b", "c"))))
+    assert len({e.name for e in suite.expectations}) == 2
+    df = rows(spark, [(1, 5, "a", NOW), (2, 5, "b", NOW), (3, 5, "c", NOW)])
+    assert {r.check_name: r.failed for r in check_report(df, suite).collect()} == {
+        "expect_column_values_to_be_in_set(set, value_set=[a, b])": 1,
+        "expect_column_values_to_be_in_set(set, value_set=[b, c])": 1,
+    }
+    assert [r.key for r in with_validity(df, TABLE, suite).filter(VALID).collect()] == [2]
 
 
 def test_check_report(spark):
     df = rows(spark, [(1, 150, "d", NOW), (1, -1, "a", NOW), (1, None, None, NOW)])
     assert {r.check_name: r.failed for r in check_report(df, SUITE).collect()} == {
-        "expect_column_values_to_be_between_num_0_100": 2,
-        "expect_column_values_to_be_in_set_set": 1,
+        SUITE.expectations[0].name: 2,
+        SUITE.expectations[1].name: 1,
     }
 
 
@@ -138,8 +155,8 @@ def test_observed_values(spark):
     )
     got = {r.check_name: (r.observed_value, r.success, r.reported_value) for r in observed_report(df, suite).collect()}
     assert got == {
-        "expect_column_mean_to_be_between_num_0_10": (15.0, False, 1500),
-        "expect_column_proportion_of_unique_values_to_be_between_set_0.1": (0.5, True, 0),
+        suite.expectations[0].name: (15.0, False, 1500),
+        suite.expectations[1].name: (0.5, True, 0),
     }
 
 
@@ -158,7 +175,7 @@ def test_suite_from_dicts_and_unknown_kind():
     suite = Suite.from_dicts(
         [{"expectation_type": "expect_column_values_to_be_between", "kwargs": {"column": "n", "min_value": 0}}]
     )
-    assert suite.expectations[0].name == "expect_column_values_to_be_between_n_0"
+    assert suite.expectations[0].name == "expect_column_values_to_be_between(n, min_value=0)"
     with pytest.raises(SchemaError):
         expect("expect_magic", "x")
 

@@ -21,6 +21,9 @@ from tidemark.sources.batch import infer_event_timestamp, load
 from tidemark.sources.spine import as_spine
 
 
+_DAY = "__tm_day"
+
+
 class FeatureEngine:
     """Feature tables of a project over their sources and online tables."""
 
@@ -69,8 +72,9 @@ class FeatureEngine:
     ) -> DataFrame:
         """Features as they were at each spine row's time, as one lazy frame.
 
-        `reduce_by_spine` drops feature rows of keys that the spine does not have before
-        the join; by default that is done for spines measured to be small.
+        The spine is evaluated once, now; its times choose the date partitions and row groups
+        that are read. `reduce_by_spine` drops feature rows of keys that the spine does not
+        have before the join; by default that is done where its keys fit into a broadcast.
         """
         if isinstance(spine, Source):
             spine_ts = spine_ts or spine.event_timestamp
@@ -80,9 +84,10 @@ class FeatureEngine:
         for name, features in parse_refs(refs).items():
             table = self.table(name).with_features(features)
             source = table.source or Source()
-            rows = select_features(self.source_rows(table), table, source)
+            day = {_DAY: source.date_partition} if source.date_partition else {}
+            rows = select_features(self.source_rows(table), table, source, keep=day)
             created = CREATED_TS if source.created_timestamp else None
-            inputs.append(FeatureInput(table, rows, EVENT_TS, created))
+            inputs.append(FeatureInput(table, rows, EVENT_TS, created, _DAY if day else None))
         result = multi_as_of(
             spine,
             spine_ts,
@@ -143,9 +148,11 @@ class FeatureEngine:
         refs: Sequence[str],
         *,
         as_of: datetime | None = None,
+        include_expired: bool = False,
         full_feature_names: bool = True,
     ) -> DataFrame | list[dict]:
-        """Current values: a frame for a frame, a list in input order for a list."""
+        """Current values: a frame for a frame, a list in input order for a list. Values that
+        have expired by `as_of` (now by default) are null unless `include_expired`."""
         grouped = parse_refs(refs)
         if isinstance(rows, DataFrame):
             result = rows
@@ -154,6 +161,7 @@ class FeatureEngine:
                     result,
                     features,
                     as_of=as_of,
+                    include_expired=include_expired,
                     full_feature_names=full_feature_names,
                     skew=self.skew,
                     key_rows=rows,
@@ -162,7 +170,11 @@ class FeatureEngine:
         answers = [dict(r) for r in rows]
         for name, features in grouped.items():
             found = self.online_table(name).get(
-                answers, features, as_of=as_of, full_feature_names=full_feature_names
+                answers,
+                features,
+                as_of=as_of,
+                include_expired=include_expired,
+                full_feature_names=full_feature_names,
             )
             wanted = [output_name(name, f, full_feature_names) for f in features]
             for answer, values in zip(answers, found):

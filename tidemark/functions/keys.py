@@ -11,12 +11,14 @@ from pyspark.sql import types as T
 KEY_SEPARATOR = "#"
 
 
-def joined_key(columns: Sequence[str], separator: str = KEY_SEPARATOR, *, escape: bool = False) -> Column:
-    """Entity values as one string. With `escape`, separators inside values are marked by
-    a backslash, so that different keys never share a string. Null parts become empty."""
+def joined_key(
+    columns: Sequence[str], separator: str = KEY_SEPARATOR, *, escape: bool = True, before: Sequence[str] = ()
+) -> Column:
+    """Entity values as one string, after the names in `before`. Separators inside parts are
+    marked by a backslash, so that different keys never share a string; `escape=False` leaves
+    them as they are. Null parts become empty."""
     parts = []
-    for name in columns:
-        part = F.coalesce(F.col(name).cast("string"), F.lit(""))
+    for part in [*map(F.lit, before), *(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in columns)]:
         if escape:
             part = F.replace(part, F.lit("\\"), F.lit("\\\\"))
             part = F.replace(part, F.lit(separator), F.lit("\\" + separator))
@@ -25,8 +27,12 @@ def joined_key(columns: Sequence[str], separator: str = KEY_SEPARATOR, *, escape
 
 
 def hashed_name(*parts: str) -> Column:
-    """32-bit hash of names joined by `:`, as eight hex digits."""
-    return F.lower(F.lpad(F.hex(F.hash(F.lit(":".join(parts))).cast("long").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0"))
+    """32-bit hash of names joined by `:`, as eight hex digits: the first ones of their MD5."""
+    return short_hash(F.lit(":".join(parts)))
+
+
+def short_hash(text: Column) -> Column:
+    return F.substring(F.md5(text), 1, 8)
 
 
 def schema_ref(schema: T.StructType) -> Column:

@@ -35,6 +35,35 @@ def time_literal(value: datetime | date, dtype: T.DataType) -> Column:
     return F.timestamp_micros(F.lit(micros))
 
 
+_EPOCH_DAY = date(1970, 1, 1)
+
+
+def naive_utc(instant: Column) -> Column:
+    """An instant as naive UTC time, whatever the session's time zone."""
+    seconds = (F.unix_micros(instant).cast("decimal(20,0)") * F.lit(0.000001).cast("decimal(7,6)")).cast("decimal(18,6)")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+
+
+def utc_instant(naive: Column) -> Column:
+    """Naive UTC time as an instant, whatever the session's time zone."""
+    whole = F.datediff(F.to_date(naive), F.lit(_EPOCH_DAY)).cast("long") * 86_400
+    whole = whole + F.hour(naive) * 3_600 + F.minute(naive) * 60
+    micros = whole * 1_000_000 + (F.date_part(F.lit("SECOND"), naive) * 1_000_000).cast("long")
+    return F.timestamp_micros(micros)
+
+
+def as_time(column: Column, have: T.DataType, want: T.DataType) -> Column:
+    """A time column in another time type; naive times are UTC."""
+    if have == want:
+        return column
+    if isinstance(have, T.DateType):
+        column, have = column.cast("timestamp_ntz"), T.TimestampNTZType()
+        if have == want:
+            return column
+    return naive_utc(column) if isinstance(want, T.TimestampNTZType) else utc_instant(column)
+
+
 def normalise_time(text: str | Column) -> Column:
     """Event time strings of mixed zones (naive, Z, fixed offset, region name) as UTC
     `timestamp_ntz`. Unreadable strings become null."""
@@ -56,13 +85,16 @@ def normalise_time(text: str | Column) -> Column:
     return F.when(region != "", in_region).when(has_offset, unshifted - shift).otherwise(wall)
 
 
-def whole_seconds_between(earlier: Column, later: Column) -> Column:
-    """Difference of the two times after each is cut to whole seconds."""
-    return F.unix_seconds(later.cast("timestamp")) - F.unix_seconds(earlier.cast("timestamp"))
+def whole_seconds_between(earlier: Column, later: Column, *, naive: bool = False) -> Column:
+    """Difference of the two times after each is cut to whole seconds. `naive` says that the
+    columns are times without a zone, which are UTC."""
+    a, b = (utc_instant(c) if naive else c.cast("timestamp") for c in (earlier, later))
+    return F.unix_seconds(b) - F.unix_seconds(a)
 
 
-def micros_between(earlier: Column, later: Column) -> Column:
-    return F.unix_micros(later.cast("timestamp")) - F.unix_micros(earlier.cast("timestamp"))
+def micros_between(earlier: Column, later: Column, *, naive: bool = False) -> Column:
+    a, b = (utc_instant(c) if naive else c.cast("timestamp") for c in (earlier, later))
+    return F.unix_micros(b) - F.unix_micros(a)
 
 
 def expiry_time(event_ts: Column, max_age: timedelta | None) -> Column:
@@ -72,5 +104,12 @@ def expiry_time(event_ts: Column, max_age: timedelta | None) -> Column:
     return event_ts + F.lit(max_age)
 
 
-def event_date(ts: str) -> Column:
-    return F.to_date(F.col(ts))
+def event_date(ts: str, dtype: T.DataType | None = None) -> Column:
+    """The UTC date of a time column; `dtype` is its type where that may be an instant."""
+    at = F.col(ts)
+    return F.to_date(naive_utc(at) if isinstance(dtype, T.TimestampType) else at)
+
+
+def utc_day(value: datetime | date) -> date:
+    """The UTC date of a time; dates stay."""
+    return as_utc(value).date() if isinstance(value, datetime) else value

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.errors import SchemaError
+from tidemark.functions.times import as_time
 from tidemark.model import CREATED_TS, EVENT_TS, FeatureTable, output_name
 from tidemark.operators.reduce import distinct_keys, semi_reduce
 from tidemark.operators.validate import check_spine
@@ -50,6 +51,8 @@ class FeatureInput:
     df: DataFrame
     event_ts: str = EVENT_TS
     created_ts: str | None = CREATED_TS
+    # The column that holds the rows' UTC date, where the source is partitioned by it.
+    day: str | None = None
 
 
 def as_of_join(
@@ -92,12 +95,15 @@ def multi_as_of(
 ) -> DataFrame:
     """Point-in-time join of many feature tables.
 
-    Two small jobs run when this is called: the spine's time bounds and size
-    (`bound_by_spine`), for the scans, and a sample of the key columns, for hot keys
-    (`skew`). Feature rows whose key the spine does not have are dropped before the shuffle
-    if the spine was measured to be small; `reduce_by_spine=True` asks for that with any
-    spine, at the price of a semi join, and False for never. Tables with the same keys share one pass. `checkpoint_every=n` cuts lineage after
-    every n passes, for requests over very many different keys.
+    The spine is evaluated once per request, into the reliable checkpoint folder: all that
+    is measured on it holds for the rows that are joined, also when its tables grow or it asks
+    for the current time. Two small jobs then look at it: its time bounds and size
+    (`bound_by_spine`), for the scans, and a sample of the key columns, for hot keys (`skew`).
+    With neither, nothing is measured and the spine stays lazy. Feature rows whose key the
+    spine does not have are dropped before the shuffle if its keys fit into a broadcast;
+    `reduce_by_spine=True` asks for that with any spine, at the price of a semi join, and
+    False for never. Tables with the same keys share one pass. `checkpoint_every=n` cuts
+    lineage after every n passes, for requests over very many different keys.
     """
     _check_output_names(spine, inputs, full_feature_names)
     groups: dict[tuple[str, ...], list[FeatureInput]] = {}
@@ -105,14 +111,18 @@ def multi_as_of(
         check_spine(spine, spine_ts, item.table)
         groups.setdefault(tuple(sorted(item.table.keys)), []).append(item)
 
-    bounds = measure_spine(spine, spine_ts) if bound_by_spine else None
+    bounds = None
+    if bound_by_spine:
+        spine = cut_lineage(spine)
+        bounds = measure_spine(spine, spine_ts)
     result = spine
     for done, (keys, members) in enumerate(groups.items(), start=1):
+        bounded = [_bounded(m, bounds) for m in members]
+        hot = _find_hot(spine, spine_ts, members, bounded, keys, skew) if skew else None
         prepared = [
-            _prepare(m, spine, spine_ts, bounds, reduce_by_spine, f"__tm_f{i}")
-            for i, m in enumerate(members)
+            _prepare(m, df, spine, spine_ts, bounds, reduce_by_spine, f"__tm_f{i}")
+            for i, (m, df) in enumerate(zip(members, bounded))
         ]
-        hot = _find_hot(spine, spine_ts, prepared, keys, skew) if skew else None
         result = _one_pass(result, spine_ts, list(keys), members, prepared, hot, full_feature_names)
         if checkpoint_every and done % checkpoint_every == 0 and done < len(groups):
             result = cut_lineage(result)
@@ -133,8 +143,18 @@ def _check_output_names(spine: DataFrame, inputs: Sequence[FeatureInput], full:
         raise SchemaError(f"columns would appear twice in the result: {twice}")
 
 
+def _bounded(item: FeatureInput, bounds: SpineBounds | None) -> DataFrame:
+    """Feature rows with a key and a time that some spine time could use."""
+    complete = F.col(item.event_ts).isNotNull()
+    for key in item.table.keys:
+        complete = complete & F.col(key).isNotNull()
+    df = item.df.filter(complete)
+    return bounds.keep_usable(df, item.event_ts, item.table.max_age, item.day) if bounds else df
+
+
 def _prepare(
     item: FeatureInput,
+    df: DataFrame,
     spine: DataFrame,
     spine_ts: str,
     bounds: SpineBounds | None,
@@ -142,18 +162,12 @@ def _prepare(
     slot: str,
 ) -> DataFrame:
     """Feature rows as (keys, time, struct of everything that orders or is returned)."""
-    table, df = item.table, item.df
-    ts_type = spine.schema[spine_ts].dataType
-    if df.schema[item.event_ts].dataType != ts_type:
-        df = df.withColumn(item.event_ts, F.col(item.event_ts).cast(ts_type))
-    complete = F.col(item.event_ts).isNotNull()
-    for key in table.keys:
-        complete = complete & F.col(key).isNotNull()
-    df = df.filter(complete)
-    if bounds:
-        df = bounds.keep_usable(df, item.event_ts, table.max_age)
-    if bounds and bounds.is_small and reduce_by_spine is not False:
-        # At most SMALL_SPINE_ROWS keys, as just measured.
+    table = item.table
+    have, want = df.schema[item.event_ts].dataType, spine.schema[spine_ts].dataType
+    if have != want:
+        df = df.withColumn(item.event_ts, as_time(F.col(item.event_ts), have, want))
+    if bounds and reduce_by_spine is not False and bounds.keys_fit(spine.sparkSession, len(table.keys)):
+        # Measured on the stored spine that these keys come from.
         df = df.join(F.broadcast(distinct_keys(spine, table.keys)), table.keys, "left_semi")
     elif reduce_by_spine:
         df = semi_reduce(df, spine, table.keys)
@@ -168,11 +182,19 @@ def _prepare(
 
 
 def _find_hot(
-    spine: DataFrame, spine_ts: str, prepared: list[DataFrame], keys: Sequence[str], skew: SkewOptions
+    spine: DataFrame,
+    spine_ts: str,
+    members: list[FeatureInput],
+    bounded: list[DataFrame],
+    keys: Sequence[str],
+    skew: SkewOptions,
 ) -> HotKeys | None:
+    """Hot keys of spine and features, sampled before any join."""
+    want = spine.schema[spine_ts].dataType
     rows = spine.select(*keys, F.col(spine_ts).alias(_TS))
-    for features in prepared:
-        rows = rows.unionByName(features.select(*keys, _TS))
+    for item, df in zip(members, bounded):
+        at = as_time(F.col(item.event_ts), df.schema[item.event_ts].dataType, want)
+        rows = rows.unionByName(df.select(*keys, at.alias(_TS)))
     return find_hot_keys(rows, keys, _TS, skew)
 
 

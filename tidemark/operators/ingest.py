@@ -26,7 +26,7 @@ from tidemark.operators.validate import (
     split_valid,
     with_validity,
 )
-from tidemark.sources.batch import bounded, load
+from tidemark.sources.batch import bounded, in_partitions, load
 
 
 @dataclass(frozen=True)
@@ -38,6 +38,8 @@ class IngestReport:
     n_stored: int
     n_deadletter: int
     latest_event: datetime | None
+    # Checks of the suite that could not be evaluated on the rows.
+    skipped_checks: tuple[str, ...] = ()
 
 
 def checked_rows(
@@ -49,6 +51,8 @@ def checked_rows(
     need_feature: bool = False,
     keep: tuple[str, ...] = (),
     extra_checks: Mapping[str, Column] | None = None,
+    strict: bool = False,
+    skipped: list[str] | None = None,
 ) -> DataFrame:
     """Source rows projected to the table, type-checked and marked with failed checks."""
     projected = project_input(df, table, source, keep=keep)
@@ -59,7 +63,13 @@ def checked_rows(
         ).withColumnRenamed("__tm_created", CREATED_TS)
     check_table_frame(projected, table)
     return with_validity(
-        projected, table, suite, need_feature=need_feature, extra_checks=extra_checks
+        projected,
+        table,
+        suite,
+        need_feature=need_feature,
+        extra_checks=extra_checks,
+        strict=strict,
+        skipped=skipped,
     )
 
 
@@ -87,8 +97,10 @@ def ingest_batch(
     on_invalid: str = "drop",
     need_feature: bool = False,
     run_id: str | None = None,
+    strict: bool = False,
 ) -> IngestReport:
-    """Load a time range of a source into the online table.
+    """Load a time range of a source into the online table. Checks that can not be evaluated
+    are named in the report, or raise with `strict`.
 
     The rejected rows come from a second read of the bounded source instead of a cached
     copy: scans are cheap next to spilling a large input to disk.
@@ -98,7 +110,10 @@ def ingest_batch(
         raise SchemaError(f"{table.name}: no source declared")
     run_id = run_id or uuid.uuid4().hex
     rows = bounded(df if df is not None else load(spark, source), source, start, end)
-    checked = checked_rows(rows, table, source, suite, need_feature=need_feature)
+    skipped: list[str] = []
+    checked = checked_rows(
+        rows, table, source, suite, need_feature=need_feature, strict=strict, skipped=skipped
+    )
     keep = storable(on_invalid, table)
     watched, observation = observe_counters(checked, f"ingest-{run_id}", keep)
     online.upsert(watched.filter(keep).drop(VALID, FAILED))
@@ -111,6 +126,7 @@ def ingest_batch(
         seen["n_stored"],
         seen["n_deadletter"],
         seen["latest_event"],
+        tuple(skipped),
     )
 
 
@@ -147,7 +163,7 @@ def materialize(
     df: DataFrame | None = None,
 ) -> None:
     """Newest rows of a time range to the online table."""
-    rows = df if df is not None else load(spark, table.source)
+    rows = in_partitions(df if df is not None else load(spark, table.source), table.source, start, end)
     online.upsert(latest_rows(rows, table, table.source, start, end))
 
 

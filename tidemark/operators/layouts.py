@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.keys import hashed_name, joined_key, schema_ref, trimmed_name
+from tidemark.functions.keys import hashed_name, joined_key, schema_ref, short_hash, trimmed_name
+from tidemark.functions.times import as_time
 from tidemark.model import EVENT_TS, FeatureTable
 from tidemark.operators.online import EXPIRY
 
@@ -28,27 +29,46 @@ def value_schema(df: DataFrame, table: FeatureTable) -> T.StructType:
 
 def wide_layout(df: DataFrame, table: FeatureTable) -> DataFrame:
     """(key, value, schema_ref, ts): one serialised value per row, versioned by event time.
-    Rows whose key is empty are left out."""
-    value = F.to_json(F.struct(*table.feature_names))
+    The value's first four bytes are the reference of its schema, so that a reader finds the
+    schema with the value. Rows whose key is empty are left out."""
+    rows = _serialised(df, table)
+    value = F.concat(F.unhex("schema_ref"), F.encode("value", "UTF-8"))
+    return rows.withColumn("value", value)
+
+
+def _serialised(df: DataFrame, table: FeatureTable) -> DataFrame:
     rows = df.select(
         joined_key(sorted(table.keys)).alias("key"),
-        value.alias("value"),
+        F.to_json(F.struct(*table.feature_names)).alias("value"),
         schema_ref(value_schema(df, table)).alias("schema_ref"),
         F.col(EVENT_TS).alias("ts"),
     )
     return rows.filter(F.length("key") > 0)
 
 
+def read_wide(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """Values of a wide layout as columns again: key, features, ts. Values that another schema
+    wrote raise, because their bytes would be misread."""
+    written = F.lower(F.hex(F.substring("value", 1, 4)))
+    known = schema_ref(schema)
+    value = F.decode(F.substring("value", F.lit(5), F.length("value")), "UTF-8")
+    checked = F.when(written == known, F.from_json(value, schema)).otherwise(
+        F.raise_error(F.concat(F.lit("value of schema "), written)).cast(schema)
+    )
+    return rows.select("key", checked.alias("v"), "ts").select("key", "v.*", "ts")
+
+
 def column_layout(df: DataFrame, table: FeatureTable) -> DataFrame:
     """One value column and one schema column named after the table, plus write time in
     microseconds and time to live in seconds (0 = forever)."""
     ttl = 0 if table.max_age is None else int(table.max_age.total_seconds())
-    wide = wide_layout(df, table)
+    wide = _serialised(df, table)
+    at = as_time(F.col("ts"), wide.schema["ts"].dataType, T.TimestampType())
     return wide.select(
         "key",
         F.col("value").alias(table.name),
         F.col("schema_ref").alias(f"{table.name}__schema_ref"),
-        F.unix_micros(F.col("ts").cast("timestamp")).alias("write_time"),
+        F.unix_micros(at).alias("write_time"),
         F.lit(ttl).alias("ttl"),
     )
 
@@ -62,7 +82,8 @@ def kv_layout(
     max_age: timedelta | None = None,
 ) -> DataFrame:
     """(entity_key, field, field_hash, value): one entry per feature that is not null, and
-    `_ts:<table>` / `_ex:<table>` entries for event time and expiry (none = never)."""
+    `_ts:<table>` / `_ex:<table>` entries for event time and expiry (none = never). The
+    entity key holds the project, the sorted entity names and their values."""
 
     def entry(name: str, value: Column) -> Column:
         return F.struct(
@@ -81,7 +102,7 @@ def kv_layout(
         if expiry is not None:
             entries.append(entry(f"_ex:{table.name}", expiry))
     present = F.filter(F.array(*entries), lambda e: e["value"].isNotNull())
-    key = joined_key(sorted(table.keys))
+    key = joined_key(sorted(table.keys), before=[table.project, *sorted(table.keys)])
     return df.select(key.alias("entity_key"), F.explode(present).alias("e")).select(
         "entity_key", "e.field", "e.field_hash", "e.value"
     )
@@ -94,9 +115,7 @@ def schema_registry_rows(df: DataFrame, tables: Sequence[FeatureTable]) -> DataF
     text = [(s.simpleString(),) for (s,) in rows]
     frame = spark.createDataFrame(text, "schema string")
     return frame.select(
-        F.lower(F.lpad(F.hex(F.hash("schema").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0")).alias(
-            "schema_ref"
-        ),
+        short_hash(F.col("schema")).alias("schema_ref"),
         "schema",
     )
 

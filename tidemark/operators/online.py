@@ -7,7 +7,9 @@ and needs no loop. When the batches have grown to a fair share of it, the state
 into a base that is bucketed by key, so folds and lookups shuffle only the recent batches
 and not the base.
 
-A commit is one new numbered file that lists the folders in force. Readers that started
+A commit is one new numbered file that lists the folders in force, created whole or not at
+all. A writer that finds its number taken reads the new state and commits again: the rows it
+has written stay as they are, only their place in the write order is new. Readers that started
 on an older commit keep reading their own folders.
 """
 
@@ -16,8 +18,8 @@ from __future__ import annotations
 import hashlib
 import json
 import uuid
-from collections.abc import Iterable, Mapping, Sequence
-from datetime import datetime, timedelta
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -25,19 +27,23 @@ from pyspark.sql import types as T
 
 from tidemark import files
 from tidemark.errors import CommitConflict, SchemaError
-from tidemark.functions.times import time_literal
-from tidemark.model import EVENT_TS, FeatureTable, output_name
+from tidemark.functions.times import as_time, time_literal
+from tidemark.model import EVENT_TS, FeatureTable, Field, output_name
 from tidemark.operators.latest import compact
+from tidemark.operators.project import effective_max_age
+from tidemark.operators.reduce import distinct_keys
 from tidemark.operators.validate import check_fields, check_timestamp, entities_valid
 from tidemark.plans.skew import SkewOptions, salted_join
 
 SEQ = "_seq"
 EXPIRY = "expiry_timestamp"
-# Lookups of at most this many keys filter the scan by value instead of joining.
+_RUN = "run"
+# Up to so many keys a lookup filters its scans by value, beyond by a semi join.
 _FEW_KEYS = 1_000
-# The base is rewritten when recent batches reach this share of its size or this number.
+# The base is rewritten when recent batches reach this share of its size.
 _MERGE_SHARE = 0.25
-_MANY_DELTAS = 256
+# How often a write that finds its commit number taken tries the next one.
+_ATTEMPTS = 50
 
 
 def fold_upserts(batches: DataFrame, keys: Sequence[str], features: Sequence[str]) -> DataFrame:
@@ -133,31 +139,61 @@ class OnlineTable:
 
     # ---------------------------------------------------------------- commits
 
-    def _commit_names(self) -> list[str]:
-        return [n for n in files.names_in(self.spark, f"{self.path}/_commits") if n.endswith(".json")]
+    def _commit_name(self, version: int) -> str:
+        return f"{self.path}/_commits/{version:012d}.json"
+
+    def _last_number(self) -> int:
+        """Number of the last commit: from the pointer and what follows it, else by listing."""
+        pointer = f"{self.path}/_commits/latest"
+        try:
+            number = int(files.read_text(self.spark, pointer))
+            known = files.exists(self.spark, self._commit_name(number))
+        except Exception:  # no pointer, or one that is being written: it is a shortcut only
+            known = False
+        if not known:
+            names = files.names_in(self.spark, f"{self.path}/_commits")
+            number = max((int(n.removesuffix(".json")) for n in names if n.endswith(".json")), default=0)
+        while number and files.exists(self.spark, self._commit_name(number + 1)):
+            number += 1
+        return number
 
     def _state(self) -> dict:
-        names = self._commit_names()
-        if names:
-            return json.loads(files.read_text(self.spark, f"{self.path}/_commits/{names[-1]}"))
-        max_age = self.table.max_age
+        """The last finished commit; `version` is the last number that is taken."""
+        last = number = self._last_number()
+        while number:
+            try:
+                return {**json.loads(files.read_text(self.spark, self._commit_name(number))), "version": last}
+            except json.JSONDecodeError:
+                number -= 1  # unfinished: left by a writer that failed
+        age = effective_max_age(self.table)
+        seconds = None if age is None else age.total_seconds()
         return {
-            "version": 0,
+            "version": last,
             "base": None,
+            "base_bytes": 0,
             "deltas": [],
             "next_seq": 1,
             "writers": {},
             "buckets": self._new_buckets,
             "ts": self._ts_type.simpleString(),
             "features": {f.name: f.dtype for f in self.table.features},
-            "max_age": None if max_age is None else max_age.total_seconds(),
+            "max_age": seconds,
+            "declared_max_age": seconds,
         }
 
-    def _commit(self, state: dict) -> None:
-        state = {**state, "version": state["version"] + 1}
-        name = f"{self.path}/_commits/{state['version']:012d}.json"
-        if not files.create_text(self.spark, name, json.dumps(state)):
-            raise CommitConflict(f"{self.path}: version {state['version']} was written by someone else")
+    def _commit(self, change: Callable[[dict], dict | None]) -> bool:
+        """Apply `change` to the current state; again on the newer one if another writer was
+        first. False if `change` finds nothing to do (it returns None)."""
+        for _ in range(_ATTEMPTS):
+            state = self._state()
+            new = change(state)
+            if new is None:
+                return False
+            number = state["version"] + 1
+            if files.create_text(self.spark, self._commit_name(number), json.dumps({**new, "version": number})):
+                files.write_text(self.spark, f"{self.path}/_commits/latest", str(number))
+                return True
+        raise CommitConflict(f"{self.path}: other writers were first {_ATTEMPTS} times")
 
     # ---------------------------------------------------------------- writing
 
@@ -165,49 +201,101 @@ class OnlineTable:
         """Apply a batch. Rows without a complete key or event time are not stored.
 
         With a `batch_id`, a batch at or below the writer's last one is recognised as
-        already applied and skipped (False is returned), so a retry changes nothing.
+        already applied and skipped (False is returned), so a retry changes nothing. Several
+        writers may work on one table: batches count in the order of their commits.
         """
         state = self._state()
-        if batch_id is not None and batch_id <= state["writers"].get(writer, -1):
+        if self._applied(state, batch_id, writer):
             return False
         check_timestamp(batch, EVENT_TS, self.table.name)
         check_fields(batch, [*self.table.entities, *self.table.features], self.table.name)
-        batch = batch.withColumn(EVENT_TS, F.col(EVENT_TS).cast(state["ts"]))
-        seq = state["next_seq"]
-        folder = f"delta/{seq:09d}-{uuid.uuid4().hex[:8]}"
+        self._check_stored_types(state)
+        have, want = batch.schema[EVENT_TS].dataType, T.DataType.fromDDL(state["ts"])
+        batch = batch.withColumn(EVENT_TS, as_time(F.col(EVENT_TS), have, want))
         newest = compact(batch.filter(entities_valid(self.table)), self.table)
-        newest.withColumn(SEQ, F.lit(seq).cast("long")).write.parquet(f"{self.path}/{folder}")
-        writers = dict(state["writers"])
-        if batch_id is not None:
-            writers[writer] = batch_id
-        features = {**state["features"], **{f.name: f.dtype for f in self.table.features}}
-        self._commit(
-            {
+        delta = self._write_delta(newest)
+
+        def append(state: dict) -> dict | None:
+            if self._applied(state, batch_id, writer):
+                return None
+            self._check_stored_types(state)
+            writers = dict(state["writers"])
+            if batch_id is not None:
+                writers[writer] = batch_id
+            return {
                 **state,
-                "deltas": [*state["deltas"], folder],
-                "next_seq": seq + 1,
+                "deltas": [*state["deltas"], {**delta, "seq": state["next_seq"]}],
+                "next_seq": state["next_seq"] + 1,
                 "writers": writers,
-                "features": features,
+                "features": {**state["features"], **{f.name: f.dtype for f in self.table.features}},
+                **self._ages(state),
             }
-        )
-        if self._worth_compacting():
-            self.compact()
-        return True
 
-    def _worth_compacting(self) -> bool:
-        """Fold into the base when the recent batches have grown to a fair share of it, or
-        are very many. A base much larger than the batches is thus rewritten rarely."""
+        stored = self._commit(append)
+        if stored:
+            self._tidy()
+        else:
+            self._forget(delta["folder"])
+        return stored
+
+    @staticmethod
+    def _applied(state: dict, batch_id: int | None, writer: str) -> bool:
+        return batch_id is not None and batch_id <= state["writers"].get(writer, -1)
+
+    def _ages(self, state: dict) -> dict:
+        """A max age that is declared anew replaces the stored one."""
+        age = effective_max_age(self.table)
+        seconds = None if age is None else age.total_seconds()
+        if seconds == state["declared_max_age"]:
+            return {}
+        return {"max_age": seconds, "declared_max_age": seconds}
+
+    def _check_stored_types(self, state: dict) -> None:
+        for f in self.table.features:
+            stored = state["features"].get(f.name)
+            if stored is not None and Field(f.name, stored).spark_type != f.spark_type:
+                raise SchemaError(f"{self.table.name}: {f.name!r} is stored as {stored}, now declared {f.dtype}")
+
+    def _write_delta(self, rows: DataFrame, level: int = 0) -> dict:
+        folder = f"delta/{_RUN}={uuid.uuid4().hex}"
+        rows.write.parquet(f"{self.path}/{folder}")
+        return {"folder": folder, "seq": None, "level": level, "bytes": files.size_of(self.spark, f"{self.path}/{folder}")}
+
+    def _tidy(self) -> None:
+        """Fold recent batches into the base when they have grown to a fair share of it. Until
+        then, equally old batches are put together, a few at a time, so that the number of
+        folders stays small and the base is left alone. Another writer may be doing the same:
+        then what was written here is dropped."""
         state = self._state()
-        if len(state["deltas"]) < self.compact_after:
-            return False
-        if state["base"] is None or len(state["deltas"]) >= _MANY_DELTAS:
-            return True
-        recent = sum(files.size_of(self.spark, f"{self.path}/{d}") for d in state["deltas"])
-        return recent >= _MERGE_SHARE * files.size_of(self.spark, f"{self.path}/{state['base']}")
+        recent = state["deltas"]
+        if len(recent) < self.compact_after:
+            return
+        if state["base"] is None or sum(d["bytes"] for d in recent) >= _MERGE_SHARE * state["base_bytes"]:
+            self.compact()
+            return
+        for level in sorted({d["level"] for d in recent}):
+            own = [d for d in recent if d["level"] == level]
+            if len(own) >= self.compact_after:
+                self._put_together(state, own, level + 1)
+                return
+
+    def _put_together(self, state: dict, deltas: list[dict], level: int) -> None:
+        """Rows of some deltas in one folder, each with its place in the write order."""
+        merged = self._write_delta(self._recent(state, deltas), level)
+        names = {d["folder"] for d in deltas}
+
+        def replace_them(state: dict) -> dict | None:
+            if not names <= {d["folder"] for d in state["deltas"]}:
+                return None
+            return {**state, "deltas": [merged, *(d for d in state["deltas"] if d["folder"] not in names)]}
+
+        if not self._quietly(replace_them):
+            self._forget(merged["folder"])
 
     def compact(self) -> None:
         """Fold everything into a new bucketed base. Rows move only if they are in recent
-        batches: the old base is already laid out by bucket."""
+        batches: the old base is already laid out by bucket. Batches that are committed in the
+        meantime stay recent."""
         state = self._state()
         if not state["deltas"]:
             return
@@ -220,24 +308,49 @@ class OnlineTable:
             .option("path", f"{self.path}/{folder}")
             .saveAsTable(self._catalog_name(folder))
         )
-        self._commit({**state, "base": folder, "deltas": []})
+        size = files.size_of(self.spark, f"{self.path}/{folder}")
+        names = {d["folder"] for d in state["deltas"]}
+
+        def swap(now: dict) -> dict | None:
+            if now["base"] != state["base"] or not names <= {d["folder"] for d in now["deltas"]}:
+                return None
+            left = [d for d in now["deltas"] if d["folder"] not in names]
+            return {**now, "base": folder, "base_bytes": size, "deltas": left}
+
+        if not self._quietly(swap):
+            self._forget(folder)
+
+    def _quietly(self, change: Callable[[dict], dict | None]) -> bool:
+        """A commit that only rearranges stored rows: losing against other writers is no fault."""
+        try:
+            return self._commit(change)
+        except CommitConflict:
+            return False
 
     def set_max_age(self, max_age: timedelta | None) -> None:
         """Change how long values stay valid; applies to stored values too."""
         seconds = None if max_age is None else max_age.total_seconds()
-        self._commit({**self._state(), "max_age": seconds})
+        self._commit(lambda state: {**state, "max_age": seconds})
 
-    def vacuum(self) -> None:
-        """Remove folders and commits that the current commit does not use. Queries that
-        still read older commits will fail; run it when there are none."""
+    def vacuum(self, retain: timedelta = timedelta(days=1)) -> None:
+        """Remove folders and commits that the current commit does not use and that are older
+        than `retain`. Longer than that no writer may take from its first file to its commit,
+        and no query may read an older commit."""
         state = self._state()
-        used = {*state["deltas"], *([state["base"]] if state["base"] else [])}
+        before = datetime.now(UTC).timestamp() - retain.total_seconds()
+        used = {*(d["folder"] for d in state["deltas"]), state["base"]}
+
+        def old(path: str) -> bool:
+            return files.modified(self.spark, path) <= before
+
         for kind in ("base", "delta"):
             for name in files.names_in(self.spark, f"{self.path}/{kind}"):
-                if f"{kind}/{name}" not in used:
+                if f"{kind}/{name}" not in used and old(f"{self.path}/{kind}/{name}"):
                     self._forget(f"{kind}/{name}")
-        for name in self._commit_names()[:-1]:
-            files.remove(self.spark, f"{self.path}/_commits/{name}")
+        for name in files.names_in(self.spark, f"{self.path}/_commits"):
+            number = name.removesuffix(".json")
+            if number.isdecimal() and int(number) < state["version"] and old(f"{self.path}/_commits/{name}"):
+                files.remove(self.spark, f"{self.path}/_commits/{name}")
 
     def drop(self) -> None:
         """Remove the table and all its data."""
@@ -280,15 +393,26 @@ class OnlineTable:
         return self.spark.read.table(name)
 
     def _schema(self, state: dict) -> T.StructType:
-        from tidemark.model import Field
-
         fields = [T.StructField(e.name, e.spark_type) for e in self.table.entities]
         fields.append(T.StructField(EVENT_TS, T.DataType.fromDDL(state["ts"])))
         fields += [T.StructField(n, Field(n, d).spark_type) for n, d in state["features"].items()]
         return T.StructType(fields)
 
-    def _rows(self, state: dict) -> DataFrame:
-        """One row per key: the fold of base and recent batches."""
+    def _recent(self, state: dict, deltas: Sequence[dict]) -> DataFrame:
+        """Rows of some deltas with their place in the write order. Folders of one batch take
+        it from the commit, folders that were put together hold it."""
+        schema = self._schema(state)
+        stored = T.StructType([*schema.fields, T.StructField(SEQ, T.LongType()), T.StructField(_RUN, T.StringType())])
+        folders = [f"{self.path}/{d['folder']}" for d in deltas]
+        rows = self.spark.read.schema(stored).option("basePath", f"{self.path}/delta").parquet(*folders)
+        places = [(d["folder"].partition("=")[2], d["seq"]) for d in deltas if d["seq"] is not None]
+        if not places:
+            return rows.drop(_RUN)
+        place = F.create_map(*[F.lit(x).cast(t) for run, seq in places for x, t in ((run, "string"), (seq, "long"))])
+        return rows.select(*schema.names, F.coalesce(F.col(SEQ), place[F.col(_RUN)]).alias(SEQ))
+
+    def _rows(self, state: dict, only: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+        """One row per key: the fold of base and recent batches, both reduced by `only` first."""
         schema = self._schema(state)
         names = schema.names
         features = list(state["features"])
@@ -298,14 +422,11 @@ class OnlineTable:
             for f in schema.fields:  # features declared after the base was written
                 if f.name not in base.columns:
                     base = base.withColumn(f.name, F.lit(None).cast(f.dataType))
-            base = base.select(*names)
+            base = only(base.select(*names))
         if not state["deltas"]:
             return base if base is not None else self.spark.createDataFrame([], schema)
-        with_seq = T.StructType([*schema.fields, T.StructField(SEQ, T.LongType())])
-        recent = self.spark.read.schema(with_seq).parquet(
-            *[f"{self.path}/{d}" for d in state["deltas"]]
-        )
-        if len(state["deltas"]) == 1 and base is None:
+        recent = only(self._recent(state, state["deltas"]))
+        if len(state["deltas"]) == 1 and state["deltas"][0]["level"] == 0 and base is None:
             return recent.select(*names)
         keys = self.table.keys
         values = [n for n in names if n not in keys]
@@ -325,38 +446,53 @@ class OnlineTable:
         features: Sequence[str] | None = None,
         *,
         as_of: datetime | None = None,
+        include_expired: bool = False,
         full_feature_names: bool = True,
         skew: SkewOptions | None = SkewOptions(),
         key_rows: DataFrame | None = None,
     ) -> DataFrame:
         """The spine with current feature values; unknown or expired keys get nulls.
 
-        When the spine is itself the result of joins, `key_rows` can name the frame it was
-        made from: hot keys are then sampled there and the joins are not run for it.
+        Values expire by `as_of`, which is now by default; `include_expired` serves all that
+        is stored. Base and recent batches are reduced to the spine's keys before they are
+        folded: by value, if a small job finds few of them, else by a semi join. When the
+        spine is itself the result of joins, `key_rows` can name the frame it was made from:
+        keys are then taken there and the joins are not run for it.
         """
         features = list(features or self.table.feature_names)
         unknown = [f for f in features if f not in self.table.feature_names]
         if unknown:
             raise SchemaError(f"{self.table.name}: unknown features {unknown}")
-        found = self._current(features, as_of, full_feature_names)
+        keys = distinct_keys((key_rows if key_rows is not None else spine).na.drop(subset=self.table.keys), self.table.keys)
+        few = keys.limit(_FEW_KEYS + 1).collect()
+        only = self._with_values(few) if len(few) <= _FEW_KEYS else self._with_keys(keys)
+        found = self._current(features, None if include_expired else as_of or datetime.now(UTC), full_feature_names, only)
         joined = salted_join(spine, found, self.table.keys, "left", skew, key_rows=key_rows)
         names = [output_name(self.table.name, f, full_feature_names) for f in features]
         return joined.select(*[F.col(f"`{c}`") for c in [*spine.columns, *names]])
 
+    def _with_values(self, rows: Sequence[Mapping]) -> Callable[[DataFrame], DataFrame]:
+        """Rows whose keys have the given values: literals, which choose buckets and row groups."""
+
+        def only(df: DataFrame) -> DataFrame:
+            for key in self.table.keys:
+                df = df.filter(F.col(key).isin(list({r[key] for r in rows if r[key] is not None})))
+            return df
+
+        return only
+
+    def _with_keys(self, keys: DataFrame) -> Callable[[DataFrame], DataFrame]:
+        return lambda df: df.join(keys, self.table.keys, "left_semi").select(*df.columns)
+
     def _current(
-        self,
-        features: Sequence[str],
-        as_of: datetime | None,
-        full: bool,
-        only: Column | None = None,
+        self, features: Sequence[str], as_of: datetime | None, full: bool, only: Callable[[DataFrame], DataFrame]
     ) -> DataFrame:
-        rows = self.rows()
-        if only is not None:
-            rows = rows.filter(only)
+        state = self._state()
+        seconds = state["max_age"]
+        rows = with_expiry(self._rows(state, only), None if seconds is None else timedelta(seconds=seconds))
         if as_of is not None:
             now = time_literal(as_of, rows.schema[EXPIRY].dataType)
-            alive = F.col(EXPIRY).isNull() | (F.col(EXPIRY) > now)
-            rows = rows.filter(alive)
+            rows = rows.filter(F.col(EXPIRY).isNull() | (F.col(EXPIRY) > now))
         return rows.select(
             *self.table.keys,
             *[F.col(f).alias(output_name(self.table.name, f, full)) for f in features],
@@ -368,13 +504,12 @@ class OnlineTable:
         features: Sequence[str] | None = None,
         *,
         as_of: datetime | None = None,
+        include_expired: bool = False,
         full_feature_names: bool = True,
     ) -> list[dict]:
         """Current values for a caller's list of keys, in the order of the list.
 
-        The list is the caller's own, so answer and driver memory have its size. Up to a
-        thousand keys are pushed into the scan as a value filter; files are sorted by key,
-        so it skips most row groups.
+        The list is the caller's own, so answer and driver memory have its size.
         """
         features = list(features or self.table.feature_names)
         keys = self.table.keys
@@ -384,12 +519,8 @@ class OnlineTable:
             [(*[row[k] for k in keys], i) for i, row in enumerate(entity_rows)],
             T.StructType([*schema.fields, position]),
         )
-        only = None
-        if len(entity_rows) <= _FEW_KEYS:
-            only = F.lit(True)
-            for key in keys:
-                only = only & F.col(key).isin([r[key] for r in entity_rows if r[key] is not None])
-        found = self._current(features, as_of, full_feature_names, only)
+        only = self._with_values(entity_rows) if len(entity_rows) <= _FEW_KEYS else self._with_keys(spine.select(*keys).distinct())
+        found = self._current(features, None if include_expired else as_of or datetime.now(UTC), full_feature_names, only)
         answer = spine.join(found, keys, "left").orderBy("__tm_position").drop("__tm_position")
         return [row.asDict() for row in answer.collect()]
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.errors import SchemaError
+from tidemark.functions.times import as_utc
 from tidemark.functions.types import castable
 from tidemark.model import CREATED_TS, EVENT_TS, FeatureTable, Source
 
@@ -53,9 +54,12 @@ def reverse_mapping(mapping: Mapping[str, str], names: Sequence[str]) -> list[st
     return [mapping.get(n, n) for n in names]
 
 
-def select_features(df: DataFrame, table: FeatureTable, source: Source) -> DataFrame:
+def select_features(
+    df: DataFrame, table: FeatureTable, source: Source, *, keep: Mapping[str, str] | None = None
+) -> DataFrame:
     """Keys, features and canonical time columns of a mapped frame, with the one allowed
-    cast (double to float) applied. Missing or differently typed columns raise."""
+    cast (double to float) applied. Missing or differently typed columns raise. `keep` passes
+    source columns on under other names."""
     from tidemark.operators.validate import check_fields, check_timestamp
 
     mapped = map_columns(df, source.field_mapping) if source.field_mapping else df
@@ -78,6 +82,7 @@ def select_features(df: DataFrame, table: FeatureTable, source: Source) -> DataF
             raise SchemaError(f"{table.name}: tie-break column {tie!r} is missing")
         if tie not in names:
             columns.append(F.col(f"`{tie}`"))
+    columns += [F.col(f"`{column}`").alias(name) for name, column in (keep or {}).items()]
     return mapped.select(*columns)
 
 
@@ -91,19 +96,19 @@ CLEANUP_LABEL = "gcThresholdSec"
 
 
 def effective_max_age(table: FeatureTable, label: str = CLEANUP_LABEL) -> timedelta | None:
-    """Max age used at ingestion: the larger of the declared one and the clean-up label."""
-    try:
-        threshold = timedelta(seconds=int(table.labels[label]))
-    except (KeyError, ValueError, TypeError):
-        return table.max_age
-    return max(table.max_age or timedelta(0), threshold)
+    """How long stored values of a table stay: its max age, unless the clean-up label asks for
+    longer. A label that is no whole number of seconds says nothing."""
+    asked = str(table.labels.get(label, "")).strip()
+    seconds = int(asked) if asked.removeprefix("-").isdecimal() else None
+    ages = [age for age in (table.max_age, None if seconds is None else timedelta(seconds=seconds)) if age is not None]
+    return max(ages, default=None)
 
 
 def ingestion_window(days: int, now: datetime | None = None) -> tuple[datetime, datetime]:
     """The last `days` calendar days in UTC including today, as `[start, end)`."""
     if days < 1:
         raise ValueError("an ingestion window has at least one day")
-    today = (now or datetime.now(UTC)).replace(hour=0, minute=0, second=0, microsecond=0, tzinfo=None)
+    today = as_utc(now or datetime.now(UTC)).replace(hour=0, minute=0, second=0, microsecond=0)
     return today - timedelta(days=days - 1), today + timedelta(days=1)
 
 

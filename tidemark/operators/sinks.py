@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from datetime import datetime
 from itertools import islice
+from urllib.parse import quote
 
 import pandas as pd
 from pyspark.sql import DataFrame, Row
@@ -35,9 +36,10 @@ def save_dataset(df: DataFrame, path: str, *, single_file: bool = False) -> None
     (df.coalesce(1) if single_file else df).write.mode("errorifexists").parquet(path)
 
 
-def write_dead_letters(df: DataFrame, path: str, run_id: str) -> None:
-    """Append rejected rows under their run."""
-    df.withColumn("run_id", F.lit(run_id)).write.mode("append").partitionBy("run_id").parquet(path)
+def write_dead_letters(df: DataFrame, path: str, run_id: str, batch_id: int = 0) -> None:
+    """Rejected rows in a folder of their run and batch; a batch that is replayed writes the
+    same folder again."""
+    df.write.mode("overwrite").parquet(f"{path}/run_id={quote(run_id, safe='')}/batch_id={batch_id}")
 
 
 def append_to_batch_store(
@@ -54,7 +56,7 @@ def append_to_batch_store(
     a date with very many rows is split over tasks. Switch it off for rows that come
     ordered by date anyway: it saves the shuffle.
     """
-    dated = df.withColumn(partition, event_date(event_ts))
+    dated = df.withColumn(partition, event_date(event_ts, df.schema[event_ts].dataType))
     if rebalance:
         dated = dated.hint("rebalance", F.col(partition))
     dated.write.mode("append").partitionBy(partition).parquet(path)

@@ -96,9 +96,11 @@ class Expectation:
 
     @property
     def name(self) -> str:
-        """Kind and its plain arguments joined by `_`; lists are left out."""
-        plain = [str(v) for v in self.kwargs.values() if isinstance(v, (str, int, float))]
-        return "_".join([self.kind, *plain])
+        """The expectation as a call, `kind(column, min_value=0)`: different arguments, lists
+        included, give different names."""
+        given = {k: v for k, v in self.kwargs.items() if v is not None}
+        column = [str(given.pop("column"))] if "column" in given else []
+        return f"{self.kind}({', '.join(column + [f'{k}={_shown(v)}' for k, v in sorted(given.items())])})"
 
     @property
     def is_row_level(self) -> bool:
@@ -123,6 +125,12 @@ class Expectation:
         return _FRAME_VALUES[self.kind](self.kwargs)
 
 
+def _shown(value: object) -> str:
+    if isinstance(value, (list, tuple, set, frozenset)):
+        return f"[{', '.join(map(str, sorted(value, key=str)))}]"
+    return str(value)
+
+
 def _between(value: Column, kw: Mapping) -> Column:
     low, high = kw.get("min_value"), kw.get("max_value")
     inside = F.lit(True)
@@ -248,12 +256,23 @@ def with_validity(
     *,
     need_feature: bool = False,
     extra_checks: Mapping[str, Column] | None = None,
+    strict: bool = False,
+    skipped: list[str] | None = None,
 ) -> DataFrame:
-    """Add `_failed_checks` (names of all checks a row fails) and `_is_valid`."""
+    """Add `_failed_checks` (names of all checks a row fails) and `_is_valid`.
+
+    Checks that do not resolve on this frame (a misspelled column) are skipped; their names
+    are added to `skipped`, and with `strict` they raise instead.
+    """
     checks = dict(extra_checks or {})
     checks.update(row_checks(table, need_feature=need_feature))
     if suite is not None:
-        checks.update(suite.for_table(table).usable_checks(df)[0])
+        usable, missed = suite.for_table(table).usable_checks(df)
+        if missed and strict:
+            raise SchemaError(f"{table.name}: checks can not be evaluated: {missed}")
+        if skipped is not None:
+            skipped += missed
+        checks.update(usable)
     failed = F.array_compact(
         F.array(*[F.when(~F.coalesce(good, F.lit(False)), F.lit(n)) for n, good in checks.items()])
     )

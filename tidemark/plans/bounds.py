@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import timedelta
+from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.times import time_literal
+from tidemark.functions.times import as_time, time_literal
 
 
 def spine_bounds(spine: DataFrame, ts: str) -> DataFrame:
@@ -17,45 +17,50 @@ def spine_bounds(spine: DataFrame, ts: str) -> DataFrame:
     return spine.agg(F.min(ts).alias("min_ts"), F.max(ts).alias("max_ts"))
 
 
-# Keys of a spine of at most this many rows are broadcast to reduce the features.
-SMALL_SPINE_ROWS = 200_000
+# Bytes that a key value is reckoned to take when a spine's keys are broadcast.
+_KEY_BYTES = 64
 
 
 @dataclass(frozen=True)
 class SpineBounds:
-    """First and last spine time as literals (None for a spine without times), and the
-    number of spine rows."""
+    """First and last spine time (naive UTC; None for a spine without times) and the number of
+    spine rows, all of one stored evaluation of the spine."""
 
-    first: Column | None
-    last: Column | None
+    first: datetime | None
+    last: datetime | None
     rows: int
 
-    @property
-    def is_small(self) -> bool:
-        return self.rows <= SMALL_SPINE_ROWS
-
-    def keep_usable(self, features: DataFrame, ts: str, max_age: timedelta | None) -> DataFrame:
-        """Feature rows that some spine time could use. The bounds are plain literals, so
-        they reach the feature scan: row groups and partitions outside are skipped."""
+    def keep_usable(
+        self, features: DataFrame, ts: str, max_age: timedelta | None, day: str | None = None
+    ) -> DataFrame:
+        """Feature rows that some spine time could use. The bounds are plain literals of the
+        column's own type, so they reach the feature scan: row groups outside are skipped, and
+        so are whole partitions where `day` holds the rows' UTC date."""
         if self.last is None:
             return features.filter(F.lit(False))
-        kept = features.filter(F.col(ts) <= self.last)
-        return kept if max_age is None else kept.filter(F.col(ts) >= self.first - F.lit(max_age))
+        dtype = features.schema[ts].dataType
+        kept = features.filter(F.col(ts) <= time_literal(self.last, dtype))
+        if day is not None:
+            kept = kept.filter(F.col(day) <= F.lit(self.last.date()))
+        if max_age is not None:
+            try:
+                oldest = self.first - max_age
+            except OverflowError:
+                return kept
+            kept = kept.filter(F.col(ts) >= time_literal(oldest, dtype))
+            if day is not None:
+                kept = kept.filter(F.col(day) >= F.lit(oldest.date()))
+        return kept
+
+    def keys_fit(self, spark: SparkSession, keys: int) -> bool:
+        """Whether the spine's keys stay below Spark's own limit for broadcasts."""
+        limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        size = int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit))
+        return self.rows * keys * _KEY_BYTES <= size
 
 
 def measure_spine(spine: DataFrame, ts: str) -> SpineBounds:
-    """One small job over the spine's time column; its result serves all feature tables."""
-    instant = isinstance(spine.schema[ts].dataType, T.TimestampType)
-    low, high = F.min(ts), F.max(ts)
-    if instant:
-        low, high = F.unix_micros(low), F.unix_micros(high)
-    first, last, rows = spine.agg(low, high, F.count(F.lit(1))).first()
-
-    def literal(value) -> Column:
-        if instant:
-            return F.timestamp_micros(F.lit(value))
-        return time_literal(value, T.TimestampNTZType())
-
-    if last is None:
-        return SpineBounds(None, None, rows)
-    return SpineBounds(literal(first), literal(last), rows)
+    """One small job over the time column of a stored spine; it serves all feature tables."""
+    at = as_time(F.col(ts), spine.schema[ts].dataType, T.TimestampNTZType())
+    first, last, rows = spine.agg(F.min(at), F.max(at), F.count(F.lit(1))).first()
+    return SpineBounds(first, last, rows)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import cache
@@ -11,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 @cache
 def _local_folder(application: str) -> str:
-    return tempfile.mkdtemp(prefix="tidemark-")
+    folder = tempfile.mkdtemp(prefix="tidemark-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def shared_folder(spark: SparkSession) -> str:

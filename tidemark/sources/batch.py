@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.errors import MissingConnectorError, SchemaError
+from tidemark.functions.times import utc_day
 from tidemark.functions.types import is_timestamp
 from tidemark.model import EVENT_TS, Source
 from tidemark.operators.latest import time_range
@@ -52,17 +53,20 @@ def read_batch(
 def bounded(
     df: DataFrame, source: Source, start: datetime | date | None, end: datetime | date | None
 ) -> DataFrame:
+    return time_range(in_partitions(df, source, start, end), source.event_timestamp, start, end)
+
+
+def in_partitions(
+    df: DataFrame, source: Source, start: datetime | date | None, end: datetime | date | None
+) -> DataFrame:
+    """Rows of the date partitions (UTC days) that a closed time range touches."""
     if source.date_partition:
-        day = F.col(source.date_partition)
+        day = F.col(f"`{source.date_partition}`")
         if start is not None:
-            df = df.filter(day >= F.lit(_day(start)))
+            df = df.filter(day >= F.lit(utc_day(start)))
         if end is not None:
-            df = df.filter(day <= F.lit(_day(end)))
-    return time_range(df, source.event_timestamp, start, end)
-
-
-def _day(value: datetime | date) -> date:
-    return value.date() if isinstance(value, datetime) else value
+            df = df.filter(day <= F.lit(utc_day(end)))
+    return df
 
 
 def load_csv(spark: SparkSession, path: str, schema: T.StructType | str, **options) -> DataFrame:

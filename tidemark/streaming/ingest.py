@@ -15,6 +15,7 @@ from tidemark.operators.ingest import checked_rows, storable
 from tidemark.operators.metrics import counters
 from tidemark.operators.online import OnlineTable
 from tidemark.operators.project import flatten
+from tidemark.operators.sinks import write_dead_letters
 from tidemark.operators.validate import FAILED, VALID, Suite
 from tidemark.streaming.progress import IngestMetrics
 
@@ -63,7 +64,9 @@ def ingest_stream(
 
     `checkpoint` is one stable folder per feature table. A micro-batch that is replayed
     after a failure is recognised by its id: the upsert is skipped and its dead letters
-    are overwritten, so a restart changes nothing. `trigger` is passed to Spark
+    are overwritten, so a restart changes nothing. Dead letters lie by run and batch, next to
+    those of batch runs; the run is Spark's id of the query, which its checkpoint keeps.
+    `trigger` is passed to Spark
     (`{"processingTime": "30 seconds"}`, `{"availableNow": True}`).
     """
     source = source or table.source or Source()
@@ -81,8 +84,8 @@ def ingest_stream(
             good = batch.filter(stored).drop(VALID, FAILED, *keep)
             online.upsert(good, batch_id=batch_id, writer=checkpoint)
             if dead_letters:
-                bad = batch.filter(~F.col(VALID)).drop(VALID)
-                bad.write.mode("overwrite").parquet(f"{dead_letters}/batch_id={batch_id}")
+                run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+                write_dead_letters(batch.filter(~F.col(VALID)).drop(VALID), dead_letters, run, batch_id)
             if metrics is not None:
                 latest = F.max(message_time) if message_time else F.lit(None)
                 row = batch.agg(*counters(stored), latest.alias("latest_message")).first()

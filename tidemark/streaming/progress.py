@@ -10,19 +10,29 @@ _COUNTS = "batch_id long, n_read long, n_stored long, n_deadletter long, latest_
 
 
 class IngestMetrics:
-    """Counters of each micro-batch of one query, kept on the driver (a row per batch)."""
+    """Counters of the micro-batches of one query, on the driver: exact totals over all of
+    them, and the rows of the last `keep`."""
 
     def __init__(self, keep: int = 1_000) -> None:
         self._keep = keep
         self._rows: dict[int, dict] = {}
+        # What has left the rows: its counters added up, and the last batch among it.
+        self._gone: dict[str, int] = {}
+        self._gone_to = -1
 
     def add(self, batch_id: int, values: dict) -> None:
+        """A batch that is replayed counts once."""
+        if batch_id <= self._gone_to:
+            return
         self._rows[batch_id] = values
         while len(self._rows) > self._keep:
-            del self._rows[min(self._rows)]
+            self._gone_to = min(self._rows)
+            for counter, value in self._rows.pop(self._gone_to).items():
+                if isinstance(value, int):
+                    self._gone[counter] = self._gone.get(counter, 0) + value
 
     def total(self, counter: str) -> int:
-        return sum(v[counter] for v in self._rows.values())
+        return self._gone.get(counter, 0) + sum(v[counter] for v in self._rows.values())
 
     def frame(self, spark: SparkSession) -> DataFrame:
         names = ["n_read", "n_stored", "n_deadletter", "latest_message"]

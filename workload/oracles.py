@@ -20,6 +20,9 @@ _NEWEST_SHIPPED = (
     "(select * from (select *, row_number() over (partition by l_partkey, l_suppkey order by l_shipdate desc, "
     "l_orderkey desc, l_linenumber desc, l_quantity desc) as rn from lineitem) where rn = 1)"
 )
+_SHIP_SCHEMA = "struct<l_quantity:double>"
+_SHIP_REF = f"substr(md5('{_SHIP_SCHEMA}'), 1, 8)"
+_SHIP_VALUE = """('{"l_quantity":' || cast(l_quantity as varchar) || '}')"""
 
 
 def _score_batch(condition: str) -> str:
@@ -178,27 +181,30 @@ ORACLES: dict[str, str] = {
             select *, row_number() over (partition by user_id order by ts desc, value desc) as rn
             from events where event_type = 'purchase') where rn = 1""",
     "q_embedding_pit": """
-        select vec_id, label, len(embedding) as dim, embedding[1] as first, embedding[-1] as last from embeddings""",
+        select vec_id, label, len(embedding) as dim, embedding[1] as first, embedding[-1] as last,
+               list_min(embedding) as least, list_max(embedding) as most from embeddings""",
     "q_kv_layout": f"""
-        select cast(user_id as varchar) as entity_key, f as feature, v as feature_value
+        select 'default#user_id#' || user_id as entity_key, substr(md5(f), 1, 8) as field_hash, f as feature, v as feature_value
         from (select user_id, value, case when event_type = 'purchase' then value end as pv
               from (select *, {_NEWEST_EVENT} from events) where rn = 1)
         unpivot (v for f in (value as 'activity:value', pv as 'activity:pv'))""",
     "q_kv_times": f"""
-        select cast(user_id as varchar) as entity_key, '_ts:activity' as field, ts as value
-        from (select *, {_NEWEST_EVENT} from events) where rn = 1
-        union all
-        select cast(user_id as varchar), '_ex:activity', ts + interval 30 day
-        from (select *, {_NEWEST_EVENT} from events) where rn = 1""",
+        select 'default#user_id#' || user_id as entity_key, field, substr(md5(field), 1, 8) as field_hash, value from (
+            select user_id, '_ts:activity' as field, ts as value from (select *, {_NEWEST_EVENT} from events) where rn = 1
+            union all
+            select user_id, '_ex:activity', ts + interval 30 day from (select *, {_NEWEST_EVENT} from events) where rn = 1)""",
     "q_wide_layout_key": f"""
-        select concat_ws('#', cast(l_partkey as varchar), cast(l_suppkey as varchar)) as row_key,
-               l_shipdate as ts, l_quantity as quantity from {_NEWEST_SHIPPED}""",
+        select concat_ws('#', cast(l_partkey as varchar), cast(l_suppkey as varchar)) as row_key, l_shipdate as ts,
+               {_SHIP_REF} as schema_ref, upper({_SHIP_REF}) || hex({_SHIP_VALUE}) as value from {_NEWEST_SHIPPED}""",
     "q_column_layout_rows": f"""
-        select concat_ws('#', cast(l_partkey as varchar), cast(l_suppkey as varchar)) as key,
-               epoch_us(l_shipdate) as write_time, cast(864000 as bigint) as ttl from {_NEWEST_SHIPPED}""",
-    "q_schema_registry": """
-        select distinct event_type as schema_ref from events
-        where event_type not in (select distinct event_type from events where event_type in ('click','view'))""",
+        select concat_ws('#', cast(l_partkey as varchar), cast(l_suppkey as varchar)) as key, {_SHIP_VALUE} as ship,
+               {_SHIP_REF} as ship__schema_ref, epoch_us(l_shipdate) as write_time, cast(864000 as bigint) as ttl
+        from {_NEWEST_SHIPPED}""",
+    "q_schema_registry": f"""
+        select substr(md5(schema), 1, 8) as schema_ref, schema, n from (
+            select '{_SHIP_SCHEMA}' as schema, count(*) as n from {_NEWEST_SHIPPED}
+            union all
+            select 'struct<value:double,pv:double>', count(*) from (select *, {_NEWEST_EVENT} from events) where rn = 1)""",
     "q_row_validity": """
         select event_type <> 'error' and user_id is not null and ts is not null as is_valid, count(*) as n
         from events group by 1""",
@@ -207,23 +213,23 @@ ORACLES: dict[str, str] = {
         select event_id, value between 0 and 50 and event_type in ('click','view','purchase') as is_valid
         from events""",
     "q_check_counts": """
-        select 'expect_column_values_to_be_between_value_0_50' as check_name,
+        select 'expect_column_values_to_be_between(value, max_value=50, min_value=0)' as check_name,
                count(*) filter (where not value between 0 and 50) as failed from events
         union all
-        select 'expect_column_values_to_be_in_set_event_type',
+        select 'expect_column_values_to_be_in_set(event_type, value_set=[click, purchase, view])',
                count(*) filter (where event_type not in ('click','view','purchase')) from events""",
     "q_observed_checks": """
-        select 'expect_column_unique_value_count_to_be_between_user_id_1' as check_name,
+        select 'expect_column_unique_value_count_to_be_between(user_id, min_value=1)' as check_name,
                cast(count(distinct user_id) as double) as observed_value, true as success,
                cast(0 as bigint) as reported_value from events
         union all
-        select 'expect_column_min_to_be_between_value_1000', min(value), min(value) >= 1000,
+        select 'expect_column_min_to_be_between(value, min_value=1000)', min(value), min(value) >= 1000,
                case when min(value) >= 1000 then 0 else cast(trunc(min(value) * 100) as bigint) end from events
         union all
-        select 'expect_column_max_to_be_between_value_100', max(value), max(value) <= 100,
+        select 'expect_column_max_to_be_between(value, max_value=100)', max(value), max(value) <= 100,
                case when max(value) <= 100 then 0 else cast(trunc(max(value) * 100) as bigint) end from events
         union all
-        select 'expect_table_row_count_to_be_between_1', cast(count(*) as double), true, 0 from events""",
+        select 'expect_table_row_count_to_be_between(min_value=1)', cast(count(*) as double), true, 0 from events""",
     "q_suite_function": """
         select event_type, value between 0 and 50 and event_type in ('click','view','purchase') as is_valid,
                count(*) as n from events group by 1, 2""",
@@ -236,18 +242,21 @@ ORACLES: dict[str, str] = {
         select reason, count(*) as n from (
             select 'entity_null' as reason from events where event_type = 'error'
             union all
-            select 'expect_column_values_to_be_between_value_0_50' from events where not value between 0 and 50
+            select 'expect_column_values_to_be_between(value, max_value=50, min_value=0)' from events where not value between 0 and 50
             union all
-            select 'expect_column_values_to_be_in_set_event_type' from events
+            select 'expect_column_values_to_be_in_set(event_type, value_set=[click, purchase, view])' from events
             where event_type not in ('click','view','purchase')) group by 1""",
     "q_stream_state": f"""
-        select user_id, ts as event_timestamp, value from (select *, {_NEWEST_EVENT} from events) where rn = 1""",
+        select user_id, ts as event_timestamp, event_id, value from (select *, {_NEWEST_EVENT} from events) where rn = 1""",
     "q_stream_deadletter": """
-        select user_id, ts as event_timestamp, 'malformed' as reason from events where event_type = 'error'""",
+        select cast(r as int) as run, user_id, ts as event_timestamp, 'malformed' as reason
+        from events, range(1, 3) runs(r) where event_type = 'error'""",
     "q_lag_summary": """
-        select event_type, count(*) as n,
-               min(epoch_us(timestamp '2024-02-01') - epoch_us(ts)) as min_lag_us,
-               max(epoch_us(timestamp '2024-02-01') - epoch_us(ts)) as max_lag_us from events group by 1""",
+        select event_type, count(*) as n, min(lag) as min_lag_us, max(lag) as max_lag_us,
+               quantile_disc(lag, 0.5) as p50_lag_us, quantile_disc(lag, 0.95) as p95_lag_us,
+               quantile_disc(lag, 0.99) as p99_lag_us,
+               cast(round(avg(lag) / 1e6) as bigint) as mean_lag_s, cast(round(stddev(lag) / 1e6) as bigint) as stddev_lag_s
+        from (select event_type, epoch_us(timestamp '2024-02-01') - epoch_us(ts) as lag from events) group by 1""",
     "q_row_counters": """
         select count(*) as n_read, count(*) filter (where event_type <> 'error') as n_stored,
                count(*) filter (where event_type = 'error') as n_deadletter from events""",
@@ -261,4 +270,103 @@ ORACLES: dict[str, str] = {
     "q_record_file": """
         select o_orderkey, epoch_us(o_orderdate) // 1000000 as o_orderdate, o_totalprice from orders""",
     "q_daily_counts": "select cast(ts as date) as d, event_type, count(*) as n from events group by 1, 2",
+    "q_wide_read_back": f"""
+        select concat_ws('#', cast(l_partkey as varchar), cast(l_suppkey as varchar)) as row_key, l_shipdate as ts,
+               l_quantity from {_NEWEST_SHIPPED}""",
+    "q_wide_empty_keys": """
+        select event_type as key, max(ts) as ts from events where event_type <> 'error' group by 1""",
+    "q_latest_message": """
+        select count(*) as n_read, count(*) as n_stored, max(ts) as latest_message from events""",
+    "q_stream_progress": """
+        select count(*) as n from events""",
+    "q_lookup_expired_default": f"""
+        select c.c_custkey as user_id, cast(null as double) as value, f.value as aged__value from customer c
+        left join (select * from (select *, {_NEWEST_EVENT} from events) where rn = 1) f on f.user_id = c.c_custkey""",
+    "q_max_age_redeclared": f"""
+        select user_id, ts as event_timestamp, value, ts + interval 2 day as expiry_timestamp
+        from (select *, {_NEWEST_EVENT} from events) where rn = 1""",
+    "q_cleanup_label": f"""
+        select user_id, ts as event_timestamp, value, ts + interval 10 day as expiry_timestamp
+        from (select *, {_NEWEST_EVENT} from events) where rn = 1""",
+    "q_online_two_writers": f"""
+        select user_id, ts as event_timestamp, value from (select *, {_NEWEST_EVENT} from events) where rn = 1""",
+    "q_online_teardown": f"""
+        select 'kept' as name, user_id, value from (select *, {_NEWEST_EVENT} from events) where rn = 1""",
+    "q_scan_aware_range": """
+        select event_id, ts from events
+        where ts >= timestamp '2024-01-04 01:00:00' and ts < timestamp '2024-01-15 04:00:00'""",
+    "q_window_days": """
+        select event_id, ts from events where ts >= timestamp '2024-01-12' and ts < timestamp '2024-01-22'""",
+    "q_source_config": """
+        select o_orderkey, o_totalprice from orders
+        where o_orderdate >= timestamp '1995-01-01' and o_orderdate < timestamp '1996-01-01'""",
+    "q_source_columns": """
+        select 'event_id' as "column", 'bigint' as "type", count(event_id) as n from events
+        union all select 'user_id', 'bigint', count(user_id) from events
+        union all select 'ts', 'timestamp_ntz', count(ts) from events
+        union all select 'event_type', 'string', count(event_type) from events
+        union all select 'value', 'double', count(value) from events
+        union all select 'props', 'string', count(props) from events""",
+    "q_type_mapping": """
+        select 'event_id' as "column", 'INT64' as "type", count(event_id) as n from events
+        union all select 'user_id', 'INT64', count(user_id) from events
+        union all select 'event_type', 'STRING', count(event_type) from events
+        union all select 'value', 'DOUBLE', count(value) from events
+        union all select 'props', 'STRING', count(props) from events
+        union all select 'vec_id', 'INT64', count(vec_id) from embeddings
+        union all select 'embedding', 'FLOAT_LIST', count(embedding) from embeddings
+        union all select 'label', 'INT32', count(label) from embeddings""",
+    "q_map_columns": """
+        select o_orderkey, o_custkey as customer, o_totalprice, o_totalprice * 2 as doubled from orders""",
+    "q_reverse_mapping": """
+        select o_custkey as customer, o_totalprice, o_orderdate as placed from orders""",
+    "q_offset_times": """
+        select event_id, ts from events
+        where ts >= timestamp '2024-01-09 20:30:00' and ts < timestamp '2024-01-11 20:30:00'""",
+    "q_inferred_time": """
+        select 'events' as name, 'ts' as "column", max(ts) as latest from events
+        union all select 'orders', 'o_orderdate', max(o_orderdate) from orders""",
+    "q_pit_partitioned": f"""
+        select s.event_id, s.user_id, s.ts,
+               case when f.ts >= s.ts - interval 6 hour then f.value end as views__value
+        from {_PURCHASES} s asof left join {_VIEWS} f on s.user_id = f.user_id and s.ts >= f.ts""",
+    "q_staged_spine": """
+        select s_suppkey as l_suppkey, l_quantity as sold__l_quantity from supplier left join (
+            select * from (select *, row_number() over (partition by l_suppkey order by l_shipdate desc, l_orderkey desc,
+                l_linenumber desc, l_quantity desc) as rn from lineitem where l_shipdate <= timestamp '1998-06-01') where rn = 1
+        ) on l_suppkey = s_suppkey""",
+    "q_declared_tables": f"""
+        select s.event_id, s.user_id, s.ts, f.value as views__value
+        from {_PURCHASES} s asof left join {_VIEWS} f on s.user_id = f.user_id and s.ts >= f.ts""",
+    "q_retrieve_job": f"""
+        select c_custkey as user_id, event_type, value from customer left join (
+            select * from (select *, {_NEWEST_EVENT} from events where ts <= timestamp '2024-01-20 12:00:00') where rn = 1
+        ) on user_id = c_custkey""",
+    "q_two_sets_one_column": """
+        select 'expect_column_values_to_be_in_set(event_type, value_set=[click, view])' as check_name,
+               count(*) filter (event_type not in ('click', 'view')) as failed from events
+        union all
+        select 'expect_column_values_to_be_in_set(event_type, value_set=[signup, view])',
+               count(*) filter (event_type not in ('signup', 'view')) from events""",
+    "q_prefix_strip": """
+        select value between 0 and 50 as is_valid, count(*) as n from events group by 1""",
+    "q_any_feature": """
+        select event_type = 'purchase' as is_valid, case when event_type = 'purchase' then '' else 'no_feature' end as reason,
+               count(*) as n from events group by 1, 2""",
+    "q_declared_types": """
+        select name, case when name in ('declared', 'spine') then (select count(*) from events) else 0 end as n
+        from (values ('declared'), ('other type'), ('no column'), ('no time'), ('spine'), ('spine without key')) cases(name)""",
+    "q_frames_equal": """
+        select 'same' as name, true as equal union all select 'twice', count(*) = 0 from events""",
+    "q_stored_function": """
+        select value <= 50 as is_valid, count(*) as n from events group by 1""",
+    "q_ingest_job": f"""
+        select user_id, ts as event_timestamp, event_id, value from (
+            select *, {_NEWEST_EVENT} from events where ts >= timestamp '2024-01-03' and ts < timestamp '2024-01-29'
+              and value between 0 and 50) where rn = 1""",
+    "q_logs_aware_range": """
+        select event_id, ts as log_timestamp from events
+        where ts >= timestamp '2024-01-06 02:00:00' and ts < timestamp '2024-01-25 03:00:00'""",
+    "q_batched_write": """
+        select count(*) as n, cast(sum(event_id) as bigint) as ids, cast(0 as bigint) as too_large from events""",
 }

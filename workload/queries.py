@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from datetime import date, datetime, timedelta
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
+from datetime import date, datetime, timedelta, timezone
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,6 +19,7 @@ from tidemark import (
     FeatureTable,
     Field,
     OnlineTable,
+    SchemaError,
     SkewOptions,
     Source,
     Suite,
@@ -34,13 +38,32 @@ from tidemark import (
     push,
 )
 from tidemark.functions.codecs import decode_json
+from tidemark.functions.shipped import load_function, save_function
 from tidemark.functions.times import event_date, normalise_time, time_literal, whole_seconds_between
+from tidemark.functions.types import feature_type, is_timestamp
+from tidemark.jobs import ingest as ingest_job
+from tidemark.jobs import retrieve as retrieve_job
 from tidemark.model import EVENT_TS
-from tidemark.operators.ingest import checked_rows, latest_rows
-from tidemark.operators.layouts import column_layout, kv_layout, new_refs, wide_layout
+from tidemark.operators.ingest import checked_rows
+from tidemark.operators.layouts import (
+    column_layout,
+    kv_layout,
+    read_wide,
+    register_schemas,
+    schema_registry_rows,
+    wide_layout,
+)
 from tidemark.operators.metrics import lag_summary, row_counters
-from tidemark.operators.online import with_expiry
-from tidemark.operators.project import drop_incomplete, flatten, project_input, select_features
+from tidemark.operators.online import update_online_tables, with_expiry
+from tidemark.operators.project import (
+    drop_incomplete,
+    flatten,
+    ingestion_window,
+    map_columns,
+    project_input,
+    reverse_mapping,
+    select_features,
+)
 from tidemark.operators.reduce import candidate_counts, semi_reduce, spine_bounds
 from tidemark.operators.sinks import (
     append_logs,
@@ -49,13 +72,26 @@ from tidemark.operators.sinks import (
     save_dataset,
     times_as_seconds,
     write_dead_letters,
+    write_in_batches,
     write_result,
 )
-from tidemark.operators.validate import VALID, check_report, observed_report, split_valid, with_validity
+from tidemark.operators.validate import (
+    VALID,
+    check_report,
+    check_spine,
+    check_table_frame,
+    frames_equal,
+    observed_report,
+    split_valid,
+    with_validity,
+)
 from tidemark.plans.lineage import scratch_path
-from tidemark.sources.batch import load_csv, read_batch
+from tidemark.sources.batch import columns_of, infer_event_timestamp, load_csv, read_batch
 from tidemark.sources.datasets import read_dead_letters, read_logs, read_saved_dataset
+from tidemark.sources.spine import stage_spine
 from tidemark.sources.stream import read_files
+from tidemark.sources.tables import append_rows, declare_table
+from tidemark.streaming.progress import IngestMetrics, progress_frame
 from workload.tables import (
     ORDER_FEATURES,
     USER,
@@ -105,6 +141,101 @@ def date_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy(F.col("date").alias("d")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("q_scan_aware_range")
+def scan_aware_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A range with an offset over a date-partitioned store: partitions are UTC days."""
+    path = scratch_path(spark, "batch-store")
+    append_to_batch_store(table(spark, sf_dir, "events"), path, "ts")
+    source = Source(path=path, event_timestamp="ts", date_partition="date")
+    zone = timezone(timedelta(hours=-5))
+    rows = read_batch(spark, source, datetime(2024, 1, 3, 20, tzinfo=zone), datetime(2024, 1, 14, 23, tzinfo=zone))
+    return rows.select("event_id", "ts")
+
+
+@query("q_window_days")
+def window_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last ten UTC days, counted from a time with an offset."""
+    now = datetime(2024, 1, 20, 23, 30, tzinfo=timezone(timedelta(hours=-5)))
+    rows = read_batch(spark, event_source(sf_dir), *ingestion_window(10, now))
+    return rows.select("event_id", "ts")
+
+
+@query("q_source_config")
+def source_config(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source from a declaration with serialised format names."""
+    declared = {
+        "file": {
+            "format": {"json_class": "ParquetFormat"},
+            "path": f"{sf_dir}/orders.parquet",
+            "event_timestamp_column": "o_orderdate",
+        }
+    }
+    rows = read_batch(spark, Source.from_dict(declared), date(1995, 1, 1), date(1996, 1, 1))
+    return rows.select("o_orderkey", "o_totalprice")
+
+
+@query("q_source_columns")
+def source_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns and types of a source, with the values each column has."""
+    source = event_source(sf_dir)
+    columns = columns_of(spark, source)
+    counted = table(spark, sf_dir, "events").agg(*[F.count(c).alias(c) for c, _ in columns])
+    pairs = [F.struct(F.lit(c).alias("column"), F.lit(t).alias("type"), F.col(c).alias("n")) for c, t in columns]
+    return counted.select(F.inline(F.array(*pairs)))
+
+
+@query("q_type_mapping")
+def type_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feature types of the columns of two tables, and the values each column has."""
+    parts = None
+    for name in ("events", "embeddings"):
+        df = table(spark, sf_dir, name)
+        fields = [f for f in df.schema.fields if not is_timestamp(f.dataType)]
+        counted = df.agg(*[F.count(f.name).alias(f.name) for f in fields])
+        rows = [
+            F.struct(F.lit(f.name).alias("column"), F.lit(feature_type(f.dataType)).alias("type"), F.col(f.name).alias("n"))
+            for f in fields
+        ]
+        part = counted.select(F.inline(F.array(*rows)))
+        parts = part if parts is None else parts.union(part)
+    return parts
+
+
+@query("q_map_columns")
+def mapped_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mapping that renames one column and computes another; the rest stays."""
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return map_columns(rows, {"customer": "o_custkey", "doubled": "o_totalprice * 2"})
+
+
+@query("q_reverse_mapping")
+def reversed_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source columns of final names, selected under these names."""
+    names = ["customer", "o_totalprice", "placed"]
+    columns = reverse_mapping({"customer": "o_custkey", "placed": "o_orderdate"}, names)
+    return table(spark, sf_dir, "orders").select(*[F.col(c).alias(n) for c, n in zip(columns, names)])
+
+
+@query("q_offset_times")
+def offset_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bounds with an offset against naive UTC times."""
+    events, zone = table(spark, sf_dir, "events"), timezone(timedelta(hours=5, minutes=30))
+    low, high = (time_literal(datetime(2024, 1, d, 2, tzinfo=zone), events.schema["ts"].dataType) for d in (10, 12))
+    return events.filter((F.col("ts") >= low) & (F.col("ts") < high)).select("event_id", "ts")
+
+
+@query("q_inferred_time")
+def inferred_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The time column of frames that do not name it."""
+    parts = None
+    for name in ("events", "orders"):
+        df = table(spark, sf_dir, name)
+        column = infer_event_timestamp(df)
+        part = df.agg(F.lit(name).alias("name"), F.lit(column).alias("column"), F.max(column).alias("latest"))
+        parts = part if parts is None else parts.union(part)
+    return parts
+
+
 @query("q_mapping_expr")
 def mapping_expr(spark: SparkSession, sf_dir: str) -> DataFrame:
     feature_table = FeatureTable(
@@ -297,6 +428,70 @@ def pit_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_of_join(spine, "l_shipdate", features, by_status, skew=skew)
 
 
+@query("q_pit_partitioned")
+def pit_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Views in a date-partitioned store: the spine's times choose the partitions."""
+    item = views(spark, sf_dir, SIX_HOURS)
+    path = scratch_path(spark, "batch-store")
+    append_to_batch_store(item.df, path)
+    declared = replace(item.table, source=Source(path=path, event_timestamp=EVENT_TS, date_partition="date"))
+    engine = FeatureEngine(spark, [declared])
+    return engine.get_historical_features(purchases(spark, sf_dir), ["views:value"], spine_ts="ts")
+
+
+@query("q_staged_spine")
+def staged_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An entity frame in the caller's memory, staged for the cluster."""
+    at = F.lit(datetime(1998, 6, 1)).cast("timestamp_ntz").alias("at")
+    mine = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), at).toPandas()
+    spine = stage_spine(spark, mine, scratch_path(spark, "spine"))
+    sold = FeatureTable(
+        "sold", (Field("l_suppkey", "INT64"),), (Field("l_quantity", "DOUBLE"),), tie_break=("l_orderkey", "l_linenumber")
+    )
+    lines = table(spark, sf_dir, "lineitem").withColumnRenamed("l_shipdate", EVENT_TS)
+    return as_of_join(spine, "at", lines, sold).drop("at")
+
+
+@query("q_declared_tables")
+def declared_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bucketed tables from declarations, filled in two appends and joined."""
+    item = views(spark, sf_dir)
+    name, path = f"tidemark_declared_{uuid.uuid4().hex}", scratch_path(spark, "declared")
+    declare_table(spark, name, item.table, Source(), buckets=8, path=f"{path}/table")
+    odd = F.col("event_id") % 2 == 1
+    for part in (odd, ~odd):
+        append_rows(item.df.filter(part), name, item.table, Source())
+    joined = as_of_join(purchases(spark, sf_dir), "ts", spark.table(name), item.table)
+    joined.write.parquet(f"{path}/result")
+    spark.sql(f"drop table {name}")
+    return spark.read.parquet(f"{path}/result")
+
+
+@query("q_retrieve_job")
+def retrieve_by_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The retrieval job: a request in, the path of the result out."""
+    table(spark, sf_dir, "customer").createOrReplaceTempView("tidemark_customers")
+    entities = [{"name": "user_id", "type": "INT64"}]
+    request = {
+        "tables": [
+            {
+                "name": "seen",
+                "entities": entities,
+                "features": [{"name": "value", "type": "DOUBLE"}, {"name": "event_type", "type": "STRING"}],
+                "tie_break": ["event_id"],
+                "source": {
+                    "file": {"format": "parquet", "path": f"{sf_dir}/events.parquet", "event_timestamp_column": "ts"}
+                },
+            }
+        ],
+        "sql": "select c_custkey as user_id, timestamp_ntz'2024-01-20 12:00:00' as at from tidemark_customers",
+        "features": ["seen:event_type", "seen:value"],
+        "full_feature_names": False,
+        "output": {"path": scratch_path(spark, "retrieved")},
+    }
+    return spark.read.parquet(retrieve_job.run(spark, request)).drop("at")
+
+
 @query("q_pit_bare_names")
 def pit_bare_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Retrieval through the engine: SQL spine, references, bare names."""
@@ -320,7 +515,7 @@ def min_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     seen = typed_events(spark, sf_dir, "view").withColumn("seen", F.col(EVENT_TS))
     feature_table = FeatureTable("views", (USER,), (Field("seen", "INT64"),))
     matched = as_of_join(purchases(spark, sf_dir), "ts", seen, feature_table)
-    age = whole_seconds_between(F.col("views__seen"), F.col("ts"))
+    age = whole_seconds_between(F.col("views__seen"), F.col("ts"), naive=True)
     return matched.select("event_id", age.alias("min_distance")).filter(F.col("min_distance").isNotNull())
 
 
@@ -413,6 +608,79 @@ def online_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return online.lookup(spine, ["value"])
 
 
+@query("q_lookup_expired_default")
+def lookup_expired_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of 2024 have expired by now; they are served only when asked for."""
+    aged = FeatureTable("aged", (USER,), (VALUE,), timedelta(days=10), tie_break=("event_id",))
+    online = _online(spark, aged)
+    online.upsert(table(spark, sf_dir, "events").withColumnRenamed("ts", EVENT_TS))
+    spine = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"))
+    fresh = online.lookup(spine, full_feature_names=False)
+    return online.lookup(fresh, include_expired=True, key_rows=spine)
+
+
+@query("q_max_age_redeclared")
+def max_age_redeclared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that is loaded again with another max age."""
+    events = table(spark, sf_dir, "events").withColumnRenamed("ts", EVENT_TS)
+    path = scratch_path(spark, "online")
+    for days in (30, 2):
+        declared = FeatureTable("activity", (USER,), (VALUE,), timedelta(days=days), tie_break=("event_id",))
+        online = OnlineTable(spark, path, declared, buckets=8)
+        online.upsert(events)
+    return online.rows()
+
+
+@query("q_cleanup_label")
+def cleanup_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A clean-up label that is longer than the max age decides, also through the engine."""
+    declared = FeatureTable(
+        "activity", (USER,), (VALUE,), timedelta(days=1), source=Source(event_timestamp="ts"),
+        labels={"gcThresholdSec": str(10 * 86_400)}, tie_break=("event_id",),
+    )
+    engine = FeatureEngine(
+        spark, [declared], frames={"activity": table(spark, sf_dir, "events")},
+        online_root=scratch_path(spark, "label"), buckets=8,
+    )
+    engine.materialize(datetime(2000, 1, 1), datetime(2100, 1, 1))
+    return engine.online_table("activity").rows()
+
+
+@query("q_online_two_writers")
+def online_two_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two writers at the same time, each with the events of its own users."""
+    feature_table, events = activity(spark, sf_dir)
+    path = scratch_path(spark, "online")
+
+    def write(writer: int) -> None:
+        online = OnlineTable(spark, path, feature_table, buckets=8, compact_after=3)
+        own = events.filter(F.col("user_id") % 2 == writer)
+        early = F.col(EVENT_TS) < time_literal(datetime(2024, 1, 15), T.TimestampNTZType())
+        for batch_id, part in enumerate((early, ~early)):
+            online.upsert(own.filter(part), batch_id=batch_id, writer=f"writer-{writer}")
+
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(write, range(2)))
+    return OnlineTable(spark, path, feature_table).rows().select("user_id", EVENT_TS, "value")
+
+
+@query("q_online_teardown")
+def online_teardown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of two tables one is dropped; what the folder still holds."""
+    feature_table, events = activity(spark, sf_dir)
+    root = scratch_path(spark, "teardown")
+    tables = [replace(feature_table, name=n) for n in ("gone", "kept")]
+    for declared in tables:
+        OnlineTable(spark, f"{root}/{declared.name}", declared, buckets=8).upsert(events)
+    left = update_online_tables(spark, root, tables[:1], tables[1:])
+    rows = None
+    for name in left:
+        own = OnlineTable(spark, f"{root}/{name}", replace(feature_table, name=name)).rows()
+        own = own.select(F.lit(name).alias("name"), "user_id", "value")
+        rows = own if rows is None else rows.union(own)
+    return rows
+
+
 @query("q_online_lookup_hot")
 def online_lookup_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A spine with few, very frequent keys: hot keys are salted."""
@@ -458,12 +726,14 @@ def key_expiry_max(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("q_materialize")
 def materialize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest orders of a closed range to the online table, by the engine."""
     item = orders(spark, sf_dir, timedelta(days=365))
-    source = Source(created_timestamp="created_timestamp")
-    newest = latest_rows(item.df, item.table, source)
-    online = _online(spark, item.table)
-    online.upsert(newest)
-    return online.rows().drop("o_orderpriority")
+    declared = replace(item.table, source=Source(created_timestamp="created_timestamp"))
+    engine = FeatureEngine(
+        spark, [declared], frames={"orders": item.df}, online_root=scratch_path(spark, "materialize"), buckets=8
+    )
+    engine.materialize(datetime(1990, 1, 1), datetime(2010, 1, 1))
+    return engine.online_table("orders").rows().drop("o_orderpriority")
 
 
 @query("q_push_online")
@@ -477,18 +747,18 @@ def push_online(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("q_embedding_pit")
 def embedding_pit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors as features: read at one time, asked a day later."""
     vectors = FeatureTable(
         "vec", (Field("vec_id", "INT64"),), (Field("embedding", "FLOAT_LIST"), Field("label", "INT32"))
     )
-    rows = table(spark, sf_dir, "embeddings").withColumn(
-        EVENT_TS, F.lit(datetime(2024, 1, 1)).cast("timestamp_ntz")
-    )
-    online = _online(spark, vectors)
-    online.upsert(rows)
-    found = online.lookup(rows.select("vec_id"), full_feature_names=False)
+    made = F.lit(datetime(2024, 1, 1)).cast("timestamp_ntz")
+    rows = table(spark, sf_dir, "embeddings").withColumn(EVENT_TS, made)
+    spine = rows.select("vec_id", (made + timedelta(days=1)).alias("at"))
+    found = as_of_join(spine, "at", rows, vectors, full_feature_names=False)
     return found.select(
         "vec_id", "label", F.size("embedding").cast("long").alias("dim"),
         F.element_at("embedding", 1).alias("first"), F.element_at("embedding", -1).alias("last"),
+        F.array_min("embedding").alias("least"), F.array_max("embedding").alias("most"),
     )
 
 
@@ -499,7 +769,7 @@ def embedding_pit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def kv_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     feature_table, events = activity(spark, sf_dir)
     entries = kv_layout(compact(events, feature_table), feature_table, value_type="double", with_times=False)
-    return entries.select("entity_key", F.col("field").alias("feature"), F.col("value").alias("feature_value"))
+    return entries.select("entity_key", "field_hash", F.col("field").alias("feature"), F.col("value").alias("feature_value"))
 
 
 @query("q_kv_times")
@@ -508,7 +778,7 @@ def kv_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, events = activity(spark, sf_dir)
     aged = FeatureTable("activity", (USER,), (VALUE,), timedelta(days=30), tie_break=("event_id",))
     entries = kv_layout(compact(events, aged), aged).filter(F.col("field").startswith("_"))
-    return entries.select("entity_key", "field", F.col("value").cast("timestamp_ntz").alias("value"))
+    return entries.select("entity_key", "field", "field_hash", F.col("value").cast("timestamp_ntz").alias("value"))
 
 
 def _shipped(spark: SparkSession, sf_dir: str) -> tuple[FeatureTable, DataFrame]:
@@ -525,22 +795,48 @@ def _shipped(spark: SparkSession, sf_dir: str) -> tuple[FeatureTable, DataFrame]
 
 @query("q_wide_layout_key")
 def wide_layout_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All columns; the value's bytes begin with the reference of its schema."""
     shipped, newest = _shipped(spark, sf_dir)
     wide = wide_layout(newest, shipped)
-    quantity = F.get_json_object("value", "$.l_quantity").cast("double")
-    return wide.select(F.col("key").alias("row_key"), "ts", quantity.alias("quantity"))
+    return wide.select(F.col("key").alias("row_key"), "ts", "schema_ref", F.hex("value").alias("value"))
+
+
+@query("q_wide_read_back")
+def wide_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of the wide layout, back in their columns."""
+    shipped, newest = _shipped(spark, sf_dir)
+    schema = T.StructType([T.StructField("l_quantity", T.DoubleType())])
+    return read_wide(wide_layout(newest, shipped), schema).withColumnRenamed("key", "row_key")
+
+
+@query("q_wide_empty_keys")
+def wide_empty_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose key is an empty text are left out."""
+    kinds = FeatureTable("kinds", (Field("kind", "STRING"),), (VALUE,), tie_break=("event_id",))
+    kind = F.when(F.col("event_type") == "error", F.lit("")).otherwise(F.col("event_type"))
+    events = table(spark, sf_dir, "events").withColumnRenamed("ts", EVENT_TS).withColumn("kind", kind)
+    return wide_layout(compact(events, kinds), kinds).select("key", "ts")
 
 
 @query("q_column_layout_rows")
 def column_layout_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     shipped, newest = _shipped(spark, sf_dir)
-    return column_layout(newest, shipped).select("key", "write_time", F.col("ttl").cast("long").alias("ttl"))
+    return column_layout(newest, shipped).withColumn("ttl", F.col("ttl").cast("long"))
 
 
 @query("q_schema_registry")
 def schema_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kinds = table(spark, sf_dir, "events").select(F.col("event_type").alias("schema_ref"))
-    return new_refs(kinds, kinds.filter(F.col("schema_ref").isin("click", "view")))
+    """Schemas of two tables registered twice; the rows stored under each reference."""
+    shipped, lines = _shipped(spark, sf_dir)
+    feature_table, events = activity(spark, sf_dir)
+    newest = compact(events, feature_table)
+    path = scratch_path(spark, "registry")
+    for _ in range(2):
+        register_schemas(spark, path, schema_registry_rows(lines, [shipped]))
+        registry = register_schemas(spark, path, schema_registry_rows(newest, [feature_table]))
+    stored = wide_layout(lines, shipped).select("schema_ref").union(wide_layout(newest, feature_table).select("schema_ref"))
+    counted = stored.groupBy("schema_ref").agg(F.count(F.lit(1)).alias("n"))
+    return registry.join(counted, "schema_ref")
 
 
 # ----------------------------------------------------------------------------- validation
@@ -594,6 +890,79 @@ def observed_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return observed_report(table(spark, sf_dir, "events"), suite)
 
 
+@query("q_two_sets_one_column")
+def two_sets_one_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two checks of one column that differ in their lists only."""
+    suite = Suite((expect_in_set("event_type", ("click", "view")), expect_in_set("event_type", ("view", "signup"))))
+    return check_report(table(spark, sf_dir, "events"), suite)
+
+
+@query("q_prefix_strip")
+def prefix_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checks that name columns as retrieval does, on the table's own rows."""
+    events = table(spark, sf_dir, "events").withColumnRenamed("ts", EVENT_TS)
+    checked = with_validity(events, EVENT_CHECKS, Suite((expect_between("events__value", 0, 50),)))
+    return checked.groupBy(F.col(VALID).alias("is_valid")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("q_any_feature")
+def any_feature(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with and without any feature."""
+    _, events = activity(spark, sf_dir)
+    bought = FeatureTable("bought", (USER,), (Field("pv", "DOUBLE"),))
+    checked = with_validity(events, bought, need_feature=True)
+    reason = F.concat_ws(",", "_failed_checks").alias("reason")
+    return checked.groupBy(F.col(VALID).alias("is_valid"), reason).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("q_declared_types")
+def declared_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames that do and do not have what tables declare, with the rows that would be used."""
+    events = table(spark, sf_dir, "events").withColumnRenamed("ts", EVENT_TS)
+    cases = {
+        "declared": lambda: check_table_frame(events, EVENT_CHECKS),
+        "other type": lambda: check_table_frame(events.withColumn("value", F.col("value").cast("int")), EVENT_CHECKS),
+        "no column": lambda: check_table_frame(events.drop("event_type"), EVENT_CHECKS),
+        "no time": lambda: check_table_frame(events.withColumn(EVENT_TS, F.lit("x")), EVENT_CHECKS),
+        "spine": lambda: check_spine(events, EVENT_TS, EVENT_CHECKS),
+        "spine without key": lambda: check_spine(events.drop("user_id"), EVENT_TS, EVENT_CHECKS),
+    }
+    parts = None
+    for name, check in cases.items():
+        try:
+            check()
+            usable = events
+        except SchemaError:
+            usable = events.limit(0)
+        part = usable.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n"))
+        parts = part if parts is None else parts.union(part)
+    return parts
+
+
+@query("q_frames_equal")
+def equal_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows in another order and column order; and all rows twice."""
+    events = table(spark, sf_dir, "events")
+    turned = events.select(*reversed(events.columns)).orderBy(F.desc("event_id"))
+    answers = [("same", frames_equal(events, turned)), ("twice", frames_equal(events, events.union(events)))]
+    return spark.createDataFrame(answers, "name string, equal boolean")
+
+
+@query("q_stored_function")
+def stored_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A validation function that was stored as a file."""
+    limit = 50
+
+    def affordable(rows: pd.DataFrame) -> pd.Series:
+        return rows["value"] <= limit
+
+    path = f"{scratch_path(spark, 'functions')}/affordable.pickle"
+    save_function(spark, affordable, path)
+    events = table(spark, sf_dir, "events").withColumnRenamed("ts", EVENT_TS).drop("props")
+    checked = with_validity(events, EVENT_CHECKS, Suite(function=load_function(spark, path)))
+    return checked.groupBy(F.col(VALID).alias("is_valid")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("q_suite_function")
 def suite_function(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Validity by a user's pandas function, Arrow batches."""
@@ -647,6 +1016,37 @@ def ingest_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reasons.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("q_ingest_job")
+def ingest_by_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ingestion job: a configuration in, the online table filled."""
+    online = scratch_path(spark, "online")
+    ingest_job.run(
+        spark,
+        {
+            "mode": "offline",
+            "table": {
+                "name": "events",
+                "entities": [{"name": "user_id", "type": "INT64"}],
+                "features": [{"name": "event_id", "type": "INT64"}, {"name": "value", "type": "DOUBLE"}],
+                "source": {
+                    "file": {"format": "parquet", "path": f"{sf_dir}/events.parquet", "event_timestamp_column": "ts"}
+                },
+            },
+            "online": {"path": online, "buckets": 8},
+            "start": "2024-01-03T00:00:00",
+            "end": "2024-01-29T00:00:00",
+            "suite": [
+                {
+                    "expectation_type": "expect_column_values_to_be_between",
+                    "kwargs": {"column": "value", "min_value": 0, "max_value": 50},
+                }
+            ],
+        },
+    )
+    stored = replace(EVENT_CHECKS, features=(Field("event_id", "INT64"), VALUE))
+    return OnlineTable(spark, online, stored).rows().drop("expiry_timestamp")
+
+
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     # A glob pattern, so that the table may be one file or a folder of files.
     path = f"{sf_dir}/events.parque[t]"
@@ -655,40 +1055,65 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("q_stream_state")
 def stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    latest = FeatureTable("latest", (USER,), (VALUE, Field("event_id", "INT64")))
+    latest = FeatureTable("latest", (USER,), (Field("event_id", "INT64"), VALUE))
     online = _online(spark, latest)
+    _streamed(spark, sf_dir, latest, online)
+    return online.rows().drop("expiry_timestamp")
+
+
+def _streamed(spark: SparkSession, sf_dir: str, feature_table: FeatureTable, online: OnlineTable, **options):
     run = ingest_stream(
         _event_stream(spark, sf_dir),
-        latest,
+        feature_table,
         online,
         source=Source(event_timestamp="ts"),
         checkpoint=scratch_path(spark, "stream"),
         trigger={"availableNow": True},
+        **options,
     )
     run.awaitTermination()
-    return online.rows().select("user_id", EVENT_TS, "value")
+    return run
+
+
+@query("q_latest_message")
+def latest_message(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters of a stream and the time of its last message."""
+    latest = FeatureTable("latest", (USER,), (VALUE,))
+    metrics = IngestMetrics()
+    _streamed(spark, sf_dir, latest, _online(spark, latest), message_time="ts", metrics=metrics)
+    return metrics.frame(spark).agg(
+        F.sum("n_read").alias("n_read"), F.sum("n_stored").alias("n_stored"),
+        F.max("latest_message").cast("timestamp_ntz").alias("latest_message"),
+    )
+
+
+@query("q_stream_progress")
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    latest = FeatureTable("latest", (USER,), (VALUE,))
+    run = _streamed(spark, sf_dir, latest, _online(spark, latest))
+    return progress_frame(spark, run).agg(F.sum("input_rows").alias("n"))
 
 
 @query("q_stream_deadletter")
 def stream_deadletter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JSON messages, some of them no JSON at all."""
+    """JSON messages, some of them no JSON at all; two runs into one folder, read back by run."""
     counts = FeatureTable("counts", (USER,), (Field("k", "INT64"),), source=Source(event_timestamp="ts"))
-    online = _online(spark, counts)
     broken = F.when(F.col("event_type") == "error", F.lit("invalid")).otherwise(F.col("props"))
     messages = _event_stream(spark, sf_dir).select("user_id", "ts", broken.alias("message"))
     path = scratch_path(spark, "dead-letters")
-    run = ingest_stream(
-        messages,
-        counts,
-        online,
-        message={"format": "json", "column": "message", "schema": T.StructType([T.StructField("k", T.LongType())])},
-        checkpoint=scratch_path(spark, "stream"),
-        dead_letters=path,
-        trigger={"availableNow": True},
-    )
-    run.awaitTermination()
-    rejected = spark.read.parquet(path)
-    return rejected.select("user_id", EVENT_TS, F.concat_ws(",", "_failed_checks").alias("reason"))
+    for _ in range(2):
+        run = ingest_stream(
+            messages,
+            counts,
+            _online(spark, counts),
+            message={"format": "json", "column": "message", "schema": T.StructType([T.StructField("k", T.LongType())])},
+            checkpoint=scratch_path(spark, "stream"),
+            dead_letters=path,
+            trigger={"availableNow": True},
+        )
+        run.awaitTermination()
+    runs = read_dead_letters(spark, path).withColumn("run", F.dense_rank().over(Window.orderBy("run_id")))
+    return runs.select("run", "user_id", EVENT_TS, F.concat_ws(",", "_failed_checks").alias("reason"))
 
 
 # ----------------------------------------------------------------- metrics, sinks, datasets
@@ -696,8 +1121,10 @@ def stream_deadletter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("q_lag_summary")
 def lag_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean and spread in whole seconds, where sums of floats agree."""
     summary = lag_summary(table(spark, sf_dir, "events"), datetime(2024, 2, 1), ["event_type"], "ts")
-    return summary.select("event_type", "n", "min_lag_us", "max_lag_us")
+    seconds = [F.round(F.col(f"{c}_lag_us") / 1e6).cast("long").alias(f"{c}_lag_s") for c in ("mean", "stddev")]
+    return summary.select("event_type", "n", "min_lag_us", "max_lag_us", "p50_lag_us", "p95_lag_us", "p99_lag_us", *seconds)
 
 
 @query("q_row_counters")
@@ -730,6 +1157,29 @@ def feature_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("q_logs_aware_range")
+def logs_aware_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logs of a range with an offset: log dates are UTC days."""
+    path = scratch_path(spark, "logs")
+    append_logs(table(spark, sf_dir, "events").withColumnRenamed("ts", "log_timestamp"), path)
+    zone = timezone(timedelta(hours=-5))
+    start, end = datetime(2024, 1, 5, 21, tzinfo=zone), datetime(2024, 1, 24, 22, tzinfo=zone)
+    return read_logs(spark, path, ["event_id"], start=start, end=end)
+
+
+@query("q_batched_write")
+def batched_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows handed to a client in groups of at most 500, on the executors."""
+    ids, groups = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+
+    def send(rows: list) -> None:
+        ids.add(sum(r["event_id"] for r in rows))
+        groups.add(int(len(rows) > 500))
+
+    n = write_in_batches(table(spark, sf_dir, "events").select("event_id"), send, 500)
+    return spark.createDataFrame([(n, ids.value, groups.value)], "n long, ids long, too_large long")
+
+
 @query("q_record_file")
 def record_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "records")
