@@ -39,8 +39,9 @@ from tidemark.plans.skew import (
 _TS = "__tm_ts"
 _SIDE = "__tm_side"
 _REST = "__tm_rest"
-# Spine rows without a complete key match nothing; they are spread over this many groups.
-_NULL_KEY_GROUPS = 4_096
+# Spine rows without a complete key match nothing; they are spread over so many groups for each
+# shuffle partition.
+_NULL_KEY_GROUPS = 4
 
 
 @dataclass(frozen=True)
@@ -234,7 +235,8 @@ def _one_pass(
     key_missing = F.lit(False)
     for key in keys:
         key_missing = key_missing | F.col(key).isNull()
-    null_group = F.pmod(F.xxhash64(*spread), F.lit(_NULL_KEY_GROUPS).cast("long")).cast("int")
+    groups = _NULL_KEY_GROUPS * int(spine.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    null_group = F.pmod(F.xxhash64(*spread), F.lit(groups).cast("long")).cast("int")
 
     spine_rows = spine.withColumn(_TS, F.col(spine_ts))
     spine_slice = F.lit(0)

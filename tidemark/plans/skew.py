@@ -25,10 +25,11 @@ from pyspark.sql import types as T
 # Rows of one key that a single task sorts without trouble.
 HOT_ROWS = 2_000_000
 SAMPLE_FRACTION = 0.01
-# Upper bounds of what is collected and broadcast: a few MB at most, whatever the data size.
-MAX_HOT_KEYS = 10_000
-MAX_SLICES_PER_KEY = 16_384
-MAX_SLICES = 65_536
+# The threshold follows the data: a key with less than this share of all rows is never hot, for
+# there can not be more such keys than that, and it takes no more than this share of the work.
+# Slices are as fine. What is collected and broadcast stays at some ten MB, whatever the data.
+LARGEST_SHARES = 200_000
+MAX_SLICES = 2 * LARGEST_SHARES
 
 SLICE = "__tm_slice"
 HOT = "__tm_hot"
@@ -137,7 +138,7 @@ def find_hot_keys(
         .agg(F.count(F.lit(1)).alias("__tm_n"))
         .filter(F.col("__tm_n") >= max(2, int(options.hot_rows * fraction)))
         .orderBy(F.col("__tm_n").desc())
-        .limit(MAX_HOT_KEYS)
+        .limit(LARGEST_SHARES)
         .collect()
     )
     if not found:
@@ -150,7 +151,7 @@ def find_hot_keys(
 
     # Slices of about hot_rows / 2 rows, coarser if that would be too many in total.
     target = max(options.hot_rows / 2, sum(counts) / MAX_SLICES, 1)
-    slices = [min(MAX_SLICES_PER_KEY, max(2, ceil(n / target))) for n in counts]
+    slices = [max(2, ceil(n / target)) for n in counts]
     finest = max(slices)
     marks = [i / finest for i in range(1, finest)]
     plan_schema = T.StructType([*key_schema.fields, T.StructField("__tm_s", T.IntegerType())])
