@@ -28,10 +28,12 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest id."""
+    """One document of each group of near-duplicates: the one with the smallest id. Rows that
+    repeat an id stay or go together; rows without an id stay unless their group has one."""
     groups = near_duplicates(docs)
-    kept = groups.filter(groups["doc_id"] == groups["component_id"]).select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi")
+    first = groups.filter(groups["doc_id"].eqNullSafe(groups["component_id"]))
+    kept = first.select(first["doc_id"].alias("kept_id")).distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
