@@ -14,6 +14,8 @@ from tidemark.operators.reduce import candidate_counts
 
 EVERYTHING_HOT = SkewOptions(hot_rows=2, sample_fraction=1.0)
 PLANS = [None, SkewOptions(), EVERYTHING_HOT]
+# The caller says that key 1 is hot, and names a key that has no rows.
+ONE_HOT = SkewOptions(hot_rows=2, sample_fraction=1.0, known=((1, 20), (99, 7)))
 
 
 def at(day, month=9, **kw):
@@ -236,7 +238,7 @@ def test_equals_brute_force(spark, spine, feats, max_age):
     feats_df = features_of(spark, [(k, clock(t), clock(c), v) for k, t, c, v in feats], ["k"], "v int")
     t = table("t", ["k"], {"v": "INT32"}, None if max_age is None else max_age * 60)
     expected = brute_force(spine, feats, max_age)
-    for skew in (None, EVERYTHING_HOT):
+    for skew in (None, EVERYTHING_HOT, ONE_HOT):
         for reduce in (None, False, True) if skew is None else (None,):
             got = as_of_join(
                 spine_df, "event_timestamp", feats_df, t, skew=skew, reduce_by_spine=reduce
@@ -364,7 +366,7 @@ def test_bucketed_tables_join_without_a_shuffle(spark):
     assert rows_of(df) == rows_of(as_of_join(spine, "ts", feats, t))
 
 
-@pytest.mark.parametrize("skew", PLANS)
+@pytest.mark.parametrize("skew", [*PLANS, ONE_HOT])
 def test_semi_reduce_keeps_rows_as_they_are(spark, skew):
     from tidemark.operators.reduce import semi_reduce
 

@@ -70,6 +70,7 @@ class Source:
         **kwargs,
     ) -> Source:
         """A warehouse table or view read through a user-supplied connector."""
+        # The connector's option names.
         options = {"viewsEnabled": "true"}
         if materialization:
             options["materializationProject"] = materialization["project"]
@@ -97,6 +98,7 @@ class Source:
     @staticmethod
     def broker(bootstrap_servers: str, topic: str, event_timestamp: str, **kwargs) -> Source:
         """A message broker topic."""
+        # Spark's option names.
         return Source(
             format="kafka",
             event_timestamp=event_timestamp,

@@ -41,10 +41,16 @@ _SALTS = "__tm_salts"
 
 @dataclass(frozen=True)
 class SkewOptions:
-    """When a key counts as hot and how finely it is split."""
+    """When a key counts as hot and how finely it is split.
+
+    `known` gives hot keys that the caller knows, with their numbers of rows, as tuples
+    (key values in the order of the sorted key columns, then the number): joins by salts then
+    sample nothing, and time slices look at the rows of these keys only.
+    """
 
     hot_rows: int = HOT_ROWS
     sample_fraction: float = SAMPLE_FRACTION
+    known: tuple[tuple, ...] | None = None
 
 
 @dataclass(frozen=True)
@@ -133,19 +139,24 @@ def find_hot_keys(
     sample = rows.filter(_not_null(keys))
     if fraction < 1.0:
         sample = sample.sample(withReplacement=False, fraction=fraction, seed=17)
-    found = (
-        sample.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__tm_n"))
-        .filter(F.col("__tm_n") >= max(2, int(options.hot_rows * fraction)))
-        .orderBy(F.col("__tm_n").desc())
-        .limit(LARGEST_SHARES)
-        .collect()
-    )
+    if options.known is not None:
+        order = [sorted(keys).index(k) for k in keys]
+        found = [(*(r[i] for i in order), r[-1]) for r in options.known if r[-1] >= options.hot_rows]
+        counts = [int(r[-1]) for r in found]
+    else:
+        found = (
+            sample.groupBy(*keys)
+            .agg(F.count(F.lit(1)).alias("__tm_n"))
+            .filter(F.col("__tm_n") >= max(2, int(options.hot_rows * fraction)))
+            .orderBy(F.col("__tm_n").desc())
+            .limit(LARGEST_SHARES)
+            .collect()
+        )
+        counts = [int(r["__tm_n"] / fraction) for r in found]
     if not found:
         return None
     key_schema = T.StructType([rows.schema[k] for k in keys])
     key_rows = [tuple(r[:-1]) for r in found]
-    counts = [int(r["__tm_n"] / fraction) for r in found]
     if ts is None:
         return HotKeys(tuple(keys), key_schema, tuple(key_rows), tuple(counts))
 

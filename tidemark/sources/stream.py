@@ -17,6 +17,7 @@ def broker_options(
     mechanism: str = "PLAIN",
 ) -> dict[str, str]:
     """Reader options of a broker topic, with SASL login when a user name is given."""
+    # Spark's and the broker client's option names.
     options = {**source.options, "failOnDataLoss": "false"}
     if username is not None:
         login = "org.apache.kafka.common.security.plain.PlainLoginModule"
