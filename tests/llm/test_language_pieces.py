@@ -68,6 +68,10 @@ def test_nothing_to_learn(spark):
     got = {r["doc_id"]: (r["lang_pred"], r["score"], r["rejected"]) for r in language.predict(docs, models).collect()}
     assert got == {1: ("und", 0.0, False), 2: ("und", 0.0, False)}
     assert language.predict(docs.limit(0), models).collect() == []
+    # One labelled text: learned from, or kept for calibration, but never a failure.
+    for i in range(6):
+        lone = language.fit(docs.limit(0).union(spark.createDataFrame([(i, "the and of", "en")], docs.schema)), F.lit(True))
+        assert lone.predict(["the of", None])["lang_pred"].tolist() in (["en", "und"], ["und", "und"])
 
 
 def _all_segmentations(run, words):

@@ -31,11 +31,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import by_batch, keyed_text, with_fields
+from tidemark.llm.shared import by_batch, keyed_text, stretches, with_fields
 
 ORDER = 4
 SAMPLE_DOCS = 1500
 UNKNOWN = "und"
+# Characters looked at together.
+AT_ONCE = 1_000_000
 # Standard deviations above the usual cross-entropy from which on a text is rejected, at least.
 LEAST_DEVIATIONS = 8.0
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -82,9 +84,15 @@ def _counts(docs: DataFrame) -> DataFrame:
     """label, n, gram, context, suffix, count over (label, text) rows, of every order."""
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = pd.Series(batch.column("text").to_pylist(), dtype=object)
+        values = batch.column("text").to_pylist()
+        labels = batch.column("label").to_pylist()
+        parts = [p for a, b in stretches(values, AT_ONCE) for p in counted(values[a:b], labels[a:b])]
+        return pa.RecordBatch.from_pandas(pd.concat(parts), schema, preserve_index=False)
+
+    def counted(values: list[str], labels: list[str]) -> list[pd.DataFrame]:
+        texts = pd.Series(values, dtype=object)
         parts = []
-        for label, group in texts.groupby(np.array(batch.column("label").to_pylist(), dtype=object)):
+        for label, group in texts.groupby(np.array(labels, dtype=object)):
             codes, begins, _ = _prepared(group.tolist())
             inside = np.ones(len(codes), bool)
             inside[(begins[:, None] + np.arange(ORDER - 1)).ravel()] = False
@@ -104,7 +112,7 @@ def _counts(docs: DataFrame) -> DataFrame:
                         }
                     )
                 )
-        return pa.RecordBatch.from_pandas(pd.concat(parts), schema, preserve_index=False)
+        return parts
 
     numbers = [pa.field(name, pa.int64()) for name in ("gram", "context", "suffix", "count")]
     schema = pa.schema([pa.field("label", pa.string()), pa.field("n", pa.int32()), *numbers])
@@ -180,6 +188,12 @@ class LanguageModels:
 
     def cross_entropies(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(texts, languages) nats per character; characters of each text; which have letters."""
+        parts = [self._cross_entropies(texts[a:b]) for a, b in stretches(texts, AT_ONCE)]
+        if not parts:
+            return np.zeros((0, len(self.languages))), np.zeros(0, np.int64), np.zeros(0, bool)
+        return tuple(np.concatenate(x) for x in zip(*parts))
+
+    def _cross_entropies(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         codes, begins, has = _prepared(texts)
         inside = np.ones(len(codes), bool)
         inside[(begins[:, None] + np.arange(ORDER - 1)).ravel()] = False

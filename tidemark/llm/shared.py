@@ -15,7 +15,7 @@ from tidemark.plans.lineage import scratch_path
 def written(df: DataFrame, name: str) -> DataFrame:
     """The frame as a Parquet table in the shared folder: computed once, safe from lost executors."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -41,6 +41,18 @@ def by_batch(
     return df.mapInArrow(run, schema)
 
 
+def stretches(texts: list[str | None], size: int) -> Iterator[tuple[int, int]]:
+    """(first, last) of runs of texts with about `size` characters."""
+    first, held = 0, 0
+    for i, text in enumerate(texts):
+        if held and held + len(text or "") > size:
+            yield first, i
+            first, held = i, 0
+        held += len(text or "") + 1
+    if held:
+        yield first, len(texts)
+
+
 def with_fields(df: DataFrame, *names: str, more: str) -> T.StructType:
     """A schema of columns of `df` followed by the fields of a DDL string."""
     return T.StructType([df.schema[n] for n in names] + T.StructType.fromDDL(more).fields)

@@ -17,12 +17,17 @@ from functools import cache
 import numpy as np
 import pandas as pd
 
+from tidemark.llm.shared import stretches
+
 # Characters handled here end before this one; the longest word merged here; characters at a time.
 LATIN = 0x250
 LONGEST = 40
-AT_ONCE = 1_000_000
+AT_ONCE = 1_500_000
+# Of these, so many that arrays over them stay near the processor.
+CACHED = 120_000
 # Distinct words remembered before all are forgotten.
-KNOWN = 1_000_000
+KNOWN = 300_000
+_END = np.full(3, 10, np.int64)
 _SPACE, _LETTER, _NUMBER, _OTHER, _ODD = range(5)
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _NONE = np.int32(2**31 - 1)
@@ -72,51 +77,64 @@ class WordBpe:
         self._last = np.array([vocabulary.get(shown[b] + suffix, -1) for b in range(256)], np.int32)
 
     def _forget(self) -> None:
-        self._known, self._flat = pd.Index(np.empty(0, np.uint64)), np.empty(0, np.int32)
+        self._known = self._recent = pd.Index(np.empty(0, np.uint64))
+        self._flat = np.empty(0, np.int32)
         self._counts = self._offsets = np.empty(0, np.int64)
 
     def encode_batch(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text as unsigned 32-bit integers."""
-        result: list[np.ndarray] = []
-        at = 0
-        while at < len(texts):
-            upto, size = at, 0
-            while upto < len(texts) and (upto == at or size + len(texts[upto] or "") <= AT_ONCE):
-                size += len(texts[upto] or "") + 1
-                upto += 1
-            result += self._encode(texts[at:upto])
-            at = upto
-        return result
+        return [ids for first, last in stretches(texts, AT_ONCE) for ids in self._encode(texts[first:last])]
 
     def _encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        joined = "\n".join(t or "" for t in texts) + "\n\n\n"
-        codes = np.frombuffer(joined.encode("utf-32-le"), np.int32).astype(np.int64)
+        joined = "\n".join(t or "" for t in texts) + "\n"
+        codes = np.frombuffer(joined.encode("utf-32-le"), np.int32).copy()
         lengths = np.fromiter((len(t or "") for t in texts), np.int64, len(texts))
-        firsts = np.cumsum(lengths + 1) - lengths - 1
-        starts, ends, odd, codes = self._words(codes)
-        keys = self._keys(codes, starts, ends, odd)
+        firsts = np.append(np.cumsum(lengths + 1) - lengths - 1, len(codes))
+        keys, starts, ends, odd = self._cut(codes, firsts)
         inverse, distinct = pd.factorize(keys)
-        if len(self._known) > KNOWN:
-            self._forget()
         place = self._known.get_indexer(distinct)
-        new = np.nonzero(place < 0)[0]
+        missing = np.nonzero(place < 0)[0]
+        recent = self._recent.get_indexer(distinct[missing])
+        place[missing] = np.where(recent < 0, -1, len(self._known) + recent)
+        new = missing[recent < 0]
         if len(new):
             first = np.empty(len(distinct), np.int64)
             first[inverse[::-1]] = np.arange(len(inverse))[::-1]
             one = first[new]
-            ids, sizes = self._merged(joined, codes, starts[one], ends[one], odd[one])
-            place[new] = len(self._known) + np.arange(len(new))
-            self._known = pd.Index(np.concatenate((self._known.to_numpy(), distinct[new])))
-            self._offsets = np.concatenate((self._offsets, len(self._flat) + np.cumsum(sizes) - sizes))
-            self._counts = np.concatenate((self._counts, sizes))
-            self._flat = np.concatenate((self._flat, ids))
+            place[new] = len(self._counts) + np.arange(len(new))
+            self._learn(distinct[new], *self._merged(joined, codes, starts[one], ends[one], odd[one]))
         word = place[inverse]
         each = self._counts[word]
         before = np.concatenate(([0], np.cumsum(each)))
         flat = self._flat[np.repeat(self._offsets[word] - before[:-1], each) + np.arange(before[-1])].astype("<u4")
-        bounds = before[np.searchsorted(starts, np.append(firsts, len(codes)))]
+        if len(self._counts) > KNOWN:
+            self._forget()
+        bounds = before[np.searchsorted(starts, firsts)]
         return [flat[a:b] for a, b in zip(bounds.tolist(), bounds[1:].tolist())]
 
+    def _learn(self, keys: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+        self._offsets = np.concatenate((self._offsets, len(self._flat) + np.cumsum(counts) - counts))
+        self._counts = np.concatenate((self._counts, counts))
+        self._flat = np.concatenate((self._flat, ids))
+        self._recent = pd.Index(np.concatenate((self._recent.to_numpy(), keys)))
+        if len(self._recent) > 0.2 * len(self._known):
+            self._known = pd.Index(np.concatenate((self._known.to_numpy(), self._recent.to_numpy())))
+            self._recent = pd.Index(np.empty(0, np.uint64))
+
+    def _cut(self, codes: np.ndarray, firsts: np.ndarray) -> list[np.ndarray]:
+        """Hash, start, end and kind of every word; `codes` become lower case. Some texts at a
+        time, so that all arrays over characters stay near the processor."""
+        parts, at = [], 0
+        while at < len(firsts) - 1:
+            upto = max(at + 1, int(np.searchsorted(firsts, firsts[at] + CACHED, "right")) - 1)
+            low, high = firsts[at], firsts[upto]
+            own = np.concatenate((codes[low:high], _END))
+            starts, ends, odd, small = self._words(own)
+            codes[low:high] = small[: high - low]
+            parts.append((self._keys(small, starts, ends, odd), starts + low, ends + low, odd))
+            at = upto
+        return [np.concatenate(x) for x in zip(*parts)]
+
     def _words(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Bounds of all words, which are for the library, and the characters in lower case."""
         kind, small = self._kind.take(codes, mode="clip"), self._lower.take(codes, mode="clip")
@@ -206,7 +224,7 @@ class WordBpe:
         sizes = ends - starts
         width = int(sizes.max())
         columns = np.arange(width)
-        chars = codes[np.minimum(starts[:, None] + columns, len(codes) - 1)].astype(np.int32)
+        chars = codes[np.minimum(starts[:, None] + columns, len(codes) - 1)]
         chars[columns[None, :] >= sizes[:, None]] = 0
         wide = chars >= 0x80
         if wide.any():  # two bytes each
