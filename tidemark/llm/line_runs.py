@@ -33,6 +33,8 @@ from tidemark.plans.lineage import scratch_path
 
 BLANK = b" \t\n\x0b\x0c\r"
 _HASH = ["h1", "h2"]
+# No more keys than this can each have more than this share of all (key, document) pairs.
+COMMON = 2000
 _DROPS = "__line_drops"
 
 
@@ -119,18 +121,25 @@ class LineRuns:
         return run
 
     def known(self, min_docs: int = 1) -> DataFrame:
-        """h1, h2 of the keys met in at least `min_docs` documents."""
+        """h1, h2, n_docs of the keys met in at least `min_docs` documents."""
         run = self.compact()
         if run is None:
-            return self._spark.createDataFrame([], "h1 long, h2 long")
-        return self._spark.table(run).filter(F.col("n_docs") >= min_docs).select(*_HASH)
+            return self._spark.createDataFrame([], "h1 long, h2 long, n_docs long")
+        return self._spark.table(run).filter(F.col("n_docs") >= min_docs)
 
     def anti_join(self, docs: DataFrame, lines: DataFrame, known: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         """`docs` without the lines whose keys are known, with n_lines and n_dropped.
 
-        Only hashes meet the runs; each document then gets the hashes it loses.
+        Only hashes meet the runs; each document then gets the hashes it loses. The lines of a
+        very common key would all meet in one task: such keys, `COMMON` at most, are broadcast.
         """
-        lost = lines.join(known, _HASH, "left_semi")
+        total = known.agg(F.sum("n_docs")).first()[0] or 0
+        common = F.col("n_docs") > total // COMMON
+        hot = F.broadcast(known.filter(common).select(*_HASH))
+        usual = known.filter(~common).select(*_HASH)
+        lost = lines.join(hot, _HASH, "left_semi").unionByName(
+            lines.join(hot, _HASH, "left_anti").join(usual.hint("merge"), _HASH, "left_semi")
+        )
         drops = lost.groupBy(F.col("key").alias("__key")).agg(F.collect_list(F.struct(*_HASH)).alias(_DROPS))
         joined = docs.join(drops, docs[key].eqNullSafe(drops["__key"]), "left").drop("__key")
         names = docs.columns
