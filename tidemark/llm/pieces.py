@@ -27,15 +27,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import by_batch, keyed_text, with_fields
+from tidemark.llm.shared import by_batch, keyed_text, stretches, with_fields
 from tidemark.llm.token_counts import MARK, RUNS, _processor, prove
 
 ALPHA = 1.0
 # Bytes weigh like pieces of this rank; runs up to this length have their lattices built together.
 BYTE_RANK = 1_000_000
 TOGETHER = 48
-# Lattice edges kept before the arrays are emptied.
-EDGES = 4_000_000
+# Lattice edges kept before the arrays are emptied, and characters sampled at a time.
+EDGES = 2_000_000
+AT_ONCE = 300_000
 # Stands for a space mark within a text; can not occur in one.
 _LITERAL = "\ud800"
 
@@ -97,29 +98,31 @@ def vocabulary(path: str, alpha: float = ALPHA) -> Vocabulary:
 
 
 class _Lattices:
-    """Flat lattices of many runs: node g has edges whose `sums` lie in (g, g + 1]."""
+    """Flat lattices of many runs: the edges into node g begin at `firsts[g]`, and their
+    cumulated probabilities, the last of which is 1, are kept as g + p."""
 
     def __init__(self, words: Vocabulary):
         self._words = words
-        # Hashes of all pieces by length, for building many lattices at once.
-        self._tables = []
-        for n in range(1, words.longest + 1):
-            own = [p for p in words.ids if len(p) == n]
-            keys = _rolled(np.array([[ord(c) for c in p] for p in own], np.uint64).reshape(-1, n))
-            order = np.argsort(keys)
-            self._tables.append(
-                (
-                    keys[order],
-                    np.array([words.ids[p] for p in own], np.int64)[order],
-                    np.array([words.weight[p] for p in own])[order],
-                )
-            )
+        # All pieces as a tree: the step from a node by a character leads to the node with the
+        # number of the step, and 0 is the root.
+        steps: dict[int, int] = {}
+        held: dict[int, str] = {}
+        for piece in words.ids:
+            node = 0
+            for c in piece:
+                node = steps.setdefault(node << 21 | ord(c), len(steps) + 1)
+            held[node] = piece
+        self._steps = pd.Index(np.fromiter(steps, np.int64, len(steps)))
+        self._ids = np.full(len(steps) + 1, -1, np.int64)
+        self._logs = np.zeros(len(steps) + 1)
+        for node, piece in held.items():
+            self._ids[node], self._logs[node] = words.ids[piece], words.weight[piece]
         self.clear()
 
     def clear(self) -> None:
         self.nodes: dict[str, int] = {}
         self.count = 0
-        self.sums, self.starts, self.codes = array("d"), array("q"), array("q")
+        self.sums, self.starts, self.codes, self.firsts = array("d"), array("i"), array("i"), array("i")
 
     def of(self, runs: list[str]) -> list[int]:
         """First node of each run, the lattices built where they are new."""
@@ -136,8 +139,10 @@ class _Lattices:
 
     def _append(self, run: str) -> None:
         base = self.count
+        self.firsts.append(len(self.sums))
         for end, into in enumerate(self._words.lattice(run), 1):
             total = 0.0
+            self.firsts.append(len(self.sums))
             for place, (start, code, p) in enumerate(into):
                 total += p
                 self.sums.append(base + end + (1.0 if place == len(into) - 1 else min(total, 1.0)))
@@ -147,68 +152,69 @@ class _Lattices:
         self.count = base + len(run) + 1
 
     def _build(self, runs: list[str]) -> None:
-        """Lattices of short runs, all runs in step: one round for each end position."""
+        """Lattices of short runs at once: all pieces from all places, then all runs in step."""
         if not runs:
             return
-        words = self._words
         sizes = np.array([len(r) for r in runs])
-        width = int(sizes.max())
-        chars = np.zeros((len(runs), width), np.uint64)
-        inside = np.arange(width)[None, :] < sizes[:, None]
-        chars[inside] = np.frombuffer("".join(runs).encode("utf-32-le", "surrogatepass"), np.uint32)
-        forward = np.full((len(runs), width + 1), -np.inf)
-        forward[:, 0] = 0.0
-        base = self.count + np.concatenate(([0], np.cumsum(sizes + 1)[:-1]))
-        rows, order, sums, starts, codes = [], [], [], [], []
-        for end in range(1, width + 1):
-            longest = min(end, words.longest)
-            weights = np.full((longest, len(runs)), -np.inf)  # by piece length, longest first
-            found = np.zeros((longest, len(runs)), np.int64)
-            live = np.nonzero(sizes >= end)[0]
-            for n in range(1, longest + 1):
-                keys, ids, logs = self._tables[n - 1]
-                if not len(keys):
-                    continue
-                own = _rolled(chars[live, end - n : end])
-                at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
-                hit = keys[at] == own
-                weights[longest - n, live[hit]] = forward[live[hit], end - n] + logs[at[hit]]
-                found[longest - n, live[hit]] = ids[at[hit]]
-            lone = live[weights[longest - 1, live] == -np.inf]
-            for row in lone.tolist():
-                code, weight = words.edge(runs[row][end - 1])
-                weights[longest - 1, row] = forward[row, end - 1] + weight
-                found[longest - 1, row] = code
-            own = weights[:, live]
-            most = own.max(axis=0)
-            shares = np.exp(own - most)
-            totals = shares.sum(axis=0)
-            forward[live, end] = most + np.log(totals)
-            cumulated = np.cumsum(shares, axis=0) / totals
-            # A piece always ends here that is one character long, so the last share is in use.
-            cumulated[-1] = 1.0
-            column, slot = np.nonzero((own > -np.inf).T)
-            rows.append(live[column])
-            order.append(np.full(len(column), end))
-            sums.append(base[live[column]] + end + cumulated[slot, column])
-            starts.append(base[live[column]] + end - longest + slot)
-            codes.append(found[slot, live[column]])
-        rows, order = np.concatenate(rows), np.concatenate(order)
-        place = np.lexsort((order, rows))
-        self.sums.frombytes(np.concatenate(sums)[place].tobytes())
-        self.starts.frombytes(np.concatenate(starts)[place].astype(np.int64).tobytes())
-        self.codes.frombytes(np.concatenate(codes)[place].astype(np.int64).tobytes())
-        self.nodes.update(zip(runs, base.tolist()))
-        self.count = int(base[-1] + sizes[-1] + 1)
-
-
-def _rolled(chars: np.ndarray) -> np.ndarray:
-    key = np.zeros(len(chars), np.uint64)
-    with np.errstate(over="ignore"):
-        for column in range(chars.shape[1]):
-            key = (key + chars[:, column] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-            key ^= key >> np.uint64(29)
-    return key
+        chars = np.frombuffer("".join(runs).encode("utf-32-le", "surrogatepass"), np.int32).astype(np.int64)
+        run = np.repeat(np.arange(len(runs)), sizes)
+        position = np.arange(len(chars)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        node = position + (np.cumsum(sizes + 1) - sizes - 1)[run]  # counted from the first new one
+        left = sizes[run] - position
+        start, length, code, weight = self._edges(chars, left)
+        end = position[start] + length
+        order = np.argsort((node[start] + length) * 32 + 32 - length)
+        start, length, code, weight, end = (x[order] for x in (start, length, code, weight, end))
+        into = node[start] + length
+        nodes = int(len(chars) + len(runs))
+        forward = np.zeros(nodes)
+        cumulated = np.empty(len(start))
+        by_end = np.argsort(end.astype(np.uint8), kind="stable")
+        bounds = np.searchsorted(end[by_end], np.arange(1, int(sizes.max()) + 2))
+        for low, high in zip(bounds, bounds[1:]):
+            edges = by_end[low:high]
+            target = into[edges]
+            first = np.nonzero(np.append(True, target[1:] != target[:-1]))[0]
+            each = np.diff(np.append(first, len(edges)))
+            values = forward[node[start[edges]]] + weight[edges]
+            most = np.maximum.reduceat(values, first)
+            shares = np.exp(values - np.repeat(most, each))
+            totals = np.add.reduceat(shares, first)
+            forward[target[first]] = most + np.log(totals)
+            shares /= np.repeat(totals, each)
+            sums = np.cumsum(shares)
+            sums -= np.repeat(sums[first] - shares[first], each)
+            sums[first + each - 1] = 1.0
+            cumulated[edges] = np.minimum(sums, 1.0)
+        counts = np.bincount(into, minlength=nodes)
+        self.firsts.frombytes((len(self.sums) + np.cumsum(counts) - counts).astype(np.int32).tobytes())
+        self.sums.frombytes((self.count + into + cumulated).tobytes())
+        self.starts.frombytes((self.count + node[start]).astype(np.int32).tobytes())
+        self.codes.frombytes(code.astype(np.int32).tobytes())
+        self.nodes.update(zip(runs, (self.count + node[position == 0]).tolist()))
+        self.count += nodes
+
+    def _edges(self, chars: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(place, length, code, log weight) of all pieces, and of characters without one."""
+        found = []
+        place, node = np.arange(len(chars)), np.zeros(len(chars), np.int64)
+        for length in range(1, self._words.longest + 1):
+            node = self._steps.get_indexer(node << 21 | chars[place + length - 1]) + 1
+            place, node = place[node > 0], node[node > 0]
+            whole = self._ids[node] >= 0
+            found.append((place[whole], np.full(int(whole.sum()), length), self._ids[node[whole]], self._logs[node[whole]]))
+            if length == 1:
+                bare = np.ones(len(chars), bool)
+                bare[place[whole]] = False
+                bare = np.nonzero(bare)[0]
+                shown = np.where(chars[bare] == ord(_LITERAL), ord(MARK), chars[bare])
+                spelled = 1 + (shown >= 0x80) + (shown >= 0x800) + (shown >= 0x10000)
+                found.append((bare, np.ones(len(bare), np.int64), -1 - shown, self._words.byte_weight * spelled))
+            more = left[place] > length
+            place, node = place[more], node[more]
+            if not len(place):
+                break
+        return tuple(np.concatenate(x) for x in zip(*found))
 
 
 def _uniform(seed: np.ndarray, run: np.ndarray, position: np.ndarray) -> np.ndarray:
@@ -220,7 +226,8 @@ def _uniform(seed: np.ndarray, run: np.ndarray, position: np.ndarray) -> np.ndar
             x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
             x = (x ^ (x >> np.uint64(31))) + position.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)
             position = np.zeros_like(position)
-    return (x >> np.uint64(11)).astype(np.float64) * 2.0**-53
+    # So few digits that adding a node's number loses none of them.
+    return (x >> np.uint64(36)).astype(np.float64) * 2.0**-28
 
 
 @cache
@@ -236,53 +243,63 @@ def _runs(text: str) -> list[str]:
 
 def sample(texts: list[str | None], seeds: np.ndarray, path: str, alpha: float = ALPHA) -> list[np.ndarray | None]:
     """Ids of one sampled segmentation for each text."""
+    code, bounds = _sampled(texts, seeds, path, alpha)
+    return [None if t is None else code[bounds[i] : bounds[i + 1]] for i, t in enumerate(texts)]
+
+
+def _sampled(texts: list[str | None], seeds: np.ndarray, path: str, alpha: float) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts, one after the other, and where each text's begin and end."""
     lattices = _lattices(path, alpha)
     split = [_runs(t) if t else [] for t in texts]
     flat = [r for runs in split for r in runs]
     counts = np.array([len(runs) for runs in split], np.int64)
     if not flat:
-        return [None if t is None else np.empty(0, np.int64) for t in texts]
+        return np.empty(0, np.int32), np.zeros(len(texts) + 1, np.int64)
     base = np.array(lattices.of(flat), np.int64)
-    sizes = np.fromiter(map(len, flat), np.int64, len(flat))
-    sums = np.frombuffer(lattices.sums, np.float64)
-    starts, codes = np.frombuffer(lattices.starts, np.int64), np.frombuffer(lattices.codes, np.int64)
-    doc = np.repeat(np.arange(len(texts)), counts)
+    sums, firsts = np.frombuffer(lattices.sums, np.float64), np.frombuffer(lattices.firsts, np.int32)
+    starts, codes = np.frombuffer(lattices.starts, np.int32), np.frombuffer(lattices.codes, np.int32)
     number = np.arange(len(flat)) - np.repeat(np.cumsum(counts) - counts, counts)
-    seed = seeds.astype(np.uint64)[doc]
+    seed = np.repeat(seeds.astype(np.uint64), counts)
+    node = base + np.fromiter(map(len, flat), np.int64, len(flat))
     active = np.arange(len(flat))
-    node = base + sizes
-    drawn_run, drawn_code, drawn_end = [], [], []
+    drawn = []
     while len(active):
-        here = node[active]
-        position = here - base[active]
-        edge = np.searchsorted(sums, here + _uniform(seed[active], number[active], position), "right")
-        # A sum rounded up to the next node must not lead out of this one.
-        edge = np.minimum(edge, np.searchsorted(sums, here + 1.0, "left"))
-        drawn_run.append(active)
-        drawn_code.append(codes[edge])
-        drawn_end.append(position)
-        node[active] = starts[edge]
-        active = active[starts[edge] != base[active]]
-    del sums, starts
-    run, code, end = map(np.concatenate, (drawn_run, drawn_code, drawn_end))
-    order = np.lexsort((end, run))
-    run, code = run[order], code[order]
+        here, own = node[active], base[active]
+        sought = here + _uniform(seed[active], number[active], here - own)
+        edge = firsts[here].astype(np.int64)
+        late = np.nonzero(sums[edge] <= sought)[0]
+        while len(late):
+            edge[late] += 1
+            late = late[sums[edge[late]] <= sought[late]]
+        drawn.append((active, codes[edge]))
+        to = starts[edge]
+        node[active] = to
+        active = active[to != own]
+    del sums, firsts, starts, codes  # the arrays can not grow while they are looked at
+    # A run's pieces were drawn from its end: the last draw comes first.
+    sizes = np.zeros(len(flat), np.int64)
+    for run, _ in drawn:
+        sizes[run] += 1
+    ends = np.cumsum(sizes)
+    code = np.empty(int(ends[-1]), np.int32)
+    for step, (run, own) in enumerate(drawn):
+        code[ends[run] - 1 - step] = own
     if (code < 0).any():
-        run, code = _with_bytes(run, code, vocabulary(path, alpha))
-    upto = np.searchsorted(doc[run], np.arange(len(texts) + 1))
-    return [None if t is None else code[upto[i] : upto[i + 1]] for i, t in enumerate(texts)]
+        code, ends = _with_bytes(code, ends, vocabulary(path, alpha))
+    return code, np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(counts)))]
 
 
-def _with_bytes(run: np.ndarray, code: np.ndarray, words: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
-    spelled = {c: [words.bytes[b] for b in chr(-1 - c).encode()] for c in np.unique(code[code < 0]).tolist()}
-    times = np.ones(len(code), np.int64)
+def _with_bytes(code: np.ndarray, ends: np.ndarray, words: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """Characters without a piece spelled as bytes; the places after each run move along."""
     odd = np.nonzero(code < 0)[0]
-    times[odd] = [len(spelled[c]) for c in code[odd].tolist()]
-    run, code, first = np.repeat(run, times), np.repeat(code, times), np.cumsum(times) - times
-    for at in first[odd].tolist():
-        ids = spelled[int(code[at])]
-        code[at : at + len(ids)] = ids
-    return run, code
+    spelled = [[words.bytes[b] for b in chr(-1 - c).encode()] for c in code[odd].tolist()]
+    times = np.ones(len(code), np.int64)
+    times[odd] = [len(ids) for ids in spelled]
+    after = np.concatenate(([0], np.cumsum(times)))
+    longer = np.repeat(code, times)
+    for at, ids in zip(after[odd].tolist(), spelled):
+        longer[at : at + len(ids)] = ids
+    return longer, after[ends]
 
 
 def decode_ids(ids, path: str) -> str | None:
@@ -301,11 +318,14 @@ def encode(
 
     def encoded(batch: pa.RecordBatch) -> pa.RecordBatch:
         seeds = batch.column("seed").to_numpy().view(np.uint64)
-        ids = sample(batch.column("text").to_pylist(), seeds, model, alpha)
-        return pa.RecordBatch.from_arrays(
-            [batch.column("key"), pa.array([None if x is None else x.astype(np.int32) for x in ids], pa.list_(pa.int32()))],
-            names=["key", "ids"],
+        texts = batch.column("text").to_pylist()
+        parts = [_sampled(texts[a:b], seeds[a:b], model, alpha) for a, b in stretches(texts, AT_ONCE)]
+        sizes = np.concatenate([np.diff(bounds) for _, bounds in parts])
+        offsets = pa.array(
+            np.concatenate(([0], np.cumsum(sizes))).astype(np.int32), mask=np.array([t is None for t in texts] + [False])
         )
+        ids = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([code for code, _ in parts])))
+        return pa.RecordBatch.from_arrays([batch.column("key"), ids], names=["key", "ids"])
 
     return by_batch(read, encoded, with_fields(read, "key", more="ids array<int>")).withColumnRenamed("key", key)
 

@@ -55,9 +55,8 @@ def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, model = _read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")
     encoded = pieces.encode(docs, model)
     decoded = pieces.with_decoded(encoded, model)
-    ids = F.concat_ws(" ", F.col("ids").cast("array<string>"))
     return decoded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_pieces"), F.crc32(ids).alias("ids_crc32"),
+        "doc_id", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"),
         F.sha2("text", 256).alias("text_sha256"),
     )
 
