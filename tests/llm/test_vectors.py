@@ -114,3 +114,35 @@ def test_few_or_no_candidates(spark):
     three = spark.createDataFrame([(0, [1, 2]), (1, [0, 0]), (2, [-3, 1]), (100, None)], schema)
     got = top_products(three, F.col("vec_id") % 100 == 0, id="vec_id").collect()
     assert sorted(map(tuple, got)) == [(0, 1, 1, 0), (0, 2, 2, -1)]
+
+
+def test_pruning_keeps_vectors_along_a_coordinate():
+    rng = np.random.default_rng(4)
+    for noise in (0.0, 0.03, 0.3):
+        vectors = np.eye(64)[rng.integers(8, size=2000)] + rng.normal(size=(2000, 64)) * noise
+        vectors = np.floor(vectors * rng.uniform(0.5, 2, size=(2000, 1)) * 1024).astype(np.int64)
+        vectors = vectors[np.argsort(-(vectors**2).sum(axis=1), kind="stable")]
+        ids, asked = np.arange(2000), np.arange(0, 2000, 100)
+        least = topk.bounds(asked, vectors[asked], ids, vectors, 10)
+        found = {q: (i.tolist(), s.tolist()) for q, i, s in topk.search(asked, vectors[asked], least, ids, vectors, 10)}
+        for q in asked:
+            scores = vectors @ vectors[q]
+            best = [i for i in np.lexsort((ids, -scores)).tolist() if i != q][:10]
+            assert found[q] == (best, scores[best].tolist())
+
+
+def test_top_products_of_one_hot_like_vectors(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    vectors = np.eye(16)[rng.integers(4, size=600)] * rng.uniform(0.5, 2, size=(600, 1))
+    vectors = (vectors + rng.normal(size=(600, 16)) * 0.01) * rng.choice([-1, 1], size=(600, 1))
+    whole = np.floor(vectors * 1024).astype(np.int64)
+    expected = set()
+    for q in range(0, 600, 100):
+        scores = whole @ whole[q]
+        best = [i for i in np.lexsort((np.arange(600), -scores)).tolist() if i != q][:10]
+        expected.update((q, n + 1, i, int(scores[i])) for n, i in enumerate(best))
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(whole.tolist())], "vec_id long, vector array<bigint>")
+    for bucket in (2048, 32):
+        monkeypatch.setattr(topk, "BUCKET", bucket)
+        got = top_products(frame, F.col("vec_id") % 100 == 0, id="vec_id").collect()
+        assert set(map(tuple, got)) == expected and len(got) == len(expected)

@@ -127,7 +127,8 @@ def search(query_ids, queries, least, ids, vectors, k: int) -> list[tuple[int, n
                 spread = np.sqrt(max(0.0, (1 - t * t) * (1 - unit[f] * unit[f]))) + 1e-7
                 share = columns[f][keep] * np.sign(unit[f])
                 lowest = t * abs(unit[f]) - spread
-                highest = t * abs(unit[f]) + spread if abs(unit[f]) > t else 1.0 + 1e-7
+                # A share that reaches t alone allows any rest: up to a vector along the coordinate.
+                highest = 1.0 + 1e-7 if abs(unit[f]) >= t else t * abs(unit[f]) + spread
                 keep = keep[(share >= lowest) & (share <= highest)]
                 if not len(keep):
                     break
