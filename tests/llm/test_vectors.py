@@ -146,3 +146,32 @@ def test_top_products_of_one_hot_like_vectors(spark, monkeypatch):
         monkeypatch.setattr(topk, "BUCKET", bucket)
         got = top_products(frame, F.col("vec_id") % 100 == 0, id="vec_id").collect()
         assert set(map(tuple, got)) == expected and len(got) == len(expected)
+
+
+def test_vectors_link_in_every_dimension(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = [(900, [1.0, 2.0], 1), (901, [2.0, 4.0], 1), (902, [2.0, 4.0], 2), (903, [3.0], 1), (904, [5.0], 1), (905, [-5.0], 1)]
+    for i, dim in enumerate([16] * 200 + [8] * 120 + [5] * 30):
+        kind = np.zeros(dim)
+        kind[rng.integers(4)] = 1
+        rows.append((i, (kind * rng.uniform(0.5, 2) + rng.normal(size=dim) * 0.04).tolist(), int(rng.integers(2))))
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    linked = {i: set() for i, _, _ in rows}
+    for i, v, c in rows:
+        for j, w, d in rows:
+            if i != j and c == d and len(v) == len(w) and np.dot(v, w) / math.sqrt(np.dot(v, v) * np.dot(w, w)) >= 0.98:
+                linked[i].add(j)
+    assert linked[900] == {901} and linked[903] == {904} and all(any(linked[i] for i in r) for r in (range(200), range(200, 320), range(320, 350)))
+    least = {}
+    for i in sorted(linked):
+        todo = [i]
+        while todo:
+            j = todo.pop()
+            if j not in least:
+                least[j] = i
+                todo += linked[j]
+    for block in (2048, 8):
+        monkeypatch.setattr(vector_dedup, "BLOCK", block)
+        monkeypatch.setattr(vector_dedup, "LIST", 50)
+        got = {tuple(r) for r in near_duplicates(frame).collect()}
+        assert got == {(i, len(linked[i]), least[i], least[i] == i) for i in linked}

@@ -1,22 +1,23 @@
 """Embedding near-duplicates by product quantisation.
 
-Coarse centroids and, for the residuals, one codebook per subspace are fitted on a bounded sample
-(`SAMPLE` vectors, `CELLS` lists at most); every vector is indexed: its list, the codes of its
-residual and the length of what the codes miss. A query probes every list that can hold a
+For each dimension, coarse centroids and, for the residuals, one codebook per subspace are fitted on
+a bounded sample (`SAMPLE` vectors, `CELLS` lists at most, for all dimensions together); dimensions
+with less than `CODES` sampled vectors are one list each and compared without codes. Every vector
+is indexed: its list, the codes of its residual and the length of what the codes miss. A query probes every list that can hold a
 neighbour: with r the distance of two unit vectors at the threshold, y can only lie in list c if
 the border between c and the query's own list is within r of the query. In a list, distances come
 from per-query tables over the codes; a vector stays a candidate unless the table distance exceeds
 r plus its own quantisation error, so pruning loses nothing. Candidates are reranked by their
 exact cosine in double precision.
 
-Exact copies are indexed once with their number. (label, list) groups above `BLOCK` vectors are
+Exact copies are indexed once with their number. (label, dimension, list) groups above `BLOCK` vectors are
 cut into a grid of index blocks and query blocks, so no task holds a hot list. Tasks give back
 link counts and spanning links, never all pairs.
 
 Defined results: rows whose label is null, or whose vector is null, empty, zero or holds null or
-non-finite components link with nothing and are their own component; so do vectors of other
-dimensions than the fitted one unless equal; repeated vectors link with each other; an empty
-table gives an empty result; other columns are not read.
+non-finite components link with nothing and are their own component; vectors link within their dimension
+only; repeated vectors link with each other; an empty table gives an empty result; other columns
+are not read.
 """
 
 from __future__ import annotations
@@ -96,16 +97,48 @@ class Quantiser:
         return [_distances(residual[:, a:b], book) for a, b, book in zip(self.cuts, self.cuts[1:], self.books)]
 
 
+class Whole:
+    """One list without codes, for a dimension with few vectors: every pair is compared."""
+
+    def __init__(self, dim: int):
+        self.dim = dim
+        self.books: list[np.ndarray] = []
+
+    def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        n = len(x)
+        return np.zeros(n, np.int64), np.empty((n, 0), np.uint8), np.zeros(n), np.zeros((n, 1))
+
+    def probes(self, cell: np.ndarray, to_centres: np.ndarray, radius: float) -> np.ndarray:
+        return np.ones((len(cell), 1), bool)
+
+
+def _models(sample: list[list[float]], total: int, cells: int) -> dict[int, Quantiser]:
+    """A quantiser for each dimension that the sample has enough vectors of."""
+    by_dim: dict[int, list] = {}
+    for vector in sample:
+        by_dim.setdefault(len(vector), []).append(vector)
+    models = {}
+    for dim, own in by_dim.items():
+        if len(own) >= CODES:
+            share = len(own) / len(sample)
+            lists = int(np.clip(int(total * share) // LIST, 1, max(1, int(cells * share))))
+            models[dim] = Quantiser(_unit(np.array(own, np.float64)), lists)
+    return models
+
+
 def _match(model, cell, queries, index, codes, errors, radius, threshold) -> tuple[np.ndarray, np.ndarray]:
     """(query row, index row) pairs of one list with an exact cosine of at least the threshold."""
     a, b = [], []
     step = max(1, (1 << 20) // max(1, len(index)))
     for at in range(0, len(queries), step):
         part = queries[at : at + step]
-        squared = np.zeros((len(part), len(index)))
-        for m, table in enumerate(model.tables(part, cell)):
-            squared += table[:, codes[:, m]]
-        q, y = np.nonzero(squared <= ((radius + errors) ** 2 + 1e-9)[None, :])
+        if model.books:
+            squared = np.zeros((len(part), len(index)))
+            for m, table in enumerate(model.tables(part, cell)):
+                squared += table[:, codes[:, m]]
+            q, y = np.nonzero(squared <= ((radius + errors) ** 2 + 1e-9)[None, :])
+        else:
+            q, y = np.nonzero(part @ index.T >= threshold - 1e-9)
         for piece in range(0, len(q), 1 << 17):
             qs, ys = q[piece : piece + (1 << 17)], y[piece : piece + (1 << 17)]
             close = np.einsum("ij,ij->i", part[qs], index[ys]) >= threshold
@@ -145,14 +178,9 @@ def near_duplicates(
     if total:
         share = min(1.0, 1.2 * sample / total)
         chosen = classes.filter(F.pmod(F.xxhash64("first"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1)
-        dims = chosen.groupBy(F.size("vector").alias("dim")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim")
-        dim = (dims.first() or classes.select(F.size("vector").alias("dim")).first())["dim"]
-        fit = chosen.filter(F.size("vector") == dim).orderBy("first").limit(sample).select("vector").toArrow()
-        fitted = np.array(fit.column("vector").to_pylist(), np.float64).reshape(-1, dim)
-        if not len(fitted):
-            fitted = np.array(classes.filter(F.size("vector") == dim).select("vector").limit(64).toArrow().column("vector").to_pylist())
-        model = Quantiser(_unit(fitted), int(np.clip(total // LIST, 1, cells)))
-        found = written(_links(classes.filter(F.size("vector") == dim), model, radius, threshold), "found")
+        fit = chosen.orderBy("first").limit(sample).select("vector").toArrow()
+        models = _models(fit.column("vector").to_pylist(), total, cells)
+        found = written(_links(classes, models, radius, threshold), "found")
     else:
         found = read.sparkSession.createDataFrame([], "a long, b long, n long")
     linked = components(found.filter("n is null").select("a", "b"))
@@ -176,66 +204,70 @@ def near_duplicates(
     )
 
 
-def _links(classes: DataFrame, model: Quantiser, radius: float, threshold: float) -> DataFrame:
+def _links(classes: DataFrame, models: dict[int, Quantiser], radius: float, threshold: float) -> DataFrame:
     """Per class (a, null, n): copies linked in one block; and (a, b, null): spanning links."""
-    dim = model.dim
 
     def indexed(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            vectors = batch.column("vector").flatten().to_numpy().reshape(-1, dim)
-            x = _unit(vectors)
-            cell, codes, errors, to_centres = model.encode(x)
-            probed = model.probes(cell, to_centres, radius)
-            rows, cells = np.nonzero(probed)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("label"),
-                    batch.column("first"),
-                    batch.column("copies"),
-                    pa.array(cell.astype(np.int32)),
-                    pa.ListArray.from_arrays(
-                        np.concatenate(([0], np.cumsum(probed.sum(axis=1)))).astype(np.int32), pa.array(cells.astype(np.int32))
-                    ),
-                    pa.array([c.tobytes() for c in codes], pa.binary()),
-                    pa.array(errors),
-                    pa.array([u.tobytes() for u in x], pa.binary()),
-                ],
-                names=["label", "first", "copies", "cell", "probes", "codes", "error", "unit"],
-            )
+            dims = batch.column("dim").to_numpy()
+            for dim in np.unique(dims).tolist():
+                yield entered(batch.filter(pa.array(dims == dim)), dim)
+
+    def entered(batch, dim):
+        model = models.get(dim) or Whole(dim)
+        vectors = batch.column("vector").flatten().to_numpy().reshape(-1, dim)
+        x = _unit(vectors)
+        cell, codes, errors, to_centres = model.encode(x)
+        probed = model.probes(cell, to_centres, radius)
+        rows, cells = np.nonzero(probed)
+        return pa.RecordBatch.from_arrays(
+            [
+                batch.column("label"),
+                batch.column("dim"),
+                batch.column("first"),
+                batch.column("copies"),
+                pa.array(cell.astype(np.int32)),
+                pa.ListArray.from_arrays(
+                    np.concatenate(([0], np.cumsum(probed.sum(axis=1)))).astype(np.int32), pa.array(cells.astype(np.int32))
+                ),
+                pa.array([c.tobytes() for c in codes], pa.binary()),
+                pa.array(errors),
+                pa.array([u.tobytes() for u in x], pa.binary()),
+            ],
+            names=["label", "dim", "first", "copies", "cell", "probes", "codes", "error", "unit"],
+        )
 
     entries = written(
-        classes.mapInArrow(
+        classes.withColumn("dim", F.size("vector")).mapInArrow(
             indexed,
-            "label string, first long, copies long, cell int, probes array<int>, codes binary, error double, unit binary",
+            "label string, dim int, first long, copies long, cell int, probes array<int>, codes binary, error double, unit binary",
         ),
         "index",
     )
-    asks = entries.select("label", "first", F.explode("probes").alias("cell"), "unit")
-    own = entries.groupBy("label", "cell").agg(F.count("*").alias("rows"))
-    asked = asks.groupBy("label", "cell").agg(F.count("*").alias("asks"))
-    grid = own.join(asked, ["label", "cell"]).select(
-        "label", "cell", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks"),
+    asks = entries.select("label", "dim", "first", F.explode("probes").alias("cell"), "unit")
+    own = entries.groupBy("label", "dim", "cell").agg(F.count("*").alias("rows"))
+    asked = asks.groupBy("label", "dim", "cell").agg(F.count("*").alias("asks"))
+    grid = own.join(asked, ["label", "dim", "cell"]).select(
+        "label", "dim", "cell", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks"),
         F.ceil(F.col("asks") / BLOCK).cast("int").alias("ask_blocks"),
     )
     place = F.xxhash64("first")
     index_rows = (
-        entries.join(grid, ["label", "cell"])
+        entries.join(grid, ["label", "dim", "cell"])
         .withColumn("block", F.pmod(place, F.col("blocks")).cast("int"))
         .withColumn("ask_block", F.explode(F.sequence(F.lit(0), F.col("ask_blocks") - 1)))
-        .select("label", "cell", "block", "ask_block", "first", "copies", "codes", "error", "unit")
+        .select("label", "dim", "cell", "block", "ask_block", "first", "copies", "codes", "error", "unit")
     )
     ask_rows = (
-        asks.join(grid, ["label", "cell"])
+        asks.join(grid, ["label", "dim", "cell"])
         .withColumn("ask_block", F.pmod(place, F.col("ask_blocks")).cast("int"))
         .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
-            "label", "cell", "block", "ask_block", "first", F.lit(None).cast("long").alias("copies"),
+            "label", "dim", "cell", "block", "ask_block", "first", F.lit(None).cast("long").alias("copies"),
             F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("double").alias("error"), "unit",
         )
     )
-    group = ["label", "cell", "block", "ask_block"]
+    group = ["label", "dim", "cell", "block", "ask_block"]
 
     def compare(batches):
         pending = None
@@ -249,25 +281,27 @@ def _links(classes: DataFrame, model: Quantiser, radius: float, threshold: float
                 change[1:] |= pa.compute.not_equal(c[1:], c[:-1]).to_numpy(zero_copy_only=False)
             starts = [0, *np.nonzero(change)[0].tolist()]
             for s, e in zip(starts, starts[1:]):
-                yield from _compared(table.slice(s, e - s), model, radius, threshold)
+                yield from _compared(table.slice(s, e - s), models, radius, threshold)
             pending = table.slice(starts[-1])
         if pending is not None and pending.num_rows:
-            yield from _compared(pending, model, radius, threshold)
+            yield from _compared(pending, models, radius, threshold)
 
     parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     met = index_rows.union(ask_rows).repartition(parts, *group).sortWithinPartitions(*group)
     return met.mapInArrow(compare, "a long, b long, n long")
 
 
-def _compared(table: pa.Table, model: Quantiser, radius: float, threshold: float):
+def _compared(table: pa.Table, models: dict[int, Quantiser], radius: float, threshold: float):
     """One index block against one query block."""
     first = table.column("first").to_numpy()
     ask = table.column("copies").is_null().to_numpy()
     if ask.all() or not ask.any():
         return
-    unit = np.frombuffer(b"".join(table.column("unit").to_pylist()), np.float64).reshape(-1, model.dim)
+    dim = table.column("dim")[0].as_py()
+    model = models.get(dim) or Whole(dim)
+    unit = np.frombuffer(b"".join(table.column("unit").to_pylist()), np.float64).reshape(-1, dim)
     held = table.filter(pa.array(~ask))
-    codes = np.frombuffer(b"".join(held.column("codes").to_pylist()), np.uint8).reshape(-1, len(model.books))
+    codes = np.frombuffer(b"".join(held.column("codes").to_pylist()), np.uint8).reshape(held.num_rows, len(model.books))
     cell = table.column("cell")[0].as_py()
     q, y = _match(model, cell, unit[ask], unit[~ask], codes, held.column("error").to_numpy(), radius, threshold)
     asks, holds, copies = first[ask], first[~ask], held.column("copies").to_numpy()
