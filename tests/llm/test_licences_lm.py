@@ -116,3 +116,13 @@ def test_score_rows(spark, network):
     assert pseudo_lm.score(docs.limit(0), empty).collect() == []
     _, sums = empty.score(["any word"])
     assert np.isfinite(sums).all()
+
+
+def test_every_document_trains_the_network(spark):
+    lines = [f"{_sentences(20, i)} mark{i}" for i in range(60)]
+    docs = spark.createDataFrame([(None if i % 2 else i, t) for i, t in enumerate(lines)], "doc_id long, text string")
+    moved = pseudo_lm.fit(docs)
+    # Only a document that is trained on moves the context weights of its own last word.
+    start = pseudo_lm._start(np.zeros(pseudo_lm.VOCABULARY))
+    change = np.abs(moved.weights["context"] - start["context"]).max(axis=(0, 2))
+    assert all(change[moved.ids[f"mark{i}"]] > 1e-4 for i in range(60))

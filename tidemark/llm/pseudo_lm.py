@@ -5,9 +5,9 @@ the vocabulary in between; a document's score is the sum of the log probabilitie
 words. Words beyond the vocabulary fall into hash buckets, which are predicted like words.
 
 What is learned comes from the whole corpus and grows with it: word counts over all documents
-choose the vocabulary, and a fixed share of the documents (`SHARE`, by a hash of their id) trains
-the network. Training is data-parallel: in each round every task starts from the same weights,
-runs Adagrad over its part in numpy, and the weights, averaged by words seen in a shuffle of
+choose the vocabulary, and all documents train the network, dealt into `SHARE` shares by a hash of
+id and text. Training is data-parallel: each round takes the next share, every task starts from
+the same weights, runs Adagrad over its part in numpy, and the weights, averaged by words seen in a shuffle of
 weight chunks, start the next round. The driver holds one copy of the weights, whose size does
 not depend on the data.
 
@@ -33,13 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.shared import WordCache, by_batch, keyed_text, with_fields, written
+from tidemark.plans.lineage import scratch_path
 
 CLASSES = 64
 VOCABULARY = CLASSES * CLASSES
 BUCKETS = 256
 WIDTH = 32
 SIDES = (-2, -1, 1, 2)
-# One document in so many trains the network.
+# Documents are dealt into so many shares; a round trains on one, and each has its turn at least once.
 SHARE = 16
 ROUNDS = 3
 BATCH = 2048
@@ -265,8 +266,12 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", share: int = S
     read = keyed_text(docs, key, text)
     ids, counts = _vocabulary(read)
     network = Network(ids, _start(counts))
-    train = written(read.filter(F.pmod(F.xxhash64(F.col("key").cast("string")), F.lit(share)) == 0).select("text"), "train")
-    for _ in range(rounds):
+    place = F.pmod(F.xxhash64(F.col("key").cast("string"), "text"), F.lit(share)).cast("int")
+    path = scratch_path(docs.sparkSession, "train")
+    dealt = read.select("text", place.alias("share"))
+    dealt.write.partitionBy("share").option("compression", "zstd").parquet(path)
+    train = docs.sparkSession.read.schema(dealt.schema).parquet(path)
+    for turn in range(max(rounds, share)):
         shared = docs.sparkSession.sparkContext.broadcast(network)
 
         def learned(batches):
@@ -286,11 +291,12 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", share: int = S
                         }
                     )
 
-        parts = train.mapInArrow(learned, "chunk int, salt int, data binary, words double")
+        own = train.filter(F.col("share") == turn % share).select("text")
+        parts = own.mapInArrow(learned, "chunk int, salt int, data binary, words double")
         chunks = _summed(_summed(parts, "chunk", "salt"), "chunk").collect()
         shared.unpersist()
         if not chunks:
-            break
+            continue
         chunks.sort(key=lambda r: r["chunk"])
         flat = np.concatenate([np.frombuffer(r["data"], np.float64) / r["words"] for r in chunks])
         network = Network(ids, _shaped(flat, network.weights))
