@@ -291,3 +291,11 @@ def test_declared_tables_bucketed_and_plain(spark):
     assert "Exchange" not in plan
     with pytest.raises(SchemaError):
         append_rows(rows.drop("v"), "tm_plain", t, source)
+
+
+def test_spark_frames_are_staged_without_the_driver(spark, folder, monkeypatch):
+    frame = spark.range(5).withColumnRenamed("id", "user_id")
+    monkeypatch.setattr(type(frame), "toPandas", None)
+    monkeypatch.setattr(type(spark), "createDataFrame", None)
+    staged = stage_spine(spark, frame, f"{folder}/spark-spine")
+    assert staged.dtypes == frame.dtypes and sorted(r["user_id"] for r in staged.collect()) == list(range(5))

@@ -23,7 +23,9 @@ def as_spine(spark: SparkSession, spine: DataFrame | pd.DataFrame | str | Source
     return spark.createDataFrame(spine)
 
 
-def stage_spine(spark: SparkSession, spine: pd.DataFrame, path: str) -> DataFrame:
-    """Write an in-memory entity frame where other jobs can read it, and read it back."""
-    spark.createDataFrame(spine).write.mode("overwrite").parquet(path)
+def stage_spine(spark: SparkSession, spine: pd.DataFrame | DataFrame, path: str) -> DataFrame:
+    """Write an entity frame where other jobs can read it, and read it back; a Spark frame is
+    written by the executors."""
+    frame = spine if isinstance(spine, DataFrame) else spark.createDataFrame(spine)
+    frame.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -441,9 +441,9 @@ def pit_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("q_staged_spine")
 def staged_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An entity frame in the caller's memory, staged for the cluster."""
+    """An entity frame staged for other jobs, written by the executors."""
     at = F.lit(datetime(1998, 6, 1)).cast("timestamp_ntz").alias("at")
-    mine = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), at).toPandas()
+    mine = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), at)
     spine = stage_spine(spark, mine, scratch_path(spark, "spine"))
     sold = FeatureTable(
         "sold", (Field("l_suppkey", "INT64"),), (Field("l_quantity", "DOUBLE"),), tie_break=("l_orderkey", "l_linenumber")
