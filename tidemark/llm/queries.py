@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import language, licences, pieces, pseudo_lm
 from tidemark.llm.line_runs import drop_common_lines
 from tidemark.llm.packing import pack_documents
+from tidemark.llm.phrases import mine
 from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.token_counts import token_counts
 from tidemark.llm.topk import top_products, usable
@@ -90,11 +91,15 @@ def op10_pseudo_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudo_lm.score(docs, pseudo_lm.fit(docs))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_packing, op2_language, op3_vector_dedup, op4_line_dedup, op5_token_counts,
-        op6_pieces, op7_licences, op8_simhash, op9_topk, op10_pseudo_lm,
+        op6_pieces, op7_licences, op8_simhash, op9_topk, op10_pseudo_lm, op11_phrases,
     )
 }
 
@@ -118,14 +123,14 @@ ORACLES: dict[str, str] = {
     "op4_line_dedup": r"""
         with lines as (
             select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
-                   generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as at from documents),
+                   generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as place from documents),
         keyed as (
             select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as k from lines),
         common as (select k from keyed where k <> '' group by k having count(distinct doc_id) >= 10),
         marked as (select keyed.*, common.k is not null as gone from keyed left join common using (k))
         select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
-               sha256(coalesce(string_agg(line, chr(10) order by at) filter (not gone), '')) as kept_sha256
+               sha256(coalesce(string_agg(line, chr(10) order by place) filter (not gone), '')) as kept_sha256
         from marked group by doc_id""",
     "op9_topk": """
         with v as (
@@ -137,4 +142,28 @@ ORACLES: dict[str, str] = {
             from v q join v p on q.vec_id <> p.vec_id and len(q.v) = len(p.v) where q.vec_id % 100 = 0),
         ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored)
         select query_id, rank, vec_id, score from ranked where rank <= 10""",
+    "op11_phrases": r"""
+        with pieces as (
+            select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece from documents),
+        spelled as (select lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') as w from pieces),
+        places as (select lang, w, unnest(range(1, len(w) + 1)) as i from spelled),
+        grams as (
+            select lang, k, array_to_string(w[i:i + k - 1], ' ') as phrase, count(*) as f
+            from places, (values (1), (2), (3)) lengths(k) where i + k - 1 <= len(w) group by all),
+        candidates as (select lang, k, phrase, f as a, string_split(phrase, ' ') as w from grams where k > 1 and f >= 10),
+        longer as (
+            select lang, unnest([array_to_string(w[:2], ' '), array_to_string(w[2:], ' ')]) as phrase, a from candidates where k = 3),
+        kept as (
+            select * from candidates c where not exists (
+                select 1 from longer where longer.lang = c.lang and longer.phrase = c.phrase and c.k = 2 and 100 * longer.a >= 50 * c.a)),
+        cuts as (
+            select c.lang, c.phrase, c.a, cut, x.f as l, y.f as r, ((1000000::hugeint * c.a * c.a) // (x.f::hugeint * y.f))::bigint as score
+            from (select *, unnest(range(1, k)) as cut from kept) c
+            join grams x on x.lang = c.lang and x.phrase = array_to_string(c.w[:cut], ' ')
+            join grams y on y.lang = c.lang and y.phrase = array_to_string(c.w[cut + 1:], ' ')),
+        lowest as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, cut) = 1),
+        sizes as (select lang, sum(f)::bigint as n from grams where k = 1 group by lang),
+        ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from lowest)
+        select lang, rank, phrase, a, l, r, n, score from ranked join sizes using (lang) where rank <= 2000""",
 }
