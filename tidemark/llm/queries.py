@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import language, licences, pieces, pseudo_lm
+from tidemark.llm.contamination import contaminated
 from tidemark.llm.line_runs import drop_common_lines
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.phrases import mine
+from tidemark.llm.prefix_trie import numbered_turns, prefix_trie, rebuilt
+from tidemark.llm.shared import written
 from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.token_counts import token_counts
 from tidemark.llm.topk import top_products, usable
@@ -95,11 +98,27 @@ def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine(_read(spark, sf_dir, "documents"))
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of conversations that begin with turns of the first of their group of five."""
+    turns = written(numbered_turns(_read(spark, sf_dir, "conversations")), "turns")
+    turns, sizes = rebuilt(turns)
+    return prefix_trie(turns, sizes)
+
+
+def op13_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_packing, op2_language, op3_vector_dedup, op4_line_dedup, op5_token_counts,
-        op6_pieces, op7_licences, op8_simhash, op9_topk, op10_pseudo_lm, op11_phrases,
+        op6_pieces, op7_licences, op8_simhash, op9_topk, op10_pseudo_lm, op11_phrases, op12_conversation_trie,
+        op13_contamination,
     )
 }
 
@@ -166,4 +185,59 @@ ORACLES: dict[str, str] = {
         sizes as (select lang, sum(f)::bigint as n from grams where k = 1 group by lang),
         ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from lowest)
         select lang, rank, phrase, a, l, r, n, score from ranked join sizes using (lang) where rank <= 2000""",
+    "op12_conversation_trie": """
+        with turns as (
+            select conv_id, [coalesce(role, ''), coalesce(text, '')] as t, row_number() over (
+                partition by conv_id order by turn nulls first, coalesce(role, ''), sha256(coalesce(text, ''))) as i
+            from conversations where conv_id is not null),
+        originals as (
+            select conv_id, list(t order by i) as l,
+                   list_reduce(list_concat([4294967295::bigint], flatten(list_transform(string_split(conv_id::varchar, ''),
+                       lambda c: [ascii(c)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))),
+                       lambda x, y: case when y >= 0 then xor(x, y) when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end) as crc
+            from turns group by conv_id),
+        heads as (select *, xor(crc, 4294967295) % 9 as h from originals),
+        rebuilt as (
+            select c.conv_id, list_concat(coalesce(b.l, [])[1:c.h], c.l[c.h + 1:]) as l
+            from heads c left join originals b on b.conv_id = c.conv_id - c.conv_id % 5),
+        paths as (select conv_id, unnest(range(0, len(l) + 1)) as d, l from rebuilt),
+        cut as (select conv_id, d, case when d = 0 then [] else l[1:d] end as p, len(l) = d as ended from paths),
+        nodes as (
+            select d, p, min(conv_id) as conv_id, count(*) as n_convs,
+                   sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (ended), '')) as ends_sha256,
+                   (count(*) - 1) * coalesce(strlen(p[d][2]), 0) as saved
+            from cut group by d, p),
+        kids as (
+            select x.d, x.p, x.saved, count(y.p) as n_children from nodes x
+            left join nodes y on y.d = x.d + 1 and y.p[1:x.d] = x.p group by x.d, x.p, x.saved),
+        above as (select *, unnest(range(0, d + 1)) as place from kids),
+        sums as (
+            select place as d, case when place = 0 then [] else p[1:place] end as p, count(*) filter (n_children = 0) as n_leaves,
+                   sum(saved)::bigint as saved_tokens from above group by all)
+        select x.conv_id, x.d as depth, y.conv_id as parent_conv_id, x.n_convs, k.n_children, s.n_leaves, s.saved_tokens, x.ends_sha256
+        from nodes x join kids k using (d, p) join sums s using (d, p)
+        left join nodes y on y.d = x.d - 1 and y.p = case when y.d = 0 then [] else x.p[1:y.d] end""",
+    "op13_contamination": r"""
+        with spelled as (
+            select doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+        items as (
+            select item_id, regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+        starts as (select item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as i from items where len(w) > 0),
+        windows as (select distinct item_id, array_to_string(w[i:i + 9], ' ') as win, least(len(w), 10) as length from starts),
+        places as (select doc_id, w, unnest(range(1, len(w) + 1)) as place from spelled),
+        found as (
+            select p.doc_id, p.place, v.length, v.item_id
+            from (select doc_id, place, length, array_to_string(w[place:place + length - 1], ' ') as win
+                  from places, (select distinct length from windows) where place + length - 1 <= len(w)) p
+            join windows v using (win, length)),
+        marked as (select doc_id, unnest(range(place, place + length)) as place from found),
+        hit as (select doc_id, count(distinct place) as n from marked group by doc_id),
+        listed as (
+            select doc_id, count(*) as n, string_agg(id, ',' order by id) as ids
+            from (select distinct doc_id, item_id::varchar as id from found) group by doc_id)
+        select s.doc_id, len(w)::bigint as n_words, coalesce(hit.n, 0) as n_hit, coalesce(listed.n, 0) as n_items,
+               sha256(coalesce(listed.ids, '')) as items_sha256, coalesce(hit.n, 0) > 0 as contaminated
+        from spelled s left join hit using (doc_id) left join listed using (doc_id)""",
 }
