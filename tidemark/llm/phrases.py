@@ -2,14 +2,14 @@
 
 A stripe is a prefix of words with an associative counter of its next words. Tasks build stripes
 from runs of texts, the shuffle brings those of one prefix together, and they are merged
-elementwise. The merged stripe holds all that is asked: its large entries are the prefix's
-extensions (the phrases one word longer), its sum is the prefix's own frequency, and its largest
-entry tells whether a longer phrase subsumes the prefix. Stripes are built for prefixes of one
-word, then of two and so on; a phrase can only be frequent if the phrase without its last word
-and that without its first one are, so each level reads the texts with a bitmap of the frequent
-phrases of the level before (`plans.keyset`, bounded in size; what passes by mistake is counted
-and found rare). Occurrences of a prefix without such a next word count under the empty word, so
-sums stay whole.
+elementwise. The merged stripes hold all that is asked: large entries are the prefix's extensions
+(the phrases one word longer), the sum of a word's stripe is that word's frequency as its entries
+are those of two-word prefixes, and the largest entry tells whether a longer phrase subsumes the
+prefix. Stripes are built for prefixes of one word, then of two and so on; a phrase can only be
+frequent if the phrase without its last word and that without its first one are, so each level
+reads the texts with a bitmap of the frequent phrases of the level before (`plans.keyset`, bounded
+in size; what passes by mistake is counted and found rare). Occurrences of a word without such a
+next word count under the empty word, so that sums are whole.
 
 The stripe of a prefix with very many occurrences is cut into segments by the hash of the next
 word, so that it does not meet in one task. A task merges stripes in the order of their prefixes
@@ -152,12 +152,12 @@ def _stripes(texts: DataFrame, known: list[Frequent]) -> DataFrame:
         length, segments = len(levels), levels[-1].segments
         for lang, words, ids in _runs(batches):
             grams, phrases, hashes = _grams(lang, words, ids, levels)
-            at = np.nonzero(grams >= 0)[0]
+            follows = np.append(grams[1:] >= 0, False)
+            # The sums of longer prefixes are entries of the level before.
+            at = np.nonzero(grams >= 0 if length == 1 else (grams >= 0) & follows)[0]
             if not len(at):
                 continue
-            follows = np.zeros(len(at), bool)
-            inside = at + 1 < len(grams)
-            follows[inside] = grams[at[inside] + 1] >= 0
+            follows = follows[at]
             after = np.full(len(at), len(words))  # the empty word
             after[follows] = ids[at[follows] + length]
             pairs, n = np.unique(grams[at] * (len(words) + 1) + after, return_counts=True)
@@ -185,9 +185,9 @@ def _stripes(texts: DataFrame, known: list[Frequent]) -> DataFrame:
 _KEY = ["lang", "prefix", "segment"]
 
 
-def _merged(stripes: DataFrame, least: int) -> DataFrame:
-    """lang, prefix, next, n: the entries of `least` or more of each prefix, and for each of its
-    segments the sum of all entries, as that of the empty word."""
+def _merged(stripes: DataFrame, least: int, sums: bool) -> DataFrame:
+    """lang, prefix, next, n: the entries of `least` or more of each prefix and, with `sums`, for
+    each of its segments the sum of all entries, as that of the empty word."""
 
     def flat(batch: pa.RecordBatch) -> pa.Table:
         row = pc.list_parent_indices(batch.column("next"))
@@ -199,10 +199,11 @@ def _merged(stripes: DataFrame, least: int) -> DataFrame:
         return merged.rename_columns([*_KEY, "next", "n"])
 
     def result(done: pa.Table) -> Iterator[pa.RecordBatch]:
-        total = done.group_by(_KEY, use_threads=False).aggregate([("n", "sum")]).rename_columns([*_KEY, "n"])
-        kept = done.filter(pc.and_(pc.greater_equal(done["n"], least), pc.not_equal(done["next"], "")))
-        total = total.append_column("next", pa.array([""] * len(total), pa.string()))
-        for part in (kept, total):
+        parts = [done.filter(pc.and_(pc.greater_equal(done["n"], least), pc.not_equal(done["next"], "")))]
+        if sums:
+            total = done.group_by(_KEY, use_threads=False).aggregate([("n", "sum")]).rename_columns([*_KEY, "n"])
+            parts.append(total.append_column("next", pa.array([""] * len(total), pa.string())))
+        for part in parts:
             yield from part.select(["lang", "prefix", "next", "n"]).to_batches()
 
     def merge(batches):
@@ -271,12 +272,15 @@ def mine(
     phrases = words.filter("phrase is not null")
 
     known: list[Frequent] = []
-    candidates, counts, above = [], [], []
+    candidates, above = [], []
     for length in range(1, longest):
         known.append(_frequent(phrases, unit))
-        entries = written(_merged(_stripes(texts, known), least), f"stripes-{length}")
-        total = entries.filter("next = ''").groupBy("lang", F.col("prefix").alias("phrase"))
-        counts.append(total.agg(F.sum("n").alias("f")))
+        entries = written(_merged(_stripes(texts, known), least, length == 1), f"stripes-{length}")
+        if length == 1:
+            total = entries.filter("next = ''").groupBy("lang", F.col("prefix").alias("phrase"))
+            counts = [total.agg(F.sum("n").alias("f"))]
+        else:
+            counts.append(phrases.withColumnRenamed("n", "f"))
         grown = entries.filter("next != ''")
         phrases = grown.select("lang", F.concat_ws(" ", "prefix", "next").alias("phrase"), "n")
         candidates.append(phrases.withColumn("length", F.lit(length + 1)))
@@ -326,7 +330,7 @@ def _ranked(candidates, counts, above, sizes, subsumed, longest, top) -> DataFra
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     best = (
         lowest.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
-        .withColumn("rank", F.row_number().over(order).cast("long"))
+        .withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= top)
     )
-    return best.join(sizes, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    return best.join(sizes, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
