@@ -18,7 +18,8 @@ from tidemark import (
     fold_batches,
     key_expiry,
 )
-from tidemark.operators.online import update_online_tables, with_expiry
+from tidemark.operators import online as online_module
+from tidemark.operators.online import _ranges, update_online_tables, with_expiry
 
 T0 = datetime(2024, 1, 1)
 SCHEMA = "k int, event_timestamp timestamp_ntz, a int, b string"
@@ -210,12 +211,24 @@ def test_an_unfinished_commit_is_skipped(spark, folder):
     online = OnlineTable(spark, f"{folder}/t", TABLE)
     online.upsert(frame(spark, [(1, 1, 1, "x")]))
     for left in ("", '{"version": 2, "del'):
-        files.create_text(spark, online._commit_name(online.version + 1), left)
+        files.create_text(spark, online._log._name(online.version + 1), left)
         assert state_of(online.rows())[1] == (minute(1), 1, "x")
     online.upsert(frame(spark, [(1, 2, 2, None)]))
     assert state_of(online.rows()) == {1: (minute(2), 2, "x")}
 
 
+def test_vacuum_spares_the_commit_that_is_read(spark, folder):
+    """A finished commit behind an unfinished one is the one in force."""
+    online = OnlineTable(spark, f"{folder}/t", TABLE)
+    online.upsert(frame(spark, [(1, 1, 1, "x"), (2, 1, 2, "y")]))
+    files.create_text(spark, online._log._name(online.version + 1), "")
+    online.vacuum(retain=timedelta(0))
+    assert set(state_of(online.rows())) == {1, 2}
+    online.upsert(frame(spark, [(3, 1, 3, "z")]))
+    online.vacuum(retain=timedelta(0))
+    assert set(state_of(online.rows())) == {1, 2, 3} and online.version == 3
+
+
 def test_commits_are_found_without_and_with_an_old_pointer(spark, folder):
     online = OnlineTable(spark, f"{folder}/t", TABLE)
     for i in range(3):
@@ -359,19 +372,118 @@ def test_teardown_keeps_the_other_tables(spark, folder):
     assert OnlineTable(spark, f"{folder}/other", other).rows().count() == 1
 
 
+def _rows_scanned(df, base):
+    """Rows that the scans of a collected frame have read, of the base or of all else."""
+    rows, plans = 0, [df._jdf.queryExecution().executedPlan()]
+    while plans:
+        plan = plans.pop()
+        if plan.nodeName().startswith("AdaptiveSparkPlan"):
+            plans.append(plan.executedPlan())
+        elif "QueryStage" in plan.nodeName():
+            plans.append(plan.plan())
+        elif plan.nodeName().startswith("Scan parquet"):
+            if ("tidemark_online" in plan.nodeName()) == base:
+                rows += plan.metrics().apply("numOutputRows").value()
+        else:
+            children = plan.children()
+            plans += [children.apply(i) for i in range(children.size())]
+    return rows
+
+
 def test_a_small_lookup_reads_few_buckets_and_row_groups(spark, folder, monkeypatch):
+    monkeypatch.setattr(online_module, "_SMALL_TABLE", 0)
     online = OnlineTable(spark, f"{folder}/t", TABLE, buckets=8)
     online.upsert(frame(spark, [(i, 1, i, "x") for i in range(100)]))
     online.compact()
     online.upsert(frame(spark, [(3, 2, 7, "y")]))
     spine = spark.createDataFrame([(3,), (4,), (None,)], "k int")
-    for few in (1000, 1):  # beyond: a semi join before the fold, the same answer
-        monkeypatch.setattr("tidemark.operators.online._FEW_KEYS", few)
+    for few in (1000, 1):  # beyond: a bitmap before the fold, the same answer
+        monkeypatch.setattr(online_module, "_VALUES", few)
         rows = online.lookup(spine, ["a"], skew=None)
         assert {r.k: r.t__a for r in rows.collect()} == {3: 7, 4: 4, None: None}
         plan = rows._jdf.queryExecution().executedPlan().toString()
         if few == 1:
-            assert plan.count("LeftSemi") >= 2
+            assert plan.count("__tm_word") >= 2 and "LeftSemi" not in plan
         else:
             assert plan.count("In(k, [3,4])") + plan.count("In(k, [4,3])") >= 2
             assert any(f"SelectedBucketsCount: {n} out of 8" in plan for n in (1, 2))
+
+
+# Row groups of some hundred rows.
+FINE = {
+    "parquet.block.size": "8192",
+    "parquet.page.size": "2048",
+    "parquet.block.size.row.check.min": "500",
+    "parquet.block.size.row.check.max": "500",
+    "parquet.bloom.filter.max.bytes": "16384",
+}
+
+
+def _large(spark, folder):
+    online = OnlineTable(spark, f"{folder}/t", TABLE, buckets=4, write_options=FINE)
+    ids = spark.range(200_000).select(F.col("id").cast("int").alias("k"))
+    rows = ids.select("k", F.lit(minute(1)).cast("timestamp_ntz").alias("event_timestamp"), F.col("k").alias("a"), F.lit("x").alias("b"))
+    online.upsert(rows)
+    online.compact()
+    for low in (0, 50_000, 120_000):
+        newer = rows.filter(F.col("k").between(low, low + 9_999) & (F.col("k") % 2 == 0))
+        online.upsert(newer.withColumns({"a": F.col("a") + 1, "event_timestamp": F.lit(minute(2)).cast("timestamp_ntz")}))
+    return online
+
+
+def test_five_thousand_keys_read_a_small_share_of_the_rows(spark, folder, monkeypatch):
+    monkeypatch.setattr(online_module, "_SMALL_TABLE", 0)
+    online = _large(spark, folder)
+    wanted = [*range(1_000, 3_500), *range(150_000, 152_499), 999_999]
+    spine = spark.createDataFrame([(k,) for k in wanted], "k long")
+    rows = online.lookup(spine, ["a"], skew=None)
+    got = {r.k: r.t__a for r in rows.collect()}
+    assert got == {k: None if k > 200_000 else k + (k < 10_000 and k % 2 == 0) for k in wanted}
+    # Two of three batches hold none of these keys; of the others only the row groups around them.
+    assert rows._jdf.queryExecution().executedPlan().toString().count("run=") <= 2
+    assert 5_000 <= _rows_scanned(rows, True) <= 20_000
+    assert _rows_scanned(rows, False) <= 3_000
+    everything = online.rows()
+    everything.collect()
+    assert _rows_scanned(everything, True) == 200_000
+
+
+def test_bloom_filters_leave_row_groups_out(spark, folder):
+    """Keys between the stored ones: no bounds exclude them."""
+    online = OnlineTable(spark, f"{folder}/t", TABLE)
+    ids = spark.range(50_000).select((F.col("id") * 2).cast("int").alias("k"))
+    online.upsert(ids.select("k", F.lit(minute(1)).cast("timestamp_ntz").alias("event_timestamp"), F.lit(1).alias("a"), F.lit("x").alias("b")))
+    read = spark.read.parquet(f"{folder}/t/{online._state()['deltas'][0]['folder']}")
+    for value, least, most in ((20_001, 0, 0), (20_000, 1, 50_000)):
+        found = read.filter(F.col("k") == value)
+        found.collect()
+        assert least <= _rows_scanned(found, False) <= most
+
+
+def test_commits_know_the_keys_of_their_folders(spark, folder, monkeypatch):
+    monkeypatch.setattr(online_module, "_SMALL_TABLE", 0)
+    table = FeatureTable("t", (Field("k", "INT32"), Field("s", "STRING"), Field("f", "DOUBLE")), (Field("a", "INT32"),))
+    online = OnlineTable(spark, f"{folder}/t", table, compact_after=100)
+    schema = "k int, s string, f double, event_timestamp timestamp_ntz, a int"
+    online.upsert(spark.createDataFrame([(1, "a", 0.5, minute(1), 1), (9, "é", -0.0, minute(1), 2)], schema))
+    online.upsert(spark.createDataFrame([(None, "b", 0.5, minute(1), 1)], schema))
+    online.upsert(spark.createDataFrame([(5, "z" * 300, 0.0, minute(1), 3)], schema))
+    deltas = online._state()["deltas"]
+    assert [d["rows"] for d in deltas] == [2, 0, 1]
+    assert [d["ranges"] for d in deltas] == [{"k": [1, 9], "s": ["a", "é"]}, {}, {"k": [5, 5]}]
+    asked = [{"k": 9, "s": "é", "f": 0.0}, {"k": 5, "s": "z" * 300, "f": 0.0}, {"k": 5, "s": "a", "f": 0.5}, {"k": None, "s": "a", "f": 0.5}]
+    assert [r["t__a"] for r in online.get(asked)] == [2, 3, None, None]
+    spine = spark.createDataFrame([(9, "é", -0.0), (5, "z" * 300, 0.0), (2**40, "a", 0.5)], "k long, s string, f double")
+    for few in (100, 1):
+        monkeypatch.setattr(online_module, "_VALUES", few)
+        assert {r.k: r.t__a for r in online.lookup(spine, skew=None).collect()} == {9: 2, 5: 3, 2**40: None}
+
+
+def test_ranges_of_values():
+    assert _ranges(set()) == [] and _ranges({1.5}) == [] and _ranges({7}) == [(7, 7)]
+    found = _ranges({*range(10), *range(1_000_000, 1_000_050)})
+    assert found[0][0] == 0 and found[-1][1] == 1_000_049 and len(found) <= 64
+    assert not any(low < 500_000 < high for low, high in found)
+    words = {f"w{i:04}" for i in range(1_000)}
+    found = _ranges(words)
+    assert len(found) <= 64 and all(any(low <= w <= high for low, high in found) for w in words)

@@ -16,34 +16,41 @@ on an older commit keep reading their own folders.
 from __future__ import annotations
 
 import hashlib
-import json
 import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
+from dataclasses import dataclass
 from datetime import UTC, datetime, timedelta
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import files
+from tidemark.commits import CommitLog
 from tidemark.errors import CommitConflict, SchemaError
 from tidemark.functions.times import as_time, time_literal
 from tidemark.model import EVENT_TS, FeatureTable, Field, output_name
 from tidemark.operators.latest import compact
 from tidemark.operators.project import effective_max_age
-from tidemark.operators.reduce import distinct_keys
 from tidemark.operators.validate import check_fields, check_timestamp, entities_valid
+from tidemark.plans.keyset import KeySet, key_hash
 from tidemark.plans.skew import SkewOptions, salted_join
 
 SEQ = "_seq"
 EXPIRY = "expiry_timestamp"
 _RUN = "run"
-# Up to so many keys a lookup filters its scans by value, beyond by a semi join.
-_FEW_KEYS = 1_000
+# A stored table up to this size is read whole: looking for its keys would cost more.
+_SMALL_TABLE = 64 << 20
+# A spine of so many rows gives its keys as values, which choose buckets, row groups and pages; a
+# longer one gives a bitmap of its keys.
+_VALUES = 20_000
+# The values as so many ranges of the first key, cut at the widest gaps: these reach the scan.
+_RANGES = 64
+# Strings beyond this length are no bounds of a folder's keys.
+_BOUND_LENGTH = 256
 # The base is rewritten when recent batches reach this share of its size.
 _MERGE_SHARE = 0.25
-# How often a write that finds its commit number taken tries the next one.
-_ATTEMPTS = 50
 
 
 def fold_upserts(batches: DataFrame, keys: Sequence[str], features: Sequence[str]) -> DataFrame:
@@ -117,6 +124,40 @@ def key_expiry(tables: Iterable[DataFrame], keys: Sequence[str]) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class _Wanted:
+    """What a lookup reads: a filter of rows, and whether a folder with these key ranges matters."""
+
+    only: Callable[[DataFrame], DataFrame]
+    in_: Callable[[Mapping[str, Sequence]], bool] = lambda ranges: True
+
+
+def _ranges(values: set) -> list[tuple]:
+    """At most `_RANGES` ranges that hold all the values, cut at the widest gaps of whole numbers
+    or, for other types, into runs of equal length."""
+    if not values or not all(isinstance(v, (int, str)) and not isinstance(v, bool) for v in values):
+        return []
+    ordered = sorted(values)
+    if isinstance(ordered[0], int):
+        gaps = sorted(range(1, len(ordered)), key=lambda i: ordered[i - 1] - ordered[i])[: _RANGES - 1]
+    else:
+        gaps = range(0, len(ordered), max(1, -(-len(ordered) // _RANGES)))
+    starts = sorted({0, *gaps})
+    return [(ordered[a], ordered[b - 1]) for a, b in zip(starts, [*starts[1:], len(ordered)])]
+
+
+def _key_filters(table: FeatureTable) -> dict[str, str]:
+    """Parquet options: a Bloom filter on each key, as large as its values ask for."""
+    # The Parquet writer's option names.
+    kinds = (T.IntegerType, T.LongType, T.StringType, T.BinaryType)
+    keys = [e.name for e in table.entities if isinstance(e.spark_type, kinds)]
+    options = {"parquet.bloom.filter.adaptive.enabled": "true"} if keys else {}
+    for key in keys:
+        # The smallest of so many sizes that holds the values; the first is 1 MB, each next one half.
+        options |= {f"parquet.bloom.filter.enabled#{key}": "true", f"parquet.bloom.filter.candidates.number#{key}": "12"}
+    return options
+
+
 class OnlineTable:
     """One feature table's current values at a path."""
 
@@ -129,46 +170,29 @@ class OnlineTable:
         buckets: int = 32,
         compact_after: int = 8,
         event_ts_type: T.DataType | None = None,
+        write_options: Mapping[str, str] | None = None,
     ) -> None:
+        """`write_options` go to the Parquet writer, e.g. for smaller row groups."""
         self.spark = spark
         self.path = path.rstrip("/")
         self.table = table
         self.compact_after = compact_after
         self._new_buckets = buckets
         self._ts_type = event_ts_type or T.TimestampNTZType()
+        self._write_options = {**_key_filters(table), **(write_options or {})}
+        self._log = CommitLog(spark, f"{self.path}/_commits", self.path)
 
     # ---------------------------------------------------------------- commits
 
-    def _commit_name(self, version: int) -> str:
-        return f"{self.path}/_commits/{version:012d}.json"
-
-    def _last_number(self) -> int:
-        """Number of the last commit: from the pointer and what follows it, else by listing."""
-        pointer = f"{self.path}/_commits/latest"
-        try:
-            number = int(files.read_text(self.spark, pointer))
-            known = files.exists(self.spark, self._commit_name(number))
-        except Exception:  # no pointer, or one that is being written: it is a shortcut only
-            known = False
-        if not known:
-            names = files.names_in(self.spark, f"{self.path}/_commits")
-            number = max((int(n.removesuffix(".json")) for n in names if n.endswith(".json")), default=0)
-        while number and files.exists(self.spark, self._commit_name(number + 1)):
-            number += 1
-        return number
-
     def _state(self) -> dict:
-        """The last finished commit; `version` is the last number that is taken."""
-        last = number = self._last_number()
-        while number:
-            try:
-                return {**json.loads(files.read_text(self.spark, self._commit_name(number))), "version": last}
-            except json.JSONDecodeError:
-                number -= 1  # unfinished: left by a writer that failed
+        """The last finished commit; `version` is the last number that is taken, `read` its own."""
+        last, read, state = self._log.read()
+        return {**(state or self._initial()), "version": last, "read": read}
+
+    def _initial(self) -> dict:
         age = effective_max_age(self.table)
         seconds = None if age is None else age.total_seconds()
         return {
-            "version": last,
             "base": None,
             "base_bytes": 0,
             "deltas": [],
@@ -182,18 +206,7 @@ class OnlineTable:
         }
 
     def _commit(self, change: Callable[[dict], dict | None]) -> bool:
-        """Apply `change` to the current state; again on the newer one if another writer was
-        first. False if `change` finds nothing to do (it returns None)."""
-        for _ in range(_ATTEMPTS):
-            state = self._state()
-            new = change(state)
-            if new is None:
-                return False
-            number = state["version"] + 1
-            if files.create_text(self.spark, self._commit_name(number), json.dumps({**new, "version": number})):
-                files.write_text(self.spark, f"{self.path}/_commits/latest", str(number))
-                return True
-        raise CommitConflict(f"{self.path}: other writers were first {_ATTEMPTS} times")
+        return self._log.commit(lambda state: change(state or self._initial()))
 
     # ---------------------------------------------------------------- writing
 
@@ -258,8 +271,29 @@ class OnlineTable:
 
     def _write_delta(self, rows: DataFrame, level: int = 0) -> dict:
         folder = f"delta/{_RUN}={uuid.uuid4().hex}"
-        rows.write.parquet(f"{self.path}/{folder}")
-        return {"folder": folder, "seq": None, "level": level, "bytes": files.size_of(self.spark, f"{self.path}/{folder}")}
+        bounds = Observation()
+        ordered = rows.observe(bounds, *self._bounds()).sortWithinPartitions(*self.table.keys)
+        ordered.write.options(**self._write_options).parquet(f"{self.path}/{folder}")
+        size = files.size_of(self.spark, f"{self.path}/{folder}")
+        return {"folder": folder, "seq": None, "level": level, "bytes": size, **self._described(bounds.get)}
+
+    def _bounds(self) -> list[Column]:
+        """The number of rows, and the first and last value of each key that has an order which
+        the commit can hold."""
+        bounds = [F.count(F.lit(1)).alias("rows")]
+        for i, key in enumerate(self.table.entities):
+            if isinstance(key.spark_type, (T.IntegerType, T.LongType, T.StringType)):
+                column = F.col(f"`{key.name}`")
+                bounds += [F.min(column).alias(f"low{i}"), F.max(column).alias(f"high{i}")]
+        return bounds
+
+    def _described(self, seen: Mapping) -> dict:
+        ranges = {}
+        for i, key in enumerate(self.table.keys):
+            pair = seen.get(f"low{i}"), seen.get(f"high{i}")
+            if None not in pair and all(not isinstance(v, str) or len(v) <= _BOUND_LENGTH for v in pair):
+                ranges[key] = list(pair)
+        return {"rows": seen["rows"], "ranges": ranges}
 
     def _tidy(self) -> None:
         """Fold recent batches into the base when they have grown to a fair share of it. Until
@@ -303,6 +337,7 @@ class OnlineTable:
         (
             self._rows(state)
             .write.format("parquet")
+            .options(**self._write_options)
             .bucketBy(state["buckets"], *self.table.keys)
             .sortBy(*self.table.keys)
             .option("path", f"{self.path}/{folder}")
@@ -347,10 +382,7 @@ class OnlineTable:
             for name in files.names_in(self.spark, f"{self.path}/{kind}"):
                 if f"{kind}/{name}" not in used and old(f"{self.path}/{kind}/{name}"):
                     self._forget(f"{kind}/{name}")
-        for name in files.names_in(self.spark, f"{self.path}/_commits"):
-            number = name.removesuffix(".json")
-            if number.isdecimal() and int(number) < state["version"] and old(f"{self.path}/_commits/{name}"):
-                files.remove(self.spark, f"{self.path}/_commits/{name}")
+        self._log.forget_before(state["read"], old)
 
     def drop(self) -> None:
         """Remove the table and all its data."""
@@ -411,9 +443,12 @@ class OnlineTable:
         place = F.create_map(*[F.lit(x).cast(t) for run, seq in places for x, t in ((run, "string"), (seq, "long"))])
         return rows.select(*schema.names, F.coalesce(F.col(SEQ), place[F.col(_RUN)]).alias(SEQ))
 
-    def _rows(self, state: dict, only: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
-        """One row per key: the fold of base and recent batches, both reduced by `only` first."""
-        schema = self._schema(state)
+    def _rows(self, state: dict, wanted: _Wanted | None = None) -> DataFrame:
+        """One row per key: the fold of base and recent batches, both reduced to what is `wanted`
+        first. Batches that hold no such key are not read."""
+        wanted = wanted or _Wanted(lambda df: df)
+        only, schema = wanted.only, self._schema(state)
+        state = {**state, "deltas": [d for d in state["deltas"] if d.get("rows") != 0 and wanted.in_(d.get("ranges", {}))]}
         names = schema.names
         features = list(state["features"])
         base = None
@@ -454,42 +489,66 @@ class OnlineTable:
         """The spine with current feature values; unknown or expired keys get nulls.
 
         Values expire by `as_of`, which is now by default; `include_expired` serves all that
-        is stored. Base and recent batches are reduced to the spine's keys before they are
-        folded: by value, if a small job finds few of them, else by a semi join. When the
-        spine is itself the result of joins, `key_rows` can name the frame it was made from:
-        keys are then taken there and the joins are not run for it.
+        is stored. Where the stored table is large, base and recent batches are reduced to the
+        spine's keys before they are folded: by value, if the spine is short (batches of other
+        keys are left out, and row groups and pages by their bounds and Bloom filters), else by a
+        bitmap of its keys, which is broadcast with a bounded size. When the spine is itself the
+        result of joins, `key_rows` can name the frame it was made from: keys are then taken
+        there and the joins are not run for it.
         """
         features = list(features or self.table.feature_names)
         unknown = [f for f in features if f not in self.table.feature_names]
         if unknown:
             raise SchemaError(f"{self.table.name}: unknown features {unknown}")
-        keys = distinct_keys((key_rows if key_rows is not None else spine).na.drop(subset=self.table.keys), self.table.keys)
-        few = keys.limit(_FEW_KEYS + 1).collect()
-        only = self._with_values(few) if len(few) <= _FEW_KEYS else self._with_keys(keys)
-        found = self._current(features, None if include_expired else as_of or datetime.now(UTC), full_feature_names, only)
+        state = self._state()
+        wanted = self._wanted(state, key_rows if key_rows is not None else spine)
+        found = self._current(state, features, None if include_expired else as_of or datetime.now(UTC), full_feature_names, wanted)
         joined = salted_join(spine, found, self.table.keys, "left", skew, key_rows=key_rows)
         names = [output_name(self.table.name, f, full_feature_names) for f in features]
         return joined.select(*[F.col(f"`{c}`") for c in [*spine.columns, *names]])
 
-    def _with_values(self, rows: Sequence[Mapping]) -> Callable[[DataFrame], DataFrame]:
+    def _wanted(self, state: dict, spine: DataFrame) -> _Wanted | None:
+        """What a lookup for this spine reads; None for everything."""
+        if state["base_bytes"] + sum(d["bytes"] for d in state["deltas"]) <= _SMALL_TABLE:
+            return None
+        keys = self.table.keys
+        # In the stored types: hashes and literals are of these.
+        rows = spine.select(*[F.col(f"`{e.name}`").try_cast(e.spark_type).alias(e.name) for e in self.table.entities])
+        rows = rows.na.drop(subset=keys)
+        first = rows.limit(_VALUES + 1).collect()
+        if len(first) <= _VALUES:
+            return self._with_values(first)
+        known = KeySet.of(rows, key_hash(keys), rows.count())
+        return _Wanted(lambda df: known.keep_possible(df, key_hash(keys)))
+
+    def _with_values(self, rows: Sequence[Mapping]) -> _Wanted:
         """Rows whose keys have the given values: literals, which choose buckets and row groups."""
+        keys = self.table.keys
+        values = {tuple(r[k] for k in keys) for r in rows if all(r[k] is not None for k in keys)}
+        # Zeros and NaN have several forms: numbers with a fraction choose nothing here.
+        exact = [i for i, e in enumerate(self.table.entities) if not isinstance(e.spark_type, T.FractionalType)]
+        conditions = [F.col(keys[i]).isin(list({v[i] for v in values})) for i in exact]
+        ranges = _ranges({v[0] for v in values})
+        if len(ranges) > 1 or (ranges and len(values) > 1):
+            within = [F.col(keys[0]).between(low, high) for low, high in ranges]
+            conditions.append(reduce(lambda a, b: a | b, within))
 
         def only(df: DataFrame) -> DataFrame:
-            for key in self.table.keys:
-                df = df.filter(F.col(key).isin(list({r[key] for r in rows if r[key] is not None})))
+            for condition in conditions:
+                df = df.filter(condition)
             return df
 
-        return only
+        def has(ranges: Mapping[str, Sequence]) -> bool:
+            bounds = [(i, *ranges[k]) for i, k in enumerate(keys) if k in ranges]
+            return any(all(low <= v[i] <= high for i, low, high in bounds) for v in values)
 
-    def _with_keys(self, keys: DataFrame) -> Callable[[DataFrame], DataFrame]:
-        return lambda df: df.join(keys, self.table.keys, "left_semi").select(*df.columns)
+        return _Wanted(only, has)
 
     def _current(
-        self, features: Sequence[str], as_of: datetime | None, full: bool, only: Callable[[DataFrame], DataFrame]
+        self, state: dict, features: Sequence[str], as_of: datetime | None, full: bool, wanted: _Wanted | None
     ) -> DataFrame:
-        state = self._state()
         seconds = state["max_age"]
-        rows = with_expiry(self._rows(state, only), None if seconds is None else timedelta(seconds=seconds))
+        rows = with_expiry(self._rows(state, wanted), None if seconds is None else timedelta(seconds=seconds))
         if as_of is not None:
             now = time_literal(as_of, rows.schema[EXPIRY].dataType)
             rows = rows.filter(F.col(EXPIRY).isNull() | (F.col(EXPIRY) > now))
@@ -519,8 +578,9 @@ class OnlineTable:
             [(*[row[k] for k in keys], i) for i, row in enumerate(entity_rows)],
             T.StructType([*schema.fields, position]),
         )
-        only = self._with_values(entity_rows) if len(entity_rows) <= _FEW_KEYS else self._with_keys(spine.select(*keys).distinct())
-        found = self._current(features, None if include_expired else as_of or datetime.now(UTC), full_feature_names, only)
+        state = self._state()
+        wanted = self._with_values(entity_rows) if len(entity_rows) <= _VALUES else self._wanted(state, spine)
+        found = self._current(state, features, None if include_expired else as_of or datetime.now(UTC), full_feature_names, wanted)
         answer = spine.join(found, keys, "left").orderBy("__tm_position").drop("__tm_position")
         return [row.asDict() for row in answer.collect()]
 
