@@ -7,6 +7,7 @@ from tidemark.operators.asof import FeatureInput, as_of_join, multi_as_of
 from tidemark.operators.ingest import IngestReport, ingest_batch, materialize, push
 from tidemark.operators.latest import compact, latest_per_key, pull_all
 from tidemark.operators.online import OnlineTable, fold_batches, key_expiry
+from tidemark.operators.snapshots import SnapshotStore
 from tidemark.operators.validate import Suite, expect, expect_between, expect_in_set, frames_equal
 from tidemark.plans.skew import SkewOptions
 from tidemark.streaming.ingest import ingest_stream
@@ -23,6 +24,7 @@ __all__ = [
     "OnlineTable",
     "SchemaError",
     "SkewOptions",
+    "SnapshotStore",
     "Source",
     "Suite",
     "as_of_join",

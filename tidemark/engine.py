@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import datetime
+from datetime import date, datetime
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +16,7 @@ from tidemark.operators.ingest import IngestReport, ingest_batch, materialize, p
 from tidemark.operators.online import OnlineTable, update_online_tables
 from tidemark.operators.project import ingestion_window, select_features
 from tidemark.operators.sinks import on_demand, save_dataset
+from tidemark.operators.snapshots import SnapshotStore
 from tidemark.plans.skew import SkewOptions
 from tidemark.sources.batch import infer_event_timestamp, load
 from tidemark.sources.spine import as_spine
@@ -34,14 +35,17 @@ class FeatureEngine:
         *,
         frames: Mapping[str, DataFrame] | None = None,
         online_root: str | None = None,
+        snapshot_root: str | None = None,
         buckets: int = 32,
         skew: SkewOptions | None = SkewOptions(),
     ) -> None:
-        """`frames` gives source rows for tables whose source is already a DataFrame."""
+        """`frames` gives source rows for tables whose source is already a DataFrame.
+        Snapshots below `snapshot_root` spare point-in-time joins the history before them."""
         self.spark = spark
         self.tables = {t.name: t for t in tables}
         self.frames = dict(frames or {})
         self.online_root = online_root
+        self.snapshot_root = snapshot_root
         self.buckets = buckets
         self.skew = skew
 
@@ -83,11 +87,10 @@ class FeatureEngine:
         inputs = []
         for name, features in parse_refs(refs).items():
             table = self.table(name).with_features(features)
-            source = table.source or Source()
-            day = {_DAY: source.date_partition} if source.date_partition else {}
-            rows = select_features(self.source_rows(table), table, source, keep=day)
-            created = CREATED_TS if source.created_timestamp else None
-            inputs.append(FeatureInput(table, rows, EVENT_TS, created, _DAY if day else None))
+            created = CREATED_TS if table.source and table.source.created_timestamp else None
+            stored = self.snapshots(name) if self.snapshot_root else None
+            rows, day = self._feature_rows(table)
+            inputs.append(FeatureInput(table, rows, EVENT_TS, created, day, stored))
         result = multi_as_of(
             spine,
             spine_ts,
@@ -99,6 +102,42 @@ class FeatureEngine:
         )
         return on_demand(result, dict(on_demand_features)) if on_demand_features else result
 
+    def _feature_rows(self, table: FeatureTable) -> tuple[DataFrame, str | None]:
+        """Canonical source rows, and the column with their UTC date if the source is partitioned by it."""
+        source = table.source or Source()
+        day = {_DAY: source.date_partition} if source.date_partition else {}
+        return select_features(self.source_rows(table), table, source, keep=day), _DAY if day else None
+
+    def snapshots(self, name: str) -> SnapshotStore:
+        """The stored snapshots of a table's newest rows."""
+        if self.snapshot_root is None:
+            raise SchemaError("the engine has no snapshot_root")
+        table = self.table(name)
+        source = table.source or Source()
+        origin = {
+            "frame": name in self.frames,
+            "format": source.format,
+            "path": source.path,
+            "event": source.event_timestamp,
+            "created": source.created_timestamp,
+            "mapping": dict(source.field_mapping),
+            "options": dict(source.options),
+        }
+        path = f"{self.snapshot_root}/{table.name}"
+        return SnapshotStore(self.spark, path, table, created=bool(source.created_timestamp), origin=origin)
+
+    def snapshot(self, cut: date | datetime, names: Sequence[str] | None = None) -> None:
+        """Store the newest rows per key before `cut` (the end of that day for a date) of all (or
+        some) tables. Requests for times from there on then read the history only from there."""
+        for name in names or list(self.tables):
+            rows, day = self._feature_rows(self.table(name))
+            self.snapshots(name).build(rows, cut, day=day)
+
+    def absorb_late(self, name: str, df: DataFrame) -> int:
+        """Merge source rows that came after snapshots of their times into these snapshots."""
+        table = self.table(name)
+        return self.snapshots(name).absorb(select_features(df, table, table.source or Source()))
+
     def save_dataset(self, result: DataFrame, path: str) -> None:
         save_dataset(result, path)
 

@@ -22,7 +22,8 @@ from pyspark.sql import types as T
 from tidemark.errors import SchemaError
 from tidemark.functions.times import as_time
 from tidemark.model import CREATED_TS, EVENT_TS, FeatureTable, output_name
-from tidemark.operators.reduce import distinct_keys, semi_reduce
+from tidemark.operators.reduce import SKETCH_KEYS, distinct_keys, semi_reduce, sketch_reduce
+from tidemark.operators.snapshots import CarryIn, SnapshotStore
 from tidemark.operators.validate import check_spine
 from tidemark.plans.bounds import SpineBounds, measure_spine
 from tidemark.plans.lineage import cut_lineage
@@ -54,6 +55,8 @@ class FeatureInput:
     created_ts: str | None = CREATED_TS
     # The column that holds the rows' UTC date, where the source is partitioned by it.
     day: str | None = None
+    # The newest rows at earlier cuts: rows before the last useful one are then not read.
+    snapshots: SnapshotStore | None = None
 
 
 def as_of_join(
@@ -101,9 +104,10 @@ def multi_as_of(
     for the current time. Two small jobs then look at it: its time bounds and size
     (`bound_by_spine`), for the scans, and a sample of the key columns, for hot keys (`skew`).
     With neither, nothing is measured and the spine stays lazy. Feature rows whose key the
-    spine does not have are dropped before the shuffle if its keys fit into a broadcast;
-    `reduce_by_spine=True` asks for that with any spine, at the price of a semi join, and
-    False for never. Tables with the same keys share one pass. `checkpoint_every=n` cuts
+    spine does not have are dropped before the shuffle: by its keys, if these fit into a
+    broadcast, or else by a bitmap of them, which is broadcast with a fixed size and lets a few
+    others pass. `reduce_by_spine=True` asks for a semi join beyond the first, and False for
+    never. Rows before a snapshot that an input brings are not read. Tables with the same keys share one pass. `checkpoint_every=n` cuts
     lineage after every n passes, for requests over very many different keys.
     """
     _check_output_names(spine, inputs, full_feature_names)
@@ -115,7 +119,7 @@ def multi_as_of(
     bounds = None
     if bound_by_spine:
         spine = cut_lineage(spine)
-        bounds = measure_spine(spine, spine_ts)
+        bounds = measure_spine(spine, spine_ts, sorted({k for keys in groups for k in keys}))
     result = spine
     for done, (keys, members) in enumerate(groups.items(), start=1):
         bounded = [_bounded(m, bounds) for m in members]
@@ -150,7 +154,27 @@ def _bounded(item: FeatureInput, bounds: SpineBounds | None) -> DataFrame:
     for key in item.table.keys:
         complete = complete & F.col(key).isNotNull()
     df = item.df.filter(complete)
-    return bounds.keep_usable(df, item.event_ts, item.table.max_age, item.day) if bounds else df
+    if bounds is None:
+        return df
+    carried = _carried(item, bounds)
+    if carried is None:
+        return bounds.keep_usable(df, item.event_ts, item.table.max_age, item.day)
+    recent = bounds.keep_usable(df, item.event_ts, item.table.max_age, item.day, since=carried.cut)
+    created = [item.created_ts] if item.created_ts and item.created_ts in df.columns else []
+    names = dict.fromkeys([*item.table.keys, *item.table.feature_names, item.event_ts, *created, *item.table.tie_break])
+    earlier = carried.rows.withColumnsRenamed({EVENT_TS: item.event_ts, **({CREATED_TS: created[0]} if created else {})})
+    earlier = bounds.keep_usable(earlier, item.event_ts, item.table.max_age)
+    return recent.select(*names).unionByName(earlier.select(*names))
+
+
+def _carried(item: FeatureInput, bounds: SpineBounds) -> CarryIn | None:
+    """The snapshot to start from, if the table's max age reaches back before it."""
+    if item.snapshots is None or bounds.first is None:
+        return None
+    created = bool(item.created_ts) and item.created_ts in item.df.columns
+    carried = item.snapshots.before(bounds.first, item.table, created)
+    oldest = bounds.oldest(item.table.max_age)
+    return None if carried is None or (oldest is not None and oldest >= carried.cut) else carried
 
 
 def _prepare(
@@ -167,9 +191,11 @@ def _prepare(
     have, want = df.schema[item.event_ts].dataType, spine.schema[spine_ts].dataType
     if have != want:
         df = df.withColumn(item.event_ts, as_time(F.col(item.event_ts), have, want))
-    if bounds and reduce_by_spine is not False and bounds.keys_fit(spine.sparkSession, len(table.keys)):
+    if bounds and reduce_by_spine is not False and bounds.keys_fit(spine.sparkSession, table.keys):
         # Measured on the stored spine that these keys come from.
         df = df.join(F.broadcast(distinct_keys(spine, table.keys)), table.keys, "left_semi")
+    elif bounds and reduce_by_spine is None and bounds.rows <= SKETCH_KEYS:
+        df = sketch_reduce(df, spine, table.keys, bounds.rows)
     elif reduce_by_spine:
         df = semi_reduce(df, spine, table.keys)
     order = [F.col(item.event_ts).alias("ts")]

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.plans.bounds import spine_bounds
+from tidemark.plans.keyset import MOST_WORDS, KeySet, key_hash
 from tidemark.plans.skew import (
     HOT,
     SLICE,
@@ -18,7 +19,7 @@ from tidemark.plans.skew import (
     salted_join,
 )
 
-__all__ = ["candidate_counts", "distinct_keys", "semi_reduce", "spine_bounds"]
+__all__ = ["SKETCH_KEYS", "candidate_counts", "distinct_keys", "semi_reduce", "sketch_reduce", "spine_bounds"]
 
 
 def distinct_keys(spine: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -42,6 +43,24 @@ def semi_reduce(
     return reduced.select(*[F.col(f"`{c}`") for c in features.columns])
 
 
+# A bitmap of more keys than this has less than 8 bits a key, and lets too many others pass.
+SKETCH_KEYS = MOST_WORDS * 64 // 8
+
+
+def sketch_reduce(features: DataFrame, spine: DataFrame, keys: Sequence[str], rows: int | None = None) -> DataFrame:
+    """Feature rows whose key may occur in the spine: all whose key does, and about one in a hundred
+    (one in ten, near `SKETCH_KEYS` keys) of the others.
+
+    No feature row is shuffled and no key table is built: the spine's key hashes become a bitmap
+    by partial aggregation, of at most `MOST_WORDS` words whatever the spine, which is broadcast.
+    `rows` is the number of spine rows, if it is known; else a small job counts them.
+    """
+    # In the types of the features: hashes are of these, and what does not fit them is not there.
+    whole = spine.select(*[F.col(f"`{k}`").try_cast(features.schema[k].dataType).alias(k) for k in keys]).na.drop(subset=list(keys))
+    known = KeySet.of(whole, key_hash(keys), whole.count() if rows is None else rows)
+    return known.keep_possible(features.na.drop(subset=list(keys)), key_hash(keys))
+
+
 def candidate_counts(
     spine: DataFrame,
     spine_ts: str,

@@ -129,6 +129,17 @@ ORACLES: dict[str, str] = {
         where f.ts >= s.ts - interval 6 hour and f.value is not null""",
     "q_semi_reduce": f"""
         select o_orderkey, o_custkey from orders where o_custkey in (select user_id from {_PURCHASES} p)""",
+    "q_sketch_reduce": """
+        select (select count(*) from lineitem) as n_before, count(*) as n_kept, true as few_others
+        from lineitem where l_partkey in (select p_partkey from part where p_size <= 10)""",
+    "q_pit_snapshot": f"""
+        select s.event_id, s.user_id, s.ts, f.value as views__value
+        from {_PURCHASES} s asof left join {_VIEWS} f on s.user_id = f.user_id and s.ts >= f.ts
+        where s.ts >= timestamp '2024-01-15 07:00:00'""",
+    "q_pit_snapshot_late": f"""
+        select s.event_id, s.user_id, s.ts, f.value as views__value
+        from {_PURCHASES} s asof left join {_VIEWS} f on s.user_id = f.user_id and s.ts >= f.ts
+        where s.ts >= timestamp '2024-01-14 12:00:00'""",
     "q_spine_bounds": f"select min(ts) as min_ts, max(ts) as max_ts from {_PURCHASES} p",
     "q_range_join_candidates": f"""
         select s.user_id, count(*) as n from {_PURCHASES} s join {_VIEWS} f

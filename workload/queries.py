@@ -64,7 +64,7 @@ from tidemark.operators.project import (
     reverse_mapping,
     select_features,
 )
-from tidemark.operators.reduce import candidate_counts, semi_reduce, spine_bounds
+from tidemark.operators.reduce import candidate_counts, semi_reduce, sketch_reduce, spine_bounds
 from tidemark.operators.sinks import (
     append_logs,
     append_to_batch_store,
@@ -439,6 +439,39 @@ def pit_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return engine.get_historical_features(purchases(spark, sf_dir), ["views:value"], spine_ts="ts")
 
 
+def _in_store(spark: SparkSession, item: FeatureInput, rows: DataFrame, path: str) -> FeatureEngine:
+    """An engine over a date-partitioned store of these rows, with room for snapshots."""
+    append_to_batch_store(rows, path)
+    source = Source(path=path, event_timestamp=EVENT_TS, date_partition="date")
+    return FeatureEngine(spark, [replace(item.table, source=source)], snapshot_root=f"{path}-snapshots")
+
+
+@query("q_pit_snapshot")
+def pit_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unlimited age from a snapshot: history before its cut is not read."""
+    item = views(spark, sf_dir)
+    engine = _in_store(spark, item, item.df, scratch_path(spark, "batch-store"))
+    for day in (6, 13):
+        engine.snapshot(date(2024, 1, day))
+    late = purchases(spark, sf_dir).filter(F.col("ts") >= F.lit(datetime(2024, 1, 15, 7)).cast("timestamp_ntz"))
+    return engine.get_historical_features(late, ["views:value"], spine_ts="ts")
+
+
+@query("q_pit_snapshot_late")
+def pit_snapshot_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the rows comes after the snapshots of their times were made."""
+    item = views(spark, sf_dir)
+    behind = F.col("event_id") % 3 == 1
+    path = scratch_path(spark, "batch-store")
+    engine = _in_store(spark, item, item.df.filter(~behind), path)
+    for cut in (date(2024, 1, 8), datetime(2024, 1, 14, 12)):
+        engine.snapshot(cut)
+    append_to_batch_store(item.df.filter(behind), path)
+    engine.absorb_late("views", item.df.filter(behind))
+    late = purchases(spark, sf_dir).filter(F.col("ts") >= F.lit(datetime(2024, 1, 14, 12)).cast("timestamp_ntz"))
+    return engine.get_historical_features(late, ["views:value"], spine_ts="ts")
+
+
 @query("q_staged_spine")
 def staged_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An entity frame staged for other jobs, written by the executors."""
@@ -538,6 +571,24 @@ def semi_reduce_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return semi_reduce(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), buyers, ["o_custkey"])
 
 
+@query("q_sketch_reduce")
+def sketch_reduce_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of parts that a spine has, by a bitmap of its keys: rows before and after, none lost,
+    and those that passed by mistake are few."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    spine = table(spark, sf_dir, "part").filter("p_size <= 10").select(F.col("p_partkey").alias("l_partkey"))
+    possible = sketch_reduce(lines, spine, ["l_partkey"])
+    exact = semi_reduce(possible, spine, ["l_partkey"])
+    counts = ("n_before", lines), ("n_possible", possible), ("n_kept", exact)
+    parts = None
+    for name, df in counts:
+        part = df.agg(*[(F.count(F.lit(1)) if name == n else F.lit(0).cast("long")).alias(n) for n, _ in counts])
+        parts = part if parts is None else parts.union(part)
+    counted = parts.agg(*[F.sum(n).alias(n) for n, _ in counts])
+    few = (F.col("n_possible") - F.col("n_kept") <= 0.05 * (F.col("n_before") - F.col("n_kept"))).alias("few_others")
+    return counted.select("n_before", "n_kept", few)
+
+
 @query("q_spine_bounds")
 def spine_time_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spine_bounds(purchases(spark, sf_dir), "ts")
