@@ -1,5 +1,6 @@
 """Declarations, projections, time helpers and sources."""
 
+from dataclasses import replace
 from datetime import UTC, date, datetime, timedelta, timezone
 
 import pandas as pd
@@ -254,6 +255,8 @@ def test_missing_connectors_say_so(spark, tmp_path):
 def test_broker_login_options():
     source = Source.broker("h:1", "t", "ts")
     assert broker_options(source)["failOnDataLoss"] == "false"
+    strict = replace(source, options={**source.options, "failOnDataLoss": "true"})
+    assert broker_options(strict)["failOnDataLoss"] == "true"
     options = broker_options(source, username="u", password="p")
     assert 'username="u"' in options["kafka.sasl.jaas.config"]
 

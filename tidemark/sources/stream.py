@@ -16,9 +16,10 @@ def broker_options(
     password: str | None = None,
     mechanism: str = "PLAIN",
 ) -> dict[str, str]:
-    """Reader options of a broker topic, with SASL login when a user name is given."""
+    """Reader options of a broker topic, with SASL login when a user name is given. A query goes
+    on past messages that the topic no longer has, unless the source's own options say otherwise."""
     # Spark's and the broker client's option names.
-    options = {**source.options, "failOnDataLoss": "false"}
+    options = {"failOnDataLoss": "false", **source.options}
     if username is not None:
         login = "org.apache.kafka.common.security.plain.PlainLoginModule"
         options.update(
