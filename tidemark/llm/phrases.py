@@ -123,9 +123,10 @@ def _grams(
 ) -> tuple[np.ndarray, list[bytes], np.ndarray]:
     """For each place the id of the phrase that begins there, of as many words as there are levels
     known, or -1 where it can not be frequent; the phrases; and the hashes of the words."""
-    seed = xxhash.xxh64_intdigest(lang.encode(), 42)
-    phrases = words.to_pylist()
-    word_hashes = hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in phrases), np.uint64, len(phrases))
+    digest = xxhash.xxh64_intdigest
+    seed = digest(lang.encode(), 42)
+    phrases = spelled_words = words.to_pylist()
+    word_hashes = hashes = np.fromiter((digest(w, seed) for w in phrases), np.uint64, len(phrases))
     good = np.append(known[0].holds(hashes), False)  # the last one stands for breaks
     grams = np.where(good[ids], ids, -1)
     single = grams
@@ -134,8 +135,9 @@ def _grams(
         both = np.nonzero((grams[:-1] >= 0) & (grams[1:] >= 0))[0]
         last = single[np.minimum(both + length - 1, len(single) - 1)]
         pairs, inverse = np.unique(grams[both] * len(words) + last, return_inverse=True)
-        spelled = [phrases[p] + b" " + words[w].as_py() for p, w in zip(*map(np.ndarray.tolist, np.divmod(pairs, len(words))))]
-        hashes = np.fromiter((xxhash.xxh64_intdigest(p, seed) for p in spelled), np.uint64, len(spelled))
+        before, last = (part.tolist() for part in np.divmod(pairs, len(words)))
+        spelled = [phrases[p] + b" " + spelled_words[w] for p, w in zip(before, last)]
+        hashes = np.fromiter((digest(p, seed) for p in spelled), np.uint64, len(spelled))
         good = level.holds(hashes)
         grams = np.full(len(ids), -1)
         grams[both] = np.where(good[inverse], inverse, -1)
@@ -162,7 +164,8 @@ def _stripes(texts: DataFrame, known: list[Frequent]) -> DataFrame:
             after[follows] = ids[at[follows] + length]
             pairs, n = np.unique(grams[at] * (len(words) + 1) + after, return_counts=True)
             prefix, after = np.divmod(pairs, len(words) + 1)
-            parts = np.fromiter((segments.get((lang, p), 1) for p in phrases), np.int64, len(phrases))
+            hot = {p: n for (of, p), n in segments.items() if of == lang}
+            parts = np.fromiter((hot.get(p, 1) for p in phrases), np.int64, len(phrases)) if hot else np.ones(len(phrases), np.int64)
             spread = np.append(hashes >> np.uint64(24), np.uint64(0)).astype(np.int64) & 0xFFFFFF
             segment = spread[after] % parts[prefix]
             order = np.lexsort((segment, prefix))
