@@ -13,6 +13,7 @@ from tidemark.errors import SchemaError
 from tidemark.model import CREATED_TS, EVENT_TS, FeatureTable, Source, output_name, parse_refs
 from tidemark.operators.asof import FeatureInput, multi_as_of
 from tidemark.operators.ingest import IngestReport, ingest_batch, materialize, push
+from tidemark.operators.ledger import Interval, IntervalLedger, materialize_missing
 from tidemark.operators.online import OnlineTable, update_online_tables
 from tidemark.operators.project import ingestion_window, select_features
 from tidemark.operators.sinks import on_demand, save_dataset
@@ -165,6 +166,21 @@ class FeatureEngine:
                 self.spark, table, self.online_table(name), start, end, df=self.source_rows(table)
             )
 
+    def ledger(self, name: str) -> IntervalLedger:
+        """The times from which a table's online values were filled by `materialize_missing`."""
+        return IntervalLedger(self.spark, self.online_table(name).path)
+
+    def materialize_missing(
+        self, start: date | datetime, end: date | datetime, names: Sequence[str] | None = None
+    ) -> dict[str, list[Interval]]:
+        """Like `materialize` for `[start, end)`, but reads only what earlier runs have not covered.
+        Returns what was read of each table."""
+        read = {}
+        for name in names or list(self.tables):
+            table, online = self.table(name), self.online_table(name)
+            read[name] = materialize_missing(self.spark, table, online, start, end, self.ledger(name), df=self.source_rows(table))
+        return read
+
     def push(self, name: str, df: DataFrame | pd.DataFrame) -> None:
         if not isinstance(df, DataFrame):
             df = self.spark.createDataFrame(df)

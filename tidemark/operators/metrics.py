@@ -56,6 +56,44 @@ def counters_frame(df: DataFrame, table: FeatureTable, values: dict) -> DataFram
     )
 
 
+# Values that a sketch keeps per level: quantiles are within 1.7% of their rank, whatever is merged.
+SKETCH_K = 200
+RANK_ERROR = 0.017
+
+
+def lag_columns(now: Column, event_ts: str = EVENT_TS) -> list[Column]:
+    """Aggregates of the lag of event times behind `now`, in microseconds, that can be merged: its
+    count, least and greatest value, and a KLL sketch of all values."""
+    lag = micros_between(F.col(event_ts), now)
+    return [
+        F.count(lag).alias("lag_n"),
+        F.min(lag).alias("lag_min"),
+        F.max(lag).alias("lag_max"),
+        F.kll_sketch_agg_bigint(lag, SKETCH_K).alias("lag_sketch"),
+    ]
+
+
+def lag_sketches(df: DataFrame, now: datetime | Column, by: Sequence[str] = (), event_ts: str = EVENT_TS) -> DataFrame:
+    """The lag of a batch as one row per group, to be stored and merged with other batches'."""
+    now = now if isinstance(now, Column) else time_literal(now, df.schema[event_ts].dataType)
+    return df.groupBy(*by).agg(*lag_columns(now, event_ts)).filter("lag_n > 0")
+
+
+def merged_lag(sketches: DataFrame, by: Sequence[str] = (), quantiles: Sequence[float] = QUANTILES) -> DataFrame:
+    """The lag over all stored batches: count, least and greatest value exactly, quantiles within
+    `RANK_ERROR` of their rank. The rows that are merged are as many as batches, not as messages."""
+    merged = sketches.filter("lag_n > 0").groupBy(*by).agg(
+        F.sum("lag_n").alias("n"),
+        F.min("lag_min").alias("min_lag_us"),
+        F.max("lag_max").alias("max_lag_us"),
+        F.kll_merge_agg_bigint("lag_sketch", SKETCH_K).alias("sketch"),
+    )
+    if not by:
+        merged = merged.filter("n > 0")
+    names = [F.kll_sketch_get_quantile_bigint("sketch", F.lit(float(q))).alias(f"p{round(q * 100)}_lag_us") for q in quantiles]
+    return merged.select(*[c for c in merged.columns if c != "sketch"], *names)
+
+
 def lag_summary(
     df: DataFrame, now: datetime | Column, by: Sequence[str] = (), event_ts: str = EVENT_TS
 ) -> DataFrame:

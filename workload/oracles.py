@@ -187,6 +187,10 @@ ORACLES: dict[str, str] = {
     "q_materialize": f"""
         select o_custkey, ets as event_timestamp, o_totalprice, ets + interval 365 day as expiry_timestamp
         from (select *, {_NEWEST_ORDER} from {_ORDERS}) where rn = 1""",
+    "q_materialize_missing": f"""
+        select user_id, ts as event_timestamp, value from (
+            select *, row_number() over (partition by user_id order by ts desc, value desc) as rn from {_VIEWS}
+            where ts >= timestamp '2024-01-05' and ts < timestamp '2024-01-20') where rn = 1""",
     "q_push_online": """
         select user_id, ts as event_timestamp, value * 2 as spend from (
             select *, row_number() over (partition by user_id order by ts desc, value desc) as rn
@@ -268,6 +272,13 @@ ORACLES: dict[str, str] = {
                quantile_disc(lag, 0.99) as p99_lag_us,
                cast(round(avg(lag) / 1e6) as bigint) as mean_lag_s, cast(round(stddev(lag) / 1e6) as bigint) as stddev_lag_s
         from (select event_type, epoch_us(timestamp '2024-02-01') - epoch_us(ts) as lag from events) group by 1""",
+    "q_lag_sketches": """
+        select event_type, count(*) as n, min(lag) as min_lag_us, max(lag) as max_lag_us,
+               true as p50_near, true as p95_near, true as p99_near
+        from (select event_type, epoch_us(timestamp '2024-02-15') - epoch_us(ts) as lag from events) group by 1""",
+    "q_stream_totals": """
+        select count(*) as n_read, count(*) as n_stored, 0 as n_deadletter, max(ts) as latest_message, count(*) as n_timed
+        from events""",
     "q_row_counters": """
         select count(*) as n_read, count(*) filter (where event_type <> 'error') as n_stored,
                count(*) filter (where event_type = 'error') as n_deadletter from events""",

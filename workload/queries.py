@@ -39,7 +39,7 @@ from tidemark import (
 )
 from tidemark.functions.codecs import decode_json
 from tidemark.functions.shipped import load_function, save_function
-from tidemark.functions.times import event_date, normalise_time, time_literal, whole_seconds_between
+from tidemark.functions.times import event_date, micros_between, normalise_time, time_literal, whole_seconds_between
 from tidemark.functions.types import feature_type, is_timestamp
 from tidemark.jobs import ingest as ingest_job
 from tidemark.jobs import retrieve as retrieve_job
@@ -53,7 +53,7 @@ from tidemark.operators.layouts import (
     schema_registry_rows,
     wide_layout,
 )
-from tidemark.operators.metrics import lag_summary, row_counters
+from tidemark.operators.metrics import QUANTILES, RANK_ERROR, lag_sketches, lag_summary, merged_lag, row_counters
 from tidemark.operators.online import update_online_tables, with_expiry
 from tidemark.operators.project import (
     drop_incomplete,
@@ -91,7 +91,7 @@ from tidemark.sources.datasets import read_dead_letters, read_logs, read_saved_d
 from tidemark.sources.spine import stage_spine
 from tidemark.sources.stream import read_files
 from tidemark.sources.tables import append_rows, declare_table
-from tidemark.streaming.progress import IngestMetrics, progress_frame
+from tidemark.streaming.progress import IngestMetrics, ProgressTable, progress_frame
 from workload.tables import (
     ORDER_FEATURES,
     USER,
@@ -787,6 +787,22 @@ def materialize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return engine.online_table("orders").rows().drop("o_orderpriority")
 
 
+@query("q_materialize_missing")
+def materialize_in_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlapping ranges and late rows: each run reads what the ones before have not."""
+    item, behind = views(spark, sf_dir), F.col("event_id") % 5 == 2
+    path = scratch_path(spark, "batch-store")
+    append_to_batch_store(item.df.filter(~behind), path)
+    source = Source(path=path, event_timestamp=EVENT_TS, date_partition="date")
+    engine = FeatureEngine(spark, [replace(item.table, source=source)], online_root=scratch_path(spark, "online"))
+    for start, end in ((8, 12), (5, 15), (10, 20)):
+        engine.materialize_missing(date(2024, 1, start), date(2024, 1, end))
+    append_to_batch_store(item.df.filter(behind), path)
+    engine.ledger("views").reopen_days(item.df.filter(behind))
+    engine.materialize_missing(date(2024, 1, 5), date(2024, 1, 20))
+    return engine.online_table("views").rows().drop("expiry_timestamp")
+
+
 @query("q_push_online")
 def push_online(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = Source(event_timestamp="ts", field_mapping={"spend": "value * 2"})
@@ -1178,6 +1194,48 @@ def lag_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.select("event_type", "n", "min_lag_us", "max_lag_us", "p50_lag_us", "p95_lag_us", "p99_lag_us", *seconds)
 
 
+@query("q_lag_sketches")
+def lag_by_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lag over many stored batches from their sketches: counts and bounds exactly, quantiles
+    within the stated error of their rank."""
+    events = table(spark, sf_dir, "events").withColumnRenamed("ts", EVENT_TS)
+    now, path = datetime(2024, 2, 15), scratch_path(spark, "lag")
+    batch = F.to_date(EVENT_TS)
+    lag_sketches(events.withColumn("batch", batch), now, ["event_type", "batch"]).write.parquet(path)
+    merged = merged_lag(spark.read.parquet(path), ["event_type"])
+    lag = micros_between(F.col(EVENT_TS), time_literal(now, events.schema[EVENT_TS].dataType))
+    marks = [(q, f"p{round(q * 100)}_lag_us") for q in QUANTILES]
+    ranked = events.select("event_type", lag.alias("lag")).join(F.broadcast(merged), "event_type")
+
+    def near(q: float, name: str):
+        """The share of lags below the value, and of those up to it, lie around q."""
+        below, upto = F.avg((F.col("lag") < F.col(name)).cast("double")), F.avg((F.col("lag") <= F.col(name)).cast("double"))
+        return ((below <= q + RANK_ERROR) & (upto >= q - RANK_ERROR)).alias(f"p{round(q * 100)}_near")
+
+    return ranked.groupBy("event_type", "n", "min_lag_us", "max_lag_us").agg(*[near(q, name) for q, name in marks])
+
+
+@query("q_stream_totals")
+def stream_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters of a stream in a table, over a restart and with more files than one batch takes."""
+    latest = FeatureTable("latest", (USER,), (VALUE,))
+    events, arrivals = table(spark, sf_dir, "events"), scratch_path(spark, "arrivals")
+    online, progress = _online(spark, latest), ProgressTable(spark, scratch_path(spark, "progress"), fold_after=2)
+    checkpoint = scratch_path(spark, "stream")
+    for part in range(2):
+        days = (F.dayofmonth("ts") - 1) % 2 == part
+        events.filter(days).repartition(4).write.mode("append").parquet(arrivals)
+        run = ingest_stream(
+            read_files(spark, arrivals, events.schema, files_per_trigger=2), latest, online,
+            source=Source(event_timestamp="ts"), checkpoint=checkpoint, trigger={"availableNow": True},
+            message_time="ts", progress=ProgressTable(spark, progress.path, fold_after=2),
+        )
+        run.awaitTermination()
+    lag = merged_lag(progress.batches()).select(F.col("n").alias("n_timed"))
+    totals = progress.totals().select("n_read", "n_stored", "n_deadletter", "latest_message")
+    return totals.join(lag, F.col("n_timed") == F.col("n_read"))
+
+
 @query("q_row_counters")
 def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row_counters(_checked(spark, sf_dir))
