@@ -263,6 +263,13 @@ ORACLES: dict[str, str] = {
             where event_type not in ('click','view','purchase')) group by 1""",
     "q_stream_state": f"""
         select user_id, ts as event_timestamp, event_id, value from (select *, {_NEWEST_EVENT} from events) where rn = 1""",
+    "q_keyed_state": f"""
+        select user_id, ts as event_timestamp, event_id, value from (select *, {_NEWEST_EVENT} from events) where rn = 1""",
+    "q_keyed_expired": f"""
+        select c.c_custkey as user_id,
+               case when f.ts + interval 2 day > timestamp '2024-01-31' then f.value end as value
+        from customer c
+        left join (select * from (select *, {_NEWEST_EVENT} from events) where rn = 1) f on f.user_id = c.c_custkey""",
     "q_stream_deadletter": """
         select cast(r as int) as run, user_id, ts as event_timestamp, 'malformed' as reason
         from events, range(1, 3) runs(r) where event_type = 'error'""",

@@ -92,6 +92,7 @@ from tidemark.sources.spine import stage_spine
 from tidemark.sources.stream import read_files
 from tidemark.sources.tables import append_rows, declare_table
 from tidemark.streaming.progress import IngestMetrics, ProgressTable, progress_frame
+from tidemark.streaming.state import keep_state, state_rows
 from workload.tables import (
     ORDER_FEATURES,
     USER,
@@ -1128,6 +1129,34 @@ def stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return online.rows().drop("expiry_timestamp")
 
 
+def _keyed(spark: SparkSession, sf_dir: str, feature_table: FeatureTable, events: DataFrame) -> str:
+    """The checkpoint of a query that has kept the state of these events, arriving in three parts."""
+    arrivals, checkpoint = scratch_path(spark, "arrivals"), scratch_path(spark, "keyed-state")
+    events.repartition(3, "event_id").write.parquet(arrivals)
+    stream = read_files(spark, arrivals, events.schema, files_per_trigger=1)
+    run = keep_state(stream, feature_table, checkpoint=checkpoint, trigger={"availableNow": True}, partitions=4)
+    run.awaitTermination()
+    return checkpoint
+
+
+@query("q_keyed_state")
+def keyed_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest values per key as keyed stream state, rows out of order."""
+    latest = FeatureTable("latest", (USER,), (Field("event_id", "INT64"), VALUE))
+    events = table(spark, sf_dir, "events").withColumnRenamed("ts", EVENT_TS)
+    return state_rows(spark, _keyed(spark, sf_dir, latest, events), latest).drop("expiry_timestamp")
+
+
+@query("q_keyed_expired")
+def keyed_expired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state of keys leaves with its max age, by the clock of the events."""
+    feature_table, events = activity(spark, sf_dir)
+    aged = replace(feature_table, max_age=timedelta(days=2))
+    spine = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"))
+    current = state_rows(spark, _keyed(spark, sf_dir, aged, events), aged, as_of=datetime(2024, 1, 31))
+    return spine.join(current.select("user_id", "value"), "user_id", "left")
+
+
 def _streamed(spark: SparkSession, sf_dir: str, feature_table: FeatureTable, online: OnlineTable, **options):
     run = ingest_stream(
         _event_stream(spark, sf_dir),
