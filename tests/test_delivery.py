@@ -1,0 +1,87 @@
+"""Deliveries: every row visible once, after retries too, and none of a job that failed."""
+
+import os
+
+import pytest
+from pyspark import TaskContext
+from pyspark.sql import functions as F
+
+from tidemark import files
+from tidemark.operators.delivery import StagedFolder, deliver
+
+
+class _Failing(StagedFolder):
+    """Fails in chosen partitions after some batches: the first time, or always."""
+
+    def __init__(self, spark, path, schema, partitions, always=False):
+        super().__init__(spark, path, schema)
+        self.partitions, self.always = partitions, always
+
+    def __getstate__(self):
+        return {**super().__getstate__(), "partitions": self.partitions, "always": self.always}
+
+    def stage(self, job, attempt, number, rows):
+        super().stage(job, attempt, number, rows)
+        own = TaskContext.get().partitionId()
+        marker = f"{self.path}/failed-{own}"
+        if own in self.partitions and number == 1 and (self.always or not os.path.exists(marker)):
+            open(marker, "w").close()
+            raise OSError(f"partition {own} lost its connection")
+
+
+def _orders(spark, n=1_000, parts=4):
+    rows = spark.range(0, n, 1, parts)
+    return rows.select("id", (F.col("id") % 7).alias("k"), F.array("id").alias("list"), F.when(F.col("id") % 3 > 0, F.lit("é")).alias("note"))
+
+
+def test_rows_arrive_in_batches_and_become_visible_together(spark, folder):
+    df = _orders(spark).union(_orders(spark, 0))
+    store = StagedFolder(spark, f"{folder}/store", df.schema)
+    assert store.rows().collect() == []
+    job = deliver(df, store, batch_rows=100)
+    assert sorted(map(tuple, store.rows().collect())) == sorted(map(tuple, df.collect()))
+    (attempts,) = [len(files.names_in(spark, f"{folder}/store/rows/{job}"))]
+    assert attempts == 4  # empty partitions stage nothing
+    deliver(df.limit(5), store)
+    assert store.rows().count() == 1_005
+
+
+def test_a_retried_task_leaves_its_rows_once(spark, folder):
+    """Local mode runs a task once, so the caller repeats the job; the first try left staged rows."""
+    df = _orders(spark)
+    store = _Failing(spark, f"{folder}/store", df.schema, {1, 3})
+    os.makedirs(f"{folder}/store")
+    with pytest.raises(Exception, match="lost its connection"):
+        deliver(df, store, job="nightly", batch_rows=50)
+    assert store.rows().count() == 0
+    for _ in range(3):
+        try:
+            deliver(df, store, job="nightly", batch_rows=50)
+            break
+        except Exception as error:
+            assert "lost its connection" in str(error)
+    assert sorted(r.id for r in store.rows().collect()) == list(range(1_000))
+    # The same job again shows nothing twice.
+    deliver(df, store, job="nightly", batch_rows=50)
+    assert store.rows().count() == 1_000
+
+
+def test_nothing_of_a_failed_job_is_seen_or_left(spark, folder):
+    df = _orders(spark)
+    good = StagedFolder(spark, f"{folder}/store", df.schema)
+    deliver(df.limit(10), good, job="first")
+    with pytest.raises(Exception, match="lost its connection"):
+        deliver(df, _Failing(spark, f"{folder}/store", df.schema, {0}, always=True), job="second", batch_rows=50)
+    assert good.rows().count() == 10
+    assert files.names_in(spark, f"{folder}/store/rows") == ["first"]
+
+
+def test_of_two_attempts_of_a_task_one_counts(spark, folder):
+    """What a speculative or lost attempt has staged is not published."""
+    df = _orders(spark, 20, 1)
+    store = StagedFolder(spark, f"{folder}/store", df.schema)
+    store.stage("job", "lost", 0, df.collect())
+    deliver(df, store, job="job")
+    assert sorted(r.id for r in store.rows().collect()) == list(range(20))
+    store.discard("job")
+    assert store.rows().count() == 20

@@ -296,6 +296,7 @@ ORACLES: dict[str, str] = {
     "q_feature_logs": """
         select event_id, value, ts as log_timestamp from events
         where ts >= timestamp '2024-01-05 12:00:00' and ts < timestamp '2024-01-25 12:00:00'""",
+    "q_delivered_rows": "select c_custkey, c_name, c_acctbal from customer",
     "q_record_file": """
         select o_orderkey, epoch_us(o_orderdate) // 1000000 as o_orderdate, o_totalprice from orders""",
     "q_daily_counts": "select cast(ts as date) as d, event_type, count(*) as n from events group by 1, 2",

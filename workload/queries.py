@@ -44,6 +44,7 @@ from tidemark.functions.types import feature_type, is_timestamp
 from tidemark.jobs import ingest as ingest_job
 from tidemark.jobs import retrieve as retrieve_job
 from tidemark.model import EVENT_TS
+from tidemark.operators.delivery import StagedFolder, deliver
 from tidemark.operators.ingest import checked_rows
 from tidemark.operators.layouts import (
     column_layout,
@@ -1318,6 +1319,22 @@ def batched_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(n, ids.value, groups.value)], "n long, ids long, too_large long")
 
 
+@query("q_delivered_rows")
+def delivered_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows to a store by committed delivery: a failed job leaves nothing, a repeated one nothing more."""
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    store = StagedFolder(spark, scratch_path(spark, "store"), customers.schema)
+    broken = customers.withColumn("c_acctbal", F.when(F.col("c_custkey") % 50 == 7, F.raise_error(F.lit("lost"))).otherwise(F.col("c_acctbal")))
+    try:
+        deliver(broken, store, job="daily", batch_rows=10)
+    except Exception as error:
+        if "lost" not in str(error):
+            raise
+    for _ in range(2):
+        deliver(customers, store, job="daily", batch_rows=500)
+    return store.rows()
+
+
 @query("q_record_file")
 def record_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "records")
