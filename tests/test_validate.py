@@ -186,3 +186,58 @@ def test_frames_equal_counts_duplicates(spark):
     assert frames_equal(a, b)
     assert not frames_equal(a, b.distinct())
     assert not frames_equal(a, b.withColumnRenamed("b", "c"))
+
+
+@pytest.mark.parametrize("hot", [True, False])
+def test_rules_over_other_rows(spark, monkeypatch, hot):
+    """Against plain counting, with one value that holds a third of all rows."""
+    from collections import Counter
+
+    from tidemark import SkewOptions
+    from tidemark.operators import validate
+
+    if hot:
+        joined = validate.salted_join
+        options = SkewOptions(hot_rows=20, sample_fraction=1.0)
+        monkeypatch.setattr(validate, "salted_join", lambda left, right, keys, how, skew: joined(left, right, keys, how, options))
+    rows = [(i, "big" if i % 3 == 0 else ("x", "y", None)[i % 7 % 3], i % 11 if i % 5 else None, NOW) for i in range(150)]
+    rows += [(0, "z", 3, NOW), (None, "z", 3, NOW), (None, None, None, NOW)]
+    df = spark.createDataFrame(rows, "k long, a string, b int, event_timestamp timestamp_ntz")
+    table = FeatureTable("t", (Field("k", "INT64"),), (Field("a", "STRING"), Field("b", "INT32")))
+    suite = Suite(
+        (
+            expect("expect_column_values_to_be_unique", "k"),
+            expect("expect_compound_columns_to_be_unique", column_list=("t__a", "t__b")),
+            expect("expect_column_value_shares_to_be_between", "t__a", max_value=0.3),
+            expect("expect_column_value_shares_to_be_between", "a", min_value=0.05, strict_min=True),
+            expect("expect_column_values_to_be_unique", "missing"),
+        )
+    )
+    skipped = []
+    checked = with_validity(df, table, suite, skipped=skipped)
+    assert checked.columns == [*df.columns, "_failed_checks", "_is_valid"]
+    assert skipped == ["expect_column_values_to_be_unique(missing)"]
+    ks, pairs, values = Counter(r[0] for r in rows), Counter(r[1:3] for r in rows), Counter(r[1] for r in rows if r[1] is not None)
+    share = {v: n / sum(values.values()) for v, n in values.items()}
+    expected = Counter()
+    for k, a, b, _ in rows:
+        failed = {"entity_null"} if k is None else set()
+        if k is not None and ks[k] > 1:
+            failed.add("expect_column_values_to_be_unique(k)")
+        if None not in (a, b) and pairs[a, b] > 1:
+            failed.add("expect_compound_columns_to_be_unique(column_list=[a, b])")
+        if a is not None and share[a] > 0.3:
+            failed.add("expect_column_value_shares_to_be_between(a, max_value=0.3)")
+        if a is not None and share[a] <= 0.05:
+            failed.add("expect_column_value_shares_to_be_between(a, min_value=0.05, strict_min=True)")
+        expected[k, a, b, frozenset(failed)] += 1
+    assert Counter((r.k, r.a, r.b, frozenset(r["_failed_checks"])) for r in checked.collect()) == expected
+    report = {r.check_name: r.failed for r in check_report(df, suite.for_table(table)).collect()}
+    assert report["expect_column_values_to_be_unique(k)"] == 2 and len(report) == 4
+
+
+def test_rules_over_other_rows_need_all_rows(spark):
+    stream = spark.readStream.format("rate").load()
+    suite = Suite((expect("expect_column_values_to_be_unique", "value"),))
+    with pytest.raises(SchemaError, match="a stream does not have"):
+        suite.with_facts(stream)

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from tidemark.errors import SchemaError
 from tidemark.functions.types import castable, is_timestamp, same_type
 from tidemark.model import CREATED_TS, EVENT_TS, FeatureTable, Field
+from tidemark.plans.skew import SkewOptions, salted_join
 
 VALID = "_is_valid"
 FAILED = "_failed_checks"
@@ -104,13 +105,22 @@ class Expectation:
 
     @property
     def is_row_level(self) -> bool:
-        return self.kind in _ROW_RULES
+        return self.kind in _ROW_RULES or self.kind in _SHARED_RULES
+
+    @property
+    def shared_columns(self) -> tuple[str, ...]:
+        """The columns whose values a rule over other rows compares; none for other rules."""
+        if self.kind not in _SHARED_RULES:
+            return ()
+        return tuple(self.kwargs["column_list"]) if "column_list" in self.kwargs else (self.kwargs["column"],)
 
     def without_prefix(self, prefix: str) -> Expectation:
         """Columns named as retrieval outputs (`table__feature`) become plain features."""
         kwargs = {
             k: v.removeprefix(prefix)
             if k in ("column", "column_A", "column_B") and isinstance(v, str)
+            else tuple(c.removeprefix(prefix) for c in v)
+            if k == "column_list"
             else v
             for k, v in self.kwargs.items()
         }
@@ -159,6 +169,14 @@ _ROW_RULES: dict[str, Callable[[Mapping], Column]] = {
     "expect_column_pair_values_A_to_be_greater_than_B": _pair_greater,
 }
 
+# Rules over other rows: from the number of rows with a row's values, and the number of rows that
+# have values there.
+_SHARED_RULES: dict[str, Callable[[Column, Callable[[], Column], Mapping], Column]] = {
+    "expect_column_values_to_be_unique": lambda same, total, kw: same == 1,
+    "expect_compound_columns_to_be_unique": lambda same, total, kw: same == 1,
+    "expect_column_value_shares_to_be_between": lambda same, total, kw: _between(same / total(), kw),
+}
+
 _FRAME_VALUES: dict[str, Callable[[Mapping], Column]] = {
     "expect_column_mean_to_be_between": lambda kw: F.avg(kw["column"]),
     "expect_column_min_to_be_between": lambda kw: F.min(kw["column"]),
@@ -176,7 +194,7 @@ _FRAME_VALUES: dict[str, Callable[[Mapping], Column]] = {
 
 def expect(kind: str, column: str | None = None, **kwargs) -> Expectation:
     """An expectation by name, e.g. `expect("expect_column_mean_to_be_between", "x", max_value=3)`."""
-    if kind not in _ROW_RULES and kind not in _FRAME_VALUES:
+    if kind not in _ROW_RULES and kind not in _SHARED_RULES and kind not in _FRAME_VALUES:
         raise SchemaError(f"unknown expectation {kind!r}")
     head = {} if column is None else {"column": column}
     return Expectation(kind, {**head, **kwargs})
@@ -219,17 +237,41 @@ class Suite:
             self, expectations=tuple(e.without_prefix(prefix) for e in self.expectations)
         )
 
-    def usable_checks(self, df: DataFrame) -> tuple[dict[str, Column], list[str]]:
+    def with_facts(self, df: DataFrame, skew: SkewOptions | None = SkewOptions()) -> tuple[DataFrame, dict[tuple, Column]]:
+        """The frame with what rules over other rows need, one column for each set of columns that
+        they compare: how many rows have a row's values. Rows with a null there have null.
+
+        Values are counted before the shuffle, and the counts are joined back with the rows of
+        very common values spread over salts.
+        """
+        names, facts = df.columns, {}
+        for e in self.expectations:
+            columns = e.shared_columns
+            if not columns or columns in facts or any(c not in names for c in columns):
+                continue
+            if df.isStreaming:
+                raise SchemaError(f"{e.name} looks at all rows, which a stream does not have")
+            fact = f"__tm_fact{len(facts)}"
+            counts = df.na.drop(subset=list(columns)).groupBy(*columns).agg(F.count(F.lit(1)).alias(fact))
+            kept = [*names, *[f"__tm_fact{i}" for i in range(len(facts) + 1)]]
+            facts[columns] = F.col(fact)
+            df = salted_join(df, counts, columns, "left", skew).select(*[F.col(f"`{c}`") for c in kept])
+        return df, facts
+
+    def usable_checks(
+        self, df: DataFrame, facts: Mapping[tuple, Column] | None = None, base: DataFrame | None = None
+    ) -> tuple[dict[str, Column], list[str]]:
         """Row checks that resolve on this frame, and the names of those that do not.
 
-        A check that cannot be evaluated is skipped and reported, not fatal.
+        A check that cannot be evaluated is skipped and reported, not fatal. Rules over other rows
+        need the `facts` that `with_facts` adds, and `base`, the frame without them.
         """
         usable, skipped = {}, []
         for e in self.expectations:
             if not e.is_row_level:
                 continue
             try:
-                predicate = e.predicate()
+                predicate = e.predicate() if not e.shared_columns else _shared(df if base is None else base, e, (facts or {})[e.shared_columns])
                 df.select(predicate)
             except (AnalysisException, KeyError):
                 skipped.append(e.name)
@@ -240,6 +282,14 @@ class Suite:
         return usable, skipped
 
 
+def _shared(df: DataFrame, e: Expectation, same: Column) -> Column:
+    def total() -> Column:
+        """How many rows have values there, by a small job over these columns."""
+        return F.lit(df.select(*e.shared_columns).na.drop().count())
+
+    return F.coalesce(_SHARED_RULES[e.kind](same, total, e.kwargs), F.lit(True))
+
+
 def _run_function(df: DataFrame, function: Callable[[pd.DataFrame], pd.Series]) -> Column:
     @F.pandas_udf(T.BooleanType())
     def validity(rows: pd.DataFrame) -> pd.Series:
@@ -266,8 +316,11 @@ def with_validity(
     """
     checks = dict(extra_checks or {})
     checks.update(row_checks(table, need_feature=need_feature))
+    names, base = df.columns, df
     if suite is not None:
-        usable, missed = suite.for_table(table).usable_checks(df)
+        suite = suite.for_table(table)
+        df, facts = suite.with_facts(base)
+        usable, missed = suite.usable_checks(df, facts, base)
         if missed and strict:
             raise SchemaError(f"{table.name}: checks can not be evaluated: {missed}")
         if skipped is not None:
@@ -276,7 +329,8 @@ def with_validity(
     failed = F.array_compact(
         F.array(*[F.when(~F.coalesce(good, F.lit(False)), F.lit(n)) for n, good in checks.items()])
     )
-    return df.withColumn(FAILED, failed).withColumn(VALID, F.size(FAILED) == 0)
+    checked = df.withColumn(FAILED, failed).withColumn(VALID, F.size(FAILED) == 0)
+    return checked.select(*[F.col(f"`{c}`") for c in [*names, FAILED, VALID]])
 
 
 def split_valid(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -287,8 +341,11 @@ def split_valid(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def check_report(df: DataFrame, suite: Suite) -> DataFrame:
-    """Failing rows per row-level check: (check_name, failed). One pass over the data."""
-    checks, _ = suite.usable_checks(df)
+    """Failing rows per row-level check: (check_name, failed). One pass over the data, and one more
+    for each set of columns that rules over other rows compare."""
+    base = df
+    df, facts = suite.with_facts(base)
+    checks, _ = suite.usable_checks(df, facts, base)
     if not checks:
         return df.sparkSession.createDataFrame([], "check_name string, failed long")
     counts = [F.count_if(~good).alias(f"c{i}") for i, good in enumerate(checks.values())]

@@ -233,6 +233,18 @@ ORACLES: dict[str, str] = {
         union all
         select 'expect_column_values_to_be_in_set(event_type, value_set=[click, purchase, view])',
                count(*) filter (where event_type not in ('click','view','purchase')) from events""",
+    "q_rules_over_rows": """
+        with e as (select event_id, case when event_type <> 'error' then user_id end as user_id, event_type from events),
+        counted as (
+            select count(*) over (partition by event_id) as ids, event_type, user_id,
+                   count(*) over (partition by user_id, event_type) as pairs,
+                   count(*) over (partition by event_type) / (select count(event_type) from e) as share from e)
+        select 'expect_column_values_to_be_unique(event_id)' as check_name, count(*) filter (ids > 1) as failed from counted
+        union all
+        select 'expect_compound_columns_to_be_unique(column_list=[event_type, user_id])',
+               count(*) filter (pairs > 1 and user_id is not null) from counted
+        union all
+        select 'expect_column_value_shares_to_be_between(event_type, max_value=0.2)', count(*) filter (share > 0.2) from counted""",
     "q_observed_checks": """
         select 'expect_column_unique_value_count_to_be_between(user_id, min_value=1)' as check_name,
                cast(count(distinct user_id) as double) as observed_value, true as success,

@@ -945,6 +945,19 @@ def check_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check_report(table(spark, sf_dir, "events"), SUITE)
 
 
+@query("q_rules_over_rows")
+def rules_over_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that break rules about other rows: repeated values, repeated pairs, too common values."""
+    suite = Suite(
+        (
+            expect("expect_column_values_to_be_unique", "event_id"),
+            expect("expect_compound_columns_to_be_unique", column_list=("user_id", "event_type")),
+            expect("expect_column_value_shares_to_be_between", "event_type", max_value=0.2),
+        )
+    )
+    return check_report(anonymous_events(spark, sf_dir), suite)
+
+
 @query("q_observed_checks")
 def observed_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     suite = Suite(
