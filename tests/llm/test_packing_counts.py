@@ -9,7 +9,7 @@ from tokenizers import Tokenizer
 
 from tidemark.llm.packing import assemble, cut, pack, pack_documents, shortest_pack_first
 from tidemark.llm.token_counts import count, token_counts
-from tidemark.llm.word_bpe import word_bpe
+from tidemark.llm.word_bpe import WordBpe, word_bpe
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -39,6 +39,26 @@ def test_ids_of_odd_texts():
         assert ids.tolist() == _whole(text), text[:50]
 
 
+def _thue_morse(n):
+    word = "a"
+    while len(word) < n:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word
+
+
+def test_words_that_share_a_hash_keep_their_own_ids(monkeypatch):
+    """Long words whose polynomial hashes agree, and short ones that are made to agree."""
+    for n in (512, 1024, 2048, 4096):
+        pair = [_thue_morse(n), _thue_morse(n).translate(str.maketrans("ab", "ba"))]
+        assert [x.tolist() for x in word_bpe(WORDS).encode_batch(pair)] == [_whole(t) for t in pair]
+    keys = WordBpe._keys
+    monkeypatch.setattr(WordBpe, "_keys", lambda self, *args: (keys(self, *args)[0] % np.uint64(3), keys(self, *args)[1]))
+    texts = ["the cat's hat, they're Here 12 times; the CAT", "a b c d e f g h", "été the cat", None, "", "12 the 12"] * 3
+    own = WordBpe(WORDS)
+    for batch in (texts, texts[::-1], texts):
+        assert [x.tolist() for x in own.encode_batch(batch)] == [_whole(t or "") for t in batch]
+
+
 def test_ids_of_the_documents(spark):
     texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     for text, ids in zip(texts, word_bpe(WORDS).encode_batch(texts)):

@@ -29,7 +29,7 @@ CAPACITY = 2048
 END_ID = 1
 BYTES = 4
 # Pieces per rank bucket, all lengths together; the fewest buckets.
-BUCKET_ROWS = 1_000_000
+BUCKET_ROWS = 100_000
 LEAST_BUCKETS = 64
 
 

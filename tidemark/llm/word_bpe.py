@@ -80,6 +80,7 @@ class WordBpe:
         self._known = self._recent = pd.Index(np.empty(0, np.uint64))
         self._flat = np.empty(0, np.int32)
         self._counts = self._offsets = np.empty(0, np.int64)
+        self._checks = np.empty(0, np.uint64)
 
     def encode_batch(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text as unsigned 32-bit integers."""
@@ -90,8 +91,9 @@ class WordBpe:
         codes = np.frombuffer(joined.encode("utf-32-le"), np.int32).copy()
         lengths = np.fromiter((len(t or "") for t in texts), np.int64, len(texts))
         firsts = np.append(np.cumsum(lengths + 1) - lengths - 1, len(codes))
-        keys, starts, ends, odd = self._cut(codes, firsts)
-        inverse, distinct = pd.factorize(keys)
+        keys, checks, starts, ends, odd = self._cut(codes, firsts)
+        usual = np.nonzero(~odd)[0]
+        inverse, distinct = pd.factorize(keys[usual])
         place = self._known.get_indexer(distinct)
         missing = np.nonzero(place < 0)[0]
         recent = self._recent.get_indexer(distinct[missing])
@@ -99,20 +101,33 @@ class WordBpe:
         new = missing[recent < 0]
         if len(new):
             first = np.empty(len(distinct), np.int64)
-            first[inverse[::-1]] = np.arange(len(inverse))[::-1]
+            first[inverse[::-1]] = usual[::-1]
             one = first[new]
             place[new] = len(self._counts) + np.arange(len(new))
-            self._learn(distinct[new], *self._merged(joined, codes, starts[one], ends[one], odd[one]))
+            self._learn(distinct[new], checks[one], *self._merged(codes, starts[one], ends[one]))
         word = place[inverse]
-        each = self._counts[word]
+        each, offsets = np.empty(len(keys), np.int64), np.empty(len(keys), np.int64)
+        each[usual], offsets[usual] = self._counts[word], self._offsets[word]
+        known = self._flat
+        # Words that only share a hash with a known one, and those for the library, go by their text.
+        exact = np.concatenate((np.nonzero(odd)[0], usual[self._checks[word] != checks[usual]]))
+        if len(exact):
+            spelled = [joined[s:e] for s, e in zip(starts[exact].tolist(), ends[exact].tolist())]
+            texts_of = {w: i for i, w in enumerate(dict.fromkeys(spelled))}
+            found = [np.array(f.ids, np.int32) for f in self._library.encode_batch(list(texts_of), add_special_tokens=False)]
+            sizes = np.array([len(f) for f in found], np.int64)
+            row = np.array([texts_of[w] for w in spelled])
+            each[exact], offsets[exact] = sizes[row], (len(known) + np.cumsum(sizes) - sizes)[row]
+            known = np.concatenate([known, *found])
         before = np.concatenate(([0], np.cumsum(each)))
-        flat = self._flat[np.repeat(self._offsets[word] - before[:-1], each) + np.arange(before[-1])].astype("<u4")
+        flat = known[np.repeat(offsets - before[:-1], each) + np.arange(before[-1])].astype("<u4")
         if len(self._counts) > KNOWN:
             self._forget()
         bounds = before[np.searchsorted(starts, firsts)]
         return [flat[a:b] for a, b in zip(bounds.tolist(), bounds[1:].tolist())]
 
-    def _learn(self, keys: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+    def _learn(self, keys: np.ndarray, checks: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+        self._checks = np.concatenate((self._checks, checks))
         self._offsets = np.concatenate((self._offsets, len(self._flat) + np.cumsum(counts) - counts))
         self._counts = np.concatenate((self._counts, counts))
         self._flat = np.concatenate((self._flat, ids))
@@ -122,7 +137,7 @@ class WordBpe:
             self._recent = pd.Index(np.empty(0, np.uint64))
 
     def _cut(self, codes: np.ndarray, firsts: np.ndarray) -> list[np.ndarray]:
-        """Hash, start, end and kind of every word; `codes` become lower case. Some texts at a
+        """Two hashes, start, end and kind of every word; `codes` become lower case. Some texts at a
         time, so that all arrays over characters stay near the processor."""
         parts, at = [], 0
         while at < len(firsts) - 1:
@@ -131,7 +146,7 @@ class WordBpe:
             own = np.concatenate((codes[low:high], _END))
             starts, ends, odd, small = self._words(own)
             codes[low:high] = small[: high - low]
-            parts.append((self._keys(small, starts, ends, odd), starts + low, ends + low, odd))
+            parts.append((*self._keys(small, starts, ends), starts + low, ends + low, odd))
             at = upto
         return [np.concatenate(x) for x in zip(*parts)]
 
@@ -179,8 +194,9 @@ class WordBpe:
         gaps = np.diff(np.concatenate(([-1], at))) - 1
         return np.nonzero(gaps > LONGEST)[0]
 
-    def _keys(self, codes, starts, ends, odd) -> np.ndarray:
-        """A hash of each word, from sums over all characters."""
+    def _keys(self, codes, starts, ends) -> tuple[np.ndarray, np.ndarray]:
+        """Two unrelated hashes of each word, from sums over all characters. Words between other
+        characters than letters are short (see `_long`), so that these sums are well mixed."""
         if len(codes) > len(self._powers):
             with np.errstate(over="ignore"):
                 self._powers, self._inverses = (
@@ -189,30 +205,29 @@ class WordBpe:
         mixed = self._mixed.take(codes, mode="clip")
         if (foreign := codes >= LATIN).any():
             mixed[foreign] = _mix(codes[foreign])
+        lengths = (ends - starts).astype(np.uint64)
         with np.errstate(over="ignore"):
+            # The second: characters mixed anew, with the powers the other way round.
+            turned = (mixed ^ (mixed << np.uint64(17))) * np.uint64(0x94D049BB133111EB)
+            turned ^= turned >> np.uint64(29)
+            turned *= self._inverses[: len(codes)]
             mixed *= self._powers[: len(codes)]
-            sums = np.concatenate(([np.uint64(0)], np.cumsum(mixed)))
+            sums, others = (np.concatenate(([np.uint64(0)], np.cumsum(m))) for m in (mixed, turned))
             keys = (sums[ends] - sums[starts]) * self._inverses[starts]
-            return keys * _FACTOR + (ends - starts).astype(np.uint64) * np.uint64(2) + odd
+            checks = (others[ends] - others[starts]) * self._powers[starts]
+            return keys * _FACTOR + lengths, checks * _INVERSE + lengths
 
-    def _merged(self, text, codes, starts, ends, odd) -> tuple[np.ndarray, np.ndarray]:
+    def _merged(self, codes, starts, ends) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words, one after the other, and how many each has."""
         counts = np.zeros(len(starts), np.int64)
         parts: list[np.ndarray] = []
         owners: list[np.ndarray] = []
-        usual = np.nonzero(~odd)[0]
-        usual = usual[np.argsort(ends[usual] - starts[usual], kind="stable")]
-        for at in range(0, len(usual), 1 << 14):
-            rows = usual[at : at + (1 << 14)]
+        order = np.argsort(ends - starts, kind="stable")
+        for at in range(0, len(order), 1 << 14):
+            rows = order[at : at + (1 << 14)]
             ids, own = self._merge(codes, starts[rows], ends[rows])
             parts.append(ids)
             owners.append(rows[own])
-        strange = np.nonzero(odd)[0]
-        if len(strange):
-            words = [text[s:e] for s, e in zip(starts[strange].tolist(), ends[strange].tolist())]
-            for row, found in zip(strange.tolist(), self._library.encode_batch(words, add_special_tokens=False)):
-                parts.append(np.array(found.ids, np.int32))
-                owners.append(np.full(len(found.ids), row))
         if not parts:
             return np.empty(0, np.int32), counts
         owner = np.concatenate(owners)
