@@ -1222,8 +1222,10 @@ def stream_deadletter(spark: SparkSession, sf_dir: str) -> DataFrame:
             trigger={"availableNow": True},
         )
         run.awaitTermination()
-    runs = read_dead_letters(spark, path).withColumn("run", F.dense_rank().over(Window.orderBy("run_id")))
-    return runs.select("run", "user_id", EVENT_TS, F.concat_ws(",", "_failed_checks").alias("reason"))
+    rejected = read_dead_letters(spark, path)
+    runs = rejected.select("run_id").distinct().withColumn("run", F.rank().over(Window.orderBy("run_id")))
+    reason = F.concat_ws(",", "_failed_checks").alias("reason")
+    return rejected.join(runs, "run_id").select("run", "user_id", EVENT_TS, reason)
 
 
 # ----------------------------------------------------------------- metrics, sinks, datasets
