@@ -1,0 +1,83 @@
+"""Functions with their environment, and packages that executors do not have."""
+
+import os
+import subprocess
+import sys
+import textwrap
+import zipfile
+
+import pytest
+
+from tests.conftest import ROOT
+from tidemark.functions.shipped import _archive, load_function, save_function, ship_packages
+
+# The driver finds the library by its own search path, which worker processes do not share.
+SCRIPT = """
+import sys
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+    .config("spark.checkpoint.dir", sys.argv[1]).config("spark.sql.shuffle.partitions", "2").getOrCreate())
+sys.path.append(sys.argv[2])
+sys.path.append(sys.argv[3])
+from tidemark.functions.shipped import load_function, save_function, ship_packages
+
+def lengths(frames):
+    import lighthouse
+    from tidemark.functions.keys import trimmed_name
+    for rows in frames:
+        rows["a"] = [lighthouse.flash(x) + len(trimmed_name.__name__) * 0 for x in rows["id"]]
+        yield rows
+
+def run():
+    return sorted(r.a for r in spark.range(4).selectExpr("id", "0L as a").mapInPandas(lengths, "id long, a long").collect())
+
+try:
+    run()
+    print("UNEXPECTED")
+except Exception as error:
+    print("BEFORE", "No module named" in str(error))
+ship_packages(spark, ["tidemark", "lighthouse"])
+print("AFTER", run())
+spark.stop()
+"""
+
+
+def test_executors_get_what_they_lack(folder):
+    os.makedirs(f"{folder}/elsewhere")
+    os.makedirs(f"{folder}/own")
+    with open(f"{folder}/own/lighthouse.py", "w") as file:
+        file.write("def flash(n):\n    return 10 * n\n")
+    with open(f"{folder}/elsewhere/job.py", "w") as file:
+        file.write(textwrap.dedent(SCRIPT))
+    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    command = [sys.executable, "job.py", f"{folder}/shared", ROOT, f"{folder}/own"]
+    done = subprocess.run(command, cwd=f"{folder}/elsewhere", env=environment, capture_output=True, text=True, timeout=240)
+    lines = [x for x in done.stdout.splitlines() if x.startswith(("BEFORE", "AFTER", "UNEXPECTED"))]
+    assert lines == ["BEFORE True", "AFTER [0, 10, 20, 30]"], done.stderr[-2000:]
+
+
+def test_archives_hold_the_whole_package(spark):
+    (path,) = ship_packages(spark)
+    with zipfile.ZipFile(path.removeprefix("file:")) as archive:
+        names = archive.namelist()
+    assert "tidemark/__init__.py" in names and "tidemark/plans/skew.py" in names
+    assert not any("__pycache__" in n for n in names)
+    with pytest.raises(ModuleNotFoundError):
+        _archive("no_such_package")
+    with pytest.raises(ValueError, match="compiled"):
+        _archive("numpy")
+
+
+def test_a_function_brings_its_environment(spark, folder, monkeypatch):
+    monkeypatch.setenv("HARBOUR", "old")
+
+    def where(prefix):
+        import os
+
+        return prefix + os.environ["HARBOUR"] + os.environ.get("PIER", "-")
+
+    save_function(spark, where, f"{folder}/where.pickle", environment={"HARBOUR": "new", "PIER": "7"})
+    found = load_function(spark, f"{folder}/where.pickle")
+    assert found("at ") == "at new7" and os.environ["HARBOUR"] == "old" and "PIER" not in os.environ
+    rows = spark.range(2).rdd.map(lambda r: found("on ")).collect()
+    assert rows == ["on new7"] * 2
