@@ -1,3 +1,5 @@
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -74,7 +76,7 @@ def _sentences(n, seed):
 @pytest.fixture(scope="module")
 def network(spark):
     docs = spark.createDataFrame([(i, _sentences(60, i)) for i in range(400)], "doc_id long, text string")
-    return pseudo_lm.fit(docs, share=4)
+    return pseudo_lm.fit(docs)
 
 
 def test_word_order_is_learned(network):
@@ -89,7 +91,7 @@ def test_word_order_is_learned(network):
 def test_scores_are_the_summed_conditionals(network):
     texts = ["the cat sees some milk .", "", None, "unseenword dog", "the"]
     sizes, sums = network.score(texts)
-    ids, _ = network.encode(texts)
+    ids, shares, _ = network.encode(texts)
     w = network.weights
     at = 2
     for text, size, got in zip(texts, sizes, sums):
@@ -100,7 +102,7 @@ def test_scores_are_the_summed_conditionals(network):
             classes = h @ w["class_out"] + w["class_bias"]
             own = slice(owner * 64, owner * 64 + 64)
             words = w["word_out"][own] @ h + w["word_bias"][own]
-            total += classes[owner] - np.log(np.exp(classes).sum()) + words[ids[place] % 64] - np.log(np.exp(words).sum())
+            total += classes[owner] - np.log(np.exp(classes).sum()) + words[ids[place] % 64] - np.log(np.exp(words).sum()) + shares[place]
         assert abs(total - got) < 1e-3 * max(1, abs(total))
         at += size + 2
     assert list(sizes) == [6, 0, 0, 2, 1] and sums[1] == sums[2] == 0
@@ -118,6 +120,44 @@ def test_score_rows(spark, network):
     assert np.isfinite(sums).all()
 
 
+@pytest.fixture(scope="module")
+def corpus(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    return pseudo_lm.fit(docs), [r["text"] for r in docs.collect()]
+
+
+def test_invented_and_shuffled_text_scores_below_the_corpus(corpus):
+    fitted, texts = corpus
+    rng = np.random.default_rng(5)
+    words = " ".join(texts).split()
+    shuffled = [" ".join(rng.permutation(words)[:2_000]) for _ in range(20)]
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    invented = [" ".join("".join(rng.choice(letters, rng.integers(4, 10))) for _ in range(300)) for _ in range(20)]
+
+    def mean(group):
+        sizes, sums = fitted.score(group)
+        return sums.sum() / sizes.sum()
+
+    assert mean(shuffled) < mean(texts) - 0.05
+    assert mean(invented) < mean(texts) - 3.0
+    rare = [w for w, n in Counter(pseudo_lm.words_of(" ".join(texts))).items() if n == 1][:200]
+    assert mean([" ".join(invented[0].split()[:200])]) < mean([" ".join(rare)]) - 0.3
+
+
+def test_shares_are_those_of_the_counts(corpus):
+    """Each bucket's words, known and new, take no more than the whole of it."""
+    fitted, texts = corpus
+    words = {w for t in texts for w in pseudo_lm.words_of(t)}
+    ids, shares, _ = fitted.encode([" ".join(sorted(words))])
+    taken = np.zeros(pseudo_lm.VOCABULARY + 1)
+    np.add.at(taken, ids, np.exp(shares))
+    top = ids < pseudo_lm.VOCABULARY - pseudo_lm.BUCKETS
+    assert (shares[top] == 0).all()
+    buckets = taken[pseudo_lm.VOCABULARY - pseudo_lm.BUCKETS : pseudo_lm.VOCABULARY]
+    assert (buckets <= 1.001).all() and buckets.min() > 0.2
+    assert len(fitted.rest.slots) >= len(words) / 8
+
+
 def test_every_document_trains_the_network(spark):
     lines = [f"{_sentences(20, i)} mark{i}" for i in range(60)]
     docs = spark.createDataFrame([(None if i % 2 else i, t) for i, t in enumerate(lines)], "doc_id long, text string")
@@ -126,3 +166,10 @@ def test_every_document_trains_the_network(spark):
     start = pseudo_lm._start(np.zeros(pseudo_lm.VOCABULARY))
     change = np.abs(moved.weights["context"] - start["context"]).max(axis=(0, 2))
     assert all(change[moved.ids[f"mark{i}"]] > 1e-4 for i in range(60))
+
+
+def test_fitting_and_scoring_in_one(spark):
+    docs = spark.createDataFrame([(i, _sentences(10, i)) for i in range(30)] + [(None, None), (7, "")], "doc_id long, text string")
+    found = {tuple(r)[:2]: r["log_prob"] for r in pseudo_lm.fit_and_score(docs).collect()}
+    plain = {tuple(r)[:2]: r["log_prob"] for r in pseudo_lm.score(docs, pseudo_lm.fit(docs)).collect()}
+    assert found.keys() == plain.keys() and all(abs(found[k] - plain[k]) < 0.02 * max(1, abs(plain[k])) for k in found)

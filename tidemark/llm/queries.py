@@ -90,8 +90,7 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_pseudo_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _read(spark, sf_dir, "documents")
-    return pseudo_lm.score(docs, pseudo_lm.fit(docs))
+    return pseudo_lm.fit_and_score(_read(spark, sf_dir, "documents"))
 
 
 def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
