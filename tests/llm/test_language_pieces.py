@@ -135,3 +135,16 @@ def test_encode_and_decode_rows(spark):
     other = {r["doc_id"]: r["ids"] for r in encode(docs, PIECES, seed=1).collect()}
     assert other[5] != again[5]
     assert with_decoded(encode(docs.limit(0), PIECES), PIECES).collect() == []
+
+
+def test_a_language_of_one_document_is_learned(spark):
+    """Whatever its id, which decides what is counted of a language with many documents."""
+    usual = [(i, f"the ferry {i} came and went with the tide and the wind", "en") for i in range(60)]
+    rare = "zgodnie z rozkładem prom odpływa jutro rano kiedy wiatr się uspokoi"
+    docs = spark.createDataFrame(usual, "doc_id long, text string, lang string")
+    for number in (1000, 1001, 1002, 1003, 1004, 1005):
+        both = docs.union(spark.createDataFrame([(number, rare, "pl")], docs.schema))
+        models = language.fit(both, both["lang"].isNotNull())
+        assert models.languages == ["en", "pl"]
+        found = models.predict([rare, "the tide came with the wind"])
+        assert found["lang_pred"].tolist() == ["pl", "en"] and not found["rejected"][0]

@@ -7,8 +7,9 @@ and its cross-entropy per character is taken under every model over the whole te
 wins. Windows that repeat within a batch are looked up once.
 
 Fitting takes a bounded sample: `SAMPLE_DOCS` documents per language are expected, chosen by a
-hash of their id, in equal shares for counting and for calibration. Counting and prediction are
-Spark jobs; the driver sees the counts of the sample only.
+hash of their id, three quarters for counting and one for calibration. A language of fewer than
+`RARE` documents is counted whole, and judged by the other languages' spread. Counting and
+prediction are Spark jobs; the driver sees the counts of the sample and the calibration texts.
 
 Calibration: the score is the chance that the choice is right, a logistic function of the margin
 between the two best models, fitted on documents that were not counted. A text is rejected as no
@@ -35,6 +36,7 @@ from tidemark.llm.shared import by_batch, keyed_text, stretches, with_fields
 
 ORDER = 4
 SAMPLE_DOCS = 1500
+RARE = 20
 UNKNOWN = "und"
 # Characters looked at together.
 AT_ONCE = 1_000_000
@@ -230,13 +232,13 @@ class LanguageModels:
         entropies, sizes, wanted = entropies[use], sizes[use], wanted[use]
         count = len(self.languages)
         self.usual, self.spread = np.zeros(count), np.zeros((count, 2))
-        deviations = [0.0]
+        deviations, few = [0.0], []
         for c in range(count):
             own = (wanted == c) & (entropies.argmin(axis=1) == c)
             values, lengths = entropies[own, c], sizes[own]
             if len(values) < 5:
                 self.usual[c] = np.median(entropies) if len(entropies) else np.log(self.alphabet)
-                self.spread[c] = (1.0, 1.0)
+                few.append(c)
                 continue
             self.usual[c] = np.median(values)
             off = np.abs(values - self.usual[c])
@@ -247,6 +249,8 @@ class LanguageModels:
             self.spread[c] = (a, b)
             z = (values - self.usual[c]) / np.sqrt(a + b / lengths)
             deviations.append(float(np.quantile(z, 0.999)))
+        others = [c for c in range(count) if c not in few]
+        self.spread[few] = self.spread[others].mean(axis=0) if others else (1.0, 1.0)
         self.deviations = max(LEAST_DEVIATIONS, 1.5 * max(deviations))
         if len(wanted) and count > 1:
             ordered = np.sort(entropies, axis=1)
@@ -304,12 +308,13 @@ def fit(
     languages = sorted(sizes)
     if not languages:
         return LanguageModels([], _Orders([], [], [], []), 1)
-    # The share of each language's documents that is used: the first half counts, the other calibrates.
+    # The share of each language's documents that is used, by their place.
     share = F.lit(0)
     for language, n in sizes.items():
         share = F.when(F.col("label") == language, int(min(1.0, sample / n) * (1 << 30))).otherwise(share)
     chosen = rows.withColumn("share", share).filter("place < share")
-    counted = chosen.filter(F.col("place") % 4 < 3).select("label", "text")
+    rare = F.col("label").isin([language for language, n in sizes.items() if n < RARE])
+    counted = chosen.filter((F.col("place") % 4 < 3) | rare).select("label", "text")
     counts = _counts(counted).toArrow().to_pandas()
     counts = counts.sort_values(["n", "label", "gram"]).reset_index(drop=True)
     languages = sorted(counts["label"].unique())
@@ -317,7 +322,7 @@ def fit(
         return LanguageModels([], _Orders([], [], [], []), 1)
     alphabet = int((counts["n"] == 1).sum()) + 1
     models = LanguageModels(languages, _estimate(counts, languages, alphabet), alphabet)
-    held = chosen.filter(F.col("place") % 4 == 3).orderBy("place").select("text", "label")
+    held = chosen.filter((F.col("place") % 4 == 3) & ~rare).orderBy("place").select("text", "label")
     models.calibrate(*_columns(held))
     return models
 
