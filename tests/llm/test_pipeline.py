@@ -46,3 +46,23 @@ def test_stages_on_odd_rows(spark, name, stage):
     if name != corpus_pipeline.STAGES[-1][0]:
         assert got.columns == empty.columns
     assert got.count() > 0
+
+
+def test_one_row_of_each_group_stays(spark):
+    """Repeated ids, rows without ids and an id that names another group: one row per group."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, component_id long, fingerprint string"
+    groups = ["alpha beta gamma delta epsilon", "one two three four five", "", "red green blue"]
+    rows = [
+        (0, groups[0], "en", "x", 1), (0, groups[0], "en", "x", 1), (0, groups[0], "en", "a", 1), (None, groups[0], "en", "x", 1),
+        (5, groups[1], "en", "x", 1), (2, groups[1].upper(), "en", "x", 1), (5, groups[3], "en", "x", 1),
+        (9, "", "en", "x", 1), (8, None, "en", "x", 1), (None, None, "en", "x", 1),
+        (None, "no id at all", "en", "b", 1), (None, "no id at all", "en", "b", 1), (None, "no id at all", None, "b", 1),
+    ]
+    docs = spark.createDataFrame([(*r, 7, "f") for r in rows], schema)
+    got = corpus_pipeline.simhash_dedup(spark, docs, SF)
+    assert got.columns == docs.columns
+    key = lambda r: (r[0] is None, r[0] or 0, r[1] or "")
+    assert sorted((tuple(r)[:5] for r in got.collect()), key=key) == [
+        (0, groups[0], "en", "a", 1), (2, groups[1].upper(), "en", "x", 1), (5, groups[3], "en", "x", 1),
+        (8, None, "en", "x", 1), (None, "no id at all", None, "b", 1),
+    ]

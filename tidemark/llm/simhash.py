@@ -20,8 +20,9 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.components import components
 from tidemark.llm.shared import by_batch, keyed_text, with_fields, written
@@ -33,6 +34,7 @@ BUCKET = 4096
 # (query, word) pairs compared at a time, and planes between two looks at who may be abandoned.
 AT_ONCE = 1 << 18
 PLANES = 8
+_PRINT, _ROOT = "__tm_fingerprint", "__tm_root"
 _SPACE = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
 
 
@@ -213,19 +215,48 @@ def links(distinct: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> Da
     return spread.repartition(parts, *group).mapInArrow(compare, "a long, b long").distinct()
 
 
+def _roots(printed: DataFrame, fingerprint: str, first: Column, radius: int) -> DataFrame:
+    """(fingerprint, first, root): each distinct fingerprint, an aggregate of its rows, and the
+    fingerprint that its component goes by."""
+    distinct = printed.groupBy(F.col(fingerprint).alias("fingerprint")).agg(first.alias("first"))
+    joined = components(links(distinct.select("fingerprint"), radius))
+    return distinct.join(joined, distinct["fingerprint"] == joined["id"], "left").select(
+        "fingerprint", "first", F.coalesce("component", "fingerprint").alias("root")
+    )
+
+
 def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS
 ) -> DataFrame:
     """One row per document: key, fingerprint (long), component_id (smallest key reachable)."""
     printed = written(fingerprints(docs, key, text, shingle), "fingerprints")
-    distinct = printed.groupBy("fingerprint").agg(F.min("key").alias("first"))
-    joined = components(links(distinct.select("fingerprint"), radius))
     # Components carry a fingerprint; the smallest key of a component names it.
-    roots = distinct.join(joined, distinct["fingerprint"] == joined["id"], "left").select(
-        "fingerprint", "first", F.coalesce("component", "fingerprint").alias("root")
-    )
-    roots = written(roots, "roots")
+    roots = written(_roots(printed, "fingerprint", F.min("key"), radius), "roots")
     named = roots.join(roots.groupBy("root").agg(F.min("first").alias("component_id")), "root")
     return printed.join(named.select("fingerprint", "component_id"), "fingerprint").select(
         F.col("key").alias(key), "fingerprint", "component_id"
     )
+
+
+def one_of_each(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS
+) -> DataFrame:
+    """One row of `docs` for each component: the one with the smallest key, then text, then other
+    columns in their order; rows without a key only where no row of the component has one. Rows
+    that repeat, whole or by their key alone, are in one component or stay apart by their texts.
+
+    The smallest row is aggregated before the shuffle, so a large component leaves a task as one row.
+    """
+    where = docs.columns.index(text)
+
+    def add(batch: pa.RecordBatch) -> pa.RecordBatch:
+        values = np.array([fingerprint(t, shingle) for t in batch.column(where).cast(pa.string()).to_pylist()], np.uint64)
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(values.view(np.int64))], schema=batch.schema.append(pa.field(_PRINT, pa.int64())))
+
+    schema = T.StructType([*docs.schema.fields, T.StructField(_PRINT, T.LongType())])
+    printed = written(by_batch(docs, add, schema), "printed-rows")
+    roots = _roots(printed, _PRINT, F.count("*"), radius).select(F.col("fingerprint").alias(_PRINT), F.col("root").alias(_ROOT))
+    names = [key, text, *[c for c in docs.columns if c not in (key, text)]]
+    order = F.struct(F.col(f"`{key}`").isNull().alias("c"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
+    kept = printed.join(roots, _PRINT).groupBy(_ROOT).agg(F.min(order).alias("row"))
+    return kept.select(*[F.col("row")[f"c{names.index(c)}"].alias(c) for c in docs.columns])
