@@ -4,11 +4,14 @@ import random
 import time
 from datetime import datetime, timedelta
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import types as T
 
 from tidemark import FeatureTable, Field, fold_batches
 from tidemark.sources.stream import read_files
+from tidemark.streaming import state as keyed
 from tidemark.streaming.state import EXPIRED, _rank, keep_state, state_rows
 
 T0 = datetime(2021, 6, 1)
@@ -109,3 +112,100 @@ def test_ranks_order_as_spark_does():
     assert _rank([None, 1]) < _rank([0, 1]) < _rank([0, 1, 0]) and _rank(b"a") < _rank(bytearray(b"b"))
     with pytest.raises(ValueError, match="clock"):
         keep_state(None, _table(), checkpoint="c", clock="sundial")
+
+
+def test_many_keys_in_a_group_are_the_fold_as_well(spark, folder):
+    batches = [[(draw * 7 % 40, *row[1:]) for draw, row in enumerate(rows)] for rows in _batches(2, 150, 2)]
+    run = keep_state(_stream(spark, folder, batches), _table(), checkpoint=f"{folder}/c", trigger={"availableNow": True}, partitions=2, groups=2)
+    run.awaitTermination()
+    folded = fold_batches([spark.createDataFrame(rows, SCHEMA) for rows in batches], _table())
+    got = _state(state_rows(spark, f"{folder}/c", _table()))
+    assert got == _state(folded) and len(got) > 60
+    assert spark.read.format("statestore").option("stateVarName", "current").load(f"{folder}/c").count() <= 2
+
+
+class _Store:
+    """A state handle in memory that counts its calls."""
+
+    def __init__(self):
+        self.value, self.timers, self.calls = None, set(), 0
+
+    def getValueState(self, *_):
+        return self
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls += 1
+        self.value = value
+
+    def clear(self):
+        self.calls += 1
+        self.value = None
+
+    def listTimers(self):
+        self.calls += 1
+        return iter(sorted(self.timers))
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.add(at)
+
+    def getCurrentWatermarkInMs(self):
+        return self.clock
+
+
+def _processor(store, age):
+    entry = T.StructType.fromDDL(f"lane int, {keyed._AT} long, speed double")
+    processor = keyed.LatestValues(["lane"], ["speed"], entry, age, age is not None)
+    processor.init(store)
+    return processor
+
+
+def _row(lane, at, speed):
+    return Row("lane", keyed._AT, keyed._TIES, "speed")(lane, at, (0,), speed)
+
+
+def test_calls_to_the_store_do_not_grow_with_the_keys():
+    for age in (None, 16_000_000):
+        store = _Store()
+        store.clock = 0
+        processor = _processor(store, age)
+        for batch in range(2):
+            list(processor.handleInputRows((0,), iter([_row(lane, 1_000_000 + batch, 1.0) for lane in range(500)]), store))
+        assert len(store.value[0]) == 500 and store.calls <= 8
+
+
+def test_neighbours_of_what_leaves_stay():
+    store, at = _Store(), 1_000_000
+    store.clock = 0
+    processor = _processor(store, 16_000_000)
+    list(processor.handleInputRows((0,), iter([_row(1, at, 1.0), _row(2, 9 * at, 2.0), _row(3, at, 3.0)]), store))
+    assert store.timers == {2_000, 10_000}
+    store.clock = 1_500  # no timer yet, but what is past its age gives nothing to newer rows
+    changes = [(r.lane, r.speed, r[EXPIRED]) for r in processor.handleInputRows((0,), iter([_row(1, 8 * at, None)]), store)]
+    assert changes == [(1, None, False), (3, 3.0, True)]
+    store.clock = 9_000
+    assert [(r.lane, r[EXPIRED]) for r in processor.handleExpiredTimer((0,), store, None)] == [(1, True)]
+    assert store.value == ([(2, 9 * at, 2.0)],)
+    assert list(processor.handleExpiredTimer((0,), store, None)) == []
+
+
+def test_tasks_hold_more_keys_than_rows_at_a_time(monkeypatch):
+    """However many keys: each leaves a task with its newest row only, while they fit its memory."""
+    monkeypatch.setattr(keyed, "HELD_ROWS", 100)
+    rows = [(i % 90, i) for i in range(900)]
+    kept = []
+
+    class Batches:
+        schema = None
+
+        def mapInArrow(self, function, schema):
+            table = pa.table({"lane": [r[0] for r in rows], keyed._AT: [r[1] for r in rows]})
+            for batch in function(iter(table.to_batches(max_chunksize=30))):
+                kept.extend(batch.to_pylist())
+
+    keyed._newest_of_task(Batches(), ["lane"])
+    assert sorted((r["lane"], r[keyed._AT]) for r in kept) == [(i, 810 + i) for i in range(90)]
