@@ -173,3 +173,17 @@ def test_fitting_and_scoring_in_one(spark):
     found = {tuple(r)[:2]: r["log_prob"] for r in pseudo_lm.fit_and_score(docs).collect()}
     plain = {tuple(r)[:2]: r["log_prob"] for r in pseudo_lm.score(docs, pseudo_lm.fit(docs)).collect()}
     assert found.keys() == plain.keys() and all(abs(found[k] - plain[k]) < 0.02 * max(1, abs(plain[k])) for k in found)
+
+
+def test_words_are_looked_up_together_and_once(network, monkeypatch):
+    """Not text by text; and as if they were."""
+    texts = ["the cat", None, "", "sees un1 un2 un1", "w" * 70 + " the w", "\ud800 cat", "un2"] * 3
+    single = [network.encode([t]) for t in texts]
+    asked, codes = [], network._codes
+    monkeypatch.setattr(network, "_codes", lambda words: asked.append(len(words)) or codes(words), raising=False)
+    ids, shares, sizes = network.encode(texts)
+    distinct = {w for t in texts for w in pseudo_lm.words_of(t)}
+    assert asked == [len(distinct)]
+    assert list(sizes) == [n for _, _, sizes in single for n in sizes]
+    for all_at_once, part in ((ids, 0), (shares, 1)):
+        assert list(all_at_once) == list(single[0][part][:2]) + [v for one in single for v in one[part][2:]]

@@ -27,6 +27,7 @@ from __future__ import annotations
 
 from collections import Counter
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import WordCache, by_batch, keyed_text, with_fields, written
+from tidemark.llm.shared import by_batch, distinct, keyed_text, stretches, with_fields, written
 from tidemark.plans.keyset import KeySet
 
 CLASSES = 64
@@ -52,8 +53,10 @@ MOST_SLOTS = 1 << 20
 WORDS_PER_SLOT = 4
 # A word's id and the log of its share travel as one number: id * SCALE - log share.
 SCALE = 1024.0
-# Words scored at a time, distinct words counted before they leave a task, weights per row.
+# Words scored at a time, characters encoded at a time, distinct words counted before they leave a
+# task, weights per row.
 AT_ONCE = 1 << 14
+ENCODED = 1 << 21
 COUNTED = 300_000
 CHUNK = 1 << 16
 NAMES = ("context", "bias", "class_out", "class_bias", "word_out", "word_bias")
@@ -91,42 +94,41 @@ class Network:
     weights: dict[str, np.ndarray]
     rest: Rest
 
-    def __getstate__(self):
-        return {"ids": self.ids, "weights": self.weights, "rest": self.rest}
-
-    def _codes(self, words: list[str]) -> list[float]:
-        ids = np.array([self.ids.get(w, -1) for w in words], np.int64)
+    def _codes(self, words: list[str]) -> np.ndarray:
+        ids = np.fromiter(map(self.ids.get, words, repeat(-1)), np.int64, len(words))
         codes = ids * SCALE
         others = np.nonzero(ids < 0)[0]
-        digest = xxhash.xxh64_intdigest
-        hashes = np.fromiter((digest(words[i].encode("utf-8", "surrogatepass"), 42) for i in others.tolist()), np.uint64, len(others))
+        beyond, digest = [words[i] for i in others.tolist()], xxhash.xxh64_intdigest
+        try:
+            hashes = np.fromiter(map(digest, beyond, repeat(42)), np.uint64, len(beyond))
+        except UnicodeEncodeError:  # halves of surrogate pairs
+            hashes = np.fromiter((digest(w.encode("utf-8", "surrogatepass"), 42) for w in beyond), np.uint64, len(beyond))
         bucket = VOCABULARY - BUCKETS + (hashes & np.uint64(BUCKETS - 1)).astype(np.int64)
         codes[others] = bucket * SCALE - self.rest.shares(hashes)
-        return codes.tolist()
-
-    def words(self) -> WordCache:
-        if "_words" not in self.__dict__:
-            self._words = WordCache(self._codes)
-        return self._words
+        return codes
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts with two ends around each, the log shares, and how many words each has."""
-        cache, ends = self.words(), [VOCABULARY * SCALE] * 2
-        flat, sizes = list(ends), []
-        for text in texts:
-            codes = cache.values_of(words_of(text))
-            sizes.append(len(codes))
-            flat += codes
-            flat += ends
-        codes = np.array(flat, np.float64)
-        ids = np.floor(codes / SCALE).astype(np.int64)
-        return ids, ids * SCALE - codes, np.array(sizes, np.int64)
+        parts, sizes = [np.empty(0)], np.zeros(len(texts), np.int64)
+        for first, last in stretches(texts, ENCODED):
+            words = [words_of(t) for t in texts[first:last]]
+            sizes[first:last] = [len(w) for w in words]
+            own, places = distinct(list(chain.from_iterable(words)))
+            parts.append(self._codes(own)[places])
+        codes = np.concatenate(parts)
+        at = np.arange(len(codes)) + 2 * np.repeat(np.arange(1, len(texts) + 1), sizes)
+        ids = np.full(len(codes) + 2 * len(texts) + 2, VOCABULARY, np.int64)
+        ids[at] = np.floor(codes / SCALE)
+        shares = np.zeros(len(ids))
+        shares[at] = ids[at] * SCALE - codes
+        return ids, shares, sizes
 
     def hidden(self, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
         """(WIDTH, places): what the neighbours of each place say."""
-        total = self.weights["context"][0][ids[at + SIDES[0]]]
+        context = self.weights["context"]  # `take` is several times as fast as an index
+        total = context[0].take(ids.take(at + SIDES[0]), axis=0)
         for side, step in enumerate(SIDES[1:], 1):
-            total += self.weights["context"][side][ids[at + step]]
+            total += context[side].take(ids.take(at + step), axis=0)
         total += self.weights["bias"]
         return np.tanh(np.ascontiguousarray(total.T))
 
@@ -135,13 +137,14 @@ class Network:
         result = np.empty(len(at))
         for first in range(0, len(at), AT_ONCE):
             places = at[first : first + AT_ONCE]
-            order = np.argsort(ids[places] // CLASSES, kind="stable")
-            sought = ids[places[order]]
+            sought = ids.take(places)
+            order = np.argsort(sought // CLASSES, kind="stable")
+            sought = sought[order]
             hidden = self.hidden(ids, places[order])
             owner, inside = sought // CLASSES, sought % CLASSES
             logs = _log_shares(self.weights["class_out"].T @ hidden + self.weights["class_bias"][:, None], owner).astype(np.float64)
             bounds = np.searchsorted(owner, np.arange(CLASSES + 1))
-            for c in np.unique(owner).tolist():
+            for c in np.flatnonzero(np.diff(bounds)).tolist():
                 rows = slice(bounds[c], bounds[c + 1])
                 outputs = self.weights["word_out"][c * CLASSES : (c + 1) * CLASSES]
                 biases = self.weights["word_bias"][c * CLASSES : (c + 1) * CLASSES, None]
@@ -165,7 +168,7 @@ class Network:
     def sums(self, rows: list[bytes], sizes: np.ndarray) -> np.ndarray:
         """Summed log probabilities of ids, without the words' shares of their buckets."""
         ids = _with_ends(rows)
-        logs = self.log_probabilities(ids, np.nonzero(ids != VOCABULARY)[0])
+        logs = self.log_probabilities(ids, _places(ids))
         sums = np.zeros(len(rows))
         filled = sizes > 0
         if filled.any():
@@ -177,7 +180,11 @@ _ENDS = np.full(2, VOCABULARY, "<u2").tobytes()
 
 
 def _with_ends(rows: list[bytes]) -> np.ndarray:
-    return np.frombuffer(_ENDS + _ENDS.join(rows) + _ENDS, "<u2").astype(np.int64)
+    return np.frombuffer(_ENDS + _ENDS.join(rows) + _ENDS, "<u2")  # 16 bits: places are taken at random
+
+
+def _places(ids: np.ndarray) -> np.ndarray:
+    return np.nonzero(ids != VOCABULARY)[0].astype(np.int32 if len(ids) < 1 << 31 else np.int64)
 
 
 def _log_shares(x: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -192,7 +199,7 @@ def _error(x: np.ndarray, wanted: np.ndarray, n: int) -> np.ndarray:
     """The gradient of the mean log loss of `n` places by the columns of `x`, in place."""
     x -= x.max(axis=0)
     np.exp(x, out=x)
-    x /= x.sum(axis=0) * np.float32(n)
+    x *= 1 / (x.sum(axis=0) * np.float32(n))
     x[wanted, np.arange(x.shape[1])] -= np.float32(1 / n)
     return x
 
@@ -228,7 +235,7 @@ class _Trainer:
 
     def learn(self, rows: list[bytes]) -> None:
         ids = _with_ends(rows)
-        at = np.nonzero(ids != VOCABULARY)[0]
+        at = _places(ids)
         np.random.default_rng(len(at)).shuffle(at)
         first = 0
         while first < len(at):
@@ -239,27 +246,32 @@ class _Trainer:
 
     def _batch(self, ids: np.ndarray, at: np.ndarray) -> None:
         w, n = self.network.weights, len(at)
-        at = at[np.argsort(ids[at] // CLASSES, kind="stable")]
-        words = ids[at]
+        words = ids.take(at)
+        order = np.argsort(words // CLASSES, kind="stable")
+        at, words = at[order], words[order]
         owner, inside = words // CLASSES, words % CLASSES
         hidden = self.network.hidden(ids, at)
         error = _error(w["class_out"].T @ hidden + w["class_bias"][:, None], owner, n)
         back = w["class_out"] @ error
         class_out, class_bias = hidden @ error.T, error.sum(axis=1)
+        # Words whose class no place has keep no gradient.
+        word_out, word_bias = np.zeros_like(w["word_out"]), np.zeros_like(w["word_bias"])
         bounds = np.searchsorted(owner, np.arange(CLASSES + 1))
-        for c in np.unique(owner).tolist():
+        for c in np.flatnonzero(np.diff(bounds)).tolist():
             rows, own = slice(bounds[c], bounds[c + 1]), slice(c * CLASSES, (c + 1) * CLASSES)
             within = _error(w["word_out"][own] @ hidden[:, rows] + w["word_bias"][own, None], inside[rows], n)
             # The error is of all `n` places, of which these are a part.
             back[:, rows] += w["word_out"][own].T @ within
-            self._step("word_out", within @ hidden[:, rows].T, own)
-            self._step("word_bias", within.sum(axis=1), own)
+            np.matmul(within, hidden[:, rows].T, out=word_out[own])
+            np.sum(within, axis=1, out=word_bias[own])
+        self._step("word_out", word_out)
+        self._step("word_bias", word_bias)
         self._step("class_out", class_out)
         self._step("class_bias", class_bias)
         back *= 1 - hidden * hidden
         self._step("bias", back.sum(axis=1))
         for side, step in enumerate(SIDES):
-            beside = ids[at + step]
+            beside = ids.take(at + step).astype(np.int64)
             # Words that are not beside any place have no gradient, and their weights stay.
             summed = [np.bincount(beside, row, VOCABULARY + 1) for row in back]
             self._step("context", np.stack(summed, axis=1).astype(np.float32), side)
