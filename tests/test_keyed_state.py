@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 import pyarrow as pa
 import pytest
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import FeatureTable, Field, fold_batches
@@ -209,3 +210,51 @@ def test_tasks_hold_more_keys_than_rows_at_a_time(monkeypatch):
 
     keyed._newest_of_task(Batches(), ["lane"])
     assert sorted((r["lane"], r[keyed._AT]) for r in kept) == [(i, 810 + i) for i in range(90)]
+
+
+def test_tie_breaks_decide_between_rows_of_one_time(spark, folder):
+    """Not the features' values, also where the keys are lists."""
+    rows = [(1, "n", T0, 9.0, "a", 1), (1, "n", T0, 1.0, "z", 2), (2, "n", T0, 9.0, "z", None), (2, "n", T0, 1.0, "a", -1)]
+    for name, keys in (("plain", KEYS), ("lists", (Field("lane", "INT32_LIST"), KEYS[1]))):
+        stream = _stream(spark, f"{folder}/{name}", [rows])
+        table = FeatureTable("road", keys, FEATURES, None, tie_break=("seen",))
+        stream = stream.withColumn("lane", F.array("lane")) if name == "lists" else stream
+        keep_state(stream, table, checkpoint=f"{folder}/{name}/c", trigger={"availableNow": True}, partitions=1).awaitTermination()
+        assert sorted((r.speed, r.plate) for r in state_rows(spark, f"{folder}/{name}/c", table).collect()) == [(1.0, "a"), (1.0, "z")]
+
+
+def test_a_group_has_its_next_timers_only_and_is_read_once_for_those_due():
+    store = _Store()
+    store.clock = 0
+    processor = _processor(store, 16_000_000)
+    list(processor.handleInputRows((0,), iter([_row(lane, 50_000 * lane, 1.0) for lane in range(300)]), store))
+    assert len(store.timers) == 2 and store.calls <= 5
+    left = []
+    for clock in range(2_000, 20_000, 2_000):
+        store.clock, calls = clock, store.calls
+        due = sorted(t for t in store.timers if t <= clock)
+        for timer in due:
+            left += [r.lane for r in processor.handleExpiredTimer((0,), store, None)]
+            store.timers.discard(timer)
+        assert store.calls - calls <= 4 and left == [lane for lane in range(300) if 50 * lane + 1 <= clock]
+    assert store.value is None and not store.timers
+
+
+def test_rows_past_their_age_are_passed_over():
+    store = _Store()
+    store.clock = 0
+    processor = _processor(store, 16_000_000)
+    list(processor.handleInputRows((0,), iter([_row(1, 2_000_000, 1.0)]), store))
+    store.clock = 5_000
+    changes = processor.handleInputRows((0,), iter([_row(1, 3_000_000, 2.0), _row(2, 3_000_000, 2.0)]), store)
+    assert [(r.lane, r.speed, r[EXPIRED]) for r in changes] == [(1, 1.0, True)] and store.value is None
+
+
+def test_lists_have_all_rows_of_their_group(monkeypatch):
+    monkeypatch.setattr(keyed, "PACKED", 4)
+    groups = [i * 7 % 5 for i in range(60)] + [9]
+    batch = pa.RecordBatch.from_pydict({"lane": list(range(61)), keyed._AT: [i * 11 % 61 for i in range(61)], keyed._GROUP: groups})
+    lists = keyed._pack(batch).to_pylist()
+    assert len(lists) == 16 and all(1 <= len(r[keyed._ROWS]) <= 4 for r in lists)
+    assert all(r[keyed._AT] == max(v[keyed._AT] for v in r[keyed._ROWS]) for r in lists)
+    assert sorted((v["lane"], r[keyed._GROUP]) for r in lists for v in r[keyed._ROWS]) == list(enumerate(groups))

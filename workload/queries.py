@@ -1143,11 +1143,15 @@ def stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return online.rows().drop("expiry_timestamp")
 
 
+# Files of a part of the events.
+ARRIVING_FILES = 8
+
+
 def _keyed(spark: SparkSession, sf_dir: str, feature_table: FeatureTable, events: DataFrame) -> str:
     """The checkpoint of a query that has kept the state of these events, arriving in three parts."""
     arrivals, checkpoint = scratch_path(spark, "arrivals"), scratch_path(spark, "keyed-state")
-    events.repartition(3, "event_id").write.parquet(arrivals)
-    stream = read_files(spark, arrivals, events.schema, files_per_trigger=1)
+    events.repartition(3 * ARRIVING_FILES, "event_id").write.parquet(arrivals)
+    stream = read_files(spark, arrivals, events.schema, files_per_trigger=ARRIVING_FILES)
     run = keep_state(stream, feature_table, checkpoint=checkpoint, trigger={"availableNow": True}, partitions=4)
     run.awaitTermination()
     return checkpoint
