@@ -1151,7 +1151,8 @@ def _keyed(spark: SparkSession, sf_dir: str, feature_table: FeatureTable, events
     """The checkpoint of a query that has kept the state of these events, arriving in three parts."""
     arrivals, checkpoint = scratch_path(spark, "arrivals"), scratch_path(spark, "keyed-state")
     events.repartition(3 * ARRIVING_FILES, "event_id").write.parquet(arrivals)
-    stream = read_files(spark, arrivals, events.schema, files_per_trigger=ARRIVING_FILES)
+    files = len(spark.read.schema(events.schema).parquet(arrivals).inputFiles())
+    stream = read_files(spark, arrivals, events.schema, files_per_trigger=-(-files // 3))
     run = keep_state(stream, feature_table, checkpoint=checkpoint, trigger={"availableNow": True}, partitions=4)
     run.awaitTermination()
     return checkpoint
