@@ -175,3 +175,55 @@ def test_vectors_link_in_every_dimension(spark, monkeypatch):
         monkeypatch.setattr(vector_dedup, "LIST", 50)
         got = {tuple(r) for r in near_duplicates(frame).collect()}
         assert got == {(i, len(linked[i]), least[i], least[i] == i) for i in linked}
+
+
+def _shuffle_files(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = manager.getAllFiles()
+    return {f.getName(): f.length() for f in (files.apply(i) for i in range(files.size())) if f.getName().endswith(".data")}
+
+
+def test_vectors_cross_the_network_once_whatever_the_probes(spark, monkeypatch):
+    rng = np.random.default_rng(10)
+    vectors = rng.normal(size=(4000, 32)).astype(np.float32)
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(vectors.tolist())], "vec_id long, embedding array<float>")
+    frame = frame.withColumn("label", F.lit(1))
+    monkeypatch.setattr(vector_dedup, "LIST", 50)
+    before = set(_shuffle_files(spark))
+    assert near_duplicates(frame).filter("n_links > 0").count() == 0
+    moved = sum(n for name, n in _shuffle_files(spark).items() if name not in before)
+    assert moved < 8 * vectors.nbytes
+
+
+def test_links_of_many_regions_and_equal_hashes(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    base = rng.normal(size=(60, 12))
+    vectors = [(base[rng.integers(60)] * rng.uniform(0.5, 2) + rng.normal(size=12) * 0.06 * rng.random()).tolist() for _ in range(600)]
+    vectors += [vectors[0]] * 20 + [[0.0, 3.0], [-0.0, 3.0], [0.0, 4.0]]
+    rows = [(i, v, 1) for i, v in enumerate(vectors)] + [(i + 1000, v, 2) for i, v in enumerate(vectors[:30])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    links = {i: set() for i, _, _ in rows}
+    for i, v, c in rows:
+        for j, w, d in rows:
+            if i != j and c == d and len(v) == len(w) and np.dot(v, w) / math.sqrt(np.dot(v, v) * np.dot(w, w)) >= 0.98:
+                links[i].add(j)
+    least = {}
+    for i in sorted(links):
+        todo = [i]
+        while todo:
+            j = todo.pop()
+            if j not in least:
+                least[j] = i
+                todo += links[j]
+    expected = {(i, len(links[i]), least[i], least[i] == i) for i in links}
+    monkeypatch.setattr(vector_dedup, "LIST", 50)
+    monkeypatch.setattr(vector_dedup, "BLOCK", 8)
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "64")
+        assert {tuple(r) for r in near_duplicates(frame).collect()} == expected
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    monkeypatch.setattr(vector_dedup, "BLOCK", 2048)
+    monkeypatch.setattr(vector_dedup, "_hash", lambda: F.pmod(F.xxhash64("label", "vector"), F.lit(5)))
+    assert {tuple(r) for r in near_duplicates(frame).collect()} == expected
