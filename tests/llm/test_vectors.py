@@ -1,4 +1,5 @@
 import math
+import re
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -227,3 +228,28 @@ def test_links_of_many_regions_and_equal_hashes(spark, monkeypatch):
     monkeypatch.setattr(vector_dedup, "BLOCK", 2048)
     monkeypatch.setattr(vector_dedup, "_hash", lambda: F.pmod(F.xxhash64("label", "vector"), F.lit(5)))
     assert {tuple(r) for r in near_duplicates(frame).collect()} == expected
+
+
+def test_blocks_of_alike_vectors_are_not_broadcast(spark):
+    shares = [3, -1, 4, 1, -5, 9, -2, 6]
+    rows = spark.range(20_000).select("id", F.array(*((F.col("id") % 4 + 1) * x for x in shares)).alias("vector"))
+    found = top_products(rows, F.col("id") % 50 == 0)
+    plan = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(found._jdf.queryExecution(), "formatted")
+    assert not [x for x in re.findall(r"\) BroadcastExchange\nInput \[\d+\]: \[(.*?)\]", plan) if re.search("vectors|ids", x)]
+    square = sum(x * x for x in shares)
+    expected = {(q, n + 1, 3 + 4 * n, square * 4 * (q % 4 + 1)) for q in range(0, 20_000, 50) for n in range(10)}
+    assert {tuple(r) for r in found.collect()} == expected
+
+
+def test_products_of_all_widths_are_exact():
+    rng = np.random.default_rng(12)
+    for size in (100, 3000, 10**6, 10**8):
+        vectors = rng.integers(-size, size, size=(400, 24))
+        vectors = vectors[np.argsort(-(vectors.astype(float) ** 2).sum(axis=1), kind="stable")]
+        ids, asked, held = np.arange(400), np.arange(0, 400, 40), topk._narrow(vectors)
+        least = topk.bounds(asked, held[asked], ids, held, 10)
+        found = {q: (i.tolist(), s.tolist()) for q, i, s in topk.search(asked, held[asked], least, ids, held, 10)}
+        for q in asked.tolist():
+            scores = [sum(map(int.__mul__, vectors[q].tolist(), v)) for v in vectors.tolist()]
+            best = sorted((i for i in range(400) if i != q), key=lambda i: (-scores[i], i))[:10]
+            assert found[q] == (best, [scores[i] for i in best])
