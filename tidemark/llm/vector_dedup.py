@@ -44,9 +44,9 @@ CELLS = 1024
 LIST = 2000
 SUBSPACES = 8
 CODES = 64
-# Vectors of a region: at least, at most; and how many labels of more than a region there can be.
+# Vectors of a region: eight blocks at least, at most REGION; and how many labels of more than a region there can be.
 BLOCK = 2048
-REGION = 1 << 17
+REGION = 1 << 16
 LAYOUTS = 4096
 ROUNDS = 8
 # Elements of a table distance matrix, and pairs that wait to be counted.
@@ -317,7 +317,9 @@ _MET = "label string, dim int, region int, part int, ask boolean, first long, co
 def _links(classes: DataFrame, models: dict[int, Quantiser], radius: float, threshold: float, total: int, kind: type) -> DataFrame:
     """Per class (a, null, n): copies it links with, in parts; and (a, b, null): spanning links."""
     parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    region = max(BLOCK, min(REGION, total // parts), total // LAYOUTS)
+    # Two tasks for each core: more regions would keep it no busier, and more of them are asked.
+    cores = classes.sparkSession.sparkContext.defaultParallelism
+    region = max(8 * BLOCK, min(REGION, total // (2 * cores)), total // LAYOUTS)
     sized = classes.withColumn("dim", F.size("vector"))
     large = {(r["label"], r["dim"]) for r in sized.groupBy("label", "dim").agg(F.count("*").alias("n")).filter(F.col("n") > region).collect()}
 
@@ -462,7 +464,10 @@ class Region:
 
     def _read(self, table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         raw = np.frombuffer(b"".join(table.column("vector").to_pylist()), self.kind).reshape(-1, self.dim)
-        return table.column("first").to_numpy(), table.column("copies").to_numpy(), _unit(raw.astype(np.float64))
+        unit = np.empty(raw.shape)
+        for at in range(0, len(raw), 4096):
+            unit[at : at + 4096] = _unit(raw[at : at + 4096].astype(np.float64))
+        return table.column("first").to_numpy(), table.column("copies").to_numpy(), unit
 
     def _pairs(self, queries: np.ndarray, offset: int | None):
         """(query, place) that link. Queries that stand in the region from `offset` on meet later places only."""
